@@ -66,3 +66,22 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iter
         total += n
     yield batch.slice(start)
 
+
+
+class Remembered(dict):
+    """A bounded table with two generations: when the young one is full it becomes the old one, and what is
+    asked for again moves back. Look up with get(); only on None ask older()."""
+
+    def __init__(self, size: int) -> None:
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def older(self, key: str) -> bytes | None:
+        if (found := self.old.get(key)) is not None:
+            self[key] = found
+        return found
+
+    def make_room(self) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import media, pieces, quality, secrets, tokenfiles
+from estatelake.llm import linededup, media, mixing, pieces, quality, secrets, tokenfiles
 from estatelake.llm.common import documents
 
 
@@ -35,13 +35,21 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_files_report(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_deleted")
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(documents(spark, sf_dir))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_media_columns, op4_quality_classifier, op5_sentencepiece, op6_token_files, op10_secret_scan)}
+    return {f.__name__: f for f in (op3_media_columns, op4_quality_classifier, op5_sentencepiece, op6_token_files, op7_line_dedup, op8_source_mix, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_line_dedup": linededup.SQL, "op8_source_mix": mixing.SQL}

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from estatelake.llm.common import drop_staged, slices, staged, stage_path
+from estatelake.llm.common import Remembered, drop_staged, slices, stage_path, staged
 
 # -- ids of texts ---------------------------------------------------------------------------------
 
@@ -59,7 +59,7 @@ class ByteLevelEncoder:
         usual = f"[^\\t\\n\\r -~{self.LETTERS}–—‘’“”…«»¿¡]" + "".join(f"|{a}" for a in added)
         self.unusual = re.compile(usual if plain else "").search
         self.cut = re.compile(f"'(?:[smtd]|re|ve|ll)| ?[{self.LETTERS}]+| ?[0-9]+| ?[^\\s{self.LETTERS}0-9]+|\\s+(?!\\S)|\\s+").findall
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(self.REMEMBERED)
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
@@ -75,10 +75,10 @@ class ByteLevelEncoder:
             words = self.cut(text)
             found = list(map(self.known.get, words))
             if None in found:
-                new = list({w for w, x in zip(words, found, strict=True) if x is None})
-                if len(self.known) > self.REMEMBERED:
-                    self.known.clear()
-                got = dict(zip(new, (self._bytes(e.ids) for e in self.library.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+                got = {w: self.known.older(w) for w, x in zip(words, found, strict=True) if x is None}
+                new = [w for w, x in got.items() if x is None]
+                self.known.make_room()
+                got.update(zip(new, (self._bytes(e.ids) for e in self.library.encode_batch_fast(new, add_special_tokens=False)), strict=True))
                 found = [got[w] if x is None else x for w, x in zip(words, found, strict=True)]
                 self.known.update((w, x) for w, x in got.items() if len(w) <= 40)
             out.append(b"".join(found))
