@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import linededup, media, mixing, pieces, quality, secrets, tokenfiles
+from estatelake.llm import jaccard, linededup, media, mixing, pieces, quality, secrets, tokenfiles
 from estatelake.llm.common import documents
 
 
@@ -17,6 +17,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(documents(spark, sf_dir))
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_report(documents(spark, sf_dir))
 
@@ -48,8 +52,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_media_columns, op4_quality_classifier, op5_sentencepiece, op6_token_files, op7_line_dedup, op8_source_mix, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_jaccard_join, op3_media_columns, op4_quality_classifier, op5_sentencepiece, op6_token_files, op7_line_dedup, op8_source_mix, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": linededup.SQL, "op8_source_mix": mixing.SQL}
+    return {"op1_jaccard_join": jaccard.SQL, "op7_line_dedup": linededup.SQL, "op8_source_mix": mixing.SQL}
