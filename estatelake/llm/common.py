@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -50,7 +53,22 @@ def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
                 path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package where PYTHONPATH does not name it already."""
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "_estatelake_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="spark-")) / "estatelake.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted((root / "estatelake").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    context.addPyFile(str(archive))
+    context._estatelake_shipped = True
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

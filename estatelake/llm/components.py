@@ -34,7 +34,7 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         large = staged(_star(now, large=True), "large-star")
         after = staged(_star(large, large=False), "small-star")
-        state = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        state = after.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         drop_staged(spark, now, large)
         now = after
         if state == seen:

@@ -268,7 +268,7 @@ def _compare_sets(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
 def _buckets(paths: DataFrame) -> DataFrame:
     """path, m (sets in it) of buckets with two sets or more; of buckets with the same sets one stays."""
-    counted = paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("rid").cast("decimal(20,0)")).alias("sig")).where("m > 1")
+    counted = paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("rid")).alias("sig")).where("m > 1")
     return counted.groupBy("m", "sig").agg(F.min("path").alias("path")).select(F.col("path").alias("_path"), "m")
 
 
