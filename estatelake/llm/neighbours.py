@@ -4,7 +4,7 @@ Fitting takes a bounded sample (``FIT_ROWS`` vectors by a hash of their id): k-m
 centroids, and k-means in each of ``PARTS`` slices of the residuals gives the codebooks. Every vector is
 indexed: its nearest centroid and one code byte for each slice.
 
-Queries go to their ``PROBES`` best lists. A list is cut into blocks of at most ``BLOCK_ROWS`` vectors, so
+Queries go to their best lists, as many as the sample says the recall needs. A list is cut into blocks of at most ``BLOCK_ROWS`` vectors, so
 that a list with a third of all vectors is many tasks. In a block all queries that probe the list
 are answered at once: one table of inner products of query slices with codewords for each query, summed
 over codes by lookup, plus the product with the centroid. Each block gives a query its best
@@ -35,8 +35,9 @@ from estatelake.llm.jaccard import groups_of
 FIT_ROWS, ROUNDS = 20_000, 12
 #: Coarse centroids: about the square root of the rows, within these bounds (their table is at most 4096 vectors).
 LEAST_LISTS, MOST_LISTS = 8, 4096
-PARTS, CODEWORDS = 16, 256
-PROBE_SHARE, LEAST_PROBES = 0.25, 8
+PARTS, CODEWORDS = 32, 256
+#: Probes are set so that on the sample (up to TUNE_QUERIES of it ask for their nearest) this share of neighbours is in a probed list.
+TUNED_RECALL, TUNE_QUERIES, LEAST_PROBES = 0.985, 400, 4
 BLOCK_ROWS, KEEP, RERANK = 4096, 100, 200
 QUERY_EVERY, NEAREST = 20, 20
 
@@ -72,6 +73,7 @@ class Index:
     centres: np.ndarray
     books: list[np.ndarray]
     cuts: list[int]
+    probes: int = 1
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         which = nearest(x, self.centres)
@@ -97,7 +99,21 @@ def fit_index(vectors: DataFrame, rows: int, dim: int) -> Index:
     parts = min(PARTS, dim)
     cuts = [round(i * dim / parts) for i in range(parts + 1)]
     books = [kmeans(rest[:, a:b], CODEWORDS, 2 + i) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
-    return Index(centres, books, cuts)
+    return Index(centres, books, cuts, tuned_probes(x, centres))
+
+
+def tuned_probes(x: np.ndarray, centres: np.ndarray) -> int:
+    """How many lists a query must probe. Nearest neighbours in the whole table are nearer than those in the
+    sample, so that the sample's share is a cautious one."""
+    _, once = np.unique(x, axis=0, return_index=True)  # a vector that many rows repeat asks once and is found once
+    x = x[np.sort(once)]
+    which, queries = nearest(x, centres), x[:TUNE_QUERIES]
+    products = queries @ x.T
+    products[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
+    near = np.argsort(-products, axis=1, kind="stable")[:, : min(NEAREST, max(1, len(x) - 1))]
+    place = np.argsort(np.argsort(-(queries @ centres.T), axis=1, kind="stable"), axis=1, kind="stable")
+    needed = np.sort(np.take_along_axis(place, which[near], axis=1).reshape(-1)) + 1
+    return int(max(LEAST_PROBES, needed[min(len(needed) - 1, int(TUNED_RECALL * len(needed)))])) if len(needed) else LEAST_PROBES
 
 
 def valid_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -169,7 +185,7 @@ def nearest_neighbours(table: DataFrame, id_col: str = "vec_id", vec_col: str =
     dim = max(sizes, key=lambda d: (sizes[d], -d))
     vectors = staged(usable.where(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     index = fit_index(vectors, sizes[dim], dim)
-    probes = min(len(index.centres), max(LEAST_PROBES, round(PROBE_SHARE * len(index.centres))))
+    probes = min(len(index.centres), index.probes)
     coded = staged(vectors.mapInArrow(_encode(index, dim), "vec_id long, list int, code binary"), "codes")
     # blocks of bounded size: a list of n rows is cut by a hash of the id into so many that none has much more than BLOCK_ROWS
     blocks = coded.groupBy(F.col("list").alias("_list")).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))

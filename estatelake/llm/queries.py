@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import jaccard, linededup, media, mixing, pieces, quality, secrets, tokenfiles
+from estatelake.llm import jaccard, linededup, media, mixing, neighbours, pages, pieces, quality, secrets, tokenfiles
 from estatelake.llm.common import documents
 
 
@@ -21,6 +21,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(documents(spark, sf_dir))
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_main_text(documents(spark, sf_dir, "pages"))
+
+
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_report(documents(spark, sf_dir))
 
@@ -47,12 +51,16 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(documents(spark, sf_dir, "embeddings"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op3_media_columns, op4_quality_classifier, op5_sentencepiece, op6_token_files, op7_line_dedup, op8_source_mix, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_html_main_text, op3_media_columns, op4_quality_classifier, op5_sentencepiece, op6_token_files, op7_line_dedup, op8_source_mix, op9_nearest_neighbours, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
