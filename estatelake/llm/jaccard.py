@@ -334,6 +334,13 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("set_id", "doc_id").alias("set_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """docs without near duplicates: of each class the document with the least id stays, once. Rows without an id stay."""
+    classes = jaccard_classes(docs.select(id_col, text_col), id_col, text_col, threshold, recall)
+    keep = staged(classes.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id"))).select(F.col("doc_id").alias("_keep")).distinct(), "kept-ids")
+    return docs.join(keep, docs[id_col].eqNullSafe(keep["_keep"]), "left_semi").dropDuplicates([id_col, text_col])
+
+
 #: The same by brute force in DuckDB's SQL, over the view documents.
 SQL = r"""
 WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

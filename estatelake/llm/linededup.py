@@ -19,7 +19,7 @@ occurrence of every line stays. Lines are compared without outer spaces; blank l
 Defined cases: null text stays null and has no lines; equal rows (same id and text) are one document
 and get one result each; rows of one id with different texts are different documents, in the order of
 their text's hash; lines of any number and length; an empty table gives an empty result; extra
-columns are kept by ``dedup_lines`` whatever their names.
+columns are kept by ``dedup_lines`` whatever their names, but for those that it adds itself, which it replaces.
 """
 
 from __future__ import annotations
@@ -112,7 +112,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     deleted = F.transform("gone", lambda s: F.element_at(full, s + 1))
     rest = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), deleted)
     kept = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.transform(rest, lambda i: F.element_at(parts, i + 1)), "\n"))
-    columns = [(kept if c == text_col else F.col(n)).alias(c) for c, n in names.items()]
+    columns = [(kept if c == text_col else F.col(n)).alias(c) for c, n in names.items() if c not in ("n_lines", "n_deleted")]
     return both.select(*columns, F.coalesce(F.size(full), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_deleted"))
 
 

@@ -132,24 +132,30 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     return model
 
 
-SCHEMA = "doc_id long, score double"
-
-
 def _score_task(model: CompressionModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "_text"):
                 score = model.score([t or "" for t in batch.column("_text").to_pylist()])
-                keep = [i for i, n in enumerate(batch.schema.names) if n != "_text"]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(score, pa.float64())], names=[*(batch.schema.names[i] for i in keep), "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*batch.schema.names, "_score"])
 
     return task
 
 
-def score_quality(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, score, predicted for each document, after the columns named in ``keep``."""
-    out = docs.select(*keep, docs[id_col].alias("doc_id") if "doc_id" not in keep else F.lit(0).alias("_"), docs[text_col].alias("_text"))
-    out = out.drop("_")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema if f.name != "_text") + ", score double"
-    scored = out.mapInArrow(_score_task(model), schema)
-    return scored.withColumns({"held_out": fold(F.col("doc_id")) == 0, "predicted": (F.col("score") >= THRESHOLD).cast("int")})
+def with_score(docs: DataFrame, model: CompressionModel, text_col: str = "text") -> DataFrame:
+    """docs with columns _c0, _c1, ... (those of docs in order, the text as _text) and _score."""
+    held = docs.select(*(docs[c].alias("_text" if c == text_col else f"_c{i}") for i, c in enumerate(docs.columns)))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema) + ", _score double"
+    return held.mapInArrow(_score_task(model), schema)
+
+
+def score_quality(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, score, predicted for each document."""
+    scored = with_score(docs.select(docs[id_col], docs[text_col]), model, text_col)
+    return scored.select(F.col("_c0").alias("doc_id"), (fold(F.col("_c0")) == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: CompressionModel, text_col: str = "text") -> DataFrame:
+    """The documents that the model does not reject, with their columns."""
+    scored = with_score(docs, model, text_col).where(F.col("_score") >= THRESHOLD)
+    return scored.select(*(F.col("_text" if c == text_col else f"_c{i}").alias(c) for i, c in enumerate(docs.columns)))

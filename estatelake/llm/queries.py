@@ -32,7 +32,7 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality.fit_quality(docs, documents(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
+    return quality.score_quality(docs, model)
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_deleted")
+    return linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
