@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.schema import PAGE_SIZE, RESULT_CAP
+from estatelake.sources.shared import staged
 
 
 def grid(regions: DataFrame, kinds: DataFrame) -> DataFrame:
@@ -21,41 +22,59 @@ def levels(priced: DataFrame, region: str, kind: str, cap: int) -> DataFrame:
     return both.withColumn("level", F.when(F.col("n_region") < cap, 1).when(F.col("n") < cap, 2).otherwise(3))
 
 
-def _halvings(price: Column, low: int, high: int, depth: int) -> Column:
-    """Array of the (depth, lo, hi) ranges that a price falls in, from halving [low, high] again and again."""
-    node = lambda d, lo, hi: F.struct(d.cast("int").alias("depth"), lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
-    start = F.array(node(F.lit(0), F.lit(low), F.lit(high)))
+#: Halvings of one phase: a phase counts the ranges at all its levels from the histogram of its last one.
+PHASE = 12
 
-    def step(nodes: Column, d: Column) -> Column:
-        last = F.element_at(nodes, -1)
-        mid = F.floor((last["lo"] + last["hi"]) / 2)
-        done = (last["lo"] >= last["hi"]) | (mid == last["lo"]) | (last["depth"] < d - 1)
-        below = price <= mid
-        child = node(d, F.when(below, last["lo"]).otherwise(mid + 1), F.when(below, mid).otherwise(last["hi"]))
-        return F.when(done, nodes).otherwise(F.concat(nodes, F.array(child)))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, step)
+def _node(lo: Column, hi: Column) -> Column:
+    return F.struct(lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
+
+
+def _half(node: Column, price: Column) -> Column:
+    """The half of a range that a price is in; a range that cannot be halved stays."""
+    mid = F.floor((node["lo"] + node["hi"]) / 2)
+    below = price <= mid
+    whole = (node["lo"] >= node["hi"]) | (mid == node["lo"])
+    return F.when(whole, node).otherwise(_node(F.when(below, node["lo"]).otherwise(mid + 1), F.when(below, mid).otherwise(node["hi"])))
+
+
+def _bottom(price: Column, top: Column, levels: int) -> Column:
+    return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), top, lambda node, _: _half(node, price))
+
+
+def _path(bottom: Column, top: Column, levels: int) -> Column:
+    """The ranges from just below top to bottom, each once."""
+    grown = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.array(top), lambda nodes, _: F.concat(nodes, F.array(_half(F.element_at(nodes, -1), bottom["lo"]))))
+    return F.array_distinct(F.slice(grown, 2, levels))
 
 
 def price_buckets(priced: DataFrame, units: list[str], low: int, high: int, cap: int) -> DataFrame:
     """units, lo, hi, n: ranges under the cap, or as far as halving goes; rows without a price are bucket null..null.
 
-    A histogram by price first: everything after it depends on distinct prices, not on rows.
+    A histogram by price comes first: nothing after it depends on rows. A phase brings prices down PHASE
+    halvings at once, sums by the range reached, and counts the levels between from these sums; only
+    prices of ranges that are still at the cap go into the next phase.
     """
-    depth = max(1, (high - low + 1).bit_length())
-    hist = priced.groupBy(*units, "price").agg(F.count(F.lit(1)).alias("c"))
-    inside = hist.where((F.col("price") >= low) & (F.col("price") <= high))
-    nodes = inside.select(*units, "price", "c", F.explode(_halvings(F.col("price"), low, high, depth)).alias("node")).where("node.depth >= 1")
-    sized = nodes.groupBy(*units, "node").agg(F.sum("c").alias("n"))
-    # a range stands if it is under the cap and its parent, which has the bounds one step up, is not
-    capped = sized.withColumn("ok", F.col("n") < cap)
-    per_price = inside.select(*units, "price", F.explode(_halvings(F.col("price"), low, high, depth)).alias("node")).where("node.depth >= 1")
-    placed = per_price.join(capped, [*units, "node"]).groupBy(*units, "price").agg(
-        F.coalesce(F.min(F.when(F.col("ok"), F.struct("node.depth", "node.lo", "node.hi", "n"))), F.max(F.struct("node.depth", "node.lo", "node.hi", "n"))).alias("b")
-    )
-    ranges = placed.select(*units, "b.lo", "b.hi", "b.n").distinct()
-    unpriced = hist.where("price IS NULL").select(*units, F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.col("c").alias("n"))
-    return ranges.unionByName(unpriced)
+    levels = max(1, (high - low + 1).bit_length())
+    hist = staged(priced.groupBy(*units, "price").agg(F.count(F.lit(1)).alias("c")), "price-histogram")
+    rows = hist.where((F.col("price") >= low) & (F.col("price") <= high)).withColumn("top", _node(F.lit(low), F.lit(high)))
+    out = hist.where("price IS NULL").select(*units, F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.col("c").alias("n"))
+    for done in range(0, levels, PHASE):
+        step = min(PHASE, levels - done)
+        rows = rows.withColumn("bottom", _bottom(F.col("price"), F.col("top"), step))
+        sums = rows.groupBy(*units, "top", "bottom").agg(F.sum("c").alias("c"))
+        nodes = staged(sums, "range-sums").select(*units, "bottom", "c", F.posexplode(_path(F.col("bottom"), F.col("top"), step)).alias("depth", "node"))
+        sized = nodes.groupBy(*units, "node").agg(F.sum("c").alias("n"))
+        best = F.min(F.when(F.col("n") < cap, F.struct("depth", "node", "n"))).alias("ok"), F.max(F.struct("depth", "node", "n")).alias("last")
+        reached = staged(nodes.join(sized, [*units, "node"]).groupBy(*units, "bottom").agg(*best), "ranges")
+        last_phase = done + step >= levels
+        whole = (F.col("bottom.lo") >= F.col("bottom.hi")) | (F.floor((F.col("bottom.lo") + F.col("bottom.hi")) / 2) == F.col("bottom.lo")) | F.lit(last_phase)
+        found = F.coalesce("ok", F.when(whole, F.col("last")))
+        out = out.unionByName(reached.withColumn("b", found).where("b IS NOT NULL").select(*units, "b.node.lo", "b.node.hi", "b.n").distinct())
+        if not last_phase:
+            open_ = reached.where(found.isNull()).select(*units, "bottom")
+            rows = rows.join(open_, [*units, "bottom"], "left_semi").select(*units, "price", "c", F.col("bottom").alias("top"))
+    return out
 
 
 def bucket_pages(buckets: DataFrame, n: str = "n") -> DataFrame:

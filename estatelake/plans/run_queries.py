@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -12,6 +10,7 @@ from estatelake.operators import pages, runlog, runstate, staging
 from estatelake.plans.listing_queries import scan_rows
 from estatelake.plans.registry import Tables, query
 from estatelake.sources import tables
+from estatelake.sources.shared import stage_path
 from estatelake.streaming import streams
 
 # -- pages ----------------------------------------------------------------------------------------
@@ -182,13 +181,8 @@ query("incremental_run_summary", f"SELECT user_id % 10 AS log, coalesce(sum(new)
 
 
 def _folder(t: Tables, name: str) -> str:
-    """A new folder for what a query writes: below the session's shared folder, or a fresh local one in local mode."""
-    shared = t.spark.conf.get("spark.checkpoint.dir", None) or t.spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared and not t.spark.sparkContext.master.startswith("local["):
-        shared = t.spark.conf.get("spark.sql.warehouse.dir")
-    import uuid
-
-    return f"{shared or tempfile.mkdtemp(prefix='spark-')}/{name}-{uuid.uuid4().hex}"
+    """A new folder for what a query writes."""
+    return stage_path(t.spark, name)
 
 
 def _rows(t: Tables) -> DataFrame:
