@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -13,44 +12,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-_own_dir: list[str] = []
+from estatelake.sources.shared import shared_dir, stage_path, staged
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
-
-    Only where that is unset is another one chosen: the warehouse on a cluster, a fresh
-    temporary folder in local mode (tests).
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
-    if not _own_dir:
-        _own_dir.append(tempfile.mkdtemp(prefix="spark-"))
-    return _own_dir[0]
-
-
-def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the lineage, so that a lost
-    executor costs tasks of one step and nothing is computed twice."""
-    path = stage_path(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["Remembered", "documents", "drop_staged", "shared_dir", "ship", "slices", "stage_path", "staged"]
 
 
 def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete tables of staged() that no later step reads, to give their disk back."""
     for t in tables:
         for f in {x.rsplit("/", 1)[0] for x in t.inputFiles()}:
-            if f.startswith(("file:", "/")) or "://" in f:
-                path = spark._jvm.org.apache.hadoop.fs.Path(f)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:
