@@ -7,10 +7,9 @@ indexed: its nearest centroid and one code byte for each slice.
 Queries go to their best lists, as many as the sample says the recall needs. A list is cut into blocks of at most ``BLOCK_ROWS`` vectors, so
 that a list with a third of all vectors is many tasks. In a block all queries that probe the list
 are answered at once: one table of inner products of query slices with codewords for each query, summed
-over codes by lookup, plus the product with the centroid. Each block gives a query its best
-``KEEP`` candidates; the best ``RERANK`` over all blocks are scored exactly, in double precision, on the
-original vectors. Identical vectors have identical codes, so that ties are cut by smaller id
-everywhere.
+over codes by lookup, plus the product with the centroid. Rows that may be among the block's best by
+these products and the codes' known error, however many, are reranked exactly in double precision on the original
+vectors, and the block gives each query its best ones; ties are cut by smaller id everywhere.
 
 Nearness is the inner product. Defined cases: vectors that are null, empty, zero, of another length
 than most, or that hold null or non-finite components take no part; fewer candidates than asked for give
@@ -38,7 +37,7 @@ LEAST_LISTS, MOST_LISTS = 8, 4096
 PARTS, CODEWORDS = 32, 256
 #: Probes are set so that on the sample (up to TUNE_QUERIES of it ask for their nearest) this share of neighbours is in a probed list.
 TUNED_RECALL, TUNE_QUERIES, LEAST_PROBES = 0.985, 400, 4
-BLOCK_ROWS, KEEP, RERANK = 4096, 100, 200
+BLOCK_ROWS = 4096
 QUERY_EVERY, NEAREST = 20, 20
 
 
@@ -74,6 +73,8 @@ class Index:
     books: list[np.ndarray]
     cuts: list[int]
     probes: int = 1
+    #: Nearly all of the sample lie nearer than this to what their codes stand for.
+    error: float = 0.0
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         which = nearest(x, self.centres)
@@ -99,14 +100,21 @@ def fit_index(vectors: DataFrame, rows: int, dim: int) -> Index:
     parts = min(PARTS, dim)
     cuts = [round(i * dim / parts) for i in range(parts + 1)]
     books = [kmeans(rest[:, a:b], CODEWORDS, 2 + i) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
-    return Index(centres, books, cuts, tuned_probes(x, centres))
+    # once over the sample's distinct vectors and once over its rows, of which a repeated vector may be many
+    index = Index(centres, books, cuts, max(tuned_probes(some, centres) for some in (_once(x), x)))
+    which, codes = index.encode(x)
+    told = centres[which] + np.concatenate([book[codes[:, p]] for p, book in enumerate(books)], axis=1)
+    index.error = float(np.quantile(np.linalg.norm(x - told, axis=1), 0.99)) if len(x) else 0.0
+    return index
+
+
+def _once(x: np.ndarray) -> np.ndarray:
+    return x[np.sort(np.unique(x, axis=0, return_index=True)[1])]
 
 
 def tuned_probes(x: np.ndarray, centres: np.ndarray) -> int:
     """How many lists a query must probe. Nearest neighbours in the whole table are nearer than those in the
     sample, so that the sample's share is a cautious one."""
-    _, once = np.unique(x, axis=0, return_index=True)  # a vector that many rows repeat asks once and is found once
-    x = x[np.sort(once)]
     which, queries = nearest(x, centres), x[:TUNE_QUERIES]
     products = queries @ x.T
     products[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
@@ -152,7 +160,7 @@ def _probe(index: Index, dim: int, probes: int) -> Callable[[Iterator[pa.RecordB
     return task
 
 
-def _search(index: Index, dim: int, keep: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _search(index: Index, dim: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in groups_of(batches, ["list", "block"]):
             is_query = g.column("is_query").to_numpy()
@@ -160,17 +168,27 @@ def _search(index: Index, dim: int, keep: int) -> Callable[[Iterator[pa.RecordBa
             if not queries.num_rows or not rows.num_rows:
                 continue
             ids, order = np.unique(rows.column("id").to_numpy(), return_index=True)  # in id order, so that ties are cut by id
-            codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(len(is_query) - int(is_query.sum()), -1)[order]
+            codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(rows.num_rows, -1)[order]
+            columns = np.ascontiguousarray(_matrix(rows.column("v"), dim)[order].T)
             qid, q = queries.column("id").to_numpy(), _matrix(queries.column("v"), dim)
             which = int(g.column("list")[0].as_py())
             for a in range(0, len(q), 256):
-                scores = index.scores(q[a : a + 256], which, codes)
-                scores[qid[a : a + 256, None] == ids[None, :]] = -np.inf
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :keep]
-                row = np.repeat(np.arange(len(best)), best.shape[1])
-                value = scores[row, best.reshape(-1)]
-                ok = value > -np.inf
-                yield pa.RecordBatch.from_arrays([pa.array(qid[a : a + 256][row][ok]), pa.array(ids[best.reshape(-1)][ok]), pa.array(value[ok])], names=["query_id", "vec_id", "near"])
+                told = index.scores(q[a : a + 256], which, codes)
+                told[qid[a : a + 256, None] == ids[None, :]] = -np.inf
+                kth = np.partition(told, max(0, told.shape[1] - k), axis=1)[:, max(0, told.shape[1] - k)]
+                # by how much codes misjudge a product: that of the error's length along the query, three deviations both ways
+                slack = 6 * index.error * np.linalg.norm(q[a : a + 256], axis=1) / dim**0.5
+                out_q, out_v, out_s = [], [], []
+                for i, floor in enumerate(kth - slack):
+                    near = np.flatnonzero((told[i] >= floor) & (told[i] > -np.inf))
+                    exact = np.zeros(len(near))
+                    for d, weight in enumerate(q[a + i]):
+                        exact += weight * columns[d, near]
+                    best = np.argsort(-exact, kind="stable")[:k]
+                    out_q.append(np.full(len(best), qid[a + i]))
+                    out_v.append(ids[near[best]])
+                    out_s.append(exact[best])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s)], names=["query_id", "vec_id", "score"])
 
     return task
 
@@ -189,19 +207,13 @@ def nearest_neighbours(table: DataFrame, id_col: str = "vec_id", vec_col: str =
     coded = staged(vectors.mapInArrow(_encode(index, dim), "vec_id long, list int, code binary"), "codes")
     # blocks of bounded size: a list of n rows is cut by a hash of the id into so many that none has much more than BLOCK_ROWS
     blocks = coded.groupBy(F.col("list").alias("_list")).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    placed = coded.join(F.broadcast(blocks), F.col("list") == F.col("_list"))  # a row for each list, 4096 at most
-    rows = placed.select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("is_query"), F.col("vec_id").alias("id"), "code", F.lit(None).cast("array<double>").alias("v"))
+    placed = coded.join(F.broadcast(blocks), F.col("list") == F.col("_list")).join(vectors, "vec_id")  # blocks: a row for each list, 4096 at most
+    rows = placed.select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("is_query"), F.col("vec_id").alias("id"), "code", "v")
     asked = vectors.where(F.col("vec_id") % every == 0).mapInArrow(_probe(index, dim, probes), "list int, query_id long, v array<double>")
     asked = asked.join(F.broadcast(blocks), F.col("list") == F.col("_list")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     queries = asked.select("list", "block", F.lit(True).alias("is_query"), F.col("query_id").alias("id"), F.lit(None).cast("binary").alias("code"), "v")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = rows.unionByName(queries).repartition(n, "list", "block").sortWithinPartitions("list", "block")
-    found = met.mapInArrow(_search(index, dim, KEEP), "query_id long, vec_id long, near double")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("near"), "vec_id"))
-    best = found.withColumn("r", rank).where(F.col("r") <= RERANK).select("query_id", "vec_id")
-    # exact scores on the original vectors
-    exact = best.join(vectors, "vec_id").withColumnRenamed("v", "x").join(vectors.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
-    product = F.aggregate(F.zip_with("q", "x", lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
-    scored = exact.select("query_id", "vec_id", product.alias("score"))
-    final = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scored.withColumn("rank", final.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = met.mapInArrow(_search(index, dim, k), "query_id long, vec_id long, score double")
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
