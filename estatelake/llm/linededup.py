@@ -95,8 +95,12 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _covered(copies: DataFrame) -> DataFrame:
     """doc, dk, gone: the non-blank lines (by seq) of each document that a later copy covers."""
-    lines = copies.select("doc", "dk", F.explode(F.sequence(F.col("seq"), F.col("seq") + F.col("len") - 1)).alias("seq"))
-    return lines.groupBy("doc", "dk").agg(F.sort_array(F.collect_set("seq")).alias("gone"))
+    best = copies.groupBy("doc", "dk", "seq").agg((F.col("seq") + F.max("len")).alias("end"))
+    # what an earlier copy of the document covers is left out, so that every line comes once
+    before = F.max("end").over(W.partitionBy("doc", "dk").orderBy("seq").rowsBetween(W.unboundedPreceding, -1))
+    fresh = best.withColumn("start", F.greatest("seq", F.coalesce(before, "seq"))).where("start < end")
+    lines = fresh.select("doc", "dk", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("seq"))
+    return lines.groupBy("doc", "dk").agg(F.sort_array(F.collect_list("seq")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
