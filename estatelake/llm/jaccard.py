@@ -336,9 +336,13 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """docs without near duplicates: of each class the document with the least id stays, once. Rows without an id stay."""
-    classes = jaccard_classes(docs.select(id_col, text_col), id_col, text_col, threshold, recall)
-    keep = staged(classes.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("class_id"))).select(F.col("doc_id").alias("_keep")).distinct(), "kept-ids")
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_keep"]), "left_semi").dropDuplicates([id_col, text_col])
+    classes = staged(jaccard_classes(docs.select(id_col, text_col), id_col, text_col, threshold, recall).select("doc_id", "class_id"), "classes")
+    copies = staged(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_copy")).distinct(), "copies")
+    few = copies.count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(copies) if few else copies, docs[id_col] == F.col("_copy"), "left_anti")
+    # only a table with repeated ids needs its texts dealt out to fold equal rows
+    repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col])
 
 
 #: The same by brute force in DuckDB's SQL, over the view documents.
