@@ -12,7 +12,7 @@ import numpy as np
 WIDTH = 5
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Texts are hashed in pieces of about so many bytes, cut between words.
-PIECE = 4 << 20
+PIECE = 1 << 20
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
 _powers: dict[str, np.ndarray] = {}
