@@ -12,7 +12,7 @@ Steps: tokenise once into a staged table; count ids in each task, then sum by id
 by doc_id; encode and write the shards. What is gathered on the driver is bounded by the
 vocabulary (the rank table) and by the number of shards (their sizes).
 
-Defined cases: null counts as empty, and an empty text is one end id; repeated doc_ids stay as
+Defined cases: null counts as empty, and an empty text is one end id; a null id is written as -1; repeated doc_ids stay as
 they are, in any order among themselves that the sort gives by content; a document of any length
 is one block; an empty table gives an empty result; extra columns are ignored.
 """
@@ -183,7 +183,7 @@ def _tokenise(path: str, end_id: int, width: type) -> Callable[[Iterator[pa.Reco
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], width).tobytes()
         for whole in batches:
-            for batch in slices(whole, "text", 12 << 20):
+            for batch in slices(whole, "text", 6 << 20):
                 ids = encoder(path).encode([t or "" for t in batch.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.astype(width).tobytes() + end for x in ids], pa.binary())], names=["doc_id", "ids"])
 
@@ -277,7 +277,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (tokens.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
      .mapInArrow(_write_blocks(rank, width), BLOCKS)
-     .write.option("compression", "none").parquet(f"{path}/blocks"))
+     .write.option("compression", "zstd").parquet(f"{path}/blocks"))
     drop_staged(spark, tokens)
     return path
 
