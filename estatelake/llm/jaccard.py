@@ -266,10 +266,12 @@ def _compare_sets(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iter
 # -- the job --------------------------------------------------------------------------------------
 
 
-def _buckets(paths: DataFrame) -> DataFrame:
-    """path, m (sets in it) of buckets with two sets or more; of buckets with the same sets one stays."""
+def _buckets(paths: DataFrame, last: bool) -> DataFrame:
+    """path, m (sets in it) of buckets with two sets or more; of leaves with the same sets one stays. Buckets that are still to
+    be split all stay, whatever they hold: each path draws anew, and the runs count as independent tries."""
     counted = paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("rid")).alias("sig")).where("m > 1")
-    return counted.groupBy("m", "sig").agg(F.min("path").alias("path")).select(F.col("path").alias("_path"), "m")
+    split = F.lit(None).cast("long") if last else F.when(F.col("m") > SMALL, F.col("path"))
+    return counted.groupBy("m", "sig", split.alias("_split")).agg(F.min("path").alias("path")).select(F.col("path").alias("_path"), "m")
 
 
 def _in_block_pairs(rows: DataFrame, count: str, block: int) -> DataFrame:
@@ -292,9 +294,9 @@ def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float
     level = staged(sketches.mapInArrow(_first_paths(runs_for(recall), positions, threshold), "rid long, path long"), "paths")
     leaves: list[DataFrame] = []
     for depth in range(1, MAX_DEPTH + 1):
-        live = staged(level.join(_buckets(level), F.col("path") == F.col("_path")).drop("_path"), "live-paths")
-        drop_staged(spark, level)
         last = depth == MAX_DEPTH
+        live = staged(level.join(_buckets(level, last), F.col("path") == F.col("_path")).drop("_path"), "live-paths")
+        drop_staged(spark, level)
         leaves.append(live if last else live.where(F.col("m") <= SMALL))
         if last:
             break

@@ -70,6 +70,20 @@ def test_blocks_and_deep_buckets_lose_nothing(spark, monkeypatch):
     assert {(r.class_id, r.n_links) for r in jaccard.jaccard_classes(df).collect()} == {(0, 39)}
 
 
+def test_many_near_copies_of_long_texts_at_the_real_bounds(spark):
+    rows = []
+    for seed in (2, 3, 7):  # texts for which one try by the whole group finds no path to the end
+        rng = random.Random(seed)
+        words = [f"w{rng.randrange(50_000)}" for _ in range(10_000)]
+        for i in range(70):
+            copy = list(words)
+            copy[rng.randrange(len(copy))] = f"x{i}"
+            rows.append((len(rows), " ".join(copy)))
+    assert jaccard.SMALL < 70
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {(r.doc_id // 70, r.class_id, r.n_links) for r in jaccard.jaccard_classes(df).collect()} == {(g, 70 * g, 69) for g in range(3)}
+
+
 def test_one_of_each_keeps_columns_and_repeated_rows_once(spark):
     docs = documents(spark)
     kept = jaccard.one_of_each(docs)
