@@ -13,9 +13,9 @@ text is the data of the article slot, if the page has one, else of all remaining
 At scale: an occurrence vector is never gathered. Each page sends (token, count) once, and the vector
 is stood for by the number of pages and two exclusive-or sums of hashes of (page, count), which
 pre-aggregate; a host with a third of all pages costs no task more than its share. Only tokens on
-half of the pages come back, at most ``TEMPLATE_TOKENS`` a host by support; whether a class is in one
-order everywhere is checked page by page and pre-aggregated, too. The bounded template is joined with the
-pages by host, as a broadcast only if a count shows few hosts.
+half of the pages come back, which for a host are no more than twice the distinct tokens of its mean page; whether a class is
+in one order everywhere is checked page by page and pre-aggregated, too. The template is joined with the
+pages by host, as a broadcast only if a count shows few tokens in all.
 
 Defined cases: null html is empty text; a host with fewer than ``LEAST_PAGES`` pages has no template and
 falls back to elements alone; truncated or unbalanced markup is read as far as it goes; repeated
@@ -31,15 +31,13 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.llm.common import drop_staged, slices, staged
 
 #: A template token stands on at least this share of the host's pages, of which there are so many at least.
 SUPPORT, LEAST_PAGES, LEAST_TOKENS = 0.5, 5, 3
-#: Bound on a host's template, kept by support; words beyond it count as data.
-TEMPLATE_TOKENS = 2000
 
 # Fixed values of HTML: elements without content, of raw text, that stand inside a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -236,9 +234,9 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(classes, pa.int64()), pa.array(orders, pa.int64())], names=["host", "class", "order"])
 
 
-def _join_hosts(pages: DataFrame, by_host: DataFrame, how: str) -> DataFrame:
+def _join_hosts(pages: DataFrame, by_host: DataFrame, size: Column, how: str) -> DataFrame:
     right = by_host.withColumnRenamed("host", "_host")
-    few = by_host.count() <= BROADCAST_HOSTS
+    few = (by_host.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_TOKENS
     return pages.join(F.broadcast(right) if few else right, F.col("host") == F.col("_host"), how).drop("_host")
 
 
@@ -254,12 +252,10 @@ def deduce_templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     ).where(F.col("on") >= LEAST_PAGES)
     frequent = vectors.join(totals, F.col("host") == F.col("_host")).where(F.col("on") >= support * F.col("pages"))
     classes = frequent.groupBy("host", "on", "v1", "v2").agg(F.sort_array(F.collect_list("token")).alias("members")).where(F.size("members") >= LEAST_TOKENS)
-    by_host = classes.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("on", F.col("v1").alias("class"), F.col("members").alias("tokens"))), asc=False).alias("c"))
-    # a host's template is bounded: classes by support, as long as their tokens fit
-    fits = F.aggregate("c", F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<class:bigint,tokens:array<bigint>>>").alias("kept")), lambda a, x: F.struct((a["n"] + F.size(x["tokens"])).alias("n"), F.when(a["n"] + F.size(x["tokens"]) <= TEMPLATE_TOKENS, F.concat(a["kept"], F.array(F.struct(x["class"].alias("class"), x["tokens"].alias("tokens"))))).otherwise(a["kept"]).alias("kept")))
-    candidates = staged(by_host.select("host", fits["kept"].alias("classes")), "token-classes")
+    by_host = classes.groupBy("host").agg(F.collect_list(F.struct(F.col("v1").alias("class"), F.col("members").alias("tokens"))).alias("classes"))
+    candidates = staged(by_host, "token-classes")
     # valid: on every page the tokens of the class come in the same order
-    orders = _join_hosts(tokens.select("host", "tokens"), candidates, "inner").mapInArrow(_orders, "host string, class long, order long")
+    orders = _join_hosts(tokens.select("host", "tokens"), candidates, F.size(F.flatten("classes.tokens")), "inner").mapInArrow(_orders, "host string, class long, order long")
     valid = orders.groupBy("host", "class").agg(F.min("order").alias("a"), F.max("order").alias("b")).where("a = b").groupBy(F.col("host").alias("_host")).agg(F.collect_set("class").alias("valid"))
     kept = candidates.join(valid, F.col("host") == F.col("_host")).select("host", F.flatten(F.transform(F.filter("classes", lambda c: F.array_contains("valid", c["class"])), lambda c: c["tokens"])).alias("template"))
     templates = staged(kept, "templates")
@@ -284,11 +280,11 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
-#: Templates of up to so many hosts are sent to all tasks; more are joined by a shuffle on the host.
-BROADCAST_HOSTS = 500
+#: Templates of up to so many tokens in all (8 MB) are sent to all tasks; more are joined by a shuffle on the host.
+BROADCAST_TOKENS = 1_000_000
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: the main text of each page."""
-    joined = _join_hosts(_with_host(pages), deduce_templates(pages), "left")
+    joined = _join_hosts(_with_host(pages), deduce_templates(pages), F.size("template"), "left")
     return joined.select("page_id", "url", "host", "html", "template").mapInArrow(_extract, RESULT)

@@ -186,6 +186,15 @@ def test_pages_by_template(spark):
     assert got[23].text == "A B"
 
 
+def test_templates_of_any_length(spark, monkeypatch):
+    menu = "<div class=list>" + "".join(f"<p>entry{i}</p>" for i in range(2500)) + "</div>"
+    rows = [(i, "http://h.example/x", f"<html><body>{menu}<div><p>own{i} text{i}</p></div></body></html>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for bound in (pages.BROADCAST_TOKENS, 0):  # as a broadcast and by a shuffle
+        monkeypatch.setattr(pages, "BROADCAST_TOKENS", bound)
+        assert {r.page_id: r.text for r in pages.extract_main_text(df).collect()} == {i: f"own{i} text{i}" for i in range(6)}
+
+
 def test_neighbours_recall_and_cases(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(1500, 16)).round(3)
