@@ -3,12 +3,12 @@
 Pages of one host share a template. A page is read as a sequence of tokens: tags and words, each
 with the path of open blocks it stands in (two occurrences of a tag in different places are different
 tokens). Tokens whose occurrence vectors over the host's pages are equal form an equivalence class;
-a class that is large, frequent and in one order on every page is valid, and classes nest by the
+a class that is large, frequent and in one order on every page (words: by path) is valid, and classes nest by the
 path of their first token. The valid classes are the template; what stands between their tokens are
-slots. A slot whose words are themselves template (the same words on the pages of the host) is boilerplate;
+slots. A slot whose text or words are themselves template (the same on the pages of the host) is boilerplate;
 the remaining slots hold data, and those that are page furniture by element or class name (menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left out. The main
-text is the data of the article slot, if the page has one, else of all remaining slots.
+headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left out. Words and whole texts of slots
+count inside the article as outside of it. The main text is the data of the article's slots, if it has any, else of all remaining slots.
 
 At scale: an occurrence vector is never gathered. Each page sends (token, count) once, and the vector
 is stood for by the number of pages and two exclusive-or sums of hashes of (page, count), which
@@ -19,7 +19,7 @@ pages by host, as a broadcast only if a count shows few tokens in all.
 
 Defined cases: null html is empty text; a host with fewer than ``LEAST_PAGES`` pages has no template and
 falls back to elements alone; truncated or unbalanced markup is read as far as it goes; repeated
-pages count as pages; an empty table gives an empty result; extra columns are ignored.
+pages count as pages, and an article of nothing but template stays; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -171,25 +171,43 @@ def read_page(page: str) -> tuple[list[str], list[Block]]:
     return tokens, blocks
 
 
-def page_tokens(page: str) -> Counter[str]:
-    """Tokens of a page with their numbers: tags by path, words by slot."""
-    tokens, blocks = read_page(page)
-    out = Counter(tokens)
+def slot_words(blocks: list[Block]) -> dict[int, tuple[str, list[str]]]:
+    """Slot -> its path and its words, across line breaks, without furniture inside it."""
+    out: dict[int, tuple[str, list[str]]] = {}
     for b in blocks:
-        if not b.article:  # words of the article are data
-            out.update(f"{b.path} {w}" for w in b.words())
+        if not b.furniture and (w := b.words()):
+            out.setdefault(b.slot, (b.path, []))[1].extend(w)
     return out
 
 
+def slot_token(path: str, words: list[str]) -> str:
+    return f"{path}\n{' '.join(words)}"
+
+
+def page_tokens(page: str) -> tuple[Counter[str], dict[str, str]]:
+    """Tokens of a page with their numbers: tags by path, words by slot, and each slot's whole text, in the article and outside;
+    and for words and texts the part of a class in which they must keep one order."""
+    tokens, blocks = read_page(page)
+    out, parts = Counter(tokens), {}
+    for b in blocks:
+        words = [f"{b.path} {w}" for w in b.words()]
+        out.update(words)
+        parts.update(dict.fromkeys(words, f"{b.path} "))
+    texts = [slot_token(*x) for x in slot_words(blocks).values()]
+    out.update(texts)
+    parts.update(zip(texts, texts, strict=True))
+    return out, parts
+
+
 def main_text(page: str, template: frozenset[int]) -> str:
-    """Data of the article's slots, or of all slots that are neither furniture nor template."""
+    """Data of the article's slots, or of all slots that are neither furniture nor template. An article that is nothing but
+    template, as on a host of copies, stays."""
     _, blocks = read_page(page)
-    blocks = [(b, w) for b in blocks if not b.furniture and (w := b.words())]
-    chosen = [w for b, w in blocks if b.article]
-    if not chosen:
-        data = {b.slot for b, w in blocks if not template or any(token_hash(f"{b.path} {x}") not in template for x in w)}
-        chosen = [w for b, w in blocks if b.slot in data]
-    return " ".join(" ".join(w) for w in chosen)
+    slots = slot_words(blocks)
+    data = {k for k, (path, w) in slots.items() if not template or (token_hash(slot_token(path, w)) not in template and any(token_hash(f"{path} {x}") not in template for x in w))}
+    kept = [b for b in blocks if not b.furniture and b.words()]
+    chosen = [b for b in kept if b.slot in data and b.article] or [b for b in kept if b.slot in data] or [b for b in kept if b.article]
+    return " ".join(" ".join(b.words()) for b in chosen)
 
 
 # -- the Spark jobs -------------------------------------------------------------------------------
@@ -200,16 +218,17 @@ def token_hash(token: str) -> int:
     return xxhash.xxh64_intdigest(token) - (1 << 63)
 
 
-PAGE_TOKENS = "page_id long, host string, tokens array<long>, counts array<int>"
+PAGE_TOKENS = "page_id long, host string, tokens array<long>, counts array<int>, parts array<long>"
 
 
 def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "html", 1 << 20):
             found = [page_tokens(page or "") for page in batch.column("html").to_pylist()]
-            tokens = pa.array([[token_hash(t) for t in f] for f in found], pa.list_(pa.int64()))
-            counts = pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), tokens, counts], names=["page_id", "host", "tokens", "counts"])
+            tokens = pa.array([[token_hash(t) for t in f] for f, _ in found], pa.list_(pa.int64()))
+            counts = pa.array([list(f.values()) for f, _ in found], pa.list_(pa.int32()))
+            parts = pa.array([[token_hash(part.get(t, "")) for t in f] for f, part in found], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), tokens, counts, parts], names=["page_id", "host", "tokens", "counts", "parts"])
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
@@ -245,14 +264,16 @@ def deduce_templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     spark = pages.sparkSession
     tokens = staged(_with_host(pages).select("page_id", "host", "html").mapInArrow(_page_tokens, PAGE_TOKENS), "page-tokens")
     totals = tokens.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES)
-    rows = tokens.select("page_id", "host", F.explode(F.arrays_zip("tokens", "counts")).alias("x")).select("page_id", "host", F.col("x.tokens").alias("token"), F.col("x.counts").alias("n"))
+    rows = tokens.select("page_id", "host", F.explode(F.arrays_zip("tokens", "counts", "parts")).alias("x")).select("page_id", "host", F.col("x.tokens").alias("token"), F.col("x.counts").alias("n"), F.col("x.parts").alias("part"))
     # an occurrence vector is stood for by its support and two hashes over (page, count)
     vectors = rows.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("on"), F.bit_xor(F.xxhash64("page_id", "n")).alias("v1"), F.bit_xor(F.xxhash64(F.lit(1), "page_id", "n")).alias("v2")
+        F.count(F.lit(1)).alias("on"), F.bit_xor(F.xxhash64("page_id", "n")).alias("v1"), F.bit_xor(F.xxhash64(F.lit(1), "page_id", "n")).alias("v2"), F.min("part").alias("part")
     ).where(F.col("on") >= LEAST_PAGES)
     frequent = vectors.join(totals, F.col("host") == F.col("_host")).where(F.col("on") >= support * F.col("pages"))
-    classes = frequent.groupBy("host", "on", "v1", "v2").agg(F.sort_array(F.collect_list("token")).alias("members")).where(F.size("members") >= LEAST_TOKENS)
-    by_host = classes.groupBy("host").agg(F.collect_list(F.struct(F.col("v1").alias("class"), F.col("members").alias("tokens"))).alias("classes"))
+    classes = frequent.groupBy("host", "on", "v1", "v2").agg(F.collect_list(F.struct("part", "token")).alias("members")).where(F.size("members") >= LEAST_TOKENS)
+    # an article's words that fall into a class by chance keep no order: they must not cost the class more than the words of their path
+    parts = classes.select("host", F.xxhash64("on", "v1", "v2").alias("v"), F.explode("members").alias("x")).groupBy("host", F.xxhash64("v", "x.part").alias("class")).agg(F.collect_list("x.token").alias("members"))
+    by_host = parts.groupBy("host").agg(F.collect_list(F.struct("class", F.col("members").alias("tokens"))).alias("classes"))
     candidates = staged(by_host, "token-classes")
     # valid: on every page the tokens of the class come in the same order
     orders = _join_hosts(tokens.select("host", "tokens"), candidates, F.size(F.flatten("classes.tokens")), "inner").mapInArrow(_orders, "host string, class long, order long")

@@ -186,6 +186,18 @@ def test_pages_by_template(spark):
     assert got[23].text == "A B"
 
 
+def test_template_inside_the_article(spark):
+    def page(i):
+        said = ["the story of one", "one story the of"][i % 2]  # words of all pages in no one order
+        return f"<html><body><nav>Menu</nav><article><h1>Title {i}</h1><div class=teaser>Always the same words here</div><p>{said} a{i} b{i}</p><p>Write to the editor of this story</p></article></body></html>"
+
+    rows = [(i, "http://h.example/x", page(i)) for i in range(8)] + [(10 + i, "http://copies.example/x", page(3)) for i in range(6)]
+    got = {r.page_id: r.text for r in pages.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[2] == "Title 2 the story of one a2 b2"
+    assert got[3] == "Title 3 one story the of a3 b3"
+    assert got[10] == "Title 3 Always the same words here one story the of a3 b3 Write to the editor of this story"
+
+
 def test_templates_of_any_length(spark, monkeypatch):
     menu = "<div class=list>" + "".join(f"<p>entry{i}</p>" for i in range(2500)) + "</div>"
     rows = [(i, "http://h.example/x", f"<html><body>{menu}<div><p>own{i} text{i}</p></div></body></html>") for i in range(6)]
