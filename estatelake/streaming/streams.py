@@ -47,6 +47,13 @@ REPORT = "log string, session long, region string, listings long, errors long, k
 STATE = "session long, region string, listings long, errors long, labels string"
 
 
+def _in_order(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """A log's events of a micro-batch by event_id. A group comes in several frames in shuffle order, so that they are put together
+    first, without the events that change no state."""
+    kept = [f.loc[f["kind"].isin(("region_start", "run_end")) | ((f["kind"] == "page_saved") & f["rows"].notna()) | f["label"].notna(), ["event_id", "kind", "region", "rows", "label"]] for f in frames]
+    return pd.concat([f for f in kept if len(f)] or kept[:1]).sort_values("event_id")
+
+
 def _region_state(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState, watch_idle: bool) -> Iterator[pd.DataFrame]:
     """Counters of the open region; a report when the next one starts or the run ends, a notice when the log falls silent."""
     session, region, listings, errors, labels = state.get if state.exists else (0, None, 0, 0, "")
@@ -55,17 +62,16 @@ def _region_state(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupS
         out.append((key[0], session, region, listings, errors, "idle"))
     else:
         seen = set(labels.split("\n")) - {""}
-        for frame in frames:
-            for kind, where, rows, label in frame.sort_values("event_id")[["kind", "region", "rows", "label"]].itertuples(index=False):
-                if kind in ("region_start", "run_end"):
-                    if session and region is not None:
-                        out.append((key[0], session, region, listings, len(seen), "report"))
-                    session, region = (session + 1, where) if kind == "region_start" else (session, None)
-                    listings, seen = 0, set()
-                elif kind == "page_saved" and pd.notna(rows):
-                    listings += int(rows)
-                if isinstance(label, str):
-                    seen.add(label)
+        for kind, where, rows, label in _in_order(frames)[["kind", "region", "rows", "label"]].itertuples(index=False):
+            if kind in ("region_start", "run_end"):
+                if session and region is not None:
+                    out.append((key[0], session, region, listings, len(seen), "report"))
+                session, region = (session + 1, where) if kind == "region_start" else (session, None)
+                listings, seen = 0, set()
+            elif kind == "page_saved" and pd.notna(rows):
+                listings += int(rows)
+            if isinstance(label, str):
+                seen.add(label)
         errors, labels = len(seen), "\n".join(sorted(seen))
         state.update((session, region, listings, errors, labels))
         if watch_idle:

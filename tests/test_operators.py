@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from estatelake.operators import planner, reconcile, runstate, staging
 from estatelake.sources import tables
+from estatelake.streaming import streams
 
 
 def test_first_and_last_win_in_any_order(spark):
@@ -66,6 +67,26 @@ def test_price_buckets_under_the_cap(spark):
     assert all(n == sum(p is not None and lo <= p <= hi for p in prices) for lo, hi, n in spans)
 
 
+def test_region_reports_over_several_frames(spark, tmp_path):
+    rows, want = [], []
+    for s in range(60):
+        rows.append(("a", 10 * s, "region_start", f"r{s}", None, None))
+        rows += [("a", 10 * s + k, "page_saved", None, k, f"e{k % 3}" if k % 2 else None) for k in range(1, 10)]
+        want.append(("a", s + 1, f"r{s}", 45, 3))
+    random.Random(4).shuffle(rows)
+    spark.createDataFrame(rows, "log string, event_id long, kind string, region string, rows long, label string").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{tmp_path}/in").schema).parquet(f"{tmp_path}/in")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        streams.region_reports(stream, watch_idle=False).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/at").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(name, before)
+    got = spark.read.parquet(f"{tmp_path}/out").select("log", "session", "region", "listings", "errors").collect()
+    assert sorted(map(tuple, got)) == want[:-1]
+
+
 def test_jsonl_rejects(spark):
     lines = spark.createDataFrame([('{"source_id":"1","listing":{"price":1}}',), ("",), ("{bad",), ("[1]",), ('{"source_id":" ","listing":{}}',), ('{"source_id":"2"}',)], "value string")
     good, bad = tables.read_jsonl(lines, "source_id string, listing struct<price:int>", "listing")
