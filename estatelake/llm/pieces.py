@@ -201,7 +201,7 @@ def piece_model(path: str) -> PieceModel:
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", check_every: int = 4, with_ids: bool = False) -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", check_every: int = 1, with_ids: bool = False) -> DataFrame:
     """One row for each document: number of ids, digests of the ids and of the text decoded from them;
     ``with_ids`` adds the ids themselves. No shuffle."""
     schema = SCHEMA + (", ids array<int>, decoded string" if with_ids else "")

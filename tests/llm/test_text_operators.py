@@ -6,6 +6,7 @@ import zlib
 from array import array
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -79,6 +80,17 @@ def test_pieces_query(spark):
         assert r.decoded_sha256 == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
 
 
+def test_every_text_is_checked_unless_asked_otherwise(spark, monkeypatch):
+    path, task, asked = tokenizer_file("piece_bpe_32k.model"), pieces._encode_task, []
+    monkeypatch.setattr(pieces, "_encode_task", lambda path, check_every, with_ids: asked.append(check_every) or task(path, check_every, with_ids))
+    pieces.encode_pieces(documents(spark), path)
+    right = pieces.PieceModel.encode
+    monkeypatch.setattr(pieces.PieceModel, "encode", lambda self, text: right(self, text) + (bytes(4) if text == "wrong" else b""))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [0, 1], "text": ["right", "wrong"]})
+    with pytest.raises(ValueError, match="document 1"):
+        list(task(path, asked[0], False)(iter([batch])))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(CHARS), max_size=25).map("".join))
 def test_pretokens_are_the_library(text):
