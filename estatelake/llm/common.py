@@ -17,9 +17,10 @@ from estatelake.sources.shared import shared_dir, stage_path, staged
 __all__ = ["Remembered", "documents", "drop_staged", "shared_dir", "ship", "slices", "stage_path", "staged"]
 
 
-def drop_staged(spark: SparkSession, *tables: DataFrame) -> None:
+def drop_staged(*tables: DataFrame) -> None:
     """Delete tables of staged() that no later step reads, to give their disk back."""
     for t in tables:
+        spark = t.sparkSession
         for f in {x.rsplit("/", 1)[0] for x in t.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(f)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,7 +1,10 @@
 """Connected components by alternating large-star and small-star steps, all in joins and aggregations.
 
 No neighbour lists are built: a step needs only the least neighbour of each node, which is
-pre-aggregated, and one join of the edges with it. Rounds are written to the shared folder.
+pre-aggregated, and one join of the edges with it. Rounds are written to the shared folder. They grow with the
+logarithm of the longest chain; if ``MAX_ROUNDS`` do not settle the labels the job fails and says so.
+
+Defined cases: an edge of a node with itself and a null end name no node; repeated edges count once; no edges give no rows.
 """
 
 from __future__ import annotations
@@ -36,9 +39,11 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
         large = staged(_star(now, large=True), "large-star")
         after = staged(_star(large, large=False), "small-star")
         state = after.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        drop_staged(spark, now, large)
+        drop_staged(now, large)
         now = after
         if state == seen:
             break
         seen = state
+    else:
+        raise RuntimeError(f"connected components have not settled after {MAX_ROUNDS} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -69,7 +69,7 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = staged(_named(lines, ["h", "g"], parts), "line-names")
     # one line table row for each line that occurs twice; equal rows of the input fall together here
     held = staged(_joined(lines.select("doc", "dk", "seq", "h", "g", "chars"), names, ["h", "g"]).drop("h", "g").dropDuplicates(["doc", "dk", "seq"]), "shared-lines")
-    drop_staged(spark, lines, names)
+    drop_staged(lines, names)
     later = ~F.struct("doc", "dk", "seq").eqNullSafe(F.col("first"))
     alone = F.lit(True) if min_lines <= 1 else F.col("chars") >= min_chars
     found = [held.where(later & alone).select("doc", "dk", "seq", F.lit(1).alias("len"), "rank")]
@@ -83,10 +83,12 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             break
         step *= 2
         ranked = staged(_joined(pairs, names, ["r", "x"]).drop("r", "x"), "suffix-ranks")
-        drop_staged(spark, pairs, names)
+        drop_staged(pairs, names)
         if step >= min_lines:
             found.append(ranked.where(later).select("doc", "dk", "seq", F.lit(step).alias("len"), "rank"))
         level = ranked.select("doc", "dk", "seq", "rank")
+    else:
+        raise RuntimeError(f"runs of more than 2^{MAX_ROUNDS} lines")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -103,8 +105,8 @@ def _covered(copies: DataFrame) -> DataFrame:
     return lines.groupBy("doc", "dk").agg(F.sort_array(F.collect_list("seq")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """docs with later copies of line runs cut out of the text; adds n_lines (non-blank) and n_deleted."""
+def _cut(docs: DataFrame, id_col: str, text_col: str, min_lines: int, min_chars: int) -> tuple[DataFrame, dict[str, str]]:
+    """docs without later copies, under names that clash with none (old name -> new name), with _lines and _gone (their numbers)."""
     gone = staged(_covered(later_copies(docs, id_col, text_col, min_lines, min_chars)), "deleted-lines")
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     held = docs.select(*(docs[c].alias(n) for c, n in names.items()), docs[id_col].alias("doc"), F.xxhash64(docs[text_col]).alias("dk"))
@@ -116,8 +118,22 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     deleted = F.transform("gone", lambda s: F.element_at(full, s + 1))
     rest = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), deleted)
     kept = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.transform(rest, lambda i: F.element_at(parts, i + 1)), "\n"))
-    columns = [(kept if c == text_col else F.col(n)).alias(c) for c, n in names.items() if c not in ("n_lines", "n_deleted")]
-    return both.select(*columns, F.coalesce(F.size(full), F.lit(0)).alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("n_deleted"))
+    columns = [(kept if c == text_col else F.col(n)).alias(n) for c, n in names.items()]
+    return both.select(*columns, F.coalesce(F.size(full), F.lit(0)).alias("_lines"), F.coalesce(F.size("gone"), F.lit(0)).alias("_gone")), names
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+    """docs with later copies of line runs cut out of the text; adds n_lines (non-blank) and n_deleted, in place of columns of
+    these names."""
+    cut, names = _cut(docs, id_col, text_col, min_lines, min_chars)
+    return cut.select(*(F.col(n).alias(c) for c, n in names.items() if c not in ("n_lines", "n_deleted")), F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_deleted"))
+
+
+def first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+    """docs with later copies cut out of the text and all other columns as they were, but for documents of which nothing is
+    left (those without any line from the start stay)."""
+    cut, names = _cut(docs, id_col, text_col, min_lines, min_chars)
+    return cut.where((F.col("_lines") == 0) | (F.col("_gone") < F.col("_lines"))).select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 #: The same in DuckDB's SQL, over the view documents: a line goes if it is long enough and not the first of its kind, or if it

@@ -280,7 +280,7 @@ def deduce_templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     valid = orders.groupBy("host", "class").agg(F.min("order").alias("a"), F.max("order").alias("b")).where("a = b").groupBy(F.col("host").alias("_host")).agg(F.collect_set("class").alias("valid"))
     kept = candidates.join(valid, F.col("host") == F.col("_host")).select("host", F.flatten(F.transform(F.filter("classes", lambda c: F.array_contains("valid", c["class"])), lambda c: c["tokens"])).alias("template"))
     templates = staged(kept, "templates")
-    drop_staged(spark, tokens, candidates)
+    drop_staged(tokens, candidates)
     return templates
 
 
