@@ -5,18 +5,22 @@ compressed in blocks with each; normalised differences of the sizes (bad against
 and good dictionary against the plain size) go through a logistic calibration fitted on labelled
 texts that the dictionaries have not seen. Language, source, id and labels are no inputs of a score.
 
-Fitting takes a bounded sample: at most ``FIT_DOCS`` labelled rows of each label for the
-dictionaries and as many for the calibration, chosen by a hash of the id. Scoring reads every whole
-text, needs no shuffle and sends each task the two dictionaries and the weights (under 0.3 MB).
+Fitting takes a bounded sample: at most ``FIT_DOCS`` labelled ids of each label for the
+dictionaries and as many for the calibration, chosen by a hash of the id, with texts of any length. Of
+the first, each dictionary is trained on ``FIT_BLOCKS`` distinct blocks at most, those of least hash. Texts stay
+on the executors: the driver gets these blocks (4 MB a label) and seven numbers for each calibration text.
+Scoring reads every whole text, needs no shuffle and sends each task the two dictionaries and the
+weights (under 0.3 MB).
 
 Defined cases: null counts as empty, and an empty text gets a score like any other; labels that are
 null, or no row of one of the labels, leave that side's sample empty, and with no sample at all
-every score is 0.5; ids that repeat are scored each; extra columns are ignored.
+every score is 0.5; an id that is labelled both ways counts as bad, and of a sampled id that stands for several texts the one of
+least hash is taken, so that fits are repeatable; ids that repeat are scored each; an empty table gives an empty result; extra
+columns are ignored by ``score_quality`` and kept by ``keep_good``, whatever their names.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -25,14 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import slices
+from estatelake.llm.common import drop_staged, slices, staged
 
 #: Labelled rows of each label at most, for the dictionaries and again for the calibration.
 FIT_DOCS = 1500
-#: Bytes of a block, of all blocks that a dictionary is trained on, and of a dictionary.
-BLOCK, FIT_BYTES, DICTIONARY, LEVEL = 1024, 4 << 20, 112_640, 3
-#: Labelled texts of more characters are not drawn into the sample.
-FIT_CHARS = 200_000
+#: Bytes of a block, blocks that a dictionary is trained on at most, bytes of a dictionary, level of compression.
+BLOCK, FIT_BLOCKS, DICTIONARY, LEVEL = 1024, 4096, 112_640, 3
 THRESHOLD = 0.3
 
 
@@ -83,20 +85,18 @@ class CompressionModel:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _dictionary(texts: list[str]) -> bytes:
-    """Blocks in an order by their content's hash, up to FIT_BYTES; too few for training give a raw one."""
+def _dictionary(parts: list[bytes]) -> bytes:
+    """Trained on blocks in their order; too few for training give a raw one."""
     import zstandard
 
-    parts = sorted({p for t in texts for p in blocks(t) if p}, key=lambda p: (zlib.crc32(p), p))[: FIT_BYTES // BLOCK]
     try:
         return zstandard.train_dictionary(min(DICTIONARY, sum(map(len, parts)) // 8 + 256), parts).as_bytes()
     except zstandard.ZstdError:
         return b"".join(parts)[-DICTIONARY:]
 
 
-def _calibrate(model: CompressionModel, texts: list[str], y: np.ndarray) -> list[float]:
+def _calibrate(x: np.ndarray, y: np.ndarray) -> list[float]:
     """Logistic regression by Newton's method with a small ridge."""
-    x = model.features(texts)
     w, ridge = np.zeros(x.shape[1]), 1e-3 * np.eye(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -107,27 +107,52 @@ def _calibrate(model: CompressionModel, texts: list[str], y: np.ndarray) -> list
     return w.tolist()
 
 
+def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "_text"):
+            cut = [[b for b in blocks(t) if b] for t in batch.column("_text").to_pylist()]
+            label = np.repeat(batch.column("_label").to_numpy(), [len(c) for c in cut])
+            yield pa.RecordBatch.from_arrays([pa.array(label), pa.array([b for c in cut for b in c], pa.binary())], names=["_label", "_block"])
+
+
+def _feature_task(model: CompressionModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "_text"):
+                x = model.features(batch.column("_text").to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_label"), pa.array(list(x), pa.list_(pa.float64()))], names=["_id", "_label", "_x"])
+
+    return task
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> CompressionModel:
     """Fit on rows outside the held-out fold. One join of the sampled ids with the texts; the ids of the
     sample are bounded, so that they can be broadcast."""
     spark = docs.sparkSession
-    order = F.xxhash64(F.col(id_col).cast("string"), F.lit("fit"))
-    usable = labels.where(F.col(label_col).isin(0, 1) & (fold(F.col(id_col)) != 0)).select(id_col, F.col(label_col).cast("int").alias("_label")).dropDuplicates([id_col])
-    picked = [usable.where(F.col("_label") == q).orderBy(order, id_col).limit(2 * FIT_DOCS).collect() for q in (0, 1)]
-    parts = {r[0]: (r[1], i % 2) for rows in picked for i, r in enumerate(rows)}
-    if not parts:
+    order = F.xxhash64(F.col("_id").cast("string"), F.lit("fit"))
+    known = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_label")).where(F.col("_label").isin(0, 1) & (fold(F.col("_id")) != 0))
+    usable = known.groupBy("_id").agg(F.min("_label").alias("_label"))
+    picked = [[r[0] for r in usable.where(F.col("_label") == q).orderBy(order, "_id").limit(2 * FIT_DOCS).select("_id").collect()] for q in (0, 1)]
+    rows = [(k, q, i % 2) for q, ids in enumerate(picked) for i, k in enumerate(ids)]
+    if not rows:
         return CompressionModel(b"", b"", [])
-    ids = spark.createDataFrame([(k,) for k in parts], f"{id_col} {labels.schema[id_col].dataType.simpleString()}")
-    texts = docs.select(id_col, text_col).where(F.length(text_col) <= FIT_CHARS).join(F.broadcast(ids), id_col).dropDuplicates([id_col]).collect()
-    texts = sorted(((r[0], r[1] or "") for r in texts), key=lambda r: r[0])
-    pick = lambda label, part: [t for k, t in texts if parts[k] == (label, part)]
-    model = CompressionModel(_dictionary(pick(1, 0)), _dictionary(pick(0, 0)), [])
-    good, bad = pick(1, 1), pick(0, 1)
-    if good or bad:
+    chosen = spark.createDataFrame(rows, f"_id {labels.schema[id_col].dataType.simpleString()}, _label int, _part int")
+    text = F.coalesce(docs[text_col], F.lit(""))
+    held = docs.select(docs[id_col].alias("_id"), text.alias("_text")).join(F.broadcast(chosen), "_id")
+    one = held.groupBy("_id", "_label", "_part").agg(F.min(F.struct(F.xxhash64("_text"), "_text"))["_text"].alias("_text"))
+    texts = staged(one, "fit-texts")
+    parts = texts.where("_part = 0").select("_label", "_text").mapInArrow(_cut_blocks, "_label int, _block binary").distinct()
+    of = lambda q: [bytes(r[0]) for r in parts.where(F.col("_label") == q).orderBy(F.crc32("_block"), "_block").limit(FIT_BLOCKS).select("_block").collect()]
+    model = CompressionModel(_dictionary(of(1)), _dictionary(of(0)), [])
+    seen = texts.where("_part = 1").select(F.col("_id").cast("string").alias("_id"), "_label", "_text").mapInArrow(_feature_task(model), "_id string, _label int, _x array<double>")
+    fitted = sorted(seen.collect())  # FIT_DOCS rows of each label at most
+    drop_staged(texts)
+    if fitted:
         # each label counts as often as it is among the labelled rows
-        n = {q: usable.where(F.col("_label") == q).count() for q in (0, 1)}
-        model.weights = _calibrate(model, good + bad, np.array([1.0] * len(good) + [0.0] * len(bad)))
-        shift = np.log(max(n[1], 1) / max(n[0], 1)) - np.log(max(len(good), 1) / max(len(bad), 1))
+        y = np.array([float(r[1]) for r in fitted])
+        counts = dict(usable.groupBy("_label").count().collect())
+        model.weights = _calibrate(np.array([r[2] for r in fitted]), y)
+        shift = np.log(max(counts.get(1, 0), 1) / max(counts.get(0, 0), 1)) - np.log(max(y.sum(), 1) / max((1 - y).sum(), 1))
         model.weights[0] += float(shift)
     return model
 
