@@ -4,17 +4,18 @@ Ids are replaced by their rank by corpus frequency (ties: smaller id first), so
 fit one byte. Four ids share a control byte with two bits each for their lengths (1 to 4 bytes);
 data bytes stand apart from control bytes, and numpy decodes a block by table lookup.
 
-A file holds rows that are blocks of whole documents: shard, block, doc_ids, lengths, n_ids,
-control, data. Shards are ranges of doc_id in ascending order. Beside the blocks lies the rank
-table (one row for each id of the vocabulary).
+A file holds rows that are blocks of whole documents: shard, block, doc_ids, named (a bit for each document, 0 where
+its doc_id is null), lengths, n_ids, control, data. Shards are ranges of doc_id in ascending order, nulls first. Beside the
+blocks lies the rank table (one row for each id of the vocabulary).
 
 Steps: tokenise once into a staged table; count ids in each task, then sum by id; one range shuffle
 by doc_id; encode and write the shards. What is gathered on the driver is bounded by the
 vocabulary (the rank table) and by the number of shards (their sizes).
 
-Defined cases: null counts as empty, and an empty text is one end id; a null id is written as -1; repeated doc_ids stay as
-they are, in any order among themselves that the sort gives by content; a document of any length
-is one block; an empty table gives an empty result; extra columns are ignored.
+Defined cases: null counts as empty, and an empty text is one end id; null doc_ids stay null and come first; repeated doc_ids
+and rows stay as they are, by a hash of their ids among themselves, and may be dealt out over several shards, so that one id
+with a third of all rows is no single task; a document of any length is one block; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -184,7 +185,11 @@ def _tokenise(path: str, end_id: int, width: type) -> Callable[[Iterator[pa.Reco
         end = np.array([end_id], width).tobytes()
         for whole in batches:
             for batch in slices(whole, "text", 6 << 20):
-                ids = encoder(path).encode([t or "" for t in batch.column("text").to_pylist()])
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                ids = encoder(path).encode(texts)
+                # the cutting into pre-tokens is ours: the first text of each slice is held against the library's
+                if ids[0].tolist() != encoder(path).library.encode(texts[0], add_special_tokens=False).ids:
+                    raise ValueError("ids of a text differ from the library's")
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.astype(width).tobytes() + end for x in ids], pa.binary())], names=["doc_id", "ids"])
 
     return task
@@ -231,26 +236,27 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 BLOCK_IDS = 1 << 20
-BLOCKS = "shard int, block int, start long, doc_ids binary, lengths binary, n_ids long, control binary, data binary"
+BLOCKS = "shard int, block int, start long, doc_ids binary, named binary, lengths binary, n_ids long, control binary, data binary"
 
 
 def _write_blocks(rank: np.ndarray, width: type) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, block, start = TaskContext.get().partitionId(), 0, 0
-        docs: list[int] = []
+        docs: list[int | None] = []
         held: list[np.ndarray] = []
         waiting = 0
 
         def flush() -> pa.RecordBatch:
             control, data = pack(rank[np.concatenate(held)])
-            columns = [shard], [block], [start], [np.array(docs, "<i8").tobytes()], [np.array([len(x) for x in held], "<i8").tobytes()], [waiting], [control], [data]
-            kinds = pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()
+            named = np.packbits([d is not None for d in docs]).tobytes()
+            columns = [shard], [block], [start], [np.array([d or 0 for d in docs], "<i8").tobytes()], [named], [np.array([len(x) for x in held], "<i8").tobytes()], [waiting], [control], [data]
+            kinds = pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in BLOCKS.split(", ")])
 
         for batch in batches:
             for doc, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
                 x = np.frombuffer(ids.as_py(), width)
-                docs.append(-1 if doc is None else doc)
+                docs.append(doc)
                 held.append(x)
                 waiting += len(x)
                 if waiting >= BLOCK_IDS:
@@ -267,7 +273,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     spark = docs.sparkSession
     n = max(encoder(tokenizer_path).library.get_vocab_size(with_added_tokens=True), end_id + 1)
     width = np.uint16 if n <= 1 << 16 else np.uint32
-    tokens = staged(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(_tokenise(tokenizer_path, end_id, width), "doc_id long, ids binary"), "tokens")
+    made = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(_tokenise(tokenizer_path, end_id, width), "doc_id long, ids binary")
+    # the number of a row is stored with it: equal rows of a hot id can then lie in different ranges
+    tokens = staged(made.withColumns({"digest": F.xxhash64("ids"), "row": F.monotonically_increasing_id()}), "tokens")
     counts = tokens.select("ids").mapInArrow(_count(n, width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     seen = {r.id: r.n for r in counts.collect()}  # at most the vocabulary
     order = sorted(range(n), key=lambda i: (-seen.get(i, 0), i))
@@ -275,10 +283,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     rank[order] = np.arange(n, dtype=np.uint32)
     spark.createDataFrame([(i, int(rank[i]), seen.get(i, 0)) for i in range(n)], "id int, rank int, n long").coalesce(1).write.parquet(f"{path}/ranks")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (tokens.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
+    place = "doc_id", "digest", "row"
+    (tokens.repartitionByRange(shards, *place).sortWithinPartitions(*place).select("doc_id", "ids")
      .mapInArrow(_write_blocks(rank, width), BLOCKS)
      .write.option("compression", "zstd").parquet(f"{path}/blocks"))
-    drop_staged(spark, tokens)
+    drop_staged(tokens)
     return path
 
 
@@ -295,7 +304,8 @@ def _read_blocks(ids_by_rank: np.ndarray, with_ids: bool) -> Callable[[Iterator[
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
                 crc = [zlib.crc32(ids[s:e].tobytes()) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-                columns = [pa.array(np.frombuffer(b["doc_ids"], "<i8"), pa.int64()), pa.array(starts + b["first"] + b["start"], pa.int64()), pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())]
+                unnamed = np.unpackbits(np.frombuffer(b["named"], np.uint8), count=len(lengths)) == 0
+                columns = [pa.array(np.frombuffer(b["doc_ids"], "<i8"), pa.int64(), mask=unnamed), pa.array(starts + b["first"] + b["start"], pa.int64()), pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())]
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                 if with_ids:
                     columns.append(pa.array([ids[s:e].tolist() for s, e in zip(starts, ends, strict=True)], pa.list_(pa.int64())))
