@@ -9,9 +9,11 @@ duration and the byte ranges of keyframes; ``payload`` joins the samples by thes
 The media are stored as a Parquet column in the shared folder; digests are computed from what is
 read back. Equal texts give equal files (all times are 0).
 
-Defined cases: null counts as empty, which is one frame of spaces; a text of any length is one file;
-an empty table gives an empty result; extra columns are ignored. Bytes that are no media file give a
-null codec and no ranges.
+Defined cases: null counts as empty, which is one frame of spaces; a text of any length is one file; repeated rows give
+repeated results; an empty table gives an empty result; extra columns are ignored. Bytes that are no media file give a
+null codec and no ranges. A table's own count is not believed beyond the bytes that it has, nor samples beyond the file's
+(a track that claims more bytes than there are has none), so that no file takes more memory than some times its own length;
+boxes may nest to any depth.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -86,10 +90,14 @@ def write_media(payload: bytes) -> bytes:
 # -- reading --------------------------------------------------------------------------------------
 
 
-def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple[bytes, ...] = ()) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
-    """(path of box kinds, start and end of the body) of each box, depth first. A size beyond the parent is cut."""
-    end = len(data) if end is None else end
-    while start + 8 <= end:
+def walk(data: memoryview) -> Iterator[tuple[tuple[bytes, ...], int, int]]:
+    """(path of box kinds, start and end of the body) of each box, depth first. A size beyond the parent is cut. Paths hold
+    the ``DEEP`` innermost kinds."""
+    open_ = [(0, len(data), ())]
+    while open_:
+        start, end, path = open_.pop()
+        if start + 8 > end:
+            continue
         size, kind = struct.unpack_from(">I4s", data, start)
         body = start + 8
         if size == 1 and start + 16 <= end:
@@ -97,85 +105,174 @@ def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple[b
             body += 8
         stop = end if size == 0 else min(end, start + size)
         if stop < body:
-            return
-        yield (*path, kind), body, stop
+            continue
+        here = (*path, kind)[-DEEP:]
+        yield here, body, stop
+        open_.append((stop, end, path))
         if kind in CONTAINERS:
-            yield from walk(data, body, stop, (*path, kind))
-        start = stop
+            open_.append((body, stop, here))
+
+
+DEEP = 8
+_NONE = np.zeros(0, np.int64)
+
+
+def _numbers(view: memoryview, at: int, end: int, n: int, kind: str = ">u4", columns: int = 1) -> np.ndarray:
+    """n rows of a table of numbers, or as many as there are bytes for."""
+    width = np.dtype(kind).itemsize
+    n = max(0, min(n, (end - at) // (width * columns)))
+    return np.frombuffer(view, kind, n * columns, at).astype(np.int64).reshape(n, columns) if n else np.zeros((0, columns), np.int64)
 
 
 @dataclass
 class Track:
+    number: int = 0
     codec: str | None = None
     width: int = 0
     height: int = 0
     timescale: int = 0
     duration: int = 0
-    sizes: list[int] = field(default_factory=list)
+    sizes: np.ndarray = field(default_factory=lambda: _NONE)
     fixed: tuple[int, int] | None = None  # (size, samples), where all have one size
-    chunks: list[int] = field(default_factory=list)
-    runs: list[tuple[int, int]] = field(default_factory=list)  # (first chunk, samples in each)
-    sync: list[int] | None = None
-
-    def samples(self) -> Iterator[tuple[int, int]]:
-        """(offset, size) of each sample in order, from the chunk and size tables."""
-        left = self.fixed[1] if self.fixed else len(self.sizes)
-        k = run = 0
-        for c, offset in enumerate(self.chunks, 1):
-            while run + 1 < len(self.runs) and self.runs[run + 1][0] <= c:
-                run += 1
-            for _ in range(min(self.runs[run][1] if self.runs else 0, left)):
-                size = self.fixed[0] if self.fixed else self.sizes[k]
-                yield offset, size
-                offset += size
-                k += 1
-                left -= 1
-
-    def keyframes(self) -> list[tuple[int, int]]:
-        """Byte ranges [start, end) of sync samples; without a sync table every sample is one."""
-        sync = None if self.sync is None else set(self.sync)
-        return [(o, o + n) for i, (o, n) in enumerate(self.samples(), 1) if sync is None or i in sync]
+    chunks: np.ndarray = field(default_factory=lambda: _NONE)
+    runs: np.ndarray = field(default_factory=lambda: np.zeros((0, 3), np.int64))  # first chunk, samples in each
+    sync: np.ndarray | None = None
+    fragments: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)  # offsets, sizes, sync or not
+    file_bytes: int = 0
+
+    @property
+    def claimed(self) -> int:
+        return self.fixed[1] if self.fixed else len(self.sizes)
+
+    @cached_property
+    def samples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(offsets, sizes, sync or not) of all samples in order, from the chunk and size tables and the fragments. Read it
+        when all boxes have been."""
+        offset, size = self._table()
+        sync = self._sync(len(offset))
+        if self.fragments:
+            offset, size, sync = (np.concatenate(x) for x in zip((offset, size, sync), *self.fragments, strict=True))
+        if len(offset) and (offset.min() < 0 or size.min() < 0 or size.sum() > self.file_bytes or (offset + size).max() > self.file_bytes):
+            return _NONE, _NONE, np.zeros(0, bool)
+        return offset, size, sync
+
+    def _table(self) -> tuple[np.ndarray, np.ndarray]:
+        n = self.claimed
+        if not len(self.chunks) or not len(self.runs) or (self.fixed and self.fixed[0] * n > self.file_bytes):
+            return _NONE, _NONE
+        # samples in each chunk: of the last run that starts at it or before, no more than are left in all
+        run = np.searchsorted(self.runs[:, 0], np.arange(1, len(self.chunks) + 1), side="right") - 1
+        in_chunk = np.where(run >= 0, np.clip(self.runs[np.maximum(run, 0), 1], 0, n), 0)
+        upto = np.minimum(np.cumsum(in_chunk), n)
+        in_chunk = np.diff(upto, prepend=0)
+        total = int(upto[-1])
+        sizes = np.full(total, self.fixed[0], np.int64) if self.fixed else self.sizes[:total]
+        ends = np.cumsum(sizes)
+        first = upto - in_chunk
+        before = np.repeat(np.concatenate([[0], ends])[first], in_chunk)
+        return np.repeat(self.chunks, in_chunk) + (ends - sizes) - before, sizes
+
+    def _sync(self, n: int) -> np.ndarray:
+        """Without a sync table every sample is one."""
+        if self.sync is None:
+            return np.ones(n, bool)
+        out = np.zeros(n + 1, bool)
+        out[self.sync[(self.sync >= 1) & (self.sync <= n)]] = True
+        return out[1:]
+
+    def keyframes(self) -> np.ndarray:
+        """Byte ranges [start, end) of sync samples, two columns."""
+        offset, size, sync = self.samples
+        return np.stack([offset[sync], offset[sync] + size[sync]], axis=1)
+
+
+def _fragment(view: memoryview, track: Track, default: list[int], head: dict, a: int, b: int) -> None:
+    """Add the samples of a trun box (body a to b) by the defaults of its track and of its tfhd."""
+    flags, n = struct.unpack_from(">2I", view, a)
+    at = a + 8
+    offset, first = 0, None
+    if flags & 1:
+        (offset,) = struct.unpack_from(">i", view, at)
+        at += 4
+    if flags & 4:
+        (first,) = struct.unpack_from(">I", view, at)
+        at += 4
+    fields = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
+    rows = _numbers(view, at, b, n, columns=len(fields)) if fields else None
+    count = n if rows is None else len(rows)
+    of = lambda bit, otherwise: rows[:, fields.index(bit)] if bit in fields else np.full(count, otherwise, np.int64)
+    size = head.get("size", default[1])
+    if rows is None and size * n > track.file_bytes or (not size and rows is None):
+        return
+    sizes, marks = of(0x200, size), of(0x400, head.get("flags", default[2]))
+    if first is not None and count:
+        marks = np.concatenate([[first], marks[1:]])
+    begin = head["base"] + offset if flags & 1 else head.get("next", head["base"])
+    ends = np.cumsum(sizes)
+    head["next"] = begin + int(ends[-1]) if count else begin
+    track.fragments.append((begin + ends - sizes, sizes, marks & 0x10000 == 0))
+    track.duration += int(of(0x100, head.get("duration", default[0])).sum())
 
 
 def tables(data: bytes) -> list[Track]:
     """The tracks of a file, from its boxes only."""
     view, out = memoryview(data), []
+    defaults: dict[int, list[int]] = {}
+    moof, head = 0, {}
     for path, a, b in walk(view):
         kind = path[-1]
         if kind == b"trak":
-            out.append(Track())
-        if not out or b"trak" not in path:
+            out.append(Track(file_bytes=len(data)))
+        elif kind == b"moof":
+            moof = a - 8
+        elif kind == b"trex" and b - a >= 24:
+            track, _, *rest = struct.unpack_from(">5I", view, a + 4)
+            defaults[track] = rest
+        elif kind == b"tfhd" and b - a >= 8:
+            flags, track = struct.unpack_from(">2I", view, a)
+            head, at = {"track": track, "base": moof}, a + 8
+            for bit, name, width in ((1, "base", 8), (2, "entry", 4), (8, "duration", 4), (16, "size", 4), (32, "flags", 4)):
+                if flags & bit and at + width <= b:
+                    head[name] = int.from_bytes(view[at : at + width], "big")
+                    at += width
+        elif kind == b"trun" and b - a >= 8 and head:
+            t = next((t for t in out if t.number == head["track"]), None)
+            if t is not None:
+                _fragment(view, t, defaults.get(t.number, [0, 0, 0]), head, a, b)
+        if not out or b"trak" not in path or b - a < 8:
             continue
         t = out[-1]
-        ints = lambda at, n, size=4: struct.unpack_from(f">{n}{'I' if size == 4 else 'Q'}", view, at)  # noqa: B023, E731
-        if b - a < 8:
-            continue
-        if kind == b"mdhd":
+        ints = lambda at, n: struct.unpack_from(f">{n}I", view, at)  # noqa: B023, E731
+        table = lambda kind=">u4", columns=1: _numbers(view, a + 8, b, ints(a + 4, 1)[0], kind, columns)  # noqa: B023, E731
+        if kind == b"tkhd" and b - a >= 24:
+            (t.number,) = ints(a + (20 if view[a] == 1 else 12), 1)
+        elif kind == b"mdhd" and b - a >= (32 if view[a] == 1 else 20):
             t.timescale, t.duration = struct.unpack_from(">IQ", view, a + 20) if view[a] == 1 else ints(a + 12, 2)
         elif kind == b"stsd" and b - a >= 16:
             t.codec = bytes(view[a + 12 : a + 16]).decode("latin-1").strip()
             if b - a >= 44:
                 t.width, t.height = struct.unpack_from(">2H", view, a + 8 + 32)
         elif kind == b"stts" and not t.duration:
-            t.duration = sum(n * d for n, d in struct.iter_unpack(">2I", view[a + 8 : a + 8 + 8 * ints(a + 4, 1)[0]]))
+            t.duration = sum(n * d for n, d in table(columns=2).tolist())
         elif kind == b"stss":
-            t.sync = list(ints(a + 8, ints(a + 4, 1)[0]))
+            t.sync = table().reshape(-1)
         elif kind == b"stsc":
-            t.runs = [(c, n) for c, n, _ in struct.iter_unpack(">3I", view[a + 8 : a + 8 + 12 * ints(a + 4, 1)[0]])]
-        elif kind == b"stsz":
+            t.runs = table(columns=3)
+        elif kind == b"stsz" and b - a >= 12:
             size, n = ints(a + 4, 2)
             if size:
                 t.fixed = size, n
             else:
-                t.sizes = list(ints(a + 12, n))
+                t.sizes = _numbers(view, a + 12, b, n).reshape(-1)
         elif kind == b"stco":
-            t.chunks = list(ints(a + 8, ints(a + 4, 1)[0]))
+            t.chunks = table().reshape(-1)
         elif kind == b"co64":
-            t.chunks = list(ints(a + 8, ints(a + 4, 1)[0], 8))
+            t.chunks = table(">u8").reshape(-1)
     return out
 
 
 def read_tables(data: bytes) -> list[Track]:
+    """The tracks of any bytes; none where boxes are cut off in their middle."""
     try:
         return tables(data)
     except struct.error:
@@ -183,7 +280,14 @@ def read_tables(data: bytes) -> list[Track]:
 
 
 def payload(data: bytes, track: Track) -> bytes:
-    return b"".join(data[o : o + n] for o, n in track.samples())
+    """The samples one after another."""
+    offset, size, _ = track.samples
+    if not len(offset):
+        return b""
+    # samples that follow one another are taken at once
+    cut = np.flatnonzero(offset[1:] != offset[:-1] + size[:-1]) + 1
+    first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(offset)]]) - 1
+    return b"".join(data[a:b] for a, b in zip(offset[first].tolist(), (offset[last] + size[last]).tolist(), strict=True))
 
 
 # -- the Spark jobs -------------------------------------------------------------------------------
@@ -205,12 +309,16 @@ PROBE = "codec string, width int, height int, samples long, duration_ms long, ke
 _PROBE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _probed(data: bytes) -> tuple[Track, list[tuple[int, int]]]:
+def _probed(data: bytes) -> tuple[Track, np.ndarray]:
     tracks = read_tables(data)
     t = next((t for t in tracks if t.width), tracks[0] if tracks else Track())
     return t, t.keyframes()
 
 
+def _samples(t: Track) -> int:
+    return len(t.samples[0])
+
+
 def probe_media(media: DataFrame, media_col: str = "media", id_col: str = "doc_id") -> DataFrame:
     """Codec, frame size, samples, duration and keyframe byte ranges of each file; payloads are not touched."""
 
@@ -218,10 +326,9 @@ def probe_media(media: DataFrame, media_col: str = "media", id_col: str = "doc_i
         for whole in batches:
             for batch in slices(whole, "media"):
                 found = [_probed(x or b"") for x in batch.column("media").to_pylist()]
-                n = [t.fixed[1] if t.fixed else len(t.sizes) for t, _ in found]
                 ms = [t.duration * 1000 // t.timescale if t.timescale else None for t, _ in found]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array([t.codec for t, _ in found], pa.string()), pa.array([t.width for t, _ in found], pa.int32()), pa.array([t.height for t, _ in found], pa.int32()), pa.array(n, pa.int64()), pa.array(ms, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in k] for _, k in found], _PROBE)],
+                    [batch.column("doc_id"), pa.array([t.codec for t, _ in found], pa.string()), pa.array([t.width for t, _ in found], pa.int32()), pa.array([t.height for t, _ in found], pa.int32()), pa.array([_samples(t) for t, _ in found], pa.int64()), pa.array(ms, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in k.tolist()] for _, k in found], _PROBE)],
                     names=["doc_id", "codec", "width", "height", "samples", "duration_ms", "keyframes"],
                 )
 
@@ -231,11 +338,10 @@ def probe_media(media: DataFrame, media_col: str = "media", id_col: str = "doc_i
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def feature(t: Track, keys: list[tuple[int, int]]) -> str:
-    n = t.fixed[1] if t.fixed else len(t.sizes)
-    ranges = hashlib.sha256(b"".join(struct.pack(">2Q", *k) for k in keys)).hexdigest()[:16]
-    first, last = (f"{k[0]}-{k[1]}" for k in (keys[0], keys[-1])) if keys else ("", "")
-    return f"codec={t.codec};size={t.width}x{t.height};samples={n};duration_ms={t.duration * 1000 // t.timescale if t.timescale else 0};keyframes={len(keys)};first={first};last={last};ranges={ranges}"
+def feature(t: Track, keys: np.ndarray) -> str:
+    ranges = hashlib.sha256(keys.astype(">u8").tobytes()).hexdigest()[:16]
+    first, last = (f"{k[0]}-{k[1]}" for k in (keys[0], keys[-1])) if len(keys) else ("", "")
+    return f"codec={t.codec};size={t.width}x{t.height};samples={_samples(t)};duration_ms={t.duration * 1000 // t.timescale if t.timescale else 0};keyframes={len(keys)};first={first};last={last};ranges={ranges}"
 
 
 def _digest() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
