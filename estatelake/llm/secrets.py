@@ -13,12 +13,14 @@ their own length only; ties (several rules at one place) are ordered by start, t
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate
 from operator import getitem, itemgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -44,11 +46,17 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]{24,}", least=24),
 )
-#: Further kinds: public token formats and key files.
+#: Further kinds, the public formats of tokens, and key files. Lengths are asked of the match, not counted in
+#: the automaton, which stays small.
 MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=15),
     Rule("private_key", r"-----BEGIN[A-Z ]* PRIVATE KEY-----"),
+    Rule("google", r"AIza[A-Za-z0-9_-]+", least=39),
+    Rule("gitlab", r"glpat-[A-Za-z0-9_-]+", least=26),
+    Rule("stripe", r"[rs]k_live_[A-Za-z0-9]+", least=24),
+    Rule("npm", r"npm_[A-Za-z0-9]+", least=40),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=40),
 )
 
 
@@ -143,6 +151,16 @@ def backwards(node: tuple) -> tuple:
     return ("star", backwards(node[1])) if node[0] == "star" else node
 
 
+def without_tail(node: tuple) -> tuple:
+    """The pattern without repetitions at its end, which change where a match ends but not whether there is one."""
+    if node[0] == "cat":
+        parts = list(node[1])
+        while parts and parts[-1][0] == "star":
+            parts.pop()
+        return ("cat", [*parts[:-1], without_tail(parts[-1])]) if parts else ("eps",)
+    return ("alt", [without_tail(x) for x in node[1]]) if node[0] == "alt" else node
+
+
 # -- syntax tree -> automaton ---------------------------------------------------------------------
 
 
@@ -254,17 +272,19 @@ def minimise(table: list[list[int]], masks: list[int]) -> tuple[list[list[int]],
 
 
 class Dfa:
-    """Transition arrays as linked rows: row[byte] is the next row, row[256] the accept mask, row[257] 1 if no
-    byte leads out (dead)."""
+    """Transition arrays as linked rows: row[byte] is the next row, row[256] the number of the set of rules that accept
+    there (0: none; ``sets`` has their masks), row[257] 1 if no byte leads out (dead)."""
 
     def __init__(self, auto: Positions, anywhere: bool) -> None:
         table, masks, of = determinise(auto, anywhere)
         table, masks = minimise(table, masks)
         self.states = len(table)
+        self.sets = sorted({0, *masks})
+        number = {m: i for i, m in enumerate(self.sets)}
         rows: list[list] = [[] for _ in table]
         for s, row in enumerate(rows):
             row.extend(rows[table[s][c]] for c in of)
-            row.append(masks[s])
+            row.append(number[masks[s]])
             row.append(int(not masks[s] and set(table[s]) == {s}))
         self.start = rows[0]
 
@@ -281,41 +301,45 @@ class Dfa:
 
 
 class Scanner:
-    """All rules in one automaton, with a backward and a forward automaton for each rule."""
+    """All rules in one automaton, which says where a rule's shortest matches end (so that rules in the middle of a long tail do
+    not multiply its states), with a backward and a forward automaton for each rule."""
 
     def __init__(self, rules: tuple[Rule, ...]) -> None:
-        assert len(rules) <= 8, "a byte holds the accept mask"
         self.rules = rules
         union, self.back, self.ahead = Positions(), [], []
         for k, r in enumerate(rules):
             tree = ("cat", [parse(r.nocase_prefix, nocase=True), parse(r.pattern)])
-            union.add(tree, 1 << k)
+            union.add(without_tail(tree), 1 << k)
             for found, t in ((self.back, backwards(tree)), (self.ahead, tree)):
                 one = Positions()
                 one.add(t, 1)
                 found.append(Dfa(one, anywhere=False))
         self.union = Dfa(union, anywhere=True)
+        #: By rule: which numbers of accept sets hold it.
+        self.accepting = [np.array([bool(m >> k & 1) for m in self.union.sets]) for k in range(len(rules))]
 
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, rule number, end) in bytes, leftmost and non-overlapping for each rule, longest at its start."""
-        rows = accumulate(data, getitem, initial=self.union.start)
-        flags = bytes(map(itemgetter(256), rows))
-        if flags.count(0) == len(flags):
+        numbers = map(itemgetter(256), accumulate(data, getitem, initial=self.union.start))
+        flags = np.frombuffer(bytes(numbers), np.uint8) if len(self.union.sets) <= 256 else np.fromiter(numbers, np.uint32, len(data) + 1)
+        places = np.flatnonzero(flags)
+        if not len(places):
             return []
+        found = flags[places]
         out = []
         for k, rule in enumerate(self.rules):
-            bit, free, at = 1 << k, 0, 0
-            hits = flags.translate(bytes(1 if m & bit else 0 for m in range(256)))
-            while (i := hits.find(1, max(at, free + 1))) >= 0:
-                n = self.back[k].longest(memoryview(data)[free:i][::-1])
+            hits = places[self.accepting[k][found]].tolist()
+            free = i = 0
+            while i < len(hits):
+                n = self.back[k].longest(memoryview(data)[free : hits[i]][::-1])
                 if n < 0:
-                    at = i + 1
+                    i += 1
                     continue
-                start = i - n
-                end = start + self.ahead[k].longest(memoryview(data)[start:])
-                free = at = end
-                if end - start >= rule.least and end - self._tail(rule, data, start, end) >= rule.tail_least:
-                    out.append((start, k, end))
+                start = hits[i] - n
+                free = start + self.ahead[k].longest(memoryview(data)[start:])
+                if free - start >= rule.least and free - self._tail(rule, data, start, free) >= rule.tail_least:
+                    out.append((start, k, free))
+                i = bisect_right(hits, free, i)
         return sorted(out)
 
     @staticmethod
