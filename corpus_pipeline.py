@@ -23,8 +23,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs cut; documents of which nothing is left go; n_chars follows the text."""
-    cut = linededup.dedup_lines(docs).where((F.col("n_lines") == 0) | (F.col("n_deleted") < F.col("n_lines")))
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    cut = linededup.first_copies(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
