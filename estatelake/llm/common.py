@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from estatelake.sources.shared import shared_dir, stage_path, staged
 
-__all__ = ["Remembered", "documents", "drop_staged", "shared_dir", "ship", "slices", "stage_path", "staged"]
+__all__ = ["Remembered", "documents", "drop_staged", "lean", "shared_dir", "ship", "slices", "stage_path", "staged"]
+
+#: Bytes of an Arrow batch that goes to a Python worker, where the session says nothing: rows may be of any length.
+BATCH_BYTES = 4 << 20
 
 
 def drop_staged(*tables: DataFrame) -> None:
@@ -42,6 +46,9 @@ def ship(spark: SparkSession) -> None:
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     ship(spark)
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, "").rstrip("b") == str(64 << 20):  # Spark's own choice
+        spark.conf.set(limit, str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,6 +65,21 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iter
     yield batch.slice(start)
 
 
+def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task that gives its memory back to the system at its end: Spark keeps Python workers for later tasks, and what their
+    allocators hold would add up over the steps of a job."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
 
 class Remembered(dict):
     """A bounded table with two generations: when the young one is full it becomes the old one, and what is

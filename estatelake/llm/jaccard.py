@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from estatelake.llm.common import drop_staged, slices, staged
+from estatelake.llm.common import drop_staged, lean, slices, staged
 from estatelake.llm.components import components
 from estatelake.llm.shingles import Sketcher, mix, set_id, shingle_sets
 
@@ -456,7 +456,7 @@ def _large_leaf_edges(leaf: DataFrame, sketches: DataFrame, positions: int) -> D
     pivots = held.groupBy("path", cell.alias("cell")).agg(F.min(order).alias("p")).groupBy(F.col("path").alias("_path")).agg(F.collect_list(F.struct("p.rid", "p.sketch")).alias("pivots"))
     pivots = staged(pivots, "leaf-pivots")
     met = _spread(held, pivots, F.col("path") == F.col("_path"), F.lit(PIVOTS * 4 * positions))
-    told = staged(met.select("rid", "path", "m", "sketch", "pivots").mapInArrow(_attach(positions, ALIKE), "rid long, path long, m long, pivot long, main boolean"), "leaf-sets")
+    told = staged(met.select("rid", "path", "m", "sketch", "pivots").mapInArrow(lean(_attach(positions, ALIKE)), "rid long, path long, m long, pivot long, main boolean"), "leaf-sets")
     by_pivot = told.where("pivot >= 0 AND pivot <> rid").select(F.col("rid").alias("u"), F.col("pivot").alias("v"))
     rest = told.where("NOT main")
     n_rest = staged(rest.groupBy(F.col("path").alias("_path")).agg(F.ceil(F.count(F.lit(1)) / SKETCH_BLOCK).cast("int").alias("_rest")), "leaf-rest")
@@ -468,13 +468,13 @@ def _large_leaf_edges(leaf: DataFrame, sketches: DataFrame, positions: int) -> D
     every = both.select("rid", "path", own(blocks).alias("b1"), F.explode(F.sequence(F.lit(0), F.col("_rest") - 1)).alias("b2"), F.lit(0).alias("side"))
     few = both.where("NOT main").select("rid", "path", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b1"), own(F.col("_rest")).alias("b2"), F.lit(1).alias("side"))
     placed = every.unionByName(few).join(sketches, "rid").select("rid", "path", "b1", "b2", "side", "sketch")
-    return by_pivot.unionByName(_dealt(placed, "path", "b1", "b2").mapInArrow(_compare_rest(positions, ALIKE), "u long, v long"))
+    return by_pivot.unionByName(_dealt(placed, "path", "b1", "b2").mapInArrow(lean(_compare_rest(positions, ALIKE)), "u long, v long"))
 
 
 def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, positions: int = POSITIONS) -> DataFrame:
     """node, root over rid: chosen-path runs over the sketches of reps (rid, sketch)."""
     sketches = reps.select("rid", "sketch")
-    level = staged(sketches.mapInArrow(_first_paths(runs_for(recall), positions, threshold), "rid long, path long"), "paths")
+    level = staged(sketches.mapInArrow(lean(_first_paths(runs_for(recall), positions, threshold)), "rid long, path long"), "paths")
     leaves: list[DataFrame] = []
     for depth in range(1, MAX_DEPTH + 1):
         last = depth == MAX_DEPTH
@@ -484,10 +484,10 @@ def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float
         if last:
             break
         large = live.where(F.col("m") > SMALL).select("rid", "path")
-        level = staged(large.join(sketches, "rid").select("rid", "path", "sketch").mapInArrow(_next_paths(positions, threshold), "rid long, path long"), "paths")
+        level = staged(large.join(sketches, "rid").select("rid", "path", "sketch").mapInArrow(lean(_next_paths(positions, threshold)), "rid long, path long"), "paths")
     leaf = reduce(DataFrame.unionByName, leaves)
     small = leaf.where(F.col("m") <= SKETCH_BLOCK).join(sketches, "rid").select("rid", "path", "sketch")
-    edges = _dealt(small, "path").mapInArrow(_compare_sketches(positions, ALIKE), "u long, v long")
+    edges = _dealt(small, "path").mapInArrow(lean(_compare_sketches(positions, ALIKE)), "u long, v long")
     large = leaves[-1].where(F.col("m") > SKETCH_BLOCK)
     if not large.isEmpty():
         edges = edges.unionByName(_large_leaf_edges(large, sketches, positions))
@@ -499,12 +499,12 @@ def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float
 def _large_group_links(sets: DataFrame, threshold: float) -> DataFrame:
     """rid, root, weight for the sets (rid, size, root, m, shingles) of large groups, by differences to their centres."""
     t = round(threshold * 1000)
-    counts = sets.select("root", "shingles").mapInArrow(_shingle_counts, "root long, h long, n long").groupBy("root", "h").agg(F.sum("n").alias("n"))
+    counts = sets.select("root", "shingles").mapInArrow(lean(_shingle_counts), "root long, h long, n long").groupBy("root", "h").agg(F.sum("n").alias("n"))
     in_group = sets.groupBy(F.col("root").alias("_root")).agg(F.countDistinct("rid").alias("_m"))
     centre = counts.join(in_group, F.col("root") == F.col("_root")).where(2 * F.col("n") > F.col("_m")).groupBy("_root").agg(F.collect_list("h").alias("centre"))
     centre = staged(centre, "group-centres")
     near = _spread(sets, centre, F.col("root") == F.col("_root"), 8 * F.size("centre")).select("rid", "size", "root", "shingles", "centre")
-    diffs = staged(near.mapInArrow(_differences(threshold), DIFFS).dropDuplicates(["rid"]), "group-differences")
+    diffs = staged(near.mapInArrow(lean(_differences(threshold)), DIFFS).dropDuplicates(["rid"]), "group-differences")
     # sure links: the weight of all sets whose f is at most -f, from the sums by f
     by_f = staged(diffs.groupBy("root", "f").agg(F.sum("size").alias("w"), F.sum(1 / F.lit(SET_BLOCK) + F.col("k") / BLOCK_SHINGLES).alias("room")), "group-sums")
     asked = by_f.select("root", "f", F.col("f").alias("v"), "w", F.lit(0).alias("kind")).unionByName(by_f.select("root", "f", (-F.col("f")).alias("v"), F.lit(0).cast("long").alias("w"), F.lit(1).alias("kind")))
@@ -529,7 +529,7 @@ def _large_group_links(sets: DataFrame, threshold: float) -> DataFrame:
         return certain
     sides = pairs.select("*", F.col("b1").alias("_block"), F.lit(0).alias("side")).unionByName(pairs.where("b1 <> b2").select("*", F.col("b2").alias("_block"), F.lit(1).alias("side")))
     placed = open_.join(sides, (F.col("root") == F.col("_root")) & (F.col("block") == F.col("_block"))).select("rid", "size", "root", "b1", "b2", "side", "f", "k", "diff")
-    return certain.unionByName(_dealt(placed, "root", "b1", "b2").mapInArrow(_compare_differences(threshold), LINKS))
+    return certain.unionByName(_dealt(placed, "root", "b1", "b2").mapInArrow(lean(_compare_differences(threshold)), LINKS))
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
@@ -537,7 +537,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float, recal
     it is the set of the document that stands for its class."""
     spark = docs.sparkSession
     source = docs.select(docs[id_col].try_cast("long").alias("doc_id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("digest"))
-    sets = staged(source.mapInArrow(_sets(POSITIONS), SETS), "shingle-sets")
+    sets = staged(source.mapInArrow(lean(_sets(POSITIONS)), SETS), "shingle-sets")
     # of a set's documents the one with the least id is named, and by its digest found again
     by_set = sets.where("sid IS NOT NULL").groupBy("sid").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     reps = staged(by_set.select("sid", "size", "n", "sketch", F.col("rep.doc_id").alias("rep"), F.col("rep.digest").alias("digest"), F.monotonically_increasing_id().alias("rid")), "set-reps")
@@ -550,8 +550,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, threshold: float, recal
     members = staged(members, "members")
     few = members.count() <= BROADCAST_IDS
     texts = source.join(F.broadcast(members) if few else members, F.col("doc_id").eqNullSafe(F.col("_rep")) & (F.col("digest") == F.col("_digest")))
-    full = staged(texts.select("rid", "size", "root", "m", "large", "sid", "text").mapInArrow(_candidate_sets, "rid long, size long, root long, m long, large boolean, shingles binary"), "group-sets")
-    links = _dealt(full.where("NOT large").select("rid", "size", "root", "shingles"), "root").mapInArrow(_compare_sets(threshold), LINKS)
+    full = staged(texts.select("rid", "size", "root", "m", "large", "sid", "text").mapInArrow(lean(_candidate_sets), "rid long, size long, root long, m long, large boolean, shingles binary"), "group-sets")
+    links = _dealt(full.where("NOT large").select("rid", "size", "root", "shingles"), "root").mapInArrow(lean(_compare_sets(threshold)), LINKS)
     large_sets = full.where("large")
     if not large_sets.isEmpty():
         links = links.unionByName(_large_group_links(large_sets.select("rid", "size", "root", "shingles"), threshold))

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from estatelake.llm.common import slices, staged
+from estatelake.llm.common import lean, slices, staged
 
 WIDTH, HEIGHT, FPS, SYNC_EVERY, CHUNK_FRAMES = 16, 12, 25, 24, 64
 FRAME = WIDTH * HEIGHT
@@ -302,7 +302,7 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, media: a file for each text. No shuffle."""
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(_store, "doc_id long, n_bytes long, media binary")
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(_store), "doc_id long, n_bytes long, media binary")
 
 
 PROBE = "codec string, width int, height int, samples long, duration_ms long, keyframes array<struct<start:long,end:long>>"
@@ -332,7 +332,7 @@ def probe_media(media: DataFrame, media_col: str = "media", id_col: str = "doc_i
                     names=["doc_id", "codec", "width", "height", "samples", "duration_ms", "keyframes"],
                 )
 
-    return media.select(media[id_col].cast("long").alias("doc_id"), media[media_col].alias("media")).mapInArrow(task, "doc_id long, " + PROBE)
+    return media.select(media[id_col].cast("long").alias("doc_id"), media[media_col].alias("media")).mapInArrow(lean(task), "doc_id long, " + PROBE)
 
 
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -363,4 +363,4 @@ def _digest() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
 
 def media_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Store the media in the shared folder, read them back and digest what was read."""
-    return staged(to_media(docs, id_col, text_col), "media").mapInArrow(_digest(), DIGEST)
+    return staged(to_media(docs, id_col, text_col), "media").mapInArrow(lean(_digest()), DIGEST)

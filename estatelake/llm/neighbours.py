@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from estatelake.llm.common import staged
+from estatelake.llm.common import lean, staged
 from estatelake.llm.jaccard import groups_of
 
 FIT_ROWS, ROUNDS = 20_000, 12
@@ -204,16 +204,16 @@ def nearest_neighbours(table: DataFrame, id_col: str = "vec_id", vec_col: str =
     vectors = staged(usable.where(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     index = fit_index(vectors, sizes[dim], dim)
     probes = min(len(index.centres), index.probes)
-    coded = staged(vectors.mapInArrow(_encode(index, dim), "vec_id long, list int, code binary"), "codes")
+    coded = staged(vectors.mapInArrow(lean(_encode(index, dim)), "vec_id long, list int, code binary"), "codes")
     # blocks of bounded size: a list of n rows is cut by a hash of the id into so many that none has much more than BLOCK_ROWS
     blocks = coded.groupBy(F.col("list").alias("_list")).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
     placed = coded.join(F.broadcast(blocks), F.col("list") == F.col("_list")).join(vectors, "vec_id")  # blocks: a row for each list, 4096 at most
     rows = placed.select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("is_query"), F.col("vec_id").alias("id"), "code", "v")
-    asked = vectors.where(F.col("vec_id") % every == 0).mapInArrow(_probe(index, dim, probes), "list int, query_id long, v array<double>")
+    asked = vectors.where(F.col("vec_id") % every == 0).mapInArrow(lean(_probe(index, dim, probes)), "list int, query_id long, v array<double>")
     asked = asked.join(F.broadcast(blocks), F.col("list") == F.col("_list")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     queries = asked.select("list", "block", F.lit(True).alias("is_query"), F.col("query_id").alias("id"), F.lit(None).cast("binary").alias("code"), "v")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = rows.unionByName(queries).repartition(n, "list", "block").sortWithinPartitions("list", "block")
-    found = met.mapInArrow(_search(index, dim, k), "query_id long, vec_id long, score double")
+    found = met.mapInArrow(lean(_search(index, dim, k)), "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import drop_staged, slices, staged
+from estatelake.llm.common import drop_staged, lean, slices, staged
 
 #: A template token stands on at least this share of the host's pages, of which there are so many at least.
 SUPPORT, LEAST_PAGES, LEAST_TOKENS = 0.5, 5, 3
@@ -262,7 +262,7 @@ def _join_hosts(pages: DataFrame, by_host: DataFrame, size: Column, how: str) ->
 def deduce_templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     """host, template (token hashes): for each host the union of its valid equivalence classes."""
     spark = pages.sparkSession
-    tokens = staged(_with_host(pages).select("page_id", "host", "html").mapInArrow(_page_tokens, PAGE_TOKENS), "page-tokens")
+    tokens = staged(_with_host(pages).select("page_id", "host", "html").mapInArrow(lean(_page_tokens), PAGE_TOKENS), "page-tokens")
     totals = tokens.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES)
     rows = tokens.select("page_id", "host", F.explode(F.arrays_zip("tokens", "counts", "parts")).alias("x")).select("page_id", "host", F.col("x.tokens").alias("token"), F.col("x.counts").alias("n"), F.col("x.parts").alias("part"))
     # an occurrence vector is stood for by its support and two hashes over (page, count)
@@ -276,7 +276,7 @@ def deduce_templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     by_host = parts.groupBy("host").agg(F.collect_list(F.struct("class", F.col("members").alias("tokens"))).alias("classes"))
     candidates = staged(by_host, "token-classes")
     # valid: on every page the tokens of the class come in the same order
-    orders = _join_hosts(tokens.select("host", "tokens"), candidates, F.size(F.flatten("classes.tokens")), "inner").mapInArrow(_orders, "host string, class long, order long")
+    orders = _join_hosts(tokens.select("host", "tokens"), candidates, F.size(F.flatten("classes.tokens")), "inner").mapInArrow(lean(_orders), "host string, class long, order long")
     valid = orders.groupBy("host", "class").agg(F.min("order").alias("a"), F.max("order").alias("b")).where("a = b").groupBy(F.col("host").alias("_host")).agg(F.collect_set("class").alias("valid"))
     kept = candidates.join(valid, F.col("host") == F.col("_host")).select("host", F.flatten(F.transform(F.filter("classes", lambda c: F.array_contains("valid", c["class"])), lambda c: c["tokens"])).alias("template"))
     templates = staged(kept, "templates")
@@ -308,4 +308,4 @@ BROADCAST_TOKENS = 1_000_000
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: the main text of each page."""
     joined = _join_hosts(_with_host(pages), deduce_templates(pages), F.size("template"), "left")
-    return joined.select("page_id", "url", "host", "html", "template").mapInArrow(_extract, RESULT)
+    return joined.select("page_id", "url", "host", "html", "template").mapInArrow(lean(_extract), RESULT)

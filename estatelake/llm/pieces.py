@@ -24,7 +24,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from estatelake.llm.common import Remembered, slices
+from estatelake.llm.common import Remembered, lean, slices
 
 SPACE = "▁"
 LETTERS = "a-zA-ZÀ-ÖØ-öø-ɏ"
@@ -60,7 +60,7 @@ class PieceModel:
     """Vocabulary, agenda and segment table of one model file."""
 
     #: Segments up to so many characters are remembered, and so many of them.
-    SHORT, REMEMBERED = 40, 300_000
+    SHORT, REMEMBERED = 40, 120_000
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -205,14 +205,14 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     """One row for each document: number of ids, digests of the ids and of the text decoded from them;
     ``with_ids`` adds the ids themselves. No shuffle."""
     schema = SCHEMA + (", ids array<int>, decoded string" if with_ids else "")
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(_encode_task(model_path, check_every, with_ids), schema)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(_encode_task(model_path, check_every, with_ids)), schema)
 
 
 def _encode_task(path: str, check_every: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", 256 << 10):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 ids = [model.encode(t) for t in texts]
                 if check_every:

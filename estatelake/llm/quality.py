@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.llm.common import drop_staged, slices, staged
+from estatelake.llm.common import drop_staged, lean, slices, staged
 
 #: Labelled rows of each label at most, for the dictionaries and again for the calibration.
 FIT_DOCS = 1500
@@ -141,10 +141,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     held = docs.select(docs[id_col].alias("_id"), text.alias("_text")).join(F.broadcast(chosen), "_id")
     one = held.groupBy("_id", "_label", "_part").agg(F.min(F.struct(F.xxhash64("_text"), "_text"))["_text"].alias("_text"))
     texts = staged(one, "fit-texts")
-    parts = texts.where("_part = 0").select("_label", "_text").mapInArrow(_cut_blocks, "_label int, _block binary").distinct()
+    parts = texts.where("_part = 0").select("_label", "_text").mapInArrow(lean(_cut_blocks), "_label int, _block binary").distinct()
     of = lambda q: [bytes(r[0]) for r in parts.where(F.col("_label") == q).orderBy(F.crc32("_block"), "_block").limit(FIT_BLOCKS).select("_block").collect()]
     model = CompressionModel(_dictionary(of(1)), _dictionary(of(0)), [])
-    seen = texts.where("_part = 1").select(F.col("_id").cast("string").alias("_id"), "_label", "_text").mapInArrow(_feature_task(model), "_id string, _label int, _x array<double>")
+    seen = texts.where("_part = 1").select(F.col("_id").cast("string").alias("_id"), "_label", "_text").mapInArrow(lean(_feature_task(model)), "_id string, _label int, _x array<double>")
     fitted = sorted(seen.collect())  # FIT_DOCS rows of each label at most
     drop_staged(texts)
     if fitted:
@@ -171,7 +171,7 @@ def with_score(docs: DataFrame, model: CompressionModel, text_col: str = "text")
     """docs with columns _c0, _c1, ... (those of docs in order, the text as _text) and _score."""
     held = docs.select(*(docs[c].alias("_text" if c == text_col else f"_c{i}") for i, c in enumerate(docs.columns)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema) + ", _score double"
-    return held.mapInArrow(_score_task(model), schema)
+    return held.mapInArrow(lean(_score_task(model)), schema)
 
 
 def score_quality(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from estatelake.llm.common import slices
+from estatelake.llm.common import lean, slices
 
 
 @dataclass(frozen=True)
@@ -378,7 +378,7 @@ SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 str
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:
     """One row for each document: its id, counts of the base kinds, a digest of their spans and all spans
     as ``kind:start:end`` by start, then rule order. No shuffle: each task scans the texts it reads."""
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(_scan_task(rules), SCHEMA)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(_scan_task(rules)), SCHEMA)
 
 
 def _scan_task(rules: tuple[Rule, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

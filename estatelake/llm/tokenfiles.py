@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from estatelake.llm.common import Remembered, drop_staged, slices, stage_path, staged
+from estatelake.llm.common import Remembered, drop_staged, lean, slices, stage_path, staged
 
 # -- ids of texts ---------------------------------------------------------------------------------
 
@@ -103,7 +103,7 @@ class ByteLevelEncoder:
     and those that hold an added token, go to the library whole.
     """
 
-    REMEMBERED = 300_000
+    REMEMBERED = 150_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -184,7 +184,7 @@ def _tokenise(path: str, end_id: int, width: type) -> Callable[[Iterator[pa.Reco
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], width).tobytes()
         for whole in batches:
-            for batch in slices(whole, "text", 6 << 20):
+            for batch in slices(whole, "text"):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 ids = encoder(path).encode(texts)
                 # the cutting into pre-tokens is ours: the first text of each slice is held against the library's
@@ -273,10 +273,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     spark = docs.sparkSession
     n = max(encoder(tokenizer_path).library.get_vocab_size(with_added_tokens=True), end_id + 1)
     width = np.uint16 if n <= 1 << 16 else np.uint32
-    made = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(_tokenise(tokenizer_path, end_id, width), "doc_id long, ids binary")
+    made = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(_tokenise(tokenizer_path, end_id, width)), "doc_id long, ids binary")
     # the number of a row is stored with it: equal rows of a hot id can then lie in different ranges
     tokens = staged(made.withColumns({"digest": F.xxhash64("ids"), "row": F.monotonically_increasing_id()}), "tokens")
-    counts = tokens.select("ids").mapInArrow(_count(n, width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = tokens.select("ids").mapInArrow(lean(_count(n, width)), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     seen = {r.id: r.n for r in counts.collect()}  # at most the vocabulary
     order = sorted(range(n), key=lambda i: (-seen.get(i, 0), i))
     rank = np.empty(n, np.uint32)
@@ -285,7 +285,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = "doc_id", "digest", "row"
     (tokens.repartitionByRange(shards, *place).sortWithinPartitions(*place).select("doc_id", "ids")
-     .mapInArrow(_write_blocks(rank, width), BLOCKS)
+     .mapInArrow(lean(_write_blocks(rank, width)), BLOCKS)
      .write.option("compression", "zstd").parquet(f"{path}/blocks"))
     drop_staged(tokens)
     return path
@@ -322,7 +322,7 @@ def read_token_files(spark, path: str, with_ids: bool = False) -> DataFrame:
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # a row for each shard
     first = sizes.select("shard", F.coalesce(F.sum("n").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
     schema = READ + (", ids array<long>" if with_ids else "")
-    return blocks.join(F.broadcast(first), "shard").mapInArrow(_read_blocks(np.array(ids, np.uint32), with_ids), schema)
+    return blocks.join(F.broadcast(first), "shard").mapInArrow(lean(_read_blocks(np.array(ids, np.uint32), with_ids)), schema)
 
 
 def token_files_report(docs: DataFrame, tokenizer_path: str, end_id: int = 2, with_ids: bool = False) -> DataFrame:
