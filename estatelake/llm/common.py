@@ -47,7 +47,7 @@ def ship(spark: SparkSession) -> None:
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     ship(spark)
     limit = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(limit, "").rstrip("b") == str(64 << 20):  # Spark's own choice
+    if spark.conf.get(limit).rstrip("b") == str(64 << 20):  # Spark's own choice
         spark.conf.set(limit, str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
