@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from estatelake.functions.text import render_date
 from estatelake.schema import CONSTRUCTION_STATUSES, HEATING, LOCALITY_TYPES, POSTERS, PRICE_ON_REQUEST, REFRESH_SHARE, code_map
+from estatelake.sources.shared import staged
 
 
 def geo_hierarchy(geographies: DataFrame) -> DataFrame:
@@ -40,12 +41,25 @@ def quota(rows: DataFrame) -> DataFrame:
 def stalest(rows: DataFrame, share: int = REFRESH_SHARE) -> DataFrame:
     """The quota of rows checked longest ago (null last), with their position.
 
-    The quota is one number; a top-k with it lets every partition keep its own k rows only.
+    Rows are sorted in ranges, which are many tasks; a position is the row's place in its range plus the rows of the ranges
+    before, of which there is one count each.
     """
-    n = rows.count()
-    k = (n + share - 1) // share
-    top = rows.orderBy(F.col("date_last_checked").asc_nulls_last(), "source_id").limit(k)
-    return top.withColumn("position", F.row_number().over(W.orderBy(F.col("date_last_checked").asc_nulls_last(), "source_id")))
+    order = F.col("date_last_checked").asc_nulls_last(), F.col("source_id").asc()
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = staged(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "by-staleness")
+    part = F.shiftright("_at", 33).alias("_part")
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))  # a row for each range
+    ends = sizes.select("_part", F.coalesce(F.sum("n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("n").over(W.partitionBy()).alias("_all"))
+    ranked = placed.withColumn("_part", part).join(F.broadcast(ends), "_part").withColumn("position", (F.col("_before") + F.col("_at") - F.shiftleft("_part", 33) + 1).cast("int"))
+    return ranked.where(F.col("position") <= F.floor((F.col("_all") + share - 1) / share)).drop("_part", "_at", "_before", "_all")
+
+
+def profile(listings: DataFrame, file: str = "transaction_type") -> DataFrame:
+    """What is published with the data: for each file its rows, distinct places, kinds, agencies and links, and the share of
+    agencies among posters."""
+    distinct = {"localities": "locality", "property_types": "property_type", "agencies": "agency_name", "urls": "listing_url"}
+    agency = F.round(F.avg((F.col("poster_type") == POSTERS["agency"]).cast("double")), 4)
+    return listings.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows"), *(F.countDistinct(c).alias(n) for n, c in distinct.items()), agency.alias("agency_share"))
 
 
 def denormalise(listings: DataFrame, star: dict[str, DataFrame]) -> DataFrame:

@@ -10,13 +10,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.functions import text as fx
-from estatelake.schema import CONSTRUCTIONS, DETAIL_COLUMNS
+from estatelake.schema import CONSTRUCTIONS, DETAIL_COLUMNS, LISTING, TRANSACTIONS, code_map
 
 # XML's own entities and the no-break space.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point; what is none is the replacement character."""
+    is_one = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(is_one, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def _numeric(piece: Column) -> Column:
+    """A piece of text that starts with a numeric character reference (``&#8364;`` or ``&#x20AC;``), with that decoded."""
+    digits, hexes = F.regexp_extract(piece, r"\A&#(\d{1,9});?", 1), F.regexp_extract(piece, r"\A&#[xX]([0-9a-fA-F]{1,7});?", 1)
+    code = F.when(digits != "", digits.try_cast("long")).when(hexes != "", F.conv(hexes, 16, 10).try_cast("long"))
+    rest = F.regexp_replace(piece, r"\A&#(?:\d{1,9}|[xX][0-9a-fA-F]{1,7});?", "")
+    return F.when(code.isNotNull(), F.concat(_character(code), rest)).otherwise(piece)
+
+
 def decode(x: Column) -> Column:
+    """Named and numeric character references, each once."""
+    x = F.when(x.contains("&#"), F.array_join(F.transform(F.split(x, "(?=&#)"), _numeric), "")).otherwise(x)
     for entity, char in ENTITIES:
         x = F.replace(x, F.lit(entity), F.lit(char))
     return x
@@ -85,6 +101,16 @@ def card_columns(cards_: DataFrame) -> DataFrame:
     )
 
 
+def listing_rows(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """Card rows with all listing columns in their order: region by the page's url from a dimension (url, region), transaction from the
+    url, the card's price text, and null where only a detail page or a later step knows more."""
+    code = F.regexp_extract("url", r"/obiavi/([^/?]+)", 1)
+    there = rows.join(regions.select(F.col("url").alias("_url"), F.col("region").alias("_region")), F.col("url") == F.col("_url"), "left")
+    known = {"region": F.col("_region"), "transaction_type": F.when(code != "", code_map(TRANSACTIONS, code)), "price": F.col("price_raw")}
+    value = lambda f: known.get(f.name, F.col(f.name) if f.name in rows.columns else F.lit(None))
+    return there.select(*(value(f).cast(f.dataType).alias(f.name) for f in LISTING))
+
+
 def reject_cards(rows: DataFrame) -> DataFrame:
     """Cards that could not be read: no id or no link."""
     return rows.where("source_id IS NULL OR listing_url IS NULL")

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estatelake.schema import PAGE_SIZE, RESULT_CAP
 from estatelake.sources.shared import staged
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 
 def grid(regions: DataFrame, kinds: DataFrame) -> DataFrame:
     """Every region with every kind. Both are dimensions of a few dozen rows."""
@@ -22,59 +28,39 @@ def levels(priced: DataFrame, region: str, kind: str, cap: int) -> DataFrame:
     return both.withColumn("level", F.when(F.col("n_region") < cap, 1).when(F.col("n") < cap, 2).otherwise(3))
 
 
-#: Halvings of one phase: a phase counts the ranges at all its levels from the histogram of its last one.
-PHASE = 12
-
-
-def _node(lo: Column, hi: Column) -> Column:
-    return F.struct(lo.cast("long").alias("lo"), hi.cast("long").alias("hi"))
-
-
-def _half(node: Column, price: Column) -> Column:
-    """The half of a range that a price is in; a range that cannot be halved stays."""
-    mid = F.floor((node["lo"] + node["hi"]) / 2)
-    below = price <= mid
-    whole = (node["lo"] >= node["hi"]) | (mid == node["lo"])
-    return F.when(whole, node).otherwise(_node(F.when(below, node["lo"]).otherwise(mid + 1), F.when(below, mid).otherwise(node["hi"])))
-
-
-def _bottom(price: Column, top: Column, levels: int) -> Column:
-    return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), top, lambda node, _: _half(node, price))
-
-
-def _path(bottom: Column, top: Column, levels: int) -> Column:
-    """The ranges from just below top to bottom, each once."""
-    grown = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.array(top), lambda nodes, _: F.concat(nodes, F.array(_half(F.element_at(nodes, -1), bottom["lo"]))))
-    return F.array_distinct(F.slice(grown, 2, levels))
-
-
 def price_buckets(priced: DataFrame, units: list[str], low: int, high: int, cap: int) -> DataFrame:
     """units, lo, hi, n: ranges under the cap, or as far as halving goes; rows without a price are bucket null..null.
 
-    A histogram by price comes first: nothing after it depends on rows. A phase brings prices down PHASE
-    halvings at once, sums by the range reached, and counts the levels between from these sums; only
-    prices of ranges that are still at the cap go into the next phase.
+    A histogram by price comes first, with partial sums before the shuffle: nothing after it depends on rows. A unit's histogram has
+    at most as many rows as there are prices between the bounds; its ranges are cut top down on cumulative counts, and
+    only those still at the cap are cut again.
     """
-    levels = max(1, (high - low + 1).bit_length())
-    hist = staged(priced.groupBy(*units, "price").agg(F.count(F.lit(1)).alias("c")), "price-histogram")
-    rows = hist.where((F.col("price") >= low) & (F.col("price") <= high)).withColumn("top", _node(F.lit(low), F.lit(high)))
-    out = hist.where("price IS NULL").select(*units, F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.col("c").alias("n"))
-    for done in range(0, levels, PHASE):
-        step = min(PHASE, levels - done)
-        rows = rows.withColumn("bottom", _bottom(F.col("price"), F.col("top"), step))
-        sums = rows.groupBy(*units, "top", "bottom").agg(F.sum("c").alias("c"))
-        nodes = staged(sums, "range-sums").select(*units, "bottom", "c", F.posexplode(_path(F.col("bottom"), F.col("top"), step)).alias("depth", "node"))
-        sized = nodes.groupBy(*units, "node").agg(F.sum("c").alias("n"))
-        best = F.min(F.when(F.col("n") < cap, F.struct("depth", "node", "n"))).alias("ok"), F.max(F.struct("depth", "node", "n")).alias("last")
-        reached = staged(nodes.join(sized, [*units, "node"]).groupBy(*units, "bottom").agg(*best), "ranges")
-        last_phase = done + step >= levels
-        whole = (F.col("bottom.lo") >= F.col("bottom.hi")) | (F.floor((F.col("bottom.lo") + F.col("bottom.hi")) / 2) == F.col("bottom.lo")) | F.lit(last_phase)
-        found = F.coalesce("ok", F.when(whole, F.col("last")))
-        out = out.unionByName(reached.withColumn("b", found).where("b IS NOT NULL").select(*units, "b.node.lo", "b.node.hi", "b.n").distinct())
-        if not last_phase:
-            open_ = reached.where(found.isNull()).select(*units, "bottom")
-            rows = rows.join(open_, [*units, "bottom"], "left_semi").select(*units, "price", "c", F.col("bottom").alias("top"))
-    return out
+    schema = T.StructType([*(priced.schema[u] for u in units), *(T.StructField(c, T.LongType()) for c in ("lo", "hi", "n"))])
+    names = [*units, "lo", "hi", "n"]
+
+    def cut(key: tuple, prices: pd.DataFrame) -> pd.DataFrame:
+        import numpy
+        import pandas
+
+        prices = prices[prices["price"].notna()].sort_values("price")
+        at, upto = prices["price"].to_numpy(numpy.int64), numpy.concatenate([[0], numpy.cumsum(prices["c"].to_numpy(numpy.int64))])
+        out, open_ = [], [(low, high, True)]
+        while open_:
+            lo, hi, is_root = open_.pop()
+            n = int(upto[numpy.searchsorted(at, hi, "right")] - upto[numpy.searchsorted(at, lo, "left")])
+            mid = (lo + hi) // 2
+            if not n:
+                continue
+            if lo < hi and mid != lo and (is_root or n >= cap):
+                open_ += [(lo, mid, False), (mid + 1, hi, False)]
+            else:
+                out.append((*key, lo, hi, n))
+        return pandas.DataFrame(out, columns=names)
+
+    hist = priced.groupBy(*units, "price").agg(F.count(F.lit(1)).alias("c"))
+    hist = staged(hist.where((F.col("price").isNull()) | F.col("price").between(low, high)), "price-histogram")
+    without = hist.where("price IS NULL").select(*units, F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.col("c").alias("n"))
+    return without.unionByName(hist.where("price IS NOT NULL").groupBy(*units).applyInPandas(cut, schema))
 
 
 def bucket_pages(buckets: DataFrame, n: str = "n") -> DataFrame:

@@ -29,6 +29,14 @@ def counts(listings: DataFrame, *keys: str) -> DataFrame:
     return with_reason(listings).groupBy(*keys).agg(F.count(F.lit(1)).alias("found"), F.count_if(F.col("reason").isNull()).alias("saved"), F.count("reason").alias("rejected"))
 
 
+def page_summary(listings: DataFrame, keys: list[str], detail_failed: Column) -> DataFrame:
+    """Listings found, saved and rejected on each page, and of the saved ones those whose detail page failed."""
+    good = F.col("reason").isNull()
+    return with_reason(listings).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("found"), F.count_if(good).alias("saved"), F.count_if(~good).alias("rejected"), F.count_if(good & detail_failed).alias("detail_failed")
+    )
+
+
 def falsy_field() -> Column:
     """The first required field that is null or empty; blanks do not count here."""
     out = F.lit(None).cast("string")

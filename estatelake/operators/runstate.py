@@ -47,6 +47,15 @@ def unit_summary(pages: DataFrame, unit: str = "unit") -> DataFrame:
     )
 
 
+def run_counters(events: DataFrame) -> DataFrame:
+    """Pages attempted, completed and failed of each transaction, its units and its completed regions."""
+    page = F.col("kind").isin("cleared", "failed")
+    return events.groupBy("transaction_type").agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(page).alias("pages_attempted"), F.count_if(F.col("kind") == "cleared").alias("pages_completed"), F.count_if(F.col("kind") == "failed").alias("failures"),
+        F.countDistinct("unit").alias("units"), F.countDistinct(F.when(F.col("kind") == "region_complete", F.col("region"))).alias("regions_completed"),
+    )
+
+
 def failed_units(events: DataFrame) -> DataFrame:
     """Failures that no later success of the same unit has cleared, by distinct reason."""
     cleared = events.where("kind = 'cleared'").groupBy("transaction_type", "unit").agg(F.max("seq").alias("cleared_at"))

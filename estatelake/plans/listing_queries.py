@@ -266,7 +266,7 @@ def _coarse(t: Tables) -> DataFrame:
 
 query("plan_pages", f"SELECT unit_region, unit_type, bucket, n, CAST(page AS INT) AS page FROM (SELECT *, unnest(range(1, CAST(ceil(least(n, 1000) / 40.0) AS BIGINT) + 1)) AS page FROM {PRICED}) AS x")(lambda t: planner.bucket_pages(_coarse(t)))
 query("plan_resume", f"SELECT unit_region, unit_type, bucket AS lo, bucket + 1 AS hi, n FROM {PRICED} WHERE bucket + 1 >= 3")(lambda t: planner.resume(_coarse(t).select(*UNIT, F.col("bucket").alias("lo"), (F.col("bucket") + 1).alias("hi"), "n"), F.lit(3)))
-query("dataset_profile", "SELECT count(*) AS n_rows, count(DISTINCT locality) AS localities, count(DISTINCT property_type) AS property_types, count(DISTINCT agency_name) AS agencies, count(DISTINCT listing_url) AS urls, round(avg(CASE WHEN flag = 'R' THEN 1.0 ELSE 0.0 END), 4) AS flag_share FROM {listings}")(
-    lambda t: t.listings.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("locality").alias("localities"), F.countDistinct("property_type").alias("property_types"), F.countDistinct("agency_name").alias("agencies"), F.countDistinct("listing_url").alias("urls"), F.round(F.avg((F.col("flag") == "R").cast("double")), 4).alias("flag_share"))
-)
+query("dataset_profile", f"""SELECT transaction_type, count(*) AS n_rows, count(DISTINCT h.locality) AS localities, count(DISTINCT pt.name_bg) AS property_types, count(DISTINCT CASE WHEN contact_type = 'agency' THEN c.name END) AS agencies, count(DISTINCT listing_url) AS urls,
+  round(avg(CASE WHEN contact_type = 'agency' THEN 1.0 ELSE 0.0 END), 4)::DOUBLE AS agency_share FROM {{stored_listings}} l JOIN {{properties}} p ON l.property_id = p.property_id JOIN {{property_types}} pt ON p.property_type_id = pt.property_type_id
+  JOIN {{contacts}} c ON l.contact_id = c.contact_id JOIN {GEO} h ON p.geo_id = h.geo_id GROUP BY transaction_type""")(lambda t: denorm.profile(denorm.denormalise(t.stored_listings, {n: getattr(t, n) for n in STAR})))
 query("page_lag", "SELECT unit, page, found, CAST(coalesce(lag(found) OVER (PARTITION BY unit ORDER BY page), 40) AS INT) AS previous FROM {page_facts}")(lambda t: t.page_facts.select("unit", "page", "found", F.lag("found", 1, 40).over(W.partitionBy("unit").orderBy("page")).alias("previous")))

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from estatelake.operators import pages, runlog, runstate, staging
-from estatelake.plans.listing_queries import scan_rows
+from estatelake.operators import denorm, pages, quality, runlog, runstate, staging
+from estatelake.plans.listing_queries import REASON, SELECTED, _eligible, scan_rows
 from estatelake.plans.registry import Tables, query
+from estatelake.schema import TRANSACTIONS
 from estatelake.sources import tables
 from estatelake.sources.shared import stage_path
 from estatelake.streaming import streams
@@ -67,15 +68,16 @@ query("fetch_final", f"""WITH a AS (SELECT user_id, CAST(ts AS DATE) AS day, {OU
 SELECT user_id, day, coalesce(arg_min(CASE WHEN outcome NOT IN ('retry', 'soft_block', 'too_small') THEN outcome END, attempt) FILTER (WHERE outcome NOT IN ('retry', 'soft_block', 'too_small')), 'exhausted') AS outcome, count(*) AS attempts FROM a WHERE attempt <= 2 GROUP BY user_id, day""")(
     lambda t: runstate.final_outcomes(t.fetch_log.withColumn("day", F.to_date("ts")), ["user_id", "day"], "event_id")
 )
-query("page_summary", "SELECT unit, page, found, found - rejected AS saved, rejected, detail_failed FROM {page_facts} WHERE found >= rejected")(lambda t: t.page_facts.where("found >= rejected").select("unit", "page", "found", (F.col("found") - F.col("rejected")).alias("saved"), "rejected", "detail_failed"))
+query("page_summary", f"SELECT region, page, count(*) AS found, count(*) FILTER (WHERE {REASON} IS NULL) AS saved, count({REASON}) AS rejected, count(*) FILTER (WHERE {REASON} IS NULL AND flag = 'R') AS detail_failed FROM {{listings}} GROUP BY region, page")(
+    lambda t: quality.page_summary(t.listings, ["region", "page"], F.col("flag") == "R")
+)
 SUMMARY = "(SELECT unit, max(page) AS pages, sum(found)::BIGINT AS found, sum(rejected)::BIGINT AS rejected, sum(detail_failed)::BIGINT AS detail_failed, arg_max(found, page) AS last_found FROM {page_facts} GROUP BY unit)"
 query("unit_summary", f"SELECT unit, pages, found, rejected, detail_failed FROM {SUMMARY} AS s")(lambda t: runstate.unit_summary(t.page_facts).select("unit", "pages", "found", "rejected", "detail_failed"))
 query("unit_cap_hit", f"SELECT unit, last_found, CAST(last_found = 40 AS INT) AS capped FROM {SUMMARY} AS s")(lambda t: runstate.unit_summary(t.page_facts).select("unit", "last_found", F.col("capped").cast("int").alias("capped")))
 query("unit_stop_reason", f"SELECT unit, CASE WHEN last_found = 40 THEN 'possible_cap' WHEN last_found = 0 THEN 'end_of_results' ELSE 'end_after_partial_page' END AS stop_reason FROM {SUMMARY} AS s")(lambda t: runstate.unit_summary(t.page_facts).select("unit", "stop_reason"))
 query("resume_points", "SELECT unit, max(page) + 1 AS resume_page FROM {page_facts} WHERE found > rejected GROUP BY unit")(lambda t: t.page_facts.where("found > rejected").groupBy("unit").agg((F.max("page") + 1).alias("resume_page")))
-query("run_counters", "SELECT transaction_type, count(*) AS events, count(*) FILTER (WHERE kind = 'failed') AS failures, count(*) FILTER (WHERE kind = 'cleared') AS pages_completed, count(DISTINCT unit) AS units FROM {unit_events} GROUP BY transaction_type")(
-    lambda t: t.unit_events.groupBy("transaction_type").agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("kind") == "failed").alias("failures"), F.count_if(F.col("kind") == "cleared").alias("pages_completed"), F.countDistinct("unit").alias("units"))
-)
+query("run_counters", """SELECT transaction_type, count(*) AS events, count(*) FILTER (WHERE kind IN ('failed', 'cleared')) AS pages_attempted, count(*) FILTER (WHERE kind = 'cleared') AS pages_completed, count(*) FILTER (WHERE kind = 'failed') AS failures,
+  count(DISTINCT unit) AS units, count(DISTINCT CASE WHEN kind = 'region_complete' THEN region END) AS regions_completed FROM {unit_events} GROUP BY transaction_type""")(lambda t: runstate.run_counters(t.unit_events))
 FAILED = "(SELECT f.transaction_type, f.unit, f.reason FROM (SELECT transaction_type, unit, reason, max(seq) AS at FROM {unit_events} WHERE kind = 'failed' GROUP BY ALL) f LEFT JOIN (SELECT transaction_type, unit, max(seq) AS at FROM {unit_events} WHERE kind = 'cleared' GROUP BY ALL) c ON f.unit = c.unit AND f.transaction_type = c.transaction_type WHERE c.at IS NULL OR f.at > c.at)"
 EXPECTED = "(SELECT tx AS transaction_type, concat('oblast-', CAST(r_regionkey * 7 + x AS STRING)) AS region FROM {region}, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS x) AS x, (SELECT unnest(['sale', 'rental']) AS tx) AS t)"
 
@@ -104,9 +106,12 @@ query("eta_lookup", f"SELECT DISTINCT e.transaction_type, e.region, CASE WHEN n_
 )
 
 
+def _known_estimates(t: Tables) -> DataFrame:
+    return t.nation.select(F.lit("sale").alias("transaction_type"), F.concat(F.lit("oblast-"), F.col("n_nationkey").cast("string")).alias("region"), F.concat(F.col("n_nationkey").cast("string"), F.lit("h")).alias("estimate"))
+
+
 def _estimates(t: Tables) -> DataFrame:
-    known = t.nation.select(F.lit("sale").alias("transaction_type"), F.concat(F.lit("oblast-"), F.col("n_nationkey").cast("string")).alias("region"), F.concat(F.col("n_nationkey").cast("string"), F.lit("h")).alias("estimate"))
-    return expected(t).distinct().join(known, ["transaction_type", "region"], "left").withColumn("estimate", F.coalesce("estimate", F.lit("")))
+    return expected(t).distinct().join(_known_estimates(t), ["transaction_type", "region"], "left").withColumn("estimate", F.coalesce("estimate", F.lit("")))
 
 
 # -- run logs -------------------------------------------------------------------------------------
@@ -147,8 +152,13 @@ query("region_progress", f"SELECT log, session::BIGINT AS session, round(100.0 *
 query("region_errors", f"SELECT log, session::BIGINT AS session, string_agg(label, '; ' ORDER BY first_id) AS errors FROM (SELECT log, session, label, min(event_id) AS first_id FROM {CONTEXT} AS c WHERE label IS NOT NULL GROUP BY ALL) AS x GROUP BY log, session")(
     lambda t: staging.ordered_distinct(context(t), ["log", "session"], "label", "event_id", "errors").withColumn("errors", F.array_join("errors", "; "))
 )
-query("region_types_seen", f"SELECT log, session::BIGINT AS session, unit, CAST(row_number() OVER (PARTITION BY log, session ORDER BY first_seq, unit) AS INT) AS place, first_seq FROM (SELECT log, session, unit, min(event_id) AS first_seq FROM {CONTEXT} AS c WHERE kind = 'unit_start' GROUP BY ALL) AS x")(
-    lambda t: staging.first_sightings(context(t).where("kind = 'unit_start'"), ["log", "session"], "unit", "event_id")
+query("region_types_seen", f"""SELECT x.log, x.session::BIGINT AS session, unit, place, first_seq, concat(CAST(place AS STRING), '/', CAST(greatest(coalesce(announced, 0), place) AS STRING)) AS counter FROM (SELECT log, session, unit, first_seq, CAST(row_number() OVER (PARTITION BY log, session ORDER BY first_seq, unit) AS INT) AS place FROM (SELECT log, session, unit, min(event_id) AS first_seq FROM {CONTEXT} AS c WHERE kind = 'unit_start' GROUP BY ALL) AS y) AS x
+  LEFT JOIN (SELECT log, session, count(DISTINCT unit) AS announced FROM {CONTEXT} AS c WHERE kind = 'preflight' GROUP BY ALL) AS p ON x.log = p.log AND x.session = p.session""")(lambda t: runlog.type_counter(context(t), "log", "event_id"))
+TX = "CASE in_transaction WHEN 'prodazhbi' THEN 'sale' WHEN 'naemi' THEN 'rental' END"
+query("region_report_full", f"""SELECT r.log, r.session, r.region, listings, pages, errors, seconds, coalesce(labels, '') AS labels, round(100.0 * r.session / 54, 1)::DOUBLE AS percent, CASE WHEN {TX} = 'sale' AND n_nationkey IS NOT NULL THEN concat(CAST(n_nationkey AS STRING), 'h') ELSE '' END AS estimate FROM {REPORT} AS r
+  JOIN (SELECT log, session, in_transaction FROM {CONTEXT} AS c0 WHERE kind = 'region_start') AS c ON r.log = c.log AND r.session = c.session LEFT JOIN {{nation}} ON r.region = concat('oblast-', CAST(n_nationkey AS STRING))
+  LEFT JOIN (SELECT log, session, string_agg(label, '; ' ORDER BY first_id) AS labels FROM (SELECT log, session, label, min(event_id) AS first_id FROM {CONTEXT} AS c WHERE label IS NOT NULL AND session > 0 GROUP BY ALL) AS x GROUP BY log, session) AS l ON r.log = l.log AND r.session = l.session""")(
+    lambda t: runlog.full_region_report(context(t), "log", "event_id", 54, _known_estimates(t), TRANSACTIONS).select("log", "session", "region", "listings", "pages", "errors", "seconds", "labels", "percent", "estimate")
 )
 query("preflight_tally", f"SELECT log, session::BIGINT AS session, count(DISTINCT CASE WHEN capped THEN unit END) AS capped_types, count(*) FILTER (WHERE NOT capped) AS under_cap, count(*) AS total FROM {CONTEXT} AS c WHERE kind = 'preflight' GROUP BY log, session")(
     lambda t: context(t).where("kind = 'preflight'").groupBy("log", "session").agg(F.countDistinct(F.when(F.col("capped"), F.col("unit"))).alias("capped_types"), F.count_if(~F.col("capped")).alias("under_cap"), F.count(F.lit(1)).alias("total"))
@@ -159,22 +169,37 @@ query("idle_gaps", f"SELECT log, event_id, idle_s FROM (SELECT log, event_id, ep
 query("log_kv_summary", "SELECT event_id, concat('oblast-', CAST(user_id % 27 AS STRING)) AS label, event_id % 20 AS pages, user_id AS saved FROM {events} WHERE event_type = 'click' AND event_id % 3 = 2")(
     lambda t: runlog.key_values(runlog.parse_lines(t.run_log), "SCRAPE_UNIT_SUMMARY").select("event_id", F.col("kv")["label"].alias("label"), F.col("kv")["pages"].cast("long").alias("pages"), F.col("kv")["saved"].cast("long").alias("saved"))
 )
-LIGHT = """(SELECT event_id, user_id, CASE event_type WHEN 'signup' THEN 'region_start' WHEN 'view' THEN 'region_done' WHEN 'error' THEN 'error' WHEN 'click' THEN CASE event_id % 5 WHEN 0 THEN 'baseline_active' WHEN 1 THEN 'refresh_start' WHEN 2 THEN 'refresh_done' WHEN 3 THEN 'missing' ELSE 'region_done' END ELSE 'run_start' END AS kind,
+ZERO = "WHEN event_type = 'click' AND event_id % 5 = 4 THEN 0"
+LIGHT = f"""(SELECT event_id, user_id, {LOG} AS log, date_trunc('second', ts) AS log_ts, CASE event_type WHEN 'signup' THEN 'region_start' WHEN 'view' THEN 'region_done' WHEN 'error' THEN 'error' WHEN 'click' THEN CASE event_id % 5 WHEN 0 THEN 'baseline_active' WHEN 1 THEN 'refresh_start' WHEN 2 THEN 'refresh_done' WHEN 3 THEN 'missing' ELSE 'region_done' END ELSE 'run_start' END AS kind,
   CASE WHEN event_type IN ('signup', 'view') OR (event_type = 'click' AND event_id % 5 = 4) THEN concat('oblast-', CAST(user_id % 27 AS STRING)) END AS region,
-  CASE WHEN event_type = 'view' THEN event_id % 50 WHEN event_type = 'click' AND event_id % 5 = 4 THEN 0 END AS saved, CASE WHEN event_type = 'view' THEN event_id % 7 WHEN event_type = 'click' AND event_id % 5 = 4 THEN 0 END AS new, CASE WHEN event_type = 'view' THEN event_id % 90 WHEN event_type = 'click' AND event_id % 5 = 4 THEN user_id END AS unchanged,
-  CASE WHEN event_type = 'click' THEN CASE event_id % 5 WHEN 0 THEN 1000 + event_id % 1000 WHEN 2 THEN user_id WHEN 3 THEN user_id END END AS number FROM {events})"""
+  CASE WHEN event_type = 'view' THEN event_id % 50 {ZERO} END AS saved, CASE WHEN event_type = 'view' THEN event_id % 7 {ZERO} END AS new, CASE WHEN event_type = 'view' THEN event_id % 5 {ZERO} END AS changed, CASE WHEN event_type = 'view' THEN event_id % 3 {ZERO} END AS reappeared,
+  CASE WHEN event_type = 'view' THEN event_id % 90 WHEN event_type = 'click' AND event_id % 5 = 4 THEN user_id END AS unchanged,
+  CASE WHEN event_type = 'click' THEN CASE event_id % 5 WHEN 0 THEN 1000 + event_id % 1000 WHEN 2 THEN user_id WHEN 3 THEN user_id END END AS number, CASE WHEN event_type = 'error' THEN 'Connection error' END AS label FROM {{events}})"""
+LIGHT_CONTEXT = f"(SELECT *, sum(CASE WHEN kind = 'region_start' THEN 1 ELSE 0 END) OVER (PARTITION BY log ORDER BY log_ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM {LIGHT} AS l)"
+MOVES = ("saved", "new", "changed", "reappeared", "unchanged")
+MOVE_SUMS = ", ".join(f"coalesce(sum({c}), 0)::BIGINT AS {c}" for c in MOVES)
 
 
 def light_log(t: Tables) -> DataFrame:
     return runlog.incremental_events(t.light_log)
 
 
-query("log_events_incremental", f"SELECT event_id, kind, region, saved, new, unchanged, number FROM {LIGHT} AS l")(lambda t: light_log(t).select("event_id", "kind", "region", "saved", "new", "unchanged", "number"))
-query("region_report_incremental", f"SELECT region, count(*) AS reports, sum(saved)::BIGINT AS saved, sum(new)::BIGINT AS new, sum(unchanged)::BIGINT AS unchanged FROM {LIGHT} AS l WHERE kind = 'region_done' GROUP BY region")(
-    lambda t: light_log(t).where("kind = 'region_done'").groupBy("region").agg(F.count(F.lit(1)).alias("reports"), F.sum("saved").alias("saved"), F.sum("new").alias("new"), F.sum("unchanged").alias("unchanged"))
+def light_context(t: Tables) -> DataFrame:
+    events = runlog.incremental_events(runlog.parse_lines(t.light_log)).withColumn("log", F.col("user_id") % 10)
+    return runlog.with_context(events, "log", ["log_ts", "event_id"])
+
+
+query("log_events_incremental", f"SELECT event_id, kind, region, saved, new, changed, reappeared, unchanged, number, label FROM {LIGHT} AS l")(lambda t: light_log(t).select("event_id", "kind", "region", *MOVES, "number", "label"))
+query("region_report_incremental", f"SELECT region, count(*) AS reports, {MOVE_SUMS} FROM {LIGHT} AS l WHERE kind = 'region_done' GROUP BY region")(
+    lambda t: light_log(t).where("kind = 'region_done'").groupBy("region").agg(F.count(F.lit(1)).alias("reports"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in MOVES))
+)
+query("region_sessions_incremental", f"""SELECT s.log, s.session::BIGINT AS session, s.region, {', '.join(MOVES)}, errors, epoch(coalesce(next_ts, last_ts))::BIGINT - epoch(s.log_ts)::BIGINT AS seconds FROM (SELECT *, lead(log_ts) OVER (PARTITION BY log ORDER BY session) AS next_ts FROM {LIGHT_CONTEXT} AS c WHERE kind = 'region_start') AS s
+  JOIN (SELECT log, max(log_ts) AS last_ts FROM {LIGHT} AS l GROUP BY log) AS m ON s.log = m.log JOIN (SELECT log, session, {MOVE_SUMS}, count(DISTINCT label) AS errors FROM {LIGHT_CONTEXT} AS c GROUP BY log, session) AS f ON s.log = f.log AND s.session = f.session""".replace("SELECT s.log, s.session::BIGINT AS session, s.region, saved, new, changed, reappeared, unchanged", "SELECT s.log, s.session::BIGINT AS session, s.region, " + ", ".join(f"f.{c}" for c in MOVES)))(
+    lambda t: runlog.incremental_region_report(light_context(t), "log").drop("duration")
 )
-query("incremental_run_summary", f"SELECT user_id % 10 AS log, coalesce(sum(new), 0)::BIGINT AS new, coalesce(sum(number) FILTER (WHERE kind = 'missing'), 0)::BIGINT AS missing, coalesce(sum(number) FILTER (WHERE kind = 'refresh_done'), 0)::BIGINT AS refreshed FROM {LIGHT} AS l GROUP BY user_id % 10")(
-    lambda t: light_log(t).groupBy((F.col("user_id") % 10).alias("log")).agg(F.coalesce(F.sum("new"), F.lit(0)).alias("new"), *(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("number"))), F.lit(0)).alias(n) for k, n in (("missing", "missing"), ("refresh_done", "refreshed"))))
+TOTALS = ("new", "changed", "reappeared")
+query("incremental_run_summary", f"SELECT log, {', '.join(f'coalesce(sum({c}), 0)::BIGINT AS {c}' for c in TOTALS)}, coalesce(sum(number) FILTER (WHERE kind = 'missing'), 0)::BIGINT AS missing, coalesce(sum(number) FILTER (WHERE kind = 'refresh_done'), 0)::BIGINT AS refreshed FROM {LIGHT} AS l GROUP BY log")(
+    lambda t: light_log(t).groupBy((F.col("user_id") % 10).alias("log")).agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in TOTALS), *(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("number"))), F.lit(0)).alias(n) for k, n in (("missing", "missing"), ("refresh_done", "refreshed"))))
 )
 
 # -- sources and sinks ----------------------------------------------------------------------------
@@ -185,6 +210,10 @@ def _folder(t: Tables, name: str) -> str:
     return stage_path(t.spark, name)
 
 
+def _stalest(t: Tables) -> DataFrame:
+    return denorm.stalest(_eligible(t)).select("source_id", F.col("position").cast("long").alias("position"))
+
+
 def _rows(t: Tables) -> DataFrame:
     return scan_rows(t).select("source_id", F.concat(F.lit('a "q",\n'), F.col("region")).alias("note"), "price_raw")
 
@@ -200,12 +229,14 @@ def source_csv_roundtrip(t: Tables) -> DataFrame:
     return tables.read_csv(t.spark, path, rows.schema)
 
 
-@query("sink_listings_roundtrip", ROWS.replace("source_id,", "source_id, NULL AS gas, ", 1).replace("concat('a \"q\",', chr(10), region) AS note, ", "region, "))
+@query("sink_listings_roundtrip", ROWS.replace("source_id,", "source_id, NULL::STRING AS gas, NULL::INT AS year_built, 1 AS has_photos, 61.5::DOUBLE AS area_m2, ", 1).replace("concat('a \"q\",', chr(10), region) AS note, ", "region, "))
 def sink_listings_roundtrip(t: Tables) -> DataFrame:
+    """Listings in their columns and types through files with a byte order mark."""
     path = _folder(t, "listings")
-    rows = tables.listing_columns(scan_rows(t).withColumn("price", F.col("price_raw")))
+    rows = tables.listing_columns(scan_rows(t).withColumns({"price": F.col("price_raw"), "has_photos": F.lit(True), "area_m2": F.lit("61.5")}))
     tables.write_csv(rows, path)
-    return tables.read_csv(t.spark, path, rows.schema).select("source_id", "gas", "region", F.col("price").alias("price_raw"))
+    read = tables.read_csv(t.spark, path, rows.schema)
+    return read.select("source_id", "gas", "year_built", F.col("has_photos").cast("int").alias("has_photos"), "area_m2", "region", F.col("price").alias("price_raw"))
 
 
 @query("sink_jsonl_roundtrip", ROWS)
@@ -234,12 +265,47 @@ def export_rows_sorted(t: Tables) -> DataFrame:
 
 @query("sink_partitioned", "SELECT transaction_type, CAST(date_last_checked AS DATE) AS run_date, count(*) AS n FROM {state} WHERE date_last_checked IS NOT NULL GROUP BY ALL")
 def sink_partitioned(t: Tables) -> DataFrame:
+    """Folders by transaction and run date; the counts come from the folders alone."""
     path = _folder(t, "partitioned")
-    rows = tables.partitioned(t.state.where("date_last_checked IS NOT NULL"), "date_last_checked").withColumn("year", F.year("run_date"))
-    rows.repartition("transaction_type", "year").write.partitionBy("transaction_type", "year").parquet(path)
+    tables.write_partitioned(t.state.where("date_last_checked IS NOT NULL"), "date_last_checked", path)
     return t.spark.read.parquet(path).groupBy("transaction_type", "run_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("scan_pages_one_byte", "SELECT page_id, url, html FROM {portal_pages}")
+def scan_pages_one_byte(t: Tables) -> DataFrame:
+    """Pages stored as bytes of the Cyrillic code page, decoded."""
+    path = _folder(t, "one-byte-pages")
+    t.portal_pages.select("page_id", "url", tables.to_windows_1251(F.col("html")).alias("content")).write.parquet(path)
+    return t.spark.read.schema("page_id long, url string, content binary").parquet(path).select("page_id", "url", tables.from_windows_1251(F.col("content")).alias("html"))
+
+
+@query("log_file_lines", f"SELECT {LOG} AS log, count(*) AS lines, count(DISTINCT event_id) AS distinct_lines, count(*) FILTER (WHERE event_type = 'error') AS errors FROM {{events}} GROUP BY 1")
+def log_file_lines(t: Tables) -> DataFrame:
+    """Lines of log files, by the folder of the log."""
+    path = _folder(t, "logs")
+    t.run_log.select((F.col("user_id") % 10).alias("log"), F.concat("line", F.lit(" #"), F.col("event_id").cast("string")).alias("value")).write.partitionBy("log").text(path)
+    lines = runlog.parse_lines(tables.read_log(t.spark, path))
+    place = F.regexp_extract("path", r"/log=(\d+)/", 1).cast("long").alias("log")
+    return lines.groupBy(place).agg(F.count(F.lit(1)).alias("lines"), F.countDistinct(F.regexp_extract("line", r"#(\d+)$", 1)).alias("distinct_lines"), F.count_if(F.col("level") == "ERROR").alias("errors"))
+
+
+@query("selection_snapshot", f"SELECT source_id, position FROM {SELECTED}")
+def selection_snapshot(t: Tables) -> DataFrame:
+    """A refresh selection, written once and reloaded with its check."""
+    path = _folder(t, "selection")
+    tables.write_selection(_stalest(t), path)
+    return tables.load_selection(t.spark, path)
+
+
+@query("card_listing_rows", f"""SELECT CASE WHEN c.k % 13 <> 0 THEN CAST(c.k AS STRING) END AS source_id, n_name AS region, 'sale' AS transaction_type, 'active' AS status, concat(CAST(c.k AS STRING), ' 990 €') AS price, NULL::INT AS bedrooms, NULL::STRING AS gas, NULL::STRING AS tec, NULL::INT AS year_built, NULL::STRING AS features,
+  NULL::STRING AS date_posted, NULL::STRING AS scraped_at, CAST(c.k % 90 + 20 AS DOUBLE) AS area_m2, 27 AS n_columns FROM {CARD} AS c JOIN {{nation}} ON c_nationkey = n_nationkey""")
+def card_listing_rows(t: Tables) -> DataFrame:
+    """Cards as whole listings: region from its dimension, transaction from the url, null where only later steps know more."""
+    regions = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("https://www.imot.bg/obiavi/prodazhbi/p-"), F.col("c_custkey").cast("string")).alias("url"), F.col("n_name").alias("region"))
+    rows = pages.listing_rows(cards(t), regions)
+    return rows.select("source_id", "region", "transaction_type", "status", "price", "bedrooms", "gas", "tec", "year_built", "features", "date_posted", "scraped_at", "area_m2", F.lit(len(rows.columns)).alias("n_columns"))
+
+
 # -- streams --------------------------------------------------------------------------------------
 
 

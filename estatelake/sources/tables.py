@@ -2,32 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estatelake.functions.text import key
-from estatelake.schema import LISTING_COLUMNS
+from estatelake.schema import LISTING
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_html_files(spark: SparkSession, path: str, charset: str = "windows-1251") -> DataFrame:
-    """Saved pages as (url, html); ``spark.sql.legacy.javaCharsets`` must be on for charsets beyond the usual ones."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), F.decode("content", charset).alias("html"))
+#: Characters of the one-byte Cyrillic code page behind its ASCII half, and their bytes as Latin-1; the one byte without a character is left out.
+_BYTES = [bytes([b]) for b in range(128, 256)]
+_CYRILLIC = [(c, b.decode("latin-1")) for b in _BYTES if (c := b.decode("cp1251", "ignore"))]
+CYRILLIC, AS_LATIN = ("".join(x) for x in zip(*_CYRILLIC, strict=True))
+
+
+def from_windows_1251(content: Column) -> Column:
+    """Bytes of that code page as text; no setting of the session is needed."""
+    return F.translate(F.decode(content, "ISO-8859-1"), AS_LATIN, CYRILLIC)
+
+
+def to_windows_1251(text: Column) -> Column:
+    """Text as bytes; what the code page lacks becomes a question mark."""
+    held = F.regexp_replace(text, f"[^\\x00-\\x7F{CYRILLIC}]", "?")
+    return F.encode(F.translate(held, CYRILLIC, AS_LATIN), "ISO-8859-1")
+
+
+def read_html_files(spark: SparkSession, path: str) -> DataFrame:
+    """Saved pages as (url, html), by their one-byte Cyrillic code page."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), from_windows_1251(F.col("content")).alias("html"))
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of log files with the file they come from."""
-    return spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("log"))
+    """Lines of log files with the file they come from, its name (log) and its path."""
+    return spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_name").alias("log"), F.col("_metadata.file_path").alias("path"))
 
 
 def read_log_bytes(spark: SparkSession, path: str) -> DataFrame:
     """Whole files as UTF-8 text, as Latin-1 where the bytes are no UTF-8."""
     content = F.col("content")
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("log"), F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, F.lit("ISO-8859-1"))).alias("text"))
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("log"), F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "ISO-8859-1")).alias("text"))
 
 
 def read_state(spark: SparkSession, url: str, table: str, status: str, transaction: str, **options: str) -> DataFrame:
@@ -41,15 +58,18 @@ def state_rows(rows: DataFrame, status: str, transaction: str) -> DataFrame:
 
 
 def listing_columns(rows: DataFrame) -> DataFrame:
-    """The fixed columns in their order; absent ones are null, others are dropped."""
-    return rows.select(*(F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in LISTING_COLUMNS))
+    """The fixed columns in their order and types; absent ones are null, others are dropped."""
+    return rows.select(*((F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in LISTING))
 
 
 CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "emptyValue": "", "nullValue": ""}
+MARK = "\ufeff"
 
 
 def write_csv(rows: DataFrame, path: str, partitions: list[str] | None = None) -> None:
-    writer = rows.write.mode("append").options(header=True, quote='"', escape='"', emptyValue="", nullValue="")
+    """CSV files that each start with a byte order mark and one header."""
+    first = next(c for c in rows.columns if c not in (partitions or []))
+    writer = rows.withColumnRenamed(first, MARK + first).write.mode("append").options(header=True, quote='"', escape='"', emptyValue="", nullValue="")
     (writer.partitionBy(*partitions) if partitions else writer).csv(path)
 
 
@@ -79,9 +99,11 @@ def export_sorted(rows: DataFrame, path: str, columns: list[str], key_col: str =
     rows.select(*columns).orderBy(key_col).write.mode("errorifexists").parquet(path)
 
 
-def partitioned(rows: DataFrame, ts: str, transaction: str = "transaction_type") -> DataFrame:
-    """Adds the output partition: transaction and UTC date."""
-    return rows.withColumn("run_date", F.to_date(F.col(ts))).withColumn(transaction, F.col(transaction))
+def write_partitioned(rows: DataFrame, ts: str, path: str, transaction: str = "transaction_type") -> None:
+    """Rows in folders by transaction and UTC date; what goes into one folder is brought together before, by a hash of all columns
+    where a folder is large (adaptive execution splits it)."""
+    dated = rows.withColumn("run_date", F.to_date(F.col(ts)))
+    dated.hint("rebalance", transaction, "run_date").write.mode("append").partitionBy(transaction, "run_date").parquet(path)
 
 
 def zero_fill(expected: DataFrame, facts: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
@@ -92,3 +114,16 @@ def zero_fill(expected: DataFrame, facts: DataFrame, keys: list[str], counts: li
 def selection_faults(selection: DataFrame, id_col: str = "source_id") -> DataFrame:
     """Ids of a stored selection that are blank or occur more than once."""
     return selection.groupBy(key(F.col(id_col)).alias(id_col)).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | (F.col(id_col) == ""))
+
+
+def write_selection(selection: DataFrame, path: str) -> None:
+    """A selection (source_id, position) once: a second write fails and leaves the first as it was."""
+    selection.select("source_id", "position").write.mode("errorifexists").parquet(path)
+
+
+def load_selection(spark: SparkSession, path: str) -> DataFrame:
+    """A stored selection; it fails if an id is blank or occurs more than once."""
+    stored = spark.read.schema("source_id string, position long").parquet(path)
+    fault = selection_faults(stored).agg(F.count(F.lit(1)).alias("faults"))
+    checked = F.when(F.col("faults") == 0, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("blank or repeated ids in a stored selection: "), F.col("faults").cast("string"))).cast("boolean"))
+    return stored.join(F.broadcast(fault.select(checked.alias("_ok"))), F.col("_ok")).drop("_ok")  # one row

@@ -54,7 +54,7 @@ def _in_order(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat([f for f in kept if len(f)] or kept[:1]).sort_values("event_id")
 
 
-def _region_state(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState, watch_idle: bool) -> Iterator[pd.DataFrame]:
+def _region_state(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState, idle_s: int | None) -> Iterator[pd.DataFrame]:
     """Counters of the open region; a report when the next one starts or the run ends, a notice when the log falls silent."""
     session, region, listings, errors, labels = state.get if state.exists else (0, None, 0, 0, "")
     out: list[tuple] = []
@@ -74,16 +74,17 @@ def _region_state(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupS
                 seen.add(label)
         errors, labels = len(seen), "\n".join(sorted(seen))
         state.update((session, region, listings, errors, labels))
-        if watch_idle:
-            state.setTimeoutDuration(IDLE_LIMIT_S * 1000)
+        if idle_s is not None:
+            state.setTimeoutDuration(idle_s * 1000)
     yield pd.DataFrame(out, columns=[c.split()[0] for c in REPORT.split(", ")])
 
 
-def region_reports(events: DataFrame, watch_idle: bool = True) -> DataFrame:
-    """Reports, and idle notices if asked for, with state for each log (columns log, event_id, kind, region, rows, label)."""
+def region_reports(events: DataFrame, watch_idle: bool = True, idle_s: int = IDLE_LIMIT_S) -> DataFrame:
+    """Reports, and idle notices by a processing-time timer if asked for, with state for each log (columns log, event_id, kind, region,
+    rows, label)."""
 
     def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        return _region_state(key, frames, state, watch_idle)
+        return _region_state(key, frames, state, idle_s if watch_idle else None)
 
     return events.groupBy("log").applyInPandasWithState(step, REPORT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if watch_idle else GroupStateTimeout.NoTimeout)
 

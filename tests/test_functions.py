@@ -22,6 +22,8 @@ def value(spark, column, text="x"):
         (fx.phone, "тел.: 0883 668 466", "0883668466"), (fx.phone, "тел.: ", None), (fx.parse_price, "44 993.69 €", Decimal("44993.6900")), (fx.parse_price, "89 990 €", Decimal("89990.0000")),
         (fx.parse_price, "Цена при запитване", None), (fx.parse_price, None, None), (fx.property_type, "Продава 2-СТАЕН", "2-СТАЕН"), (fx.property_type, "Дава под наем ", None),
         (fx.base_type, "tip-1 [0-25]", "tip-1"),
+        (fx.area_m2, "кв.м 1.2.3 кв.м", 2.3), (fx.area_m2, "a.5 кв.м", 5.0), (fx.floor_text, "ет. от 3, 12-ти ет.  от 4", "12 от 4"), (fx.floor_text, "2-ри ет. без", None), (fx.year_built, "20201 г., 1999 г.", 201), (fx.phone, "тел.:x тел.: 08 9", "089"),
+        (fx.error_label, "All 3 attempts failed for URL: https://a/obiavi/prodazhbi/oblast-y/tip-2?price_max=9", "Soft-block — oblast-y/tip-2"), (fx.error_label, "All 3 attempts failed for URL: http://a/x y", "Soft-block — http://a/x"),
         (fx.error_label, "x [WARNING] y — Fetch returned None on page 3", None), (fx.error_label, "Bucket 1 splitting", None), (fx.error_label, "Connection error: z", "Connection error"),
         (fx.error_label, "All 2 attempts failed for URL: https://a/obiavi/naemi/grad-x/p-2?price_min=0&price_max=25", "Soft-block — grad-x [0–25]"), (fx.error_label, "Pre-flight fetch failed for grad-x — z", "Pre-flight failed — grad-x"),
     ],
