@@ -2,32 +2,36 @@
 
 Pages of one host share a template. A page is read as a sequence of tokens: tags and words, each
 with the path of open blocks it stands in (two occurrences of a tag in different places are different
-tokens). Tokens whose occurrence vectors over the host's pages are equal form an equivalence class;
-a class that is large, frequent and in one order on every page (words: by path) is valid, and classes nest by the
-path of their first token. The valid classes are the template; what stands between their tokens are
-slots. A slot whose text or words are themselves template (the same on the pages of the host) is boilerplate;
-the remaining slots hold data, and those that are page furniture by element or class name (menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left out. Words and whole texts of slots
-count inside the article as outside of it. The main text is the data of the article's slots, if it has any, else of all remaining slots.
-
-At scale: an occurrence vector is never gathered. Each page sends (token, count) once, and the vector
-is stood for by the number of pages and two exclusive-or sums of hashes of (page, count), which
-pre-aggregate; a host with a third of all pages costs no task more than its share. Only tokens on
-half of the pages come back, which for a host are no more than twice the distinct tokens of its mean page; whether a class is
-in one order everywhere is checked page by page and pre-aggregated, too. The template is joined with the
-pages by host, as a broadcast only if a count shows few tokens in all.
+tokens), and the whole text of each slot. Tokens whose occurrence vectors over the host's pages are equal form an equivalence
+class. A class that is large, frequent and ordered (the same cycle of tokens on every page; words: by path) and nested (on each page
+all of it in one and the same gap between the tokens of each valid class of larger support that the page has) is valid. The valid classes,
+each with its parent and gap, are the template; what stands between their tokens are slots. A slot whose text or words
+are themselves template (the same on the pages of the host) is boilerplate; the remaining slots hold data, and those that are page
+furniture by element or class name (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are
+left out. Words and whole texts of slots count inside the article as outside of it. The main text is the data of the article's
+slots, if it has any, else of all remaining slots.
+
+At scale: pages are dealt out once by host, large hosts in groups of about ``GROUP_PAGES``, parsed there, and the parsed blocks are
+staged. A token on half of a host's pages is on half of the pages of some group: so each group names its own frequent tokens, and
+only these candidates are counted over all pages, exactly. An occurrence vector is never gathered: it is stood for by the number of
+pages and three sums of hashes of (page, count), which tasks add up before the shuffle. A host with a third of all pages costs no task
+more than its share. Classes and templates are joined with the pages by host, as a broadcast only if a sum shows them small.
 
 Defined cases: null html is empty text; a host with fewer than ``LEAST_PAGES`` pages has no template and
 falls back to elements alone; truncated or unbalanced markup is read as far as it goes; repeated
-pages count as pages, and an article of nothing but template stays; an empty table gives an empty result; extra columns are ignored.
+pages and pages without an id count as pages, and an article of nothing but template stays; very long pages are groups of
+their own; a url without a host is one host; an empty table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -76,12 +80,13 @@ def is_furniture(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
 
 
 class Block:
-    """The text between two block boundaries, with the path and the number of its slot, the element around it."""
+    """The text between two block boundaries, with the path and the number of its slot, the element around it, and how many tags
+    stand before it."""
 
-    __slots__ = ("path", "pieces", "furniture", "article", "slot")
+    __slots__ = ("path", "pieces", "furniture", "article", "slot", "at")
 
-    def __init__(self, path: str, furniture: bool, article: bool, slot: int) -> None:
-        self.path, self.furniture, self.article, self.slot, self.pieces = path, furniture, article, slot, []
+    def __init__(self, path: str, furniture: bool, article: bool, slot: int, at: int) -> None:
+        self.path, self.furniture, self.article, self.slot, self.at, self.pieces = path, furniture, article, slot, at, []
 
     def words(self) -> list[str]:
         return "".join(self.pieces).split()
@@ -98,10 +103,10 @@ def read_page(page: str) -> tuple[list[str], list[Block]]:
             blocks.append(current[0])
         return blocks[-1]
 
-    current = [Block("", False, False, 0)]
+    current = [Block("", False, False, 0, 0)]
 
     def boundary() -> None:
-        current[0] = Block(*stack[-1][1:])
+        current[0] = Block(*stack[-1][1:], len(tokens))
 
     def text(piece: str) -> None:
         if piece:
@@ -171,86 +176,252 @@ def read_page(page: str) -> tuple[list[str], list[Block]]:
     return tokens, blocks
 
 
-def slot_words(blocks: list[Block]) -> dict[int, tuple[str, list[str]]]:
-    """Slot -> its path and its words, across line breaks, without furniture inside it."""
-    out: dict[int, tuple[str, list[str]]] = {}
-    for b in blocks:
-        if not b.furniture and (w := b.words()):
-            out.setdefault(b.slot, (b.path, []))[1].extend(w)
-    return out
+@dataclass
+class Page:
+    """A parsed page: its tags, and of its blocks with text the path, words, flags, slot and place among the tags."""
+
+    tags: list[str]
+    paths: list[str]
+    texts: list[list[str]]
+    furniture: list[bool]
+    article: list[bool]
+    slots: list[int]
+    at: list[int]
+
+    def slot_texts(self) -> dict[int, tuple[str, list[str]]]:
+        """Slot -> its path and its words, across line breaks, without furniture inside it."""
+        out: dict[int, tuple[str, list[str]]] = {}
+        for path, words, furniture, slot in zip(self.paths, self.texts, self.furniture, self.slots, strict=True):
+            if not furniture:
+                out.setdefault(slot, (path, []))[1].extend(words)
+        return out
+
+    def tokens(self) -> Iterator[tuple[int, int, int]]:
+        """(token, its part of a class, place) of tags in order, of words, and of each slot's whole text. Tags are one part;
+        words of one path are; a text is one by itself."""
+        for i, t in enumerate(self.tags):
+            yield tag_hash(t), 0, i * WIDE
+        first: dict[int, int] = {}
+        last, place = None, 0
+        for path, words, slot, at in zip(self.paths, self.texts, self.slots, self.at, strict=True):
+            part = tag_hash(path)
+            if at != last:
+                last, place = at, at * WIDE - WIDE
+            first.setdefault(slot, place + 1)
+            for w in words:
+                place += 2
+                yield word_hash(part, w), part, place
+        for slot, (path, words) in self.slot_texts().items():
+            h = text_hash(path, words)
+            yield h, h, first[slot]
+
+
+#: Places of words between two tags.
+WIDE = 1 << 32
+
+
+def parse(html_text: str) -> Page:
+    tags, blocks = read_page(html_text)
+    found = [(b, w) for b in blocks if (w := b.words())]
+    return Page(tags, [b.path for b, _ in found], [w for _, w in found], [b.furniture for b, _ in found], [b.article for b, _ in found], [b.slot for b, _ in found], [b.at for b, _ in found])
+
 
+def token_hash(token: str) -> int:
+    """Signed 64 bits that stand for a token in shuffles and templates."""
+    return xxhash.xxh64_intdigest(token) - (1 << 63)
 
-def slot_token(path: str, words: list[str]) -> str:
-    return f"{path}\n{' '.join(words)}"
 
+@lru_cache(maxsize=20_000)
+def tag_hash(path: str) -> int:
+    return token_hash(path)
 
-def page_tokens(page: str) -> tuple[Counter[str], dict[str, str]]:
-    """Tokens of a page with their numbers: tags by path, words by slot, and each slot's whole text, in the article and outside;
-    and for words and texts the part of a class in which they must keep one order."""
-    tokens, blocks = read_page(page)
-    out, parts = Counter(tokens), {}
-    for b in blocks:
-        words = [f"{b.path} {w}" for w in b.words()]
-        out.update(words)
-        parts.update(dict.fromkeys(words, f"{b.path} "))
-    texts = [slot_token(*x) for x in slot_words(blocks).values()]
-    out.update(texts)
-    parts.update(zip(texts, texts, strict=True))
-    return out, parts
 
+@lru_cache(maxsize=100_000)
+def word_hash(part: int, word: str) -> int:
+    return token_hash(f"{part} {word}")
 
-def main_text(page: str, template: frozenset[int]) -> str:
+
+def text_hash(path: str, words: list[str]) -> int:
+    return token_hash(f"{path}\n{' '.join(words)}")
+
+
+def main_text(page: Page, template: frozenset[int]) -> str:
     """Data of the article's slots, or of all slots that are neither furniture nor template. An article that is nothing but
     template, as on a host of copies, stays."""
-    _, blocks = read_page(page)
-    slots = slot_words(blocks)
-    data = {k for k, (path, w) in slots.items() if not template or (token_hash(slot_token(path, w)) not in template and any(token_hash(f"{path} {x}") not in template for x in w))}
-    kept = [b for b in blocks if not b.furniture and b.words()]
-    chosen = [b for b in kept if b.slot in data and b.article] or [b for b in kept if b.slot in data] or [b for b in kept if b.article]
-    return " ".join(" ".join(b.words()) for b in chosen)
+    boilerplate = set()
+    if template:
+        for slot, (path, words) in page.slot_texts().items():
+            part = tag_hash(path)
+            if text_hash(path, words) in template or all(word_hash(part, w) in template for w in words):
+                boilerplate.add(slot)
+    kept = [i for i, f in enumerate(page.furniture) if not f]
+    data = [i for i in kept if page.slots[i] not in boilerplate]
+    chosen = [i for i in data if page.article[i]] or data or [i for i in kept if page.article[i]]
+    return " ".join(" ".join(page.texts[i]) for i in chosen)
 
 
 # -- the Spark jobs -------------------------------------------------------------------------------
 
+#: Pages and bytes of a group, in which frequent tokens are named.
+GROUP_PAGES, GROUP_BYTES = 100, 8 << 20
+PARSED = "host string, page_id long, url string, key long, tags array<string>, paths array<string>, texts array<string>, flags array<int>, slots array<int>, at array<int>, pages int, frequent array<long>"
+_PARSED = pa.schema([
+    ("host", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("key", pa.int64()), *((c, pa.list_(pa.string())) for c in ("tags", "paths", "texts")),
+    *((c, pa.list_(pa.int32())) for c in ("flags", "slots", "at")), ("pages", pa.int32()), ("frequent", pa.list_(pa.int64())),
+])
 
-def token_hash(token: str) -> int:
-    """Signed 64 bits that stand for a token in shuffles and templates."""
-    return xxhash.xxh64_intdigest(token) - (1 << 63)
 
+def _parse_groups(support: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row for each page, and one for each group with its number of pages and its frequent tokens."""
 
-PAGE_TOKENS = "page_id long, host string, tokens array<long>, counts array<int>, parts array<long>"
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        on: Counter[int] = Counter()
+        key, n, size = None, 0, 0
 
+        def group() -> pa.RecordBatch:
+            frequent = [t for t, c in on.items() if c >= support * n]
+            return pa.RecordBatch.from_pylist([{"host": key[0], "pages": n, "frequent": frequent}], schema=_PARSED)
 
-def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices(whole, "html", 1 << 20):
-            found = [page_tokens(page or "") for page in batch.column("html").to_pylist()]
-            tokens = pa.array([[token_hash(t) for t in f] for f, _ in found], pa.list_(pa.int64()))
-            counts = pa.array([list(f.values()) for f, _ in found], pa.list_(pa.int32()))
-            parts = pa.array([[token_hash(part.get(t, "")) for t in f] for f, part in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), tokens, counts, parts], names=["page_id", "host", "tokens", "counts", "parts"])
+        for whole in batches:
+            for batch in slices(whole, "html", 1 << 20):
+                rows = []
+                for host, part, page_id, url, mark, text in zip(*(batch.column(c).to_pylist() for c in ("host", "part", "page_id", "url", "key", "html")), strict=True):
+                    if n and (key != (host, part) or size > GROUP_BYTES):
+                        yield group()
+                        on.clear()
+                        n = size = 0
+                    key = host, part
+                    page = parse(text or "")
+                    on.update({t for t, _, _ in page.tokens()})
+                    n, size = n + 1, size + len(text or "")
+                    flags = [f + 2 * a for f, a in zip(page.furniture, page.article, strict=True)]
+                    rows.append({"host": host, "page_id": page_id, "url": url, "key": mark, "tags": page.tags, "paths": page.paths, "texts": [" ".join(w) for w in page.texts], "flags": flags, "slots": page.slots, "at": page.at})
+                yield pa.RecordBatch.from_pylist(rows, schema=_PARSED)
+        if n:
+            yield group()
 
+    return task
+
+
+def _pages_of(batch: pa.RecordBatch) -> Iterator[Page]:
+    for tags, paths, texts, flags, slots, at in zip(*(batch.column(c).to_pylist() for c in ("tags", "paths", "texts", "flags", "slots", "at")), strict=True):
+        yield Page(tags, paths, [t.split(" ") for t in texts], [f % 2 == 1 for f in flags], [f >= 2 for f in flags], slots, at)
+
+
+_COLUMNS = ("tags", "paths", "texts", "flags", "slots", "at")
+VECTORS = "host string, token long, on long, v1 long, v2 long, v3 long, part long"
 
-def _with_host(pages: DataFrame) -> DataFrame:
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
+
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Support and sums of hashes of (page, count) of each candidate token, added up over the pages of the task."""
+    held: str | None = None
+    sums: dict[int, list[int]] = {}
+    wanted: frozenset[int] = frozenset()
+
+    def out() -> pa.RecordBatch:
+        columns = [pa.array([held] * len(sums), pa.string()), pa.array(sums, pa.int64()), *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(5))]
+        return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in VECTORS.split(", ")])
+
+    for batch in batches:
+        for host, key, candidates, page in zip(batch.column("host").to_pylist(), batch.column("key").to_pylist(), batch.column("candidates"), _pages_of(batch), strict=True):
+            if host != held:
+                if sums:
+                    yield out()
+                held, sums, wanted = host, {}, frozenset(candidates.as_py())
+            counts: dict[int, int] = {}
+            for t, part, _ in page.tokens():
+                if t in wanted:
+                    counts[t] = counts.get(t, 0) + 1
+                    if t not in sums:
+                        sums[t] = [0, 0, 0, 0, part]
+            marks: dict[int, int] = {}
+            for t, n in counts.items():
+                if n not in marks:
+                    marks[n] = xxhash.xxh3_128_intdigest(f"{key} {n}")
+                h, s = marks[n], sums[t]
+                s[0] += 1
+                s[1] += h & 0x7FFFFFFF
+                s[2] += h >> 31 & 0x7FFFFFFF
+                s[3] += h >> 62 & 0x7FFFFFFF
+    if sums:
+        yield out()
+
+
+def _cycle(seen: list[int]) -> tuple[int, ...]:
+    """The tokens of a class in order, once if they come in equal rounds."""
+    n = len(set(seen))
+    return tuple(seen[:n]) if len(seen) % n == 0 and seen == seen[:n] * (len(seen) // n) else tuple(seen)
+
+
+ORDERS = "host string, class long, order long, outer long, gap long"
 
 
 def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page and class on it: in which order the class's tokens come."""
+    """For each class: in which order its tokens come (outer: null), and in which gap of each class of larger support it lies (-1: in
+    more than one); each different finding once for the pages of a host in the task."""
+    held: str | None = None
+    found: set[tuple[int, int | None, int | None, int | None]] = set()
+    of: dict[int, int] = {}
+    rank: dict[int, int] = {}
+
+    def out() -> pa.RecordBatch:
+        columns = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array([held] * len(found), pa.string()), *(pa.array(list(c), pa.int64()) for c in columns)], names=[x.split()[0] for x in ORDERS.split(", ")])
+
     for batch in batches:
-        hosts, classes, orders = [], [], []
-        for host, tokens, on_host in zip(*(batch.column(c).to_pylist() for c in ("host", "tokens", "classes")), strict=True):
-            of = {t: c["class"] for c in on_host for t in c["tokens"]}
-            seen: dict[int, list[int]] = {}
-            for t in tokens:
+        for host, classes, page in zip(batch.column("host").to_pylist(), batch.column("classes"), _pages_of(batch), strict=True):
+            if host != held:
+                if found:
+                    yield out()
+                listed = classes.as_py()
+                held, found = host, set()
+                of = {t: c["class"] for c in listed for t in c["tokens"]}
+                # larger support first, then more tokens
+                rank = {c["class"]: i for i, c in enumerate(sorted(listed, key=lambda c: (-c["support"], -len(c["tokens"]), c["class"])))}
+            seen: dict[int, list[tuple[int, int]]] = {}
+            for t, _, place in page.tokens():
                 if t in of:
-                    seen.setdefault(of[t], []).append(t)
-            for c, order in seen.items():
-                hosts.append(host)
-                classes.append(c)
-                orders.append(token_hash(",".join(map(str, order))))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(classes, pa.int64()), pa.array(orders, pa.int64())], names=["host", "class", "order"])
+                    seen.setdefault(of[t], []).append((place, t))
+            places = {c: sorted(x) for c, x in seen.items()}
+            starts = {c: [p for p, _ in x] for c, x in places.items()}
+            for c, x in places.items():
+                found.add((c, token_hash(repr(_cycle([t for _, t in x]))), None, None))
+                for outer, y in starts.items():
+                    if rank[outer] < rank[c]:
+                        first = bisect_left(y, x[0][0])
+                        found.add((c, None, outer, first if first == bisect_right(y, x[-1][0]) else -1))
+    if found:
+        yield out()
+
+
+TEMPLATE = "host string, template array<struct<class:long,parent:long,gap:long,support:long,tokens:array<long>>>"
+
+
+def nest(classes: list[dict], unordered: set[int], gaps: dict[tuple[int, int], int]) -> list[dict]:
+    """The valid classes with their parents: those in order that lie in one gap of each valid class of larger support that they meet.
+    The parent is the innermost of these: the last one in the order of support."""
+    out: list[dict] = []
+    for c in sorted(classes, key=lambda c: (-c["support"], -len(c["tokens"]), c["class"])):
+        met = [(p["class"], gaps[c["class"], p["class"]]) for p in out if (c["class"], p["class"]) in gaps]
+        if c["class"] not in unordered and all(g >= 0 for _, g in met):
+            parent, gap = met[-1] if met else (None, None)
+            out.append({**c, "parent": parent, "gap": gap})
+    return out
+
+
+def _nest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hosts, out = [], []
+        for r in batch.to_pylist():
+            hosts.append(r["host"])
+            gaps = {(g["class"], g["outer"]): g["gap"] for g in r["gaps"] or ()}
+            out.append(nest(r["classes"], set(r["unordered"] or ()), gaps))
+        kind = pa.list_(pa.struct([*((k, pa.int64()) for k in ("class", "parent", "gap", "support")), ("tokens", pa.list_(pa.int64()))]))
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(out, kind)], names=["host", "template"])
+
+
+#: Tables by host of up to so many tokens in all (8 MB) are sent to all tasks; larger ones are joined by a shuffle on the host.
+BROADCAST_TOKENS = 1_000_000
 
 
 def _join_hosts(pages: DataFrame, by_host: DataFrame, size: Column, how: str) -> DataFrame:
@@ -259,28 +430,45 @@ def _join_hosts(pages: DataFrame, by_host: DataFrame, size: Column, how: str) ->
     return pages.join(F.broadcast(right) if few else right, F.col("host") == F.col("_host"), how).drop("_host")
 
 
-def deduce_templates(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """host, template (token hashes): for each host the union of its valid equivalence classes."""
-    spark = pages.sparkSession
-    tokens = staged(_with_host(pages).select("page_id", "host", "html").mapInArrow(lean(_page_tokens), PAGE_TOKENS), "page-tokens")
-    totals = tokens.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES)
-    rows = tokens.select("page_id", "host", F.explode(F.arrays_zip("tokens", "counts", "parts")).alias("x")).select("page_id", "host", F.col("x.tokens").alias("token"), F.col("x.counts").alias("n"), F.col("x.parts").alias("part"))
-    # an occurrence vector is stood for by its support and two hashes over (page, count)
-    vectors = rows.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("on"), F.bit_xor(F.xxhash64("page_id", "n")).alias("v1"), F.bit_xor(F.xxhash64(F.lit(1), "page_id", "n")).alias("v2"), F.min("part").alias("part")
-    ).where(F.col("on") >= LEAST_PAGES)
-    frequent = vectors.join(totals, F.col("host") == F.col("_host")).where(F.col("on") >= support * F.col("pages"))
-    classes = frequent.groupBy("host", "on", "v1", "v2").agg(F.collect_list(F.struct("part", "token")).alias("members")).where(F.size("members") >= LEAST_TOKENS)
+def _with_host(pages: DataFrame) -> DataFrame:
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
+    return pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"], pages["html"]).withColumn("host", host)
+
+
+def parsed_pages(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """Pages dealt out by host and group, parsed, with a row of frequent tokens for each group. Staged."""
+    with_host = _with_host(pages)
+    groups = with_host.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / GROUP_PAGES).cast("int").alias("groups"))
+    keyed = _join_hosts(with_host, groups, F.lit(4), "inner").withColumn("key", F.xxhash64("page_id", "html"))
+    placed = keyed.withColumn("part", F.pmod(F.xxhash64("key", F.monotonically_increasing_id()), F.col("groups")).cast("int"))
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.select("host", "part", "page_id", "url", "key", "html").repartition(n, "host", "part").sortWithinPartitions("host", "part")
+    return staged(dealt.mapInArrow(lean(_parse_groups(support)), PARSED), "parsed-pages")
+
+
+def deduce_templates(parsed: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """host, template (its valid equivalence classes, each with parent and gap) for hosts of LEAST_PAGES or more."""
+    groups = parsed.where("pages IS NOT NULL")
+    totals = groups.groupBy("host").agg(F.sum("pages").alias("total")).where(F.col("total") >= LEAST_PAGES)
+    named = groups.select("host", F.explode("frequent").alias("token")).distinct().groupBy("host").agg(F.collect_list("token").alias("candidates"))
+    candidates = staged(named.join(totals.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host")).drop("_host"), "candidate-tokens")
+    rows = parsed.where("pages IS NULL")
+    vectors = _join_hosts(rows.select("host", "key", *_COLUMNS), candidates.select("host", "candidates"), F.size("candidates"), "inner").mapInArrow(lean(_vectors), VECTORS)
+    exact = vectors.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("on", "v1", "v2", "v3")), F.min("part").alias("part")).where(F.col("on") >= LEAST_PAGES)
+    frequent = _join_hosts(exact, candidates.select("host", "total"), F.lit(2), "inner").where(F.col("on") >= support * F.col("total"))
+    classes = frequent.groupBy("host", "on", "v1", "v2", "v3").agg(F.collect_list(F.struct("part", "token")).alias("members")).where(F.size("members") >= LEAST_TOKENS)
     # an article's words that fall into a class by chance keep no order: they must not cost the class more than the words of their path
-    parts = classes.select("host", F.xxhash64("on", "v1", "v2").alias("v"), F.explode("members").alias("x")).groupBy("host", F.xxhash64("v", "x.part").alias("class")).agg(F.collect_list("x.token").alias("members"))
-    by_host = parts.groupBy("host").agg(F.collect_list(F.struct("class", F.col("members").alias("tokens"))).alias("classes"))
-    candidates = staged(by_host, "token-classes")
-    # valid: on every page the tokens of the class come in the same order
-    orders = _join_hosts(tokens.select("host", "tokens"), candidates, F.size(F.flatten("classes.tokens")), "inner").mapInArrow(lean(_orders), "host string, class long, order long")
-    valid = orders.groupBy("host", "class").agg(F.min("order").alias("a"), F.max("order").alias("b")).where("a = b").groupBy(F.col("host").alias("_host")).agg(F.collect_set("class").alias("valid"))
-    kept = candidates.join(valid, F.col("host") == F.col("_host")).select("host", F.flatten(F.transform(F.filter("classes", lambda c: F.array_contains("valid", c["class"])), lambda c: c["tokens"])).alias("template"))
-    templates = staged(kept, "templates")
-    drop_staged(tokens, candidates)
+    parts = classes.select("host", "on", F.xxhash64("on", "v1", "v2", "v3").alias("v"), F.explode("members").alias("x")).groupBy("host", "on", F.xxhash64("v", "x.part").alias("class")).agg(F.collect_list("x.token").alias("tokens"))
+    by_host = staged(parts.groupBy("host").agg(F.collect_list(F.struct("class", F.col("on").alias("support"), "tokens")).alias("classes")), "token-classes")
+    orders = _join_hosts(rows.select("host", *_COLUMNS), by_host, F.size(F.flatten("classes.tokens")), "inner").mapInArrow(lean(_orders), ORDERS)
+    seen = orders.groupBy("host", "class", "outer").agg(F.min("order").alias("a"), F.max("order").alias("b"), F.min("gap").alias("g"), F.max("gap").alias("h"))
+    said = seen.groupBy(F.col("host").alias("_host")).agg(
+        F.collect_list(F.when(F.col("outer").isNull() & (F.col("a") != F.col("b")), F.col("class"))).alias("unordered"),
+        F.collect_list(F.when(F.col("outer").isNotNull(), F.struct("class", "outer", F.when(F.col("g") == F.col("h"), F.col("g")).otherwise(-1).alias("gap")))).alias("gaps"),
+    )
+    nested = by_host.join(said, F.col("host") == F.col("_host")).select("host", "classes", "unordered", "gaps").mapInArrow(lean(_nest), TEMPLATE)
+    templates = staged(nested, "templates")
+    drop_staged(candidates, by_host)
     return templates
 
 
@@ -288,24 +476,19 @@ RESULT = "page_id long, url string, text string, n_chars long"
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cached: dict[str | None, frozenset[int]] = {}
-    for whole in batches:
-        for batch in slices(whole, "html", 1 << 20):
-            out = []
-            for host, page, template in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), batch.column("template"), strict=True):
-                if host not in cached:
-                    if len(cached) > 200:
-                        cached.clear()
-                    cached[host] = frozenset(template.as_py() or ())
-                out.append(main_text(page or "", cached[host]))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
-
-
-#: Templates of up to so many tokens in all (8 MB) are sent to all tasks; more are joined by a shuffle on the host.
-BROADCAST_TOKENS = 1_000_000
+    held, tokens = None, frozenset()
+    for batch in batches:
+        out = []
+        for host, template, page in zip(batch.column("host").to_pylist(), batch.column("tokens"), _pages_of(batch), strict=True):
+            if host != held:
+                held, tokens = host, frozenset(template.as_py() or ())
+            out.append(main_text(page, tokens))
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: the main text of each page."""
-    joined = _join_hosts(_with_host(pages), deduce_templates(pages), F.size("template"), "left")
-    return joined.select("page_id", "url", "host", "html", "template").mapInArrow(lean(_extract), RESULT)
+    parsed = parsed_pages(pages)
+    tokens = deduce_templates(parsed).select("host", F.flatten("template.tokens").alias("tokens"))
+    joined = _join_hosts(parsed.where("pages IS NULL").select("host", "page_id", "url", *_COLUMNS), tokens, F.size("tokens"), "left")
+    return joined.mapInArrow(lean(_extract), RESULT)
