@@ -230,9 +230,38 @@ def test_neighbours_recall_and_cases(spark):
         hit += len(set(want.tolist()) & {f[1] for f in found})
     assert hit / (20 * len(got)) >= 0.9
     assert neighbours.nearest_neighbours(df.limit(3)).count() == 2
+    assert neighbours.nearest_neighbours(df.limit(1)).count() == 0
     assert neighbours.nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_ids_and_other_lengths(spark):
+    table = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<double>, row int, list int, v int").repartition(3)
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (1, [5.0, 1.0]), (2, [2.0, 0.0]), (0, [3.0, 0.5]), (20, [1.0, 2.0, 3.0]), (21, [0.0, 1.0, 0.0]), (40, [7.0])]
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in neighbours.nearest_neighbours(table([(*r, 1, 2, 3) for r in rows])).collect())
+    one = [(0, 1, 1, 5.0), (0, 2, 0, 3.0), (0, 3, 2, 2.0), (0, 4, 1, 1.0)]
+    two = [(0, 1, 1, 15.5), (0, 2, 2, 6.0), (0, 3, 1, 3.5), (0, 4, 0, 3.0)]
+    assert got == sorted([*one, *two, (20, 1, 21, 2.0)])
+
+
+@pytest.mark.parametrize("blocks", [None, 7])
+def test_every_query_finds_twenty(spark, monkeypatch, blocks):
+    if blocks:
+        monkeypatch.setattr(neighbours, "BLOCK_ROWS", blocks)
+        monkeypatch.setattr(neighbours, "QUERY_BLOCK", 2)
+        monkeypatch.setattr(neighbours, "TUNED_RECALL", 0.0)  # too few lists and a floor that is rarely reached
+        monkeypatch.setattr(neighbours, "LEAST_PROBES", 1)
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(300, 8)), np.repeat(rng.normal(size=(1, 8)), 150, axis=0)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest_neighbours(df).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert {q: sorted(r for r, _, _ in f) for q, f in got.items()} == {q: list(range(1, 21)) for q in range(0, 450, 20)}
+    for q, found in got.items():
+        assert len({v for _, v, _ in found} - {q}) == 20
+        assert all(abs(x[q] @ x[v] - s) < 1e-9 for _, v, s in found)
+
+
 def test_empty_tables(spark):
     none = documents(spark).limit(0)
     html = spark.createDataFrame([], "page_id long, url string, html string")
