@@ -17,11 +17,16 @@ from estatelake.llm.common import drop_staged, staged
 MAX_ROUNDS = 60
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+#: Up to so many edges their least neighbours (16 bytes each) are sent to all tasks.
+BROADCAST_EDGES = 500_000
+
+
+def _star(edges: DataFrame, large: bool, few: bool) -> DataFrame:
     """edges (u, v) with v < u -> edges to the least neighbour of u (or u)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    # written first, so that the join below reads two plain shuffles, of which Spark can split a hot node's
-    least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("m", "u").alias("m")), "least")
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("m", "u").alias("m"))
+    # a large one is written first, so that the join below reads two plain shuffles, of which Spark can split a hot node's
+    least = F.broadcast(least) if few else staged(least, "least")
     moved = both.join(least, F.col("u") == F.col("_u"))
     if large:
         out = moved.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -35,15 +40,16 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     spark = edges.sparkSession
     now = staged(edges.where(F.col(left) != F.col(right)).select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).distinct(), "edges")
     seen = None
+    few = now.count() <= BROADCAST_EDGES
     for _ in range(MAX_ROUNDS):
-        large = staged(_star(now, large=True), "large-star")
-        after = staged(_star(large, large=False), "small-star")
+        large = staged(_star(now, True, few), "large-star")
+        after = staged(_star(large, False, few), "small-star")
         state = after.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         drop_staged(now, large)
         now = after
         if state == seen:
             break
-        seen = state
+        seen, few = state, state[0] <= BROADCAST_EDGES
     else:
         raise RuntimeError(f"connected components have not settled after {MAX_ROUNDS} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -18,44 +18,54 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document. Null and empty texts are classes of their own."""
     return jaccard.jaccard_classes(documents(spark, sf_dir))
 
 
 def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page. Null html gives an empty text."""
     return pages.extract_main_text(documents(spark, sf_dir, "pages"))
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text stored as a media file and read back. Null is stored as an empty text."""
     return media.media_report(documents(spark, sf_dir))
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, fitted on labels outside the held-out fold. Null counts as empty."""
     docs = documents(spark, sf_dir)
     model = quality.fit_quality(docs, documents(spark, sf_dir, "labels"))
     return quality.score_quality(docs, model)
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, each held against the library, and their decoding. Null counts as empty."""
     return pieces.encode_pieces(documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document in token files, read back. Null texts count as empty, null ids stay null."""
     return tokenfiles.token_files_report(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of line runs. Null texts stay null."""
     return linededup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document. Null texts have size 0, a null source is one source."""
     return mixing.mix_report(documents(spark, sf_dir))
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest of every vector whose id is divisible by 20. Unusable vectors take no part."""
     return neighbours.nearest_neighbours(documents(spark, sf_dir, "embeddings"))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document. Null and empty texts have none."""
     return secrets.scan_secrets(documents(spark, sf_dir))
 
 
