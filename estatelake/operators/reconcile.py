@@ -15,17 +15,19 @@ def classify(scan: DataFrame, state: DataFrame) -> DataFrame:
     One left join on the id: the state is first reduced to one row for each id, an active row before an
     inactive one, so that the join neither multiplies rows nor needs a second one.
     """
-    known = state.where(F.col("source_id").isNotNull()).groupBy("source_id").agg(F.max_by(F.struct("listing_id", "price", "status"), F.col("status") == "active").alias("s"))
+    # plain columns of fixed width, which a hash aggregation can hold
+    standing = F.when(F.col("status") == "active", 2).when(F.col("status") == "inactive", 0).otherwise(1)
+    known = state.where(F.col("source_id").isNotNull()).groupBy("source_id").agg(F.max(standing).alias("_standing"), F.max_by("listing_id", standing).alias("_id"), F.max_by("price", standing).alias("_price"))
     joined = keyed(scan).join(known, "source_id", "left")
     action = (
-        F.when(F.col("s").isNull(), "new")
-        .when(F.col("s.status") == "inactive", "reappeared")
-        .when(prices_differ(F.col("s.price"), F.col("price")), "changed")
+        F.when(F.col("_standing").isNull(), "new")
+        .when(F.col("_standing") == 0, "reappeared")
+        .when(prices_differ(F.col("_price"), F.col("price")), "changed")
         .otherwise("unchanged")
     )
     out = joined.withColumn("action", action)
     told = F.col("action").isin("changed", "reappeared")
-    return out.select(*scan.columns, "action", F.when(told, F.col("s.listing_id")).alias("listing_id"), F.when(told, F.col("s.price")).alias("old_price"))
+    return out.select(*scan.columns, "action", F.when(told, F.col("_id")).alias("listing_id"), F.when(told, F.col("_price")).alias("old_price"))
 
 
 def missing(state: DataFrame, seen: DataFrame) -> DataFrame:

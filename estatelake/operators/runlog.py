@@ -1,6 +1,7 @@
 """Run logs: lines to events, context, sessions and reports.
 
-Windows are partitioned by log, since the order of lines means nothing across logs.
+The order of lines means something within a log only. A long log is no single task: lines are dealt out in ranges, a window runs over
+each range, and what a range carries into the next ones of its log comes from one row for each range.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Window as W
 from estatelake.functions.text import after, base_type, before, between, duration_text, error_label, group
 from estatelake.operators.staging import first_sightings, ordered_distinct
 from estatelake.schema import PAGE_SIZE, code_map
+from estatelake.sources.shared import staged
 
 
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -146,13 +148,42 @@ def incremental_events(lines: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
+#: Up to so many (log, range) rows are sent to all tasks.
+BROADCAST_RANGES = 100_000
+
+
+def in_ranges(rows: DataFrame, log: str, order: list[str]) -> DataFrame:
+    """Rows in the order of their log, staged, with their place (_at) and range (_range)."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(parts, log, *order).sortWithinPartitions(log, *order).withColumn("_at", F.monotonically_increasing_id())
+    return staged(placed, "ordered-lines").withColumn("_range", F.shiftright("_at", 33))
+
+
+def _with_ranges(rows: DataFrame, per_range: DataFrame, log: str) -> DataFrame:
+    right = per_range.withColumnsRenamed({log: "_log", "_range": "_of"})
+    few = per_range.count() <= BROADCAST_RANGES
+    return rows.join(F.broadcast(right) if few else right, (F.col(log) == F.col("_log")) & (F.col("_range") == F.col("_of"))).drop("_log", "_of")
+
+
 def with_context(events: DataFrame, log: str, order: list[str]) -> DataFrame:
-    """The region and transaction that a line falls under, and the number of its region session."""
-    up_to = W.partitionBy(log).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    start = F.col("kind") == "region_start"
-    return events.withColumns(
-        {"in_region": F.last(F.when(start, F.col("region")), ignorenulls=True).over(up_to), "in_transaction": F.last("transaction", ignorenulls=True).over(up_to), "session": F.sum(F.coalesce(start, F.lit(False)).cast("int")).over(up_to)}
+    """The region and transaction that a line falls under, and the number of its region session. Staged."""
+    start = F.coalesce(F.col("kind") == "region_start", F.lit(False))
+    rows = in_ranges(events.where(F.col(log).isNotNull()), log, order)
+    here = W.partitionBy(log, "_range").orderBy("_at").rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy(log).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    last = lambda value, given: F.max_by(F.when(given, value), F.when(given, F.col("_at")))
+    ends = rows.groupBy(log, "_range").agg(
+        last(F.struct("region"), start & F.col("region").isNotNull()).alias("region"), last(F.col("transaction"), F.col("transaction").isNotNull()).alias("transaction"), F.sum(start.cast("int")).alias("n")
     )
+    carried = staged(
+        ends.select(
+            log, "_range", F.last("region", ignorenulls=True).over(before).alias("_region"), F.last("transaction", ignorenulls=True).over(before).alias("_transaction"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n")
+        ),
+        "carried",
+    )
+    known = rows.withColumns({"_own": F.last(F.when(start & F.col("region").isNotNull(), F.col("region")), ignorenulls=True).over(here), "_tx": F.last("transaction", ignorenulls=True).over(here), "_k": F.sum(start.cast("int")).over(here)})
+    context = _with_ranges(known, carried, log).withColumns({"in_region": F.coalesce("_own", "_region.region"), "in_transaction": F.coalesce("_tx", "_transaction"), "session": F.col("_k") + F.col("_n")})
+    return staged(context.select(*events.columns, "in_region", "in_transaction", "session"), "log-context")
 
 
 def sessions(context: DataFrame, log: str, ts: str = "log_ts") -> DataFrame:
@@ -206,8 +237,13 @@ def type_counter(context: DataFrame, log: str, order: str) -> DataFrame:
 
 def idle_gaps(lines: DataFrame, log: str, ts: str, order: list[str], limit: int) -> DataFrame:
     """Lines that no other follows for more than ``limit`` seconds."""
-    after = F.lead(ts).over(W.partitionBy(log).orderBy(*order))
-    return lines.withColumn("idle_s", seconds_between(F.col(ts), after)).where(F.col("idle_s") > limit)
+    rows = in_ranges(lines.where(F.col(log).isNotNull()), log, order)
+    firsts = rows.groupBy(log, "_range").agg(F.min_by(F.struct(F.col(ts).alias("t")), "_at").alias("first"))
+    nexts = firsts.select(log, "_range", F.lead("first").over(W.partitionBy(log).orderBy("_range")).alias("_next"))
+    follower = F.lead(F.struct(F.col(ts).alias("t"))).over(W.partitionBy(log, "_range").orderBy("_at"))
+    known = _with_ranges(rows.withColumn("_follower", follower), staged(nexts, "range-starts"), log)
+    seconds = seconds_between(F.col(ts), F.coalesce("_follower", "_next")["t"])
+    return known.withColumn("idle_s", seconds).where(F.col("idle_s") > limit).select(*lines.columns, "idle_s")
 
 
 def key_values(lines: DataFrame, marker: str, line: str = "message") -> DataFrame:

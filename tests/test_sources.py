@@ -1,5 +1,6 @@
 """Sources, sinks, character sets and the idle timer."""
 
+import random
 import time
 from decimal import Decimal
 from pathlib import Path
@@ -8,7 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from estatelake.operators import denorm, pages
+from estatelake.operators import denorm, pages, runlog
 from estatelake.schema import LISTING
 from estatelake.sources import tables
 from estatelake.streaming import streams
@@ -110,3 +111,24 @@ def test_the_idle_timer_fires_in_a_running_stream(spark, tmp_path):
     finally:
         q.stop()
     assert (got[0].log, got[0].region, got[0].listings) == ("a.log", "r1", 7)
+
+
+def test_context_and_gaps_across_ranges(spark):
+    rng = random.Random(8)
+    rows = []
+    for log in ("a", "b", "c"):
+        for i in range(200 if log == "a" else 5):
+            kind = rng.choice(["region_start", "page_saved", "transaction", None])
+            rows.append((log, i, rng.randrange(10**6), kind, f"r{i}" if kind == "region_start" and rng.random() < 0.8 else None, f"t{i}" if kind == "transaction" else None))
+    rows.append((None, 1, 1, "region_start", "r", None))
+    df = spark.createDataFrame(rows, "log string, i int, s long, kind string, region string, transaction string").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz")).repartition(3)
+    want, state = {}, {}
+    for log, i, _, kind, region, transaction in rows[:-1]:
+        r, t, n = state.get(log, (None, None, 0))
+        state[log] = (region or r, transaction or t, n + (kind == "region_start"))
+        want[log, i] = state[log]
+    got = {(r.log, r.i): (r.in_region, r.in_transaction, r.session) for r in runlog.with_context(df, "log", ["i"]).collect()}
+    assert got == want
+    gaps = {(r.log, r.i): r.idle_s for r in runlog.idle_gaps(df, "log", "ts", ["i"], 1000).collect()}
+    steps = {(a[0], a[1]): b[2] - a[2] for a, b in zip(rows, rows[1:], strict=False) if a[0] == b[0]}
+    assert gaps == {k: v for k, v in steps.items() if v > 1000}
