@@ -5,9 +5,11 @@ centroids, and k-means in each of ``PARTS`` slices of the residuals gives the co
 indexed: its nearest centroid and one code byte for each slice.
 
 Queries go to their best lists, as many as the sample says the recall needs, and to more if these hold fewer rows than are asked for.
-The rows and the queries of a list are cut into blocks (``BLOCK_ROWS``, ``QUERY_BLOCK``), each pair of which is a group of its own, so
-that a list with a third of all vectors is many tasks of bounded size. In a group all queries are answered at once: one table of inner
-products of query slices with codewords for each query, summed over codes by lookup, plus the product with the centroid. Rows that
+Neighbouring lists are put together in cells of about ``BLOCK_ROWS`` rows, and a query goes to each cell once, with the numbers of the
+lists that it probes there. The rows and the queries of a cell are cut into blocks (``BLOCK_ROWS``, ``QUERY_BLOCK``), each pair of which
+is a group of its own, so that a list with a third of all vectors is many tasks of bounded size. In a group all queries are
+answered at once: one table of inner products of query slices with codewords for each query, summed over codes by lookup, plus the
+product with the centroid, for rows of the lists that the query probes. Rows that
 may reach the query's floor by these products and the codes' known error, however many, are reranked exactly in double
 precision on the original vectors. The floor is the k-th best product of the query with a small part of the sample, which its k
 nearest cannot fall below. A query that finds fewer than it asks for looks again, in all lists and without a floor. Ties are cut by
@@ -39,10 +41,10 @@ from estatelake.llm.jaccard import groups_of
 
 FIT_ROWS, FIT_VALUES, ROUNDS = 20_000, 1 << 22, 8
 #: Coarse centroids: one for so many rows, within these bounds, and one for LEAST_IN_SAMPLE rows of the sample at most.
-LIST_ROWS, LEAST_LISTS, MOST_LISTS, LEAST_IN_SAMPLE = 16, 8, 4096, 6
+LIST_ROWS, LEAST_LISTS, MOST_LISTS, LEAST_IN_SAMPLE = 8, 8, 4096, 6
 PARTS, CODEWORDS = 32, 256
 #: Probes are set so that on the sample (up to TUNE_QUERIES of it ask for their nearest) this share of neighbours is in a probed list.
-TUNED_RECALL, TUNE_QUERIES, LEAST_PROBES = 0.94, 400, 4
+TUNED_RECALL, TUNE_QUERIES, LEAST_PROBES = 0.93, 400, 4
 #: Rows of the sample that give a query its floor, a quarter of all rows at most.
 FLOOR_ROWS = 2048
 BLOCK_ROWS, QUERY_BLOCK = 4096, 2048
@@ -90,13 +92,21 @@ class Index:
         codes = np.stack([nearest(rest[:, a:b], book) for book, a, b in zip(self.books, self.cuts, self.cuts[1:], strict=False)], axis=1)
         return which, codes.astype(np.uint8)
 
-    def scores(self, queries: np.ndarray, which: int, codes: np.ndarray) -> np.ndarray:
-        """Approximate inner products, queries x rows of one list."""
-        out = np.repeat((queries @ self.centres[which])[:, None], len(codes), axis=1)
+    def scores(self, queries: np.ndarray, lists: np.ndarray, of: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Approximate inner products, queries x rows; row i is in lists[of[i]]."""
+        out = (queries @ self.centres[lists].T)[:, of]
         for p, (book, a, b) in enumerate(zip(self.books, self.cuts, self.cuts[1:], strict=False)):
             out += (queries[:, a:b] @ book.T)[:, codes[:, p]]
         return out
 
+    def cells(self, sizes: np.ndarray) -> np.ndarray:
+        """The cell of each list: lists in the order of coarser clusters, cut after about BLOCK_ROWS rows."""
+        near = nearest(self.centres, kmeans(self.centres, int(max(1, sizes.sum() // BLOCK_ROWS)), 99))
+        order = np.lexsort((np.arange(len(near)), near))
+        out = np.zeros(len(near), np.int32)
+        out[order] = (np.cumsum(sizes[order]) - sizes[order]) // BLOCK_ROWS
+        return out
+
 
 def fit_index(vectors: DataFrame, rows: int, dim: int) -> tuple[Index, np.ndarray]:
     """The index, and the rows of its sample that give floors. vectors: row, v (array<double>, valid)."""
@@ -153,12 +163,12 @@ def _encode(index: Index, dim: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     return task
 
 
-QUERIES = "list int, row long, vec_id long, floor double, v array<double>"
+QUERIES = "cell int, lists array<int>, row long, vec_id long, floor double, v array<double>"
 
 
-def _probe(index: Index, sizes: np.ndarray, floors: np.ndarray | None, dim: int, probes: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Each query with its floor, once for each list that it probes: those whose centroids have the largest products with it, as
-    many as ``probes`` and until they hold k rows besides the query."""
+def _probe(index: Index, sizes: np.ndarray, cells: np.ndarray, floors: np.ndarray | None, dim: int, probes: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each query with its floor, once for each cell with lists that it probes: those whose centroids have the largest products with
+    it, as many as ``probes`` and until they hold k rows besides the query."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -174,8 +184,16 @@ def _probe(index: Index, sizes: np.ndarray, floors: np.ndarray | None, dim: int,
                 need = np.maximum(probes, 1 + np.argmax(held >= min(k + 1, sizes.sum()), axis=1))
                 row = np.repeat(np.arange(len(q)), need)
                 lists = best[row, np.arange(len(row)) - np.repeat(np.cumsum(need) - need, need)]
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(lists), batch.column("row").take(at), batch.column("vec_id").take(at), pa.array(floor[row]), batch.column("v").take(at)], names=["list", "row", "vec_id", "floor", "v"])
+                order = np.lexsort((lists, cells[lists], row))
+                row, lists = row[order], lists[order]
+                cell = cells[lists]
+                first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (cell[1:] != cell[:-1])]))
+                offsets = np.append(first, len(row)).astype(np.int32)
+                at = pa.array(row[first])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell[first]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(lists)), batch.column("row").take(at), batch.column("vec_id").take(at), pa.array(floor[row[first]]), batch.column("v").take(at)],
+                    names=[x.split()[0] for x in QUERIES.split(", ")],
+                )
 
     return task
 
@@ -184,10 +202,10 @@ FOUND = "q_row long, query_id long, vec_id long, row long, score double"
 
 
 def _search(index: Index, dim: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of each block of a list, the k best rows at most for each query of a block of queries, with exact products."""
+    """Of each block of a cell, the k best rows at most for each query of a block of queries, with exact products."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups_of(batches, ["list", "block", "q_block"]):
+        for g in groups_of(batches, ["cell", "block", "q_block"]):
             is_query = g.column("is_query").to_numpy()
             queries, rows = g.filter(pa.array(is_query)), g.filter(pa.array(~is_query))
             if not queries.num_rows or not rows.num_rows:
@@ -197,14 +215,19 @@ def _search(index: Index, dim: int, k: int) -> Callable[[Iterator[pa.RecordBatch
             row, vec_id = row[order], vec_id[order]
             codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8).reshape(rows.num_rows, -1)[order]
             columns = np.ascontiguousarray(_matrix(rows.column("v"), dim)[order].T)
+            lists, of = np.unique(rows.column("lists").combine_chunks().flatten().to_numpy()[order], return_inverse=True)
             q_row, query_id, floor, q = queries.column("row").to_numpy(), queries.column("vec_id").to_numpy(), queries.column("floor").to_numpy(), _matrix(queries.column("v"), dim)
-            which = int(g.column("list")[0].as_py())
+            asked = queries.column("lists").combine_chunks()
+            place = np.searchsorted(lists, asked.flatten().to_numpy())
+            here = lists[np.minimum(place, len(lists) - 1)] == asked.flatten().to_numpy()
+            probed = np.zeros((len(q), len(lists)), bool)
+            probed[np.repeat(np.arange(len(q)), np.diff(asked.offsets.to_numpy()))[here], place[here]] = True
             for a in range(0, len(q), 128):
                 some = q[a : a + 128]
-                told = index.scores(some, which, codes)
+                told = index.scores(some, lists, of, codes)
                 # by how much codes misjudge a product: that of the error's length along the query, three deviations
                 slack = 3 * index.error * np.linalg.norm(some, axis=1) / dim**0.5
-                i, j = np.nonzero((told >= (floor[a : a + 128] - slack)[:, None]) & (q_row[a : a + 128, None] != row[None, :]))
+                i, j = np.nonzero((told >= (floor[a : a + 128] - slack)[:, None]) & probed[a : a + 128][:, of] & (q_row[a : a + 128, None] != row[None, :]))
                 for start in range(0, max(1, len(i)), 1 << 18):
                     yield best_of(q_row, query_id, row, vec_id, a + i[start : start + (1 << 18)], j[start : start + (1 << 18)], q, columns, k)
 
@@ -224,18 +247,18 @@ def best_of(q_row: np.ndarray, query_id: np.ndarray, row: np.ndarray, vec_id: np
 
 
 def _meet(rows: DataFrame, queries: DataFrame, index: Index, dim: int, k: int) -> DataFrame:
-    """The k best of each query (FOUND) among the rows of its lists. Lists are cut by a hash into blocks of rows and of queries, so that no
+    """The k best of each query (FOUND) among the rows of its lists. Cells are cut by a hash into blocks of rows and of queries, so that no
     group has much more than BLOCK_ROWS and QUERY_BLOCK of them."""
-    blocks = lambda t, size, name: t.groupBy(F.col("list").alias("_list")).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
-    cut = blocks(rows, BLOCK_ROWS, "blocks").join(blocks(queries, QUERY_BLOCK, "q_blocks"), "_list")  # a row for each list, MOST_LISTS at most
-    cut = F.broadcast(staged(cut, "list-blocks"))
+    blocks = lambda t, size, name: t.groupBy(F.col("cell").alias("_cell")).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+    cut = blocks(rows, 2 * BLOCK_ROWS, "blocks").join(blocks(queries, QUERY_BLOCK, "q_blocks"), "_cell")
+    cut = F.broadcast(staged(cut, "cell-blocks"))  # a row for each cell, MOST_LISTS at most
     own = lambda n: F.pmod(F.xxhash64("row", F.lit("block")), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    on = F.col("list") == F.col("_list")
-    left = rows.join(cut, on).select("list", own("blocks").alias("block"), every("q_blocks").alias("q_block"), F.lit(False).alias("is_query"), "row", "vec_id", F.lit(None).cast("double").alias("floor"), "code", "v")
-    right = queries.join(cut, on).select("list", every("blocks").alias("block"), own("q_blocks").alias("q_block"), F.lit(True).alias("is_query"), "row", "vec_id", "floor", F.lit(None).cast("binary").alias("code"), "v")
+    on = F.col("cell") == F.col("_cell")
+    left = rows.join(cut, on).select("cell", own("blocks").alias("block"), every("q_blocks").alias("q_block"), F.lit(False).alias("is_query"), "row", "vec_id", F.lit(None).cast("double").alias("floor"), F.array("list").alias("lists"), "code", "v")
+    right = queries.join(cut, on).select("cell", every("blocks").alias("block"), own("q_blocks").alias("q_block"), F.lit(True).alias("is_query"), "row", "vec_id", "floor", "lists", F.lit(None).cast("binary").alias("code"), "v")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = "list", "block", "q_block"
+    key = "cell", "block", "q_block"
     found = left.unionByName(right).repartition(n, *key).sortWithinPartitions(*key).mapInArrow(lean(_search(index, dim, k)), FOUND)
     rank = F.row_number().over(W.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "row"))
     return staged(found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k), "neighbours")
@@ -249,16 +272,18 @@ def _of_length(vectors: DataFrame, n: int, dim: int, every: int, k: int) -> Data
     sizes = np.zeros(len(index.centres), np.int64)
     for r in coded.groupBy("list").count().collect():  # MOST_LISTS at most
         sizes[r[0]] = r[1]
-    rows = coded.join(vectors, "row")
+    cells = index.cells(sizes)
+    cell_of = vectors.sparkSession.createDataFrame(list(enumerate(cells.tolist())), "_list int, cell int")
+    rows = coded.join(F.broadcast(cell_of), F.col("list") == F.col("_list")).drop("_list").join(vectors, "row")
     asked = vectors.where(F.col("vec_id") % every == 0)
-    queries = staged(asked.mapInArrow(lean(_probe(index, sizes, floors, dim, probes, k)), QUERIES), "queries")
+    queries = staged(asked.mapInArrow(lean(_probe(index, sizes, cells, floors, dim, probes, k)), QUERIES), "queries")
     found = _meet(rows, queries, index, dim, k)
     drop_staged(queries)
     enough = found.groupBy(F.col("q_row").alias("_row")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(k, n - 1))
     short = staged(asked.join(enough, F.col("row") == F.col("_row"), "left_anti"), "short-queries")
     if n == 1 or short.isEmpty():
         return found
-    again = _meet(rows, short.mapInArrow(lean(_probe(index, sizes, None, dim, len(index.centres), k)), QUERIES), index, dim, k)
+    again = _meet(rows, short.mapInArrow(lean(_probe(index, sizes, cells, None, dim, len(index.centres), k)), QUERIES), index, dim, k)
     return found.join(short.select(F.col("row").alias("_row")), F.col("q_row") == F.col("_row"), "left_anti").unionByName(again)
 
 
