@@ -29,9 +29,9 @@ import html
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from itertools import repeat
 
 import pyarrow as pa
 import xxhash
@@ -178,124 +178,158 @@ def read_page(page: str) -> tuple[list[str], list[Block]]:
 
 @dataclass
 class Page:
-    """A parsed page: its tags, and of its blocks with text the path, words, flags, slot and place among the tags."""
+    """A parsed page: its tags, and of its blocks with text the path, words (one space between), flags, slot and place among the tags.
+
+    Tokens are tags (paths, which hold no white space), words (``path word``) and whole texts of slots (path, line end, text).
+    """
 
     tags: list[str]
     paths: list[str]
-    texts: list[list[str]]
+    texts: list[str]
     furniture: list[bool]
     article: list[bool]
     slots: list[int]
     at: list[int]
 
-    def slot_texts(self) -> dict[int, tuple[str, list[str]]]:
-        """Slot -> its path and its words, across line breaks, without furniture inside it."""
-        out: dict[int, tuple[str, list[str]]] = {}
-        for path, words, furniture, slot in zip(self.paths, self.texts, self.furniture, self.slots, strict=True):
+    def slot_texts(self) -> dict[int, tuple[str, str]]:
+        """Slot -> its path and its text, across line breaks, without furniture inside it."""
+        out: dict[int, tuple[str, str]] = {}
+        for path, text, furniture, slot in zip(self.paths, self.texts, self.furniture, self.slots, strict=True):
             if not furniture:
-                out.setdefault(slot, (path, []))[1].extend(words)
+                out[slot] = (path, f"{out[slot][1]} {text}" if slot in out else text)
+        return out
+
+    def distinct(self) -> set[str | tuple[str, str]]:
+        """All tokens, words as (path, word)."""
+        out: set[str | tuple[str, str]] = set(self.tags)
+        for path, text in zip(self.paths, self.texts, strict=True):
+            out.update(zip(repeat(path), text.split(" ")))
+        out.update(f"{path}\n{text}" for path, text in self.slot_texts().values())
         return out
 
-    def tokens(self) -> Iterator[tuple[int, int, int]]:
-        """(token, its part of a class, place) of tags in order, of words, and of each slot's whole text. Tags are one part;
-        words of one path are; a text is one by itself."""
+    def found(self, wanted: Wanted) -> Iterator[tuple[str, int]]:
+        """(token, place) of the wanted tokens: tags in order, words in order, and texts, just before their first word."""
         for i, t in enumerate(self.tags):
-            yield tag_hash(t), 0, i * WIDE
+            if t in wanted.tags:
+                yield t, i * WIDE
         first: dict[int, int] = {}
         last, place = None, 0
-        for path, words, slot, at in zip(self.paths, self.texts, self.slots, self.at, strict=True):
-            part = tag_hash(path)
+        for path, text, slot, at in zip(self.paths, self.texts, self.slots, self.at, strict=True):
             if at != last:
                 last, place = at, at * WIDE - WIDE
             first.setdefault(slot, place + 1)
-            for w in words:
-                place += 2
-                yield word_hash(part, w), part, place
-        for slot, (path, words) in self.slot_texts().items():
-            h = text_hash(path, words)
-            yield h, h, first[slot]
+            known = wanted.words.get(path)
+            if known:
+                for k, w in enumerate(text.split(" "), 1):
+                    if w in known:
+                        yield f"{path} {w}", place + 2 * k
+            place += 2 * (text.count(" ") + 1)
+        if wanted.texts:
+            for slot, (path, text) in self.slot_texts().items():
+                if (t := f"{path}\n{text}") in wanted.texts:
+                    yield t, first[slot]
 
 
 #: Places of words between two tags.
 WIDE = 1 << 32
 
 
-def parse(html_text: str) -> Page:
-    tags, blocks = read_page(html_text)
-    found = [(b, w) for b in blocks if (w := b.words())]
-    return Page(tags, [b.path for b, _ in found], [w for _, w in found], [b.furniture for b, _ in found], [b.article for b, _ in found], [b.slot for b, _ in found], [b.at for b, _ in found])
-
-
-def token_hash(token: str) -> int:
-    """Signed 64 bits that stand for a token in shuffles and templates."""
-    return xxhash.xxh64_intdigest(token) - (1 << 63)
-
+def part_of(token: str) -> str:
+    """The part of a class that a token must keep an order with: tags are one, words of one path are, a text is one by itself."""
+    return token if "\n" in token else token[: token.index(" ") + 1] if " " in token else ""
 
-@lru_cache(maxsize=20_000)
-def tag_hash(path: str) -> int:
-    return token_hash(path)
 
+class Wanted:
+    """Some tokens, by kind."""
 
-@lru_cache(maxsize=100_000)
-def word_hash(part: int, word: str) -> int:
-    return token_hash(f"{part} {word}")
+    def __init__(self, tokens: Iterable[str]) -> None:
+        self.tags, self.texts, self.words = set(), set(), {}
+        for t in tokens:
+            if "\n" in t:
+                self.texts.add(t)
+            elif " " in t:
+                path, word = t.split(" ", 1)
+                self.words.setdefault(path, set()).add(word)
+            else:
+                self.tags.add(t)
 
 
-def text_hash(path: str, words: list[str]) -> int:
-    return token_hash(f"{path}\n{' '.join(words)}")
+def parse(html_text: str) -> Page:
+    tags, blocks = read_page(html_text)
+    found = [(b, " ".join(w)) for b in blocks if (w := b.words())]
+    return Page(tags, [b.path for b, _ in found], [t for _, t in found], [b.furniture for b, _ in found], [b.article for b, _ in found], [b.slot for b, _ in found], [b.at for b, _ in found])
 
 
-def main_text(page: Page, template: frozenset[int]) -> str:
+def main_text(page: Page, template: Wanted) -> str:
     """Data of the article's slots, or of all slots that are neither furniture nor template. An article that is nothing but
     template, as on a host of copies, stays."""
     boilerplate = set()
-    if template:
-        for slot, (path, words) in page.slot_texts().items():
-            part = tag_hash(path)
-            if text_hash(path, words) in template or all(word_hash(part, w) in template for w in words):
+    if template.texts or template.words:
+        for slot, (path, text) in page.slot_texts().items():
+            known = template.words.get(path)
+            if f"{path}\n{text}" in template.texts or (known and known.issuperset(text.split(" "))):
                 boilerplate.add(slot)
     kept = [i for i, f in enumerate(page.furniture) if not f]
     data = [i for i in kept if page.slots[i] not in boilerplate]
     chosen = [i for i in data if page.article[i]] or data or [i for i in kept if page.article[i]]
-    return " ".join(" ".join(page.texts[i]) for i in chosen)
+    return " ".join(page.texts[i] for i in chosen)
 
 
 # -- the Spark jobs -------------------------------------------------------------------------------
 
 #: Pages and bytes of a group, in which frequent tokens are named.
 GROUP_PAGES, GROUP_BYTES = 100, 8 << 20
-PARSED = "host string, page_id long, url string, key long, tags array<string>, paths array<string>, texts array<string>, flags array<int>, slots array<int>, at array<int>, pages int, frequent array<long>"
+PARSED = "host string, page_id long, url string, key long, tags array<string>, paths array<string>, texts array<string>, flags array<int>, slots array<int>, at array<int>, pages int, frequent array<string>"
 _PARSED = pa.schema([
     ("host", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("key", pa.int64()), *((c, pa.list_(pa.string())) for c in ("tags", "paths", "texts")),
-    *((c, pa.list_(pa.int32())) for c in ("flags", "slots", "at")), ("pages", pa.int32()), ("frequent", pa.list_(pa.int64())),
+    *((c, pa.list_(pa.int32())) for c in ("flags", "slots", "at")), ("pages", pa.int32()), ("frequent", pa.list_(pa.string())),
 ])
 
 
+KEYED = "host string, part int, page_id long, url string, key long"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages travel compressed."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    names = [x.split()[0] for x in KEYED.split(", ")]
+    for whole in batches:
+        for batch in slices(whole, "html"):
+            data = [pack((t or "").encode("utf-8")) for t in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(data, pa.binary())], names=[*names, "data"])
+
+
 def _parse_groups(support: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A row for each page, and one for each group with its number of pages and its frequent tokens."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        on: Counter[int] = Counter()
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        on: Counter[str | tuple[str, str]] = Counter()
         key, n, size = None, 0, 0
 
         def group() -> pa.RecordBatch:
-            frequent = [t for t, c in on.items() if c >= support * n]
+            frequent = [t if isinstance(t, str) else " ".join(t) for t, c in on.items() if c >= support * n]
             return pa.RecordBatch.from_pylist([{"host": key[0], "pages": n, "frequent": frequent}], schema=_PARSED)
 
         for whole in batches:
-            for batch in slices(whole, "html", 1 << 20):
+            for batch in slices(whole, "data", 1 << 18):
                 rows = []
-                for host, part, page_id, url, mark, text in zip(*(batch.column(c).to_pylist() for c in ("host", "part", "page_id", "url", "key", "html")), strict=True):
+                for host, part, page_id, url, mark, data in zip(*(batch.column(c).to_pylist() for c in ("host", "part", "page_id", "url", "key", "data")), strict=True):
+                    text = unpack(data).decode("utf-8")
                     if n and (key != (host, part) or size > GROUP_BYTES):
                         yield group()
                         on.clear()
                         n = size = 0
                     key = host, part
-                    page = parse(text or "")
-                    on.update({t for t, _, _ in page.tokens()})
-                    n, size = n + 1, size + len(text or "")
+                    page = parse(text)
+                    on.update(page.distinct())
+                    n, size = n + 1, size + len(text)
                     flags = [f + 2 * a for f, a in zip(page.furniture, page.article, strict=True)]
-                    rows.append({"host": host, "page_id": page_id, "url": url, "key": mark, "tags": page.tags, "paths": page.paths, "texts": [" ".join(w) for w in page.texts], "flags": flags, "slots": page.slots, "at": page.at})
+                    rows.append({"host": host, "page_id": page_id, "url": url, "key": mark, "tags": page.tags, "paths": page.paths, "texts": page.texts, "flags": flags, "slots": page.slots, "at": page.at})
                 yield pa.RecordBatch.from_pylist(rows, schema=_PARSED)
         if n:
             yield group()
@@ -305,21 +339,21 @@ def _parse_groups(support: float) -> Callable[[Iterator[pa.RecordBatch]], Iterat
 
 def _pages_of(batch: pa.RecordBatch) -> Iterator[Page]:
     for tags, paths, texts, flags, slots, at in zip(*(batch.column(c).to_pylist() for c in ("tags", "paths", "texts", "flags", "slots", "at")), strict=True):
-        yield Page(tags, paths, [t.split(" ") for t in texts], [f % 2 == 1 for f in flags], [f >= 2 for f in flags], slots, at)
+        yield Page(tags, paths, texts, [f % 2 == 1 for f in flags], [f >= 2 for f in flags], slots, at)
 
 
 _COLUMNS = ("tags", "paths", "texts", "flags", "slots", "at")
-VECTORS = "host string, token long, on long, v1 long, v2 long, v3 long, part long"
+VECTORS = "host string, token string, on long, v1 long, v2 long, v3 long"
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Support and sums of hashes of (page, count) of each candidate token, added up over the pages of the task."""
     held: str | None = None
-    sums: dict[int, list[int]] = {}
-    wanted: frozenset[int] = frozenset()
+    sums: dict[str, list[int]] = {}
+    wanted = Wanted(())
 
     def out() -> pa.RecordBatch:
-        columns = [pa.array([held] * len(sums), pa.string()), pa.array(sums, pa.int64()), *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(5))]
+        columns = [pa.array([held] * len(sums), pa.string()), pa.array(sums, pa.string()), *(pa.array([v[i] for v in sums.values()], pa.int64()) for i in range(4))]
         return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in VECTORS.split(", ")])
 
     for batch in batches:
@@ -327,18 +361,12 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if host != held:
                 if sums:
                     yield out()
-                held, sums, wanted = host, {}, frozenset(candidates.as_py())
-            counts: dict[int, int] = {}
-            for t, part, _ in page.tokens():
-                if t in wanted:
-                    counts[t] = counts.get(t, 0) + 1
-                    if t not in sums:
-                        sums[t] = [0, 0, 0, 0, part]
+                held, sums, wanted = host, {}, Wanted(candidates.as_py())
             marks: dict[int, int] = {}
-            for t, n in counts.items():
+            for t, n in Counter(t for t, _ in page.found(wanted)).items():
                 if n not in marks:
                     marks[n] = xxhash.xxh3_128_intdigest(f"{key} {n}")
-                h, s = marks[n], sums[t]
+                h, s = marks[n], sums.setdefault(t, [0, 0, 0, 0])
                 s[0] += 1
                 s[1] += h & 0x7FFFFFFF
                 s[2] += h >> 31 & 0x7FFFFFFF
@@ -347,7 +375,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _cycle(seen: list[int]) -> tuple[int, ...]:
+def _cycle(seen: list[str]) -> tuple[str, ...]:
     """The tokens of a class in order, once if they come in equal rounds."""
     n = len(set(seen))
     return tuple(seen[:n]) if len(seen) % n == 0 and seen == seen[:n] * (len(seen) // n) else tuple(seen)
@@ -361,7 +389,8 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     more than one); each different finding once for the pages of a host in the task."""
     held: str | None = None
     found: set[tuple[int, int | None, int | None, int | None]] = set()
-    of: dict[int, int] = {}
+    of: dict[str, int] = {}
+    wanted = Wanted(())
     rank: dict[int, int] = {}
 
     def out() -> pa.RecordBatch:
@@ -376,16 +405,16 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 listed = classes.as_py()
                 held, found = host, set()
                 of = {t: c["class"] for c in listed for t in c["tokens"]}
+                wanted = Wanted(of)
                 # larger support first, then more tokens
                 rank = {c["class"]: i for i, c in enumerate(sorted(listed, key=lambda c: (-c["support"], -len(c["tokens"]), c["class"])))}
-            seen: dict[int, list[tuple[int, int]]] = {}
-            for t, _, place in page.tokens():
-                if t in of:
-                    seen.setdefault(of[t], []).append((place, t))
+            seen: dict[int, list[tuple[int, str]]] = {}
+            for t, place in page.found(wanted):
+                seen.setdefault(of[t], []).append((place, t))
             places = {c: sorted(x) for c, x in seen.items()}
             starts = {c: [p for p, _ in x] for c, x in places.items()}
             for c, x in places.items():
-                found.add((c, token_hash(repr(_cycle([t for _, t in x]))), None, None))
+                found.add((c, xxhash.xxh64_intdigest(repr(_cycle([t for _, t in x]))) - (1 << 63), None, None))
                 for outer, y in starts.items():
                     if rank[outer] < rank[c]:
                         first = bisect_left(y, x[0][0])
@@ -394,7 +423,7 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-TEMPLATE = "host string, template array<struct<class:long,parent:long,gap:long,support:long,tokens:array<long>>>"
+TEMPLATE = "host string, template array<struct<class:long,parent:long,gap:long,support:long,tokens:array<string>>>"
 
 
 def nest(classes: list[dict], unordered: set[int], gaps: dict[tuple[int, int], int]) -> list[dict]:
@@ -416,12 +445,12 @@ def _nest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hosts.append(r["host"])
             gaps = {(g["class"], g["outer"]): g["gap"] for g in r["gaps"] or ()}
             out.append(nest(r["classes"], set(r["unordered"] or ()), gaps))
-        kind = pa.list_(pa.struct([*((k, pa.int64()) for k in ("class", "parent", "gap", "support")), ("tokens", pa.list_(pa.int64()))]))
+        kind = pa.list_(pa.struct([*((k, pa.int64()) for k in ("class", "parent", "gap", "support")), ("tokens", pa.list_(pa.string()))]))
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(out, kind)], names=["host", "template"])
 
 
-#: Tables by host of up to so many tokens in all (8 MB) are sent to all tasks; larger ones are joined by a shuffle on the host.
-BROADCAST_TOKENS = 1_000_000
+#: Tables by host of up to so many tokens in all (about 16 MB) are sent to all tasks; larger ones are joined by a shuffle on the host.
+BROADCAST_TOKENS = 200_000
 
 
 def _join_hosts(pages: DataFrame, by_host: DataFrame, size: Column, how: str) -> DataFrame:
@@ -442,7 +471,8 @@ def parsed_pages(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     keyed = _join_hosts(with_host, groups, F.lit(4), "inner").withColumn("key", F.xxhash64("page_id", "html"))
     placed = keyed.withColumn("part", F.pmod(F.xxhash64("key", F.monotonically_increasing_id()), F.col("groups")).cast("int"))
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = placed.select("host", "part", "page_id", "url", "key", "html").repartition(n, "host", "part").sortWithinPartitions("host", "part")
+    packed = placed.select("host", "part", "page_id", "url", "key", "html").mapInArrow(lean(_packed), f"{KEYED}, data binary")
+    dealt = packed.repartition(n, "host", "part").sortWithinPartitions("host", "part")
     return staged(dealt.mapInArrow(lean(_parse_groups(support)), PARSED), "parsed-pages")
 
 
@@ -454,9 +484,11 @@ def deduce_templates(parsed: DataFrame, support: float = SUPPORT) -> DataFrame:
     candidates = staged(named.join(totals.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host")).drop("_host"), "candidate-tokens")
     rows = parsed.where("pages IS NULL")
     vectors = _join_hosts(rows.select("host", "key", *_COLUMNS), candidates.select("host", "candidates"), F.size("candidates"), "inner").mapInArrow(lean(_vectors), VECTORS)
-    exact = vectors.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("on", "v1", "v2", "v3")), F.min("part").alias("part")).where(F.col("on") >= LEAST_PAGES)
+    exact = vectors.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("on", "v1", "v2", "v3"))).where(F.col("on") >= LEAST_PAGES)
     frequent = _join_hosts(exact, candidates.select("host", "total"), F.lit(2), "inner").where(F.col("on") >= support * F.col("total"))
-    classes = frequent.groupBy("host", "on", "v1", "v2", "v3").agg(F.collect_list(F.struct("part", "token")).alias("members")).where(F.size("members") >= LEAST_TOKENS)
+    # as part_of() says
+    part = F.when(F.col("token").contains("\n"), F.col("token")).when(F.col("token").contains(" "), F.substring_index("token", " ", 1)).otherwise("")
+    classes = frequent.groupBy("host", "on", "v1", "v2", "v3").agg(F.collect_list(F.struct(part.alias("part"), "token")).alias("members")).where(F.size("members") >= LEAST_TOKENS)
     # an article's words that fall into a class by chance keep no order: they must not cost the class more than the words of their path
     parts = classes.select("host", "on", F.xxhash64("on", "v1", "v2", "v3").alias("v"), F.explode("members").alias("x")).groupBy("host", "on", F.xxhash64("v", "x.part").alias("class")).agg(F.collect_list("x.token").alias("tokens"))
     by_host = staged(parts.groupBy("host").agg(F.collect_list(F.struct("class", F.col("on").alias("support"), "tokens")).alias("classes")), "token-classes")
@@ -476,12 +508,12 @@ RESULT = "page_id long, url string, text string, n_chars long"
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, tokens = None, frozenset()
+    held, tokens = None, Wanted(())
     for batch in batches:
         out = []
         for host, template, page in zip(batch.column("host").to_pylist(), batch.column("tokens"), _pages_of(batch), strict=True):
             if host != held:
-                held, tokens = host, frozenset(template.as_py() or ())
+                held, tokens = host, Wanted(template.as_py() or ())
             out.append(main_text(page, tokens))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -21,7 +21,9 @@ def texts(spark, rows):
 
 def brute_template(htmls):
     """Valid classes of one host, from whole occurrence vectors."""
-    parsed = [list(pages.parse(h).tokens()) for h in htmls]
+    read = [pages.parse(h) for h in htmls]
+    every = {t if isinstance(t, str) else " ".join(t) for p in read for t in p.distinct()}
+    parsed = [[(t, pages.part_of(t), place) for t, place in p.found(pages.Wanted(every))] for p in read]
     n = len(parsed)
     if n < pages.LEAST_PAGES:
         return set()
@@ -123,7 +125,7 @@ def test_null_empty_long_and_broken_pages(spark):
 def test_frequent_tokens_of_groups_hold_those_of_the_host():
     rng = random.Random(6)
     htmls = [site(rng, i, True) for i in range(40)]
-    sets = [{t for t, _, _ in pages.parse(h).tokens()} for h in htmls]
+    sets = [pages.parse(h).distinct() for h in htmls]
     on = Counter(t for s in sets for t in s)
     named = set()
     for a in range(0, 40, 9):
