@@ -164,7 +164,7 @@ targets AS (SELECT source, source_size, least(weight * fill, (3 * source_size)::
 ranked AS (
   SELECT s.doc_id, s.size, t.source, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS ratio,
-    (('0x' || substr(md5(s.doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+    (('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 odds AS (SELECT *, floor(ratio) AS copies, (ratio - floor(ratio)) * (size::DOUBLE / (size + 50)) AS p FROM ranked),
 keyed AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q, target - copies * source_size AS rest FROM odds),
