@@ -50,6 +50,8 @@ from estatelake.llm.shingles import Sketcher, mix, set_id, shingle_sets
 THRESHOLD, POSITIONS, RECALL = 0.8, 128, 0.9999
 #: Buckets above SMALL sets are split again, at most MAX_DEPTH times in all.
 SMALL, MAX_DEPTH = 64, 3
+#: Runs before the first look at groups.
+FIRST_RUNS = 4
 #: Sets of a block, when sketches or differences are compared, and shingles of a block; groups of no more are compared at once.
 SKETCH_BLOCK, SET_BLOCK, BLOCK_SHINGLES = 512, 256, 4 << 20
 #: Pivots of a large leaf.
@@ -109,17 +111,17 @@ def _sets(positions: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return task
 
 
-def _first_paths(runs: int, positions: int, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _first_paths(runs: range, positions: int, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        start = mix(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
         run, position = np.nonzero(_drawn(start, positions, threshold))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tokens = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, positions)[:, position]
-            keys = _child(start[run][None, :], position[None, :], tokens)
-            rid = np.repeat(batch.column("rid").to_numpy(), len(run))
-            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(keys.reshape(-1).view(np.int64))], names=["rid", "path"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                tokens = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, positions)[:, position]
+                keys = _child(start[run][None, :], position[None, :], tokens)
+                rid, group = (np.repeat(batch.column(c).to_numpy(), len(run)) for c in ("rid", "group"))
+                yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(group), pa.array(keys.reshape(-1).view(np.int64))], names=["rid", "group", "path"])
 
     return task
 
@@ -134,7 +136,7 @@ def _next_paths(positions: int, threshold: float) -> Callable[[Iterator[pa.Recor
             distinct, of = np.unique(paths, return_inverse=True)
             row, position = np.nonzero(_drawn(distinct, positions, threshold)[of])
             keys = _child(paths[row], position, tokens[row, position])
-            yield pa.RecordBatch.from_arrays([pa.array(batch.column("rid").to_numpy()[row]), pa.array(keys.view(np.int64))], names=["rid", "path"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(batch.column(c).to_numpy()[row]) for c in ("rid", "group")), pa.array(keys.view(np.int64))], names=["rid", "group", "path"])
 
     return task
 
@@ -429,9 +431,9 @@ def _compare_differences(threshold: float) -> Callable[[Iterator[pa.RecordBatch]
 
 
 def _buckets(paths: DataFrame, last: bool) -> DataFrame:
-    """path, m (sets in it) of buckets with two sets or more; of leaves with the same sets one stays. Buckets that are still to
-    be split all stay, whatever they hold: each path draws anew, and the runs count as independent tries."""
-    counted = paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("rid")).alias("sig")).where("m > 1")
+    """path, m (sets in it) of buckets that hold sets of two groups or more; of leaves with the same sets one stays. Buckets that are
+    still to be split all stay, whatever they hold: each path draws anew, and the runs count as independent tries."""
+    counted = paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("rid")).alias("sig"), F.min("group").alias("a"), F.max("group").alias("b")).where("a < b")
     split = F.lit(None).cast("long") if last else F.when(F.col("m") > SMALL, F.col("path"))
     return counted.groupBy("m", "sig", split.alias("_split")).agg(F.min("path").alias("path")).select(F.col("path").alias("_path"), "m")
 
@@ -471,10 +473,13 @@ def _large_leaf_edges(leaf: DataFrame, sketches: DataFrame, positions: int) -> D
     return by_pivot.unionByName(_dealt(placed, "path", "b1", "b2").mapInArrow(lean(_compare_rest(positions, ALIKE)), "u long, v long"))
 
 
-def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, positions: int = POSITIONS) -> DataFrame:
-    """node, root over rid: chosen-path runs over the sketches of reps (rid, sketch)."""
-    sketches = reps.select("rid", "sketch")
-    level = staged(sketches.mapInArrow(lean(_first_paths(runs_for(recall), positions, threshold)), "rid long, path long"), "paths")
+PATHS = "rid long, group long, path long"
+
+
+def _edges_of_runs(sketches: DataFrame, runs: range, threshold: float, positions: int) -> DataFrame:
+    """u, v: spanning forests of the buckets of some runs over sketches (rid, group, sketch). A bucket within one group tells nothing
+    new, at any depth."""
+    level = staged(sketches.mapInArrow(lean(_first_paths(runs, positions, threshold)), PATHS), "paths")
     leaves: list[DataFrame] = []
     for depth in range(1, MAX_DEPTH + 1):
         last = depth == MAX_DEPTH
@@ -484,16 +489,33 @@ def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float
         if last:
             break
         large = live.where(F.col("m") > SMALL).select("rid", "path")
-        level = staged(large.join(sketches, "rid").select("rid", "path", "sketch").mapInArrow(lean(_next_paths(positions, threshold)), "rid long, path long"), "paths")
+        level = staged(large.join(sketches, "rid").select("rid", "group", "path", "sketch").mapInArrow(lean(_next_paths(positions, threshold)), PATHS), "paths")
+    plain = sketches.select("rid", "sketch")
     leaf = reduce(DataFrame.unionByName, leaves)
-    small = leaf.where(F.col("m") <= SKETCH_BLOCK).join(sketches, "rid").select("rid", "path", "sketch")
+    small = leaf.where(F.col("m") <= SKETCH_BLOCK).join(plain, "rid").select("rid", "path", "sketch")
     edges = _dealt(small, "path").mapInArrow(lean(_compare_sketches(positions, ALIKE)), "u long, v long")
-    large = leaves[-1].where(F.col("m") > SKETCH_BLOCK)
+    large = leaves[-1].where(F.col("m") > SKETCH_BLOCK).select("rid", "path", "m")
     if not large.isEmpty():
-        edges = edges.unionByName(_large_leaf_edges(large, sketches, positions))
-    out = components(edges, "u", "v")
+        edges = edges.unionByName(_large_leaf_edges(large, plain, positions))
+    edges = staged(edges, "alike")
     drop_staged(*leaves)
-    return out
+    return edges
+
+
+def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, positions: int = POSITIONS) -> DataFrame:
+    """node, root over rid: chosen-path runs over the sketches of reps (rid, sketch). The first runs find most groups; the others skip
+    buckets that lie within one of these, so that a large group is not gone through again in every run."""
+    runs = runs_for(recall)
+    first = min(FIRST_RUNS, runs)
+    found = _edges_of_runs(reps.select("rid", F.col("rid").alias("group"), "sketch"), range(first), threshold, positions)
+    known = components(found, "u", "v")
+    if first == runs:
+        return known
+    known = staged(known, "first-groups")
+    few = known.count() <= BROADCAST_IDS
+    joined = reps.select("rid", "sketch").join(F.broadcast(known) if few else known, F.col("rid") == F.col("node"), "left")
+    more = _edges_of_runs(staged(joined.select("rid", F.coalesce("root", "rid").alias("group"), "sketch"), "grouped-sketches"), range(first, runs), threshold, positions)
+    return components(more.unionByName(known.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))), "u", "v")
 
 
 def _large_group_links(sets: DataFrame, threshold: float) -> DataFrame:
