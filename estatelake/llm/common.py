@@ -18,7 +18,7 @@ from estatelake.sources.shared import shared_dir, stage_path, staged
 __all__ = ["Remembered", "documents", "drop_staged", "lean", "shared_dir", "ship", "slices", "stage_path", "staged"]
 
 #: Bytes of an Arrow batch that goes to a Python worker, where the session says nothing: rows may be of any length.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 6 << 20
 
 
 def drop_staged(*tables: DataFrame) -> None:
