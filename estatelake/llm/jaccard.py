@@ -8,8 +8,8 @@ Sets of five-word shingles are joined at Jaccard similarity ``THRESHOLD``:
    x positions), and a set goes into a bucket for each drawn position by the token there. Buckets of one
    set end. Large buckets are split again and again by newly drawn positions; small ones, and what is
    left at the greatest depth, are compared by brute force on sketches. In a leaf that is still large, sets are first held
-   against a few pivots: those like a pivot of the main cluster are linked by it and need no comparison among themselves,
-   the rest is compared with all, in blocks. The number of runs follows from the target recall.
+   against its centre, the commonest value at each position among some of its sets: those like it form one group and need no
+   comparison among themselves, the rest is compared with all, in blocks. The number of runs follows from the target recall.
 3. What looks alike by sketch is put into groups (connected components). Each pair of a small group is compared exactly
    once on the full shingle sets. A large group is described by its centre, the shingles of more than half of its sets: of each
    set only the difference x to the centre is kept. With f = (1 + t) |x| - (1 - t) |set|, two sets are linked if and only if
@@ -50,12 +50,10 @@ from estatelake.llm.shingles import Sketcher, mix, set_id, shingle_sets
 THRESHOLD, POSITIONS, RECALL = 0.8, 128, 0.9999
 #: Buckets above SMALL sets are split again, at most MAX_DEPTH times in all.
 SMALL, MAX_DEPTH = 64, 3
-#: Runs before the first look at groups.
-FIRST_RUNS = 4
 #: Sets of a block, when sketches or differences are compared, and shingles of a block; groups of no more are compared at once.
 SKETCH_BLOCK, SET_BLOCK, BLOCK_SHINGLES = 512, 256, 4 << 20
-#: Pivots of a large leaf.
-PIVOTS = 8
+#: Sets of a large leaf that give its centre.
+PIVOTS = 64
 #: Up to so many bytes of pivots and of centres are sent to all tasks; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Sketches of pairs at the threshold agree in threshold x positions places, give or take 0.035 x positions; four of these less.
@@ -111,17 +109,17 @@ def _sets(positions: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return task
 
 
-def _first_paths(runs: range, positions: int, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _first_paths(runs: int, positions: int, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = mix(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        start = mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
         run, position = np.nonzero(_drawn(start, positions, threshold))
-        for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
-                tokens = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, positions)[:, position]
-                keys = _child(start[run][None, :], position[None, :], tokens)
-                rid, group = (np.repeat(batch.column(c).to_numpy(), len(run)) for c in ("rid", "group"))
-                yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(group), pa.array(keys.reshape(-1).view(np.int64))], names=["rid", "group", "path"])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, positions)[:, position]
+            keys = _child(start[run][None, :], position[None, :], tokens)
+            rid = np.repeat(batch.column("rid").to_numpy(), len(run))
+            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(keys.reshape(-1).view(np.int64))], names=["rid", "path"])
 
     return task
 
@@ -136,7 +134,7 @@ def _next_paths(positions: int, threshold: float) -> Callable[[Iterator[pa.Recor
             distinct, of = np.unique(paths, return_inverse=True)
             row, position = np.nonzero(_drawn(distinct, positions, threshold)[of])
             keys = _child(paths[row], position, tokens[row, position])
-            yield pa.RecordBatch.from_arrays([*(pa.array(batch.column(c).to_numpy()[row]) for c in ("rid", "group")), pa.array(keys.view(np.int64))], names=["rid", "group", "path"])
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column("rid").to_numpy()[row]), pa.array(keys.view(np.int64))], names=["rid", "path"])
 
     return task
 
@@ -223,13 +221,22 @@ def _compare_sketches(positions: int, alike: float) -> Callable[[Iterator[pa.Rec
     return task
 
 
+def _centre(sketches: np.ndarray) -> np.ndarray:
+    """The commonest value at each position."""
+    out = []
+    for column in sketches.T:
+        values, counts = np.unique(column, return_counts=True)
+        out.append(values[counts.argmax()])
+    return np.array(out, np.uint32)
+
+
 def _attach(positions: int, alike: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For each set of a large leaf the pivot that it is like (null: none) and whether that is in the main cluster, the one of
-    most pivots."""
+    """For each set of a large leaf whether it is like the leaf's centre, and the set that stands for the centre (the pivot that is
+    most like it). Any centre is right, since whatever is not like it is compared with all; a good one leaves little to compare."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = math.ceil(alike * positions)
-        known: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        known: dict[int, tuple[np.ndarray, int]] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -240,19 +247,13 @@ def _attach(positions: int, alike: float) -> Callable[[Iterator[pa.RecordBatch]]
                 if path not in known:
                     if len(known) > 1000:
                         known.clear()
-                    pivots = batch.column("pivots")[int(rows[0])].as_py()
+                    pivots = sorted(batch.column("pivots")[int(rows[0])].as_py(), key=lambda p: p["rid"])
                     sketch = _sketches(pa.array([p["sketch"] for p in pivots]), positions)
-                    forest = Forest(len(pivots))
-                    for i, j in zip(*np.nonzero((sketch[:, None, :] == sketch[None, :, :]).sum(axis=2) >= least), strict=True):
-                        forest.join(int(i), int(j))
-                    cluster = np.array([forest.find(i) for i in range(len(pivots))])
-                    known[path] = sketch, np.array([p["rid"] for p in pivots], np.int64), cluster == np.bincount(cluster).argmax()
-                sketch, rids, in_main = known[path]
-                like = (m[rows][:, None, :] == sketch[None, :, :]).sum(axis=2) >= least
-                like_main = like & in_main
-                main[rows] = like_main.any(axis=1)
-                first = np.where(main[rows], like_main.argmax(axis=1), like.argmax(axis=1))
-                to[rows] = np.where(like.any(axis=1), rids[first], -1)
+                    centre = _centre(sketch)
+                    known[path] = centre, pivots[int((sketch == centre).sum(axis=1).argmax())]["rid"]
+                centre, rid = known[path]
+                main[rows] = (m[rows] == centre).sum(axis=1) >= least
+                to[rows] = np.where(main[rows], rid, -1)
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("path"), batch.column("m"), pa.array(to), pa.array(main)], names=["rid", "path", "m", "pivot", "main"])
 
     return task
@@ -431,9 +432,9 @@ def _compare_differences(threshold: float) -> Callable[[Iterator[pa.RecordBatch]
 
 
 def _buckets(paths: DataFrame, last: bool) -> DataFrame:
-    """path, m (sets in it) of buckets that hold sets of two groups or more; of leaves with the same sets one stays. Buckets that are
-    still to be split all stay, whatever they hold: each path draws anew, and the runs count as independent tries."""
-    counted = paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("rid")).alias("sig"), F.min("group").alias("a"), F.max("group").alias("b")).where("a < b")
+    """path, m (sets in it) of buckets with two sets or more; of leaves with the same sets one stays. Buckets that are still to
+    be split all stay, whatever they hold: each path draws anew, and the runs count as independent tries."""
+    counted = paths.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("rid")).alias("sig")).where("m > 1")
     split = F.lit(None).cast("long") if last else F.when(F.col("m") > SMALL, F.col("path"))
     return counted.groupBy("m", "sig", split.alias("_split")).agg(F.min("path").alias("path")).select(F.col("path").alias("_path"), "m")
 
@@ -450,7 +451,7 @@ def _spread(rows: DataFrame, right: DataFrame, on: Column, width: Column) -> Dat
 
 
 def _large_leaf_edges(leaf: DataFrame, sketches: DataFrame, positions: int) -> DataFrame:
-    """u, v of leaves with more than SKETCH_BLOCK sets: by pivots, and by blocks of what pivots of the main cluster do not link."""
+    """u, v of leaves with more than SKETCH_BLOCK sets: by their centre, and by blocks of what is not like it."""
     held = leaf.join(sketches, "rid")
     order = F.struct(F.xxhash64("rid", "path").alias("h"), "rid", "sketch")
     # the sets of least hash, one for each of PIVOTS cells, so that the choice pre-aggregates
@@ -473,13 +474,10 @@ def _large_leaf_edges(leaf: DataFrame, sketches: DataFrame, positions: int) -> D
     return by_pivot.unionByName(_dealt(placed, "path", "b1", "b2").mapInArrow(lean(_compare_rest(positions, ALIKE)), "u long, v long"))
 
 
-PATHS = "rid long, group long, path long"
-
-
-def _edges_of_runs(sketches: DataFrame, runs: range, threshold: float, positions: int) -> DataFrame:
-    """u, v: spanning forests of the buckets of some runs over sketches (rid, group, sketch). A bucket within one group tells nothing
-    new, at any depth."""
-    level = staged(sketches.mapInArrow(lean(_first_paths(runs, positions, threshold)), PATHS), "paths")
+def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, positions: int = POSITIONS) -> DataFrame:
+    """node, root over rid: chosen-path runs over the sketches of reps (rid, sketch)."""
+    sketches = reps.select("rid", "sketch")
+    level = staged(sketches.mapInArrow(lean(_first_paths(runs_for(recall), positions, threshold)), "rid long, path long"), "paths")
     leaves: list[DataFrame] = []
     for depth in range(1, MAX_DEPTH + 1):
         last = depth == MAX_DEPTH
@@ -489,33 +487,16 @@ def _edges_of_runs(sketches: DataFrame, runs: range, threshold: float, positions
         if last:
             break
         large = live.where(F.col("m") > SMALL).select("rid", "path")
-        level = staged(large.join(sketches, "rid").select("rid", "group", "path", "sketch").mapInArrow(lean(_next_paths(positions, threshold)), PATHS), "paths")
-    plain = sketches.select("rid", "sketch")
+        level = staged(large.join(sketches, "rid").select("rid", "path", "sketch").mapInArrow(lean(_next_paths(positions, threshold)), "rid long, path long"), "paths")
     leaf = reduce(DataFrame.unionByName, leaves)
-    small = leaf.where(F.col("m") <= SKETCH_BLOCK).join(plain, "rid").select("rid", "path", "sketch")
+    small = leaf.where(F.col("m") <= SKETCH_BLOCK).join(sketches, "rid").select("rid", "path", "sketch")
     edges = _dealt(small, "path").mapInArrow(lean(_compare_sketches(positions, ALIKE)), "u long, v long")
-    large = leaves[-1].where(F.col("m") > SKETCH_BLOCK).select("rid", "path", "m")
+    large = leaves[-1].where(F.col("m") > SKETCH_BLOCK)
     if not large.isEmpty():
-        edges = edges.unionByName(_large_leaf_edges(large, plain, positions))
-    edges = staged(edges, "alike")
+        edges = edges.unionByName(_large_leaf_edges(large, sketches, positions))
+    out = components(edges, "u", "v")
     drop_staged(*leaves)
-    return edges
-
-
-def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, positions: int = POSITIONS) -> DataFrame:
-    """node, root over rid: chosen-path runs over the sketches of reps (rid, sketch). The first runs find most groups; the others skip
-    buckets that lie within one of these, so that a large group is not gone through again in every run."""
-    runs = runs_for(recall)
-    first = min(FIRST_RUNS, runs)
-    found = _edges_of_runs(reps.select("rid", F.col("rid").alias("group"), "sketch"), range(first), threshold, positions)
-    known = components(found, "u", "v")
-    if first == runs:
-        return known
-    known = staged(known, "first-groups")
-    few = known.count() <= BROADCAST_IDS
-    joined = reps.select("rid", "sketch").join(F.broadcast(known) if few else known, F.col("rid") == F.col("node"), "left")
-    more = _edges_of_runs(staged(joined.select("rid", F.coalesce("root", "rid").alias("group"), "sketch"), "grouped-sketches"), range(first, runs), threshold, positions)
-    return components(more.unionByName(known.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))), "u", "v")
+    return out
 
 
 def _large_group_links(sets: DataFrame, threshold: float) -> DataFrame:
