@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import jaccard, linededup, media, mixing, neighbours, pages, pieces, quality, secrets, tokenfiles
+from estatelake.llm import centroids, chat, jaccard, linededup, media, mixing, negatives, neighbours, pages, pieces, quality, secrets, tokenfiles
 from estatelake.llm.common import documents
 
 
@@ -69,9 +69,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(documents(spark, sf_dir))
 
 
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read back of every conversation, and of one made of control strings, formatted as examples of one reply each. Null texts count as empty."""
+    return chat.chat_report(chat.format_conversations(chat.with_hostile(documents(spark, sf_dir, "conversations"))))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and exact distance of every usable vector after ten rounds. Unusable vectors take no part."""
+    return centroids.cluster(documents(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every positive of every anchor. Unusable rows take no part."""
+    return negatives.mine(documents(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_html_main_text, op3_media_columns, op4_quality_classifier, op5_sentencepiece, op6_token_files, op7_line_dedup, op8_source_mix, op9_nearest_neighbours, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_html_main_text, op3_media_columns, op4_quality_classifier, op5_sentencepiece, op6_token_files, op7_line_dedup, op8_source_mix, op9_nearest_neighbours, op10_secret_scan, op11_chat_formatting, op12_centroid_clusters, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_jaccard_join": jaccard.SQL, "op7_line_dedup": linededup.SQL, "op8_source_mix": mixing.SQL}
+    return {"op1_jaccard_join": jaccard.SQL, "op7_line_dedup": linededup.SQL, "op8_source_mix": mixing.SQL, "op11_chat_formatting": chat.SQL, "op12_centroid_clusters": centroids.SQL, "op13_hard_negatives": negatives.SQL}
