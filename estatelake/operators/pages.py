@@ -1,6 +1,6 @@
 """Raw portal pages to typed rows, with JVM expressions only.
 
-Each card or block is cut out first, so that a pattern cannot read beyond it. A pattern that does not
+Each card or block is cut out first, with all that is nested in it, so that a pattern cannot read beyond it. A pattern that does not
 match gives null, never an error.
 """
 
@@ -10,93 +10,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.functions import text as fx
+from estatelake.operators import markup as mk
 from estatelake.schema import CONSTRUCTIONS, DETAIL_COLUMNS, LISTING, TRANSACTIONS, code_map
 
-# XML's own entities and the no-break space.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
-
-
-def _character(code: Column) -> Column:
-    """The character of a code point; what is none is the replacement character."""
-    is_one = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    return F.when(is_one, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
-
-
-def _numeric(piece: Column) -> Column:
-    """A piece of text that starts with a numeric character reference (``&#8364;`` or ``&#x20AC;``), with that decoded."""
-    digits, hexes = F.regexp_extract(piece, r"\A&#(\d{1,9});?", 1), F.regexp_extract(piece, r"\A&#[xX]([0-9a-fA-F]{1,7});?", 1)
-    code = F.when(digits != "", digits.try_cast("long")).when(hexes != "", F.conv(hexes, 16, 10).try_cast("long"))
-    rest = F.regexp_replace(piece, r"\A&#(?:\d{1,9}|[xX][0-9a-fA-F]{1,7});?", "")
-    return F.when(code.isNotNull(), F.concat(_character(code), rest)).otherwise(piece)
-
-
-def decode(x: Column) -> Column:
-    """Named and numeric character references, each once."""
-    x = F.when(x.contains("&#"), F.array_join(F.transform(F.split(x, "(?=&#)"), _numeric), "")).otherwise(x)
-    for entity, char in ENTITIES:
-        x = F.replace(x, F.lit(entity), F.lit(char))
-    return x
-
-
-def plain(x: Column) -> Column:
-    """Text without markup, entities decoded."""
-    return decode(F.regexp_replace(x, r"<[^>]*>", ""))
-
-
-def _open(tag: str, name: str | None) -> str:
-    return rf'<{tag}\b[^>]*\bclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>' if name else rf"<{tag}\b[^>]*>"
-
-
-def tag_of(x: Column, tag: str, name: str | None = None) -> Column:
-    return F.nullif(F.regexp_extract(x, _open(tag, name), 0), F.lit(""))
-
-
-def inner(x: Column, tag: str, name: str | None = None) -> Column:
-    """Content of the first such element up to its next end tag of that kind."""
-    pattern = rf"(?s){_open(tag, name)}(.*?)</{tag}>"
-    return F.when(x.rlike(pattern), F.regexp_extract(x, pattern, 1))
-
-
-def attribute(tag: Column, name: str) -> Column:
-    return fx.group(tag, rf'\b{name}="([^"]*)"')
-
 
 def https(url: Column) -> Column:
     return F.when(url.startswith("//"), F.concat(F.lit("https:"), url)).otherwise(url)
 
 
+def _columns(rows: DataFrame, **expressions: str) -> DataFrame:
+    """rows with further columns. Later steps refer to them by name, so that nothing is cut out twice."""
+    return rows.withColumns({name: F.expr(e) for name, e in expressions.items()})
+
+
 def cards(pages: DataFrame) -> DataFrame:
-    """url, place, card: a row for each ``div`` whose id starts with ``ida``; pages without cards give none."""
-    pieces = F.split("html", r'(?=<div\b[^>]*\bid="ida)')
-    found = F.filter(pieces, lambda p: p.rlike(r'^<div\b[^>]*\bid="ida'))
-    return pages.select("url", F.posexplode(found).alias("place", "card"))
+    """url, place, card: a row for each ``div`` whose id starts with ``ida``, up to its own end tag; pages without cards give none. A card holds no other one."""
+    start = mk.id_tag("div", "ida")
+    pieces = f"filter(split({mk.tidy('html')}, {mk.literal(f'(?i)(?={start})')}), p -> {mk.has('p', f'^{start}')})"
+    found = pages.select("url", F.posexplode(F.expr(pieces)).alias("place", "_piece"))
+    return found.select("url", "place", F.expr(f"concat(substring_index(_piece, '>', 1), '>', {mk.inside('_piece', 'div')})").alias("card"))
 
 
 def card_columns(cards_: DataFrame) -> DataFrame:
-    """Typed columns of each card."""
-    card = F.col("card")
-    head = F.regexp_extract(card, r"^<div\b[^>]*>", 0)
-    title = inner(card, "a", "title")
-    place_text = F.trim(plain(inner(title, "location")))
-    name = F.ltrim(plain(F.regexp_replace(title, r"(?s)<location\b[^>]*>.*?</location>", "")))
-    with_place = place_text.isNotNull()
-    locality, area = fx.split_location(place_text)
-    kind, place = fx.split_locality(locality)
-    info = plain(inner(card, "div", "info"))
-    agency = fx.blank_to_null(plain(inner(F.regexp_extract(card, rf"(?s){_open('div', 'seller')}.*", 0), "a")))
-    poster = F.when(agency.isNotNull(), "агенция").otherwise("собственик")
-    price = F.regexp_replace(inner(card, "div", "price"), r"<br\s*/?>", "\n")
-    return cards_.select(
+    """Typed columns of each card, in steps: its blocks, their texts, and the fields that are read from them."""
+    blocks = _columns(
+        cards_, _head="concat(substring_index(card, '>', 1), '>')", _link=mk.start_tag("card", "a", "title"), _title=mk.element("card", "a", "title"), _price=mk.element("card", "div", "price"), _info=mk.element("card", "div", "info"),
+        _agency=mk.element(mk.element(mk.element("card", "div", "seller"), "div", "name"), "a"), _photos=mk.element("card", "a", "photos"),
+    )
+    without_place = f"regexp_replace(_title, {mk.literal(r'(?is)<location\b[^>]*>.*?(?:</location\s*>|\z)')}, '<!>')"
+    written = _columns(
+        blocks, _place=mk.text(mk.element("_title", "location")), _name=mk.text(without_place), _first=mk.plain(f"get({mk.texts('_price')}, 0)"), _said=mk.text("_info", " "), _by=mk.text("_agency"),
+        _id=mk.attribute("_head", "id"), _classes=f"split({mk.strip(mk.attribute('_head', 'class'))}, {mk.literal(r'\s+')})", _href=mk.attribute("_link", "href"),
+    )
+    placed = written.withColumns(dict(zip(("_locality", "_area"), fx.split_location(F.col("_place")), strict=True)))
+    kind, place = fx.split_locality(F.col("_locality"))
+    with_place, by_agency = F.col("_place").isNotNull(), F.col("_agency").isNotNull()
+    return placed.select(
         "url", "place",
-        F.nullif(F.regexp_replace(attribute(head, "id"), "^ida", ""), F.lit("")).alias("source_id"),
-        fx.blank_to_null(F.get(F.split(F.trim(attribute(head, "class")), r"\s+"), F.lit(1))).alias("listing_tier"),
-        https(attribute(tag_of(card, "a", "title"), "href")).alias("listing_url"),
-        F.when(with_place, fx.property_type(name)).alias("property_type"),
-        F.when(with_place, kind).alias("locality_type"), F.when(with_place, place).alias("locality"), F.when(with_place, area).alias("area"),
-        fx.blank_to_null(plain(F.split(F.ltrim(price), "\n")[0])).alias("price_raw"),
-        fx.area_m2(info).alias("area_m2"), fx.floor_text(info).alias("floor"),
-        poster.alias("poster_type"), agency.alias("agency_name"), F.when(agency.isNotNull(), fx.phone(info)).alias("agency_phone"),
-        F.coalesce(inner(card, "a", "photos").rlike(r"<strong\b"), F.lit(False)).alias("has_photos"),
+        F.nullif(F.regexp_replace("_id", "^ida", ""), F.lit("")).alias("source_id"),
+        fx.blank_to_null(F.get("_classes", F.lit(1))).alias("listing_tier"),
+        https(F.col("_href")).alias("listing_url"),
+        # a title of nothing but the verb has no type
+        F.when(with_place, fx.property_type(F.concat("_name", F.lit(" ")))).alias("property_type"),
+        F.when(with_place, kind).alias("locality_type"), F.when(with_place, place).alias("locality"), F.when(with_place, F.col("_area")).alias("area"),
+        fx.blank_to_null(F.split("_first", "\n")[0]).alias("price_raw"),
+        fx.area_m2(F.col("_said")).alias("area_m2"), fx.floor_text(F.col("_said")).alias("floor"),
+        F.when(by_agency, "агенция").otherwise("собственик").alias("poster_type"), F.nullif("_by", F.lit("")).alias("agency_name"), F.when(by_agency, fx.phone(F.col("_said"))).alias("agency_phone"),
+        F.coalesce(F.expr(mk.has("_photos", r"<strong\b")), F.lit(False)).alias("has_photos"),
         F.lit("active").alias("status"),
     )
 
@@ -116,42 +76,52 @@ def reject_cards(rows: DataFrame) -> DataFrame:
     return rows.where("source_id IS NULL OR listing_url IS NULL")
 
 
-def capped(html: Column) -> Column:
-    """Whether the search summary, and nothing else, says ``1000+``."""
-    return F.coalesce(inner(html, "div", "SearchInfoLine").contains("1000+"), F.lit(False))
+def capped(html: str = "html") -> Column:
+    """Whether the text of the search summary, and nothing else, says ``1000+``."""
+    return F.coalesce(F.expr(mk.text(mk.element(mk.tidy(html), "div", "SearchInfoLine"))).contains("1000+"), F.lit(False))
 
 
-def content_valid(page_type: Column, html: Column) -> Column:
-    listings = html.rlike(r'<div\b[^>]*\bid="ida') | html.rlike(_open("div", "SearchInfoLine"))
-    return F.when(page_type == "listings", listings).when(page_type == "detail", html.rlike(_open("div", "adPrice"))).otherwise(True)
+def content_valid(page_type: str = "page_type", html: str = "html") -> Column:
+    kind, holds = F.col(page_type), lambda pattern: F.expr(mk.has(html, pattern))
+    listings = holds(mk.id_tag("div", "ida")) | holds(mk.open_tag("div", "SearchInfoLine"))
+    return F.when(kind == "listings", listings).when(kind == "detail", holds(mk.open_tag("div", "adPrice"))).otherwise(True)
+
+
+def _labelled(params: str) -> str:
+    """(label, block) of each ``div``, at any depth, that begins with a text: that text, and all of the div's content."""
+    label = mk.strip(mk.plain(f"regexp_extract(p, {mk.literal(r'(?i)\A<div[^>]*>([^<]*)')}, 1)"))
+    block = mk.inside("array_join(slice(parts, i + 1, size(parts)), '')", "div")
+    found = f"filter(transform(parts, (p, i) -> struct({label} AS label, i AS i)), x -> x.label <> '')"
+    blocks = f"transform({found}, x -> struct(x.label AS label, {mk.let('i', 'x.i', block)} AS block))"
+    return mk.let("parts", f"split({params}, {mk.literal(r'(?i)(?=<div(?![\w-]))')})", blocks)
 
 
 def detail_columns(pages: DataFrame) -> DataFrame:
-    """url and the eight detail columns of each detail page."""
-    html = F.col("html")
-    info = F.regexp_extract(html, rf"(?s){_open('div', 'adPrice')}.*?{_open('div', 'info')}(.*?</div>)", 1)
-    date = F.trim(plain(inner(info, "div")))
-    params = F.regexp_extract(html, rf"(?s){_open('div', 'adParams')}(.*?)(?:</div>\s*</div>|$)", 1)
-    pairs = F.regexp_extract_all(F.concat(params, F.lit("</div>")), F.lit(r"(?s)<div[^>]*>\s*([^<]+?:)\s*(.*?)</div>"), 0)
-    label = lambda p: F.trim(F.regexp_extract(p, r"(?s)<div[^>]*>\s*([^<]+?:)", 1))
-    strong = lambda p: fx.blank_to_null(plain(F.regexp_extract(p, r"(?s)<strong[^>]*>(.*?)</strong>", 1)))
-    last = lambda name: F.try_element_at(F.filter(pairs, lambda p: label(p) == name), F.lit(-1))
-    built = last("Строителство:")
-    strongs = F.regexp_extract_all(built, F.lit(r"(?s)<strong[^>]*>(.*?)</strong>"), 1)
-    items = F.regexp_extract(html, rf"(?s){_open('div', 'carExtri')}.*?{_open('div', 'items')}(.*?)</div>\s*</div>", 1)
-    names = F.transform(F.regexp_extract_all(F.concat(items, F.lit("</div>")), F.lit(r"(?s)<div[^>]*>(.*?)</div>"), 1), lambda x: F.trim(plain(x)))
-    features = F.array_join(F.filter(names, lambda x: (x != "") & ~F.lower(x).isin(*CONSTRUCTIONS)), ", ")
+    """url and the eight detail columns of each detail page, in steps like those of a card."""
+    blocks = _columns(
+        pages.select("url", F.expr(mk.tidy("html")).alias("_html")),
+        _date=f"get({mk.children(mk.element(mk.element('_html', 'div', 'adPrice'), 'div', 'info'), 'div')}, 0)",
+        _params=_labelled(mk.element("_html", "div", "adParams")),
+        _items=mk.children(mk.element(mk.element("_html", "div", "carExtri"), "div", "items"), "div"),
+    )
+    # the last block of a label that holds a value
+    last = lambda name: f"try_element_at(filter(_params, x -> x.label = {mk.literal(name)} AND {mk.has('x.block', r'<strong\b')}), -1).block"
+    values = _columns(blocks, _when=mk.text("_date"), _gas_block=last("Газ:"), _tec_block=last("ТEЦ:"), _built=last("Строителство:"), _names=f"transform(_items, item -> {mk.text('item')})")
+    status = f"regexp_extract(_built, {mk.literal(r'(?is)<strong\b.*?</strong\s*>([^<]*)')}, 1)"
+    strongs = _columns(values, _kind=mk.text(mk.element("_built", "strong")), _status=mk.strip(mk.plain(status)), _year=mk.text(f"get({mk.children('_built', 'strong')}, 1)"), _gas=mk.text(mk.element("_gas_block", "strong")), _tec=mk.text(mk.element("_tec_block", "strong")))
+    date = F.col("_when")
+    features = F.array_join(F.filter("_names", lambda x: (x != "") & ~F.lower(x).isin(*CONSTRUCTIONS)), ", ")
     columns = {
-        "date_posted": F.when(date.startswith("Публикувана"), date),
-        "date_modified": F.when(~date.startswith("Публикувана") & date.startswith("Коригирана"), date),
-        "gas": strong(last("Газ:")),
-        "tec": strong(last("ТEЦ:")),
-        "construction_type": F.nullif(F.rtrim(F.trim(plain(F.get(strongs, F.lit(0)))), F.lit(", ")), F.lit("")),
-        "construction_status": fx.blank_to_null(F.regexp_replace(plain(F.regexp_extract(built, r"(?s)</strong>([^<]*)", 1)), ",", "")),
-        "year_built": fx.year_built(plain(F.get(strongs, F.lit(1)))),
+        "date_posted": F.when(date.contains("Публикувана"), date),
+        "date_modified": F.when(~date.contains("Публикувана") & date.contains("Коригирана"), date),
+        "gas": F.nullif("_gas", F.lit("")),
+        "tec": F.nullif("_tec", F.lit("")),
+        "construction_type": F.nullif(F.rtrim("_kind", F.lit(", ")), F.lit("")),
+        "construction_status": F.nullif("_status", F.lit("")),
+        "year_built": fx.year_built(F.col("_year")),
         "features": F.nullif(features, F.lit("")),
     }
-    return pages.select("url", *(columns[c].alias(c) for c in DETAIL_COLUMNS))
+    return strongs.select("url", *(columns[c].alias(c) for c in DETAIL_COLUMNS))
 
 
 def enrich(listings: DataFrame, details: DataFrame) -> DataFrame:

@@ -12,27 +12,46 @@ from estatelake.operators.staging import keyed
 def classify(scan: DataFrame, state: DataFrame) -> DataFrame:
     """Adds action, listing_id and old_price to each row of scan (source_id, price).
 
-    One left join on the id: the state is first reduced to one row for each id, an active row before an
-    inactive one, so that the join neither multiplies rows nor needs a second one.
+    One left join on the id: the state is first reduced to one row for each id, so that the join neither multiplies rows nor needs a second
+    one. Only active and inactive rows are known, others are as if they were not there. An active row goes before an inactive one; of two of
+    one status that with the larger listing_id counts, rows without one last. listing_id is unique among the rows of a status.
     """
     # plain columns of fixed width, which a hash aggregation can hold
-    standing = F.when(F.col("status") == "active", 2).when(F.col("status") == "inactive", 0).otherwise(1)
-    known = state.where(F.col("source_id").isNotNull()).groupBy("source_id").agg(F.max(standing).alias("_standing"), F.max_by("listing_id", standing).alias("_id"), F.max_by("price", standing).alias("_price"))
+    held = state.where(F.col("source_id").isNotNull() & F.col("status").isin("active", "inactive"))
+    active, listing = F.col("status") == "active", F.coalesce(F.col("listing_id").cast("long"), F.lit(-(1 << 62)))
+    best = lambda of: (F.max_by("listing_id", F.when(of, listing)), F.max_by("price", F.when(of, listing)))
+    (a_id, a_price), (i_id, i_price) = best(active), best(~active)
+    known = held.groupBy("source_id").agg(F.bool_or(active).alias("_active"), a_id.alias("_a_id"), a_price.alias("_a_price"), i_id.alias("_i_id"), i_price.alias("_i_price"))
     joined = keyed(scan).join(known, "source_id", "left")
-    action = (
-        F.when(F.col("_standing").isNull(), "new")
-        .when(F.col("_standing") == 0, "reappeared")
-        .when(prices_differ(F.col("_price"), F.col("price")), "changed")
-        .otherwise("unchanged")
-    )
+    is_active = F.col("_active")
+    action = F.when(is_active.isNull(), "new").when(~is_active, "reappeared").when(prices_differ(F.col("_a_price"), F.col("price")), "changed").otherwise("unchanged")
     out = joined.withColumn("action", action)
     told = F.col("action").isin("changed", "reappeared")
-    return out.select(*scan.columns, "action", F.when(told, F.col("_id")).alias("listing_id"), F.when(told, F.col("_price")).alias("old_price"))
+    of_standing = lambda name: F.when(told, F.when(is_active, F.col(f"_a_{name}")).otherwise(F.col(f"_i_{name}")))
+    return out.select(*scan.columns, "action", of_standing("id").alias("listing_id"), of_standing("price").alias("old_price"))
 
 
 def missing(state: DataFrame, seen: DataFrame) -> DataFrame:
-    """Active rows of the state whose id no region has seen."""
-    return state.where((F.col("status") == "active") & F.col("source_id").isNotNull()).join(keyed(seen).select("source_id"), "source_id", "left_anti")
+    """Active rows of the state whose id no region has seen. Ids belong to a transaction: where seen names it, an id is seen in its own one only."""
+    keys = ["transaction_type", "source_id"] if "transaction_type" in seen.columns else ["source_id"]
+    return state.where((F.col("status") == "active") & F.col("source_id").isNotNull()).join(keyed(seen).select(*keys), keys, "left_anti")
+
+
+def missing_gated(state: DataFrame, seen: DataFrame, gate: DataFrame) -> DataFrame:
+    """Missing rows as actions, of those transactions only whose scan is complete; from a partial scan, what was not seen may well be there.
+
+    gate: runstate.missing_gate, a row for each transaction. It thins the state out before the anti-join, so that a transaction that is held back costs
+    nothing. A transaction without a row is not in the run and has no missing rows."""
+    allowed = gate.where("missing_allowed").select("transaction_type")
+    open_state = state.where(F.col("status") == "active").join(F.broadcast(allowed), "transaction_type", "left_semi")  # a row for each transaction of a run
+    rows = missing(open_state, seen)
+    return rows.select("transaction_type", "source_id", "listing_id", F.lit("missing").alias("action"), F.lit(None).cast("decimal(20,4)").alias("old_price"), F.lit(None).cast("decimal(20,4)").alias("new_price"))
+
+
+def missing_report(missing_rows: DataFrame, gate: DataFrame) -> DataFrame:
+    """The gate of each transaction with the number of its missing rows."""
+    counts = missing_rows.groupBy("transaction_type").agg(F.count(F.lit(1)).alias("missing"))
+    return gate.join(counts, "transaction_type", "left").withColumn("missing", F.coalesce("missing", F.lit(0)))
 
 
 def effective(classified: DataFrame, valid_ids: DataFrame) -> DataFrame:

@@ -77,6 +77,15 @@ def completeness(expected: DataFrame, events: DataFrame) -> DataFrame:
     return out.withColumn("missing_allowed", F.col("all_done") & (F.col("failed_units") == 0))
 
 
+def missing_gate(expected: DataFrame, events: DataFrame) -> DataFrame:
+    """transaction_type, missing_allowed, reason: whether a transaction's scan is so complete that what it has not seen is missing, and else what holds it back."""
+    gate = completeness(expected, events)
+    both = F.col("all_done")
+    pending = pending_regions(expected, events).groupBy("transaction_type").agg(F.count(F.lit(1)).alias("_pending"))
+    reason = F.when(F.col("failed_units") > 0, F.concat("failed_units", F.lit(" failed units"))).when(F.col("_pending") > 0, F.concat("_pending", F.lit(" pending regions"))).when(~both, "regions that were not expected").otherwise("complete")
+    return gate.join(pending, "transaction_type", "left").select("transaction_type", "missing_allowed", reason.alias("reason"))
+
+
 def run_status(gate: DataFrame) -> DataFrame:
     """The run is partial if anything failed, complete if every transaction is, else running."""
     return gate.agg(F.when(F.bool_or(F.col("failed_units") > 0), "partial").when(F.bool_and(F.col("missing_allowed")), "complete").otherwise("running").alias("run_status"), F.count(F.lit(1)).alias("transactions"))

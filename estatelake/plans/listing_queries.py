@@ -172,6 +172,11 @@ query("classify_listings", f"SELECT source_id, region, action, listing_id, CAST(
     lambda t: classified(t).select("source_id", "region", "action", "listing_id", F.col("price").cast("double").alias("price"), F.col("old_price").cast("double").alias("old_price"))
 )
 query("missing_listings", "SELECT source_id, listing_id FROM {state} s WHERE status = 'active' AND NOT EXISTS (SELECT 1 FROM {sightings} i WHERE i.source_id = s.source_id)")(lambda t: reconcile.missing(t.state, t.sightings).select("source_id", "listing_id"))
+KNOWN = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY status, listing_id DESC NULLS LAST) AS rn FROM {state_all} WHERE status IN ('active', 'inactive')) AS k WHERE rn = 1)"
+query("classify_all_states", f"""SELECT f.source_id, CASE WHEN s.source_id IS NULL THEN 'new' WHEN s.status = 'inactive' THEN 'reappeared' WHEN s.price IS DISTINCT FROM {PRICE} THEN 'changed' ELSE 'unchanged' END AS action,
+  CASE WHEN s.status = 'inactive' OR s.price IS DISTINCT FROM {PRICE} THEN s.listing_id END AS listing_id, CAST(CASE WHEN s.status = 'inactive' OR s.price IS DISTINCT FROM {PRICE} THEN s.price END AS DOUBLE) AS old_price FROM {FIRSTS} AS f LEFT JOIN {KNOWN} AS s ON f.source_id = s.source_id""")(
+    lambda t: reconcile.classify(scan_rows(t).select("source_id", "price"), t.state_all).select("source_id", "action", "listing_id", F.col("old_price").cast("double").alias("old_price"))
+)
 query("region_action_counts", f"SELECT region, count(*) FILTER (WHERE action = 'new') AS new, count(*) FILTER (WHERE action = 'changed') AS changed, count(*) FILTER (WHERE action = 'unchanged') AS unchanged, count(*) FILTER (WHERE action = 'reappeared') AS reappeared, count(*) FILTER (WHERE action <> 'unchanged') AS output_rows FROM {CLASSIFIED} GROUP BY region")(
     lambda t: classified(t).groupBy("region").agg(*(F.count_if(F.col("action") == a).alias(a) for a in ("new", "changed", "unchanged", "reappeared")), F.count_if(F.col("action") != "unchanged").alias("output_rows"))
 )

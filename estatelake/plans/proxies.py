@@ -27,6 +27,18 @@ SELECT CAST(o_orderkey AS STRING) AS source_id, o_orderkey + 1000000 AS listing_
   CASE WHEN o_orderkey % 2 = 0 THEN 'sale' ELSE 'rental' END AS transaction_type,
   CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE o_orderdate END AS date_last_checked, o_custkey AS property_id
 FROM {orders} WHERE o_orderstatus IN ('O', 'F')""",
+    "state_all": """
+SELECT source_id, listing_id, status, price, transaction_type FROM {state}
+UNION ALL SELECT CAST(o_orderkey AS STRING), o_orderkey + 1000000, 'sold', CAST(round(o_totalprice, 2) AS DECIMAL(20,4)), 'sale' FROM {orders} WHERE o_orderstatus = 'P'
+UNION ALL SELECT source_id, CASE WHEN listing_id % 3 = 0 THEN NULL ELSE listing_id + CASE WHEN listing_id % 2 = 0 THEN 5000000 ELSE -900000 END END, CASE WHEN listing_id % 5 = 0 THEN 'inactive' ELSE status END, price + 1, transaction_type FROM {state} WHERE listing_id % 7 = 0""",
+    "seen": "SELECT source_id, CASE WHEN source_id IS NULL OR trim(source_id) = '' THEN NULL WHEN CAST(source_id AS BIGINT) % 2 = 0 THEN 'sale' ELSE 'rental' END AS transaction_type FROM {sightings} WHERE seq NOT LIKE '%7|%'",
+    "expected_regions": "SELECT tx AS transaction_type, concat('oblast-', CAST(r_regionkey * 7 + n_nationkey % 6 AS STRING)) AS region FROM {region} JOIN {nation} ON n_regionkey = r_regionkey CROSS JOIN (SELECT 'sale' AS tx UNION ALL SELECT 'rental' UNION ALL SELECT 'auction') AS t GROUP BY 1, 2",
+    # sale ends complete, rental with failed units, auction is only begun
+    "run_events": """
+SELECT transaction_type, region, unit, kind, reason, seq FROM {unit_events} WHERE transaction_type = 'rental' OR region IN (SELECT region FROM {expected_regions})
+UNION ALL SELECT DISTINCT transaction_type, region, unit, 'cleared', CAST(NULL AS STRING), 1000000000000 FROM {unit_events} WHERE transaction_type = 'sale' AND kind = 'failed'
+UNION ALL SELECT 'sale', region, region, 'region_complete', CAST(NULL AS STRING), 1000000000001 FROM {expected_regions} WHERE transaction_type = 'sale'
+UNION ALL SELECT 'auction', min(region), min(region), 'region_complete', CAST(NULL AS STRING), 1000000000002 FROM {expected_regions} WHERE transaction_type = 'auction'""",
     "sightings": f"""
 SELECT source_id, region, scan_unit, seq, {_PRICE_TEXT} AS price_raw FROM (
   SELECT CASE WHEN l_orderkey % 97 = 0 AND l_linenumber = 1 THEN '  ' ELSE CAST(l_orderkey AS STRING) END AS source_id, n_name AS region,
@@ -139,6 +151,19 @@ SELECT c_custkey AS page_id, concat('https://www.imot.bg/obiava-', CAST(c_custke
   CASE WHEN c_custkey % 6 = 0 THEN '' ELSE concat('<div>Строителство:<strong>Тухла, </strong>Въведен в експлоатация<strong>', CAST(1950 + c_custkey % 70 AS STRING), ' г.</strong></div>') END,
   '</div></div><div class="carExtri"><div class="items"><div>Тухла</div>', CASE WHEN c_custkey % 2 = 0 THEN '<div>Асансьор</div>' ELSE '' END, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE '<div>Обзаведен &amp; готов</div>' END, '<div> </div></div></div>') AS html
 FROM {customer} WHERE c_custkey % 10 <> 0""",
+    "nested_pages": """
+SELECT c_custkey AS page_id, concat('https://www.imot.bg/obiavi/prodazhbi/n-', CAST(c_custkey AS STRING)) AS url, concat('<html><body><script>var x = "<div id=ida0>";</script><div data-x=1 class=''item BEST '' id="ida', CAST(c_custkey AS STRING), '">',
+  '<!-- <div id="ida1"> --><A CLASS="big title" href=''//www.imot.bg/obiava-', CAST(c_custkey AS STRING), '?a=1&amp;b=2''><b>Продава</b> ', CAST(c_custkey % 5 AS STRING), '-СТАЕН<location> с. Марково, <i>Център</i> &amp; ', c_mktsegment, ' </location></A>',
+  '<div class="price"><div>&nbsp;', CAST(c_custkey % 900 AS STRING), '&nbsp;990 &euro;<br>2 000 лв.</div></div><div class="info"><div>', CAST(c_custkey % 9 AS STRING), '<br>', CAST(c_custkey % 90 + 20 AS STRING), ' кв.м<div>x</div><!-- 99 кв.м -->2-ри ет. от 6</div><div>тел.: 08', CAST(c_custkey AS STRING), ' 55</div></div>',
+  CASE c_custkey % 3 WHEN 0 THEN '<div class="seller"><div class="logo"><a href="#">лого</a></div></div>' WHEN 1 THEN '<div class="seller"><div class="name"><div><a href="#"> </a></div></div></div>' ELSE concat('<div class=seller><div class=logo><div></div></div><div class=name><div><a href="#">Имоти &#38;amp; <b>', c_name, '</b></a></div></div></div>') END,
+  '<a class="photos"><div>', CASE WHEN c_custkey % 7 = 0 THEN '' ELSE '<strong>5</strong>' END, '</div></a></div><div class="price">1 €</div><div class="seller"><div class="name"><a>друг</a></div></div></body></html>') AS html
+FROM {customer}""",
+    "nested_details": """
+SELECT c_custkey AS page_id, concat('https://www.imot.bg/obiava-', CAST(c_custkey AS STRING)) AS url, concat('<body><div class="info"><div>Публикувана никъде</div></div><div class="adPrice"><div><div class="info"><div><span>Обява: ', CASE c_custkey % 3 WHEN 0 THEN 'Публикувана' WHEN 1 THEN 'Коригирана' ELSE 'Друго' END,
+  '</span> в 10:00<div>днес</div></div><div>втори</div></div></div></div><div class="adParams"><div><div>Газ:<div><strong>НЕ</strong></div></div><div>Газ:<div><div><strong>', CASE WHEN c_custkey % 4 = 0 THEN 'ДА' ELSE c_mktsegment END, '</strong></div></div></div><div>Газ:</div></div>',
+  '<div>Строителство:<div></div><strong>', CASE c_custkey % 2 WHEN 0 THEN 'Тухла, ' ELSE '<i>Пан</i>ел' END, '</strong> Въведен, ', CAST(c_nationkey AS STRING), ' &lt;b&gt; <strong>', CAST(1950 + c_custkey % 70 AS STRING), ' г.</strong></div></div><div class="carExtri"><div><div class="items"><div>Асан<b>сьор</b></div><div><div>', c_mktsegment,
+  '</div><div>и двор</div></div><div>ПАНЕЛ</div><div> </div></div></div></div><div class="items"><div>чужд</div></div></body>') AS html
+FROM {customer}""",
     "priced": """
 SELECT r_name AS unit_region, p_type AS unit_type, CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST(floor(l_extendedprice) AS BIGINT) END AS price
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from estatelake.operators import denorm, pages, quality, runlog, runstate, staging
+from estatelake.operators import denorm, markup, pages, quality, reconcile, runlog, runstate, staging
 from estatelake.plans.listing_queries import REASON, SELECTED, _eligible, scan_rows
 from estatelake.plans.registry import Tables, query
 from estatelake.schema import TRANSACTIONS
@@ -38,9 +38,9 @@ query("poster_type", f"SELECT {URL} AS url, CASE WHEN c_custkey % 3 = 0 THEN 'с
 query("mask_private_phone", f"SELECT {URL} AS url, CASE WHEN c_custkey % 3 <> 0 THEN concat('08', CAST(c_custkey AS STRING), '55') END AS agency_phone FROM {CARD} AS c")(lambda t: cards(t).select("url", "agency_phone"))
 query("has_photos", f"SELECT {URL} AS url, CAST(c_custkey % 7 <> 0 AS INT) AS has_photos FROM {CARD} AS c")(lambda t: cards(t).select("url", F.col("has_photos").cast("int").alias("has_photos")))
 query("extract_cards_rejects", f"SELECT {URL} AS url, CAST(0 AS INT) AS place FROM {CARD} AS c WHERE c_custkey % 13 = 0")(lambda t: pages.reject_cards(cards(t)).select("url", "place"))
-query("page_capped", "SELECT c_custkey AS page_id, CAST(c_custkey % 6 <> 0 AND c_custkey % 5 = 0 AS INT) AS capped FROM {customer}")(lambda t: t.portal_pages.select("page_id", pages.capped(F.col("html")).cast("int").alias("capped")))
+query("page_capped", "SELECT c_custkey AS page_id, CAST(c_custkey % 6 <> 0 AND c_custkey % 5 = 0 AS INT) AS capped FROM {customer}")(lambda t: t.portal_pages.select("page_id", pages.capped().cast("int").alias("capped")))
 query("content_valid", "SELECT c_custkey AS page_id, CAST(CASE WHEN c_custkey % 9 = 0 THEN FALSE WHEN c_custkey % 9 = 1 THEN TRUE ELSE c_custkey % 11 <> 0 OR c_custkey % 6 <> 0 END AS INT) AS valid FROM {customer}")(
-    lambda t: t.portal_pages.select("page_id", pages.content_valid(F.col("page_type"), F.col("html")).cast("int").alias("valid"))
+    lambda t: t.portal_pages.select("page_id", pages.content_valid().cast("int").alias("valid"))
 )
 DETAIL = "(SELECT *, concat('https://www.imot.bg/obiava-', CAST(c_custkey AS STRING)) AS url FROM {customer} WHERE c_custkey % 10 <> 0)"
 
@@ -59,6 +59,65 @@ query("enrich_with_detail", f"SELECT c.k AS source_key, CAST(c.k % 10 <> 0 AS IN
     lambda t: pages.enrich(cards(t), pages.detail_columns(t.portal_details)).select(F.regexp_extract("url", r"p-(\d+)$", 1).cast("long").alias("source_key"), F.col("detail_ok").cast("int").alias("detail_ok"), "gas")
 )
 
+def _between(start: str, end: str) -> str:
+    """In SQL, what stands between two marks of a page."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    return f"split_part(split_part(html, {quote(start)}, 2), {quote(end)}, 1)"
+
+
+def _nodes(x: str) -> str:
+    """In SQL, the text nodes of a fragment without comments, their references decoded once and their ends stripped."""
+    said = "t"
+    for reference, char in (("&amp;", "chr(1)"), ("&#38;", "chr(1)"), ("&nbsp;", "chr(160)"), ("&euro;", "'€'"), ("&lt;", "'<'"), ("&gt;", "'>'")):
+        said = f"replace({said}, '{reference}', {char})"
+    return f"list_filter(list_transform(string_split_regex(regexp_replace({x}, '<!--.*?-->', '<!>', 'g'), '<[^>]*>'), lambda t: trim(replace({said}, chr(1), '&'), concat(' ', chr(160), chr(10)))), lambda t: t <> '')"
+
+
+def _text(x: str, separator: str = "") -> str:
+    return f"array_to_string({_nodes(x)}, '{separator}')"
+
+
+@query("nested_cards", f"""WITH w AS (SELECT page_id, {_between('''BEST ' id="ida''', '">')} AS k, {_text(_between("&amp;b=2'>", "<location>"))} AS title, {_text(_between("<location>", "</location>"))} AS place, {_nodes(_between('<div class="price">', '<div class="info">'))}[1] AS price,
+    {_text("regexp_extract(html, '<div class=.info.>(.*)<div class=.?seller.?>.*<a class=.photos', 1)", " ")} AS info, html LIKE '%<div class=name>%' AS named, html LIKE '%<div class="name"><div>%' AS unnamed, {_text(_between("<div class=name>", '<a class="photos">'))} AS agency, html LIKE '%<a class="photos"><div><strong>%' AS photos FROM {{nested_pages}})
+SELECT page_id, k AS source_id, 'BEST' AS listing_tier, concat('https://www.imot.bg/obiava-', k, '?a=1&b=2') AS listing_url, replace(title, 'Продава ', '') AS property_type, replace(split_part(place, ',', 1), 'с. ', '') AS locality, split_part(place, ',', 2) AS area, price AS price_raw, CAST(regexp_extract(info, '([0-9]+) кв', 1) AS DOUBLE) AS area_m2,
+  concat(regexp_extract(info, '([0-9]+)-ри ет', 1), ' от ', regexp_extract(info, 'от ([0-9]+)', 1)) AS floor, CASE WHEN named OR unnamed THEN 'агенция' ELSE 'собственик' END AS poster_type, CASE WHEN named THEN agency END AS agency_name, CASE WHEN named OR unnamed THEN replace(regexp_extract(info, 'тел.: ([0-9 ]+)', 1), ' ', '') END AS agency_phone, CAST(photos AS INT) AS has_photos FROM w""")
+def nested_cards(t: Tables) -> DataFrame:
+    """Cards with nested blocks, unquoted attributes, comments and scripts."""
+    rows = pages.card_columns(pages.cards(t.nested_pages))
+    return rows.select(F.regexp_extract("url", r"n-(\d+)$", 1).cast("long").alias("page_id"), *"source_id listing_tier listing_url property_type locality area price_raw area_m2 floor poster_type agency_name agency_phone".split(), F.col("has_photos").cast("int").alias("has_photos"))
+
+
+_ITEMS = _between('<div class="items">', '<div class="items">')
+
+
+@query("nested_details", f"""WITH w AS (SELECT url, {_text("regexp_extract(html, '<div class=.info.><div>(<span>.*?)</div></div><div>втори', 1)")} AS date, {_text("regexp_extract(html, '(?s)Газ:<div><div><strong>(.*?)</strong>', 1)")} AS gas, {_nodes(_between("Строителство:", '<div class="carExtri">'))} AS built, {_text("regexp_extract(html, 'Строителство:.*?<strong>(.*?)</strong>', 1)")} AS kind,
+    list_transform(string_split(replace(split_part({_ITEMS}, '<div> </div>', 1), '<div><div>', '<div>'), '<div>и двор'), lambda x: x) AS items FROM {{nested_details}})
+SELECT url, CASE WHEN contains(date, 'Публикувана') THEN date END AS date_posted, CASE WHEN contains(date, 'Коригирана') THEN date END AS date_modified, gas, rtrim(kind, ', ') AS construction_type, built[len(built) - 1] AS construction_status, CAST(left(built[len(built)], 4) AS INT) AS year_built,
+  concat({_text("split_part(items[1], '</b></div>', 1)")}, ', ', {_text("split_part(items[1], '</b></div>', 2)")}, 'и двор') AS features FROM w""")
+def nested_details(t: Tables) -> DataFrame:
+    """Detail pages with nested blocks, repeated labels and blocks of the same class elsewhere."""
+    return pages.detail_columns(t.nested_details).drop("tec")
+
+
+def _references() -> str:
+    """In SQL, a piece behind an ampersand with the reference it starts with decoded."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    table = f"MAP([{', '.join(quote(n) for n in markup.NAMES)}], [{', '.join(f'concat({", ".join(f"chr({ord(c)})" for c in v)})' for v in markup.NAMES.values())}])"
+    number = lambda code, pattern: f"concat(chr(CAST({code} AS INT)), regexp_replace(q, '{pattern}', ''))"
+    name, short = "regexp_extract(q, '^[A-Za-z][A-Za-z0-9]*;')", f"regexp_extract(q, '^({'|'.join(n for n in markup.OPEN_NAMES)})')"
+    return f"""CASE WHEN regexp_matches(q, '^#[0-9]') THEN {number("regexp_extract(q, '^#([0-9]+)', 1)", "^#[0-9]+;?")} WHEN regexp_matches(q, '^#[xX][0-9a-fA-F]') THEN {number("concat('0x', regexp_extract(q, '^#[xX]([0-9a-fA-F]+)', 1))", "^#[xX][0-9a-fA-F]+;?")}
+  WHEN {name} <> '' AND names[{name}] IS NOT NULL THEN concat(names[{name}], substr(q, length({name}) + 1)) WHEN {short} <> '' THEN concat(names[{short}], substr(q, length({short}) + 1)) ELSE concat('&', q) END""", table
+
+
+_DECODED, _TABLE = _references()
+
+
+@query("decoded_pages", f"WITH n AS (SELECT {_TABLE} AS names), p AS (SELECT page_id, string_split(html, '&') AS parts, names FROM {{pages}}, n) SELECT page_id, len(parts) - 1 AS ampersands, md5(concat(parts[1], array_to_string(list_transform(parts[2:], lambda q: {_DECODED}), ''))) AS decoded_md5 FROM p")
+def decoded_pages(t: Tables) -> DataFrame:
+    """Every page with its character references decoded, and how many ampersands it has."""
+    return t.pages.select("page_id", (F.size(F.split("html", "&")) - 1).cast("long").alias("ampersands"), F.md5(F.expr(markup.decode("html"))).alias("decoded_md5"))
+
+
 # -- fetch log and run state ----------------------------------------------------------------------
 
 OUTCOME = """CASE WHEN failure = 'timeout' THEN 'retry' WHEN failure IS NOT NULL THEN 'failed' WHEN status = 403 THEN 'hard_block' WHEN status = 404 THEN CASE WHEN page_type = 'listings' THEN 'empty' ELSE 'not_found' END WHEN status <> 200 THEN 'retry'
@@ -94,6 +153,22 @@ query("completeness_gate", f"SELECT transaction_type, CAST(all_done AS INT) AS a
     lambda t: runstate.completeness(expected(t), t.unit_events).withColumns({c: F.col(c).cast("int") for c in ("all_done", "missing_allowed")})
 )
 query("run_status", f"SELECT CASE WHEN bool_or(failed_units > 0) THEN 'partial' WHEN bool_and(all_done AND failed_units = 0) THEN 'complete' ELSE 'running' END AS run_status, count(*) AS transactions FROM {GATE} AS g")(lambda t: runstate.run_status(runstate.completeness(expected(t), t.unit_events)))
+RUN_GATE = GATE.replace(EXPECTED, "{expected_regions}").replace("{unit_events}", "{run_events}")
+RUN_PENDING = "(SELECT e.transaction_type, count(*) AS pending FROM {expected_regions} AS e WHERE NOT EXISTS (SELECT 1 FROM {run_events} AS d WHERE d.kind = 'region_complete' AND d.transaction_type = e.transaction_type AND d.region = e.region) GROUP BY 1)"
+MISSING_GATE = f"""(SELECT g.transaction_type, all_done AND failed_units = 0 AS allowed, CASE WHEN failed_units > 0 THEN concat(CAST(failed_units AS STRING), ' failed units') WHEN pending > 0 THEN concat(CAST(pending AS STRING), ' pending regions') WHEN NOT all_done THEN 'regions that were not expected' ELSE 'complete' END AS reason
+  FROM {RUN_GATE} AS g LEFT JOIN {RUN_PENDING} AS p ON g.transaction_type = p.transaction_type)"""
+GONE = f"(SELECT s.transaction_type, source_id, listing_id FROM {{state}} s JOIN {MISSING_GATE} AS g ON s.transaction_type = g.transaction_type AND allowed WHERE status = 'active' AND NOT EXISTS (SELECT 1 FROM {{seen}} i WHERE trim(i.source_id) = s.source_id AND i.transaction_type = s.transaction_type))"
+
+
+def _gone(t: Tables) -> tuple[DataFrame, DataFrame]:
+    gate = runstate.missing_gate(t.expected_regions, t.run_events)
+    return reconcile.missing_gated(t.state, t.seen, gate), gate
+
+
+query("missing_gated", f"SELECT transaction_type, source_id, listing_id, 'missing' AS action FROM {GONE} AS m")(lambda t: _gone(t)[0].select("transaction_type", "source_id", "listing_id", "action"))
+query("missing_report", f"SELECT g.transaction_type, CAST(allowed AS INT) AS allowed, reason, coalesce(n, 0) AS missing FROM {MISSING_GATE} AS g LEFT JOIN (SELECT transaction_type, count(*) AS n FROM {GONE} AS m GROUP BY 1) AS c ON g.transaction_type = c.transaction_type")(
+    lambda t: reconcile.missing_report(*_gone(t)).select("transaction_type", F.col("missing_allowed").cast("int").alias("allowed"), "reason", "missing")
+)
 query("pending_units", f"SELECT DISTINCT transaction_type, region FROM {EXPECTED} AS e WHERE NOT EXISTS (SELECT 1 FROM {DONE} AS d WHERE d.transaction_type = e.transaction_type AND d.region = e.region)")(lambda t: runstate.pending_regions(expected(t), t.unit_events))
 query("region_failed", f"SELECT DISTINCT transaction_type, region, CAST(EXISTS (SELECT 1 FROM {FAILED} AS f WHERE f.transaction_type = e.transaction_type AND (f.unit = e.region OR starts_with(f.unit, concat(e.region, ':')) OR starts_with(f.unit, concat(e.region, '/')))) AS INT) AS failed FROM {EXPECTED} AS e")(
     lambda t: runstate.region_failed(expected(t), t.unit_events).withColumn("failed", F.col("failed").cast("int"))

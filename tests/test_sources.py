@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from estatelake.operators import denorm, pages, runlog
+from estatelake.operators import denorm, markup, runlog
 from estatelake.schema import LISTING
 from estatelake.sources import tables
 from estatelake.streaming import streams
@@ -83,7 +83,7 @@ def test_a_selection_is_written_once_and_checked(spark, tmp_path):
 
 @pytest.mark.parametrize(("html", "want"), [("5 &#8364;", "5 €"), ("&#x20AC;&#x1F600;!", "€😀!"), ("&amp;#65; &lt;", "&#65; <"), ("&#0;&#xD800;", "��"), ("&#;a &#x;", "&#;a &#x;"), ("&#65", "A"), (None, None)])
 def test_character_references(spark, html, want):
-    assert spark.createDataFrame([(html,)], "h string").select(pages.decode(F.col("h")).alias("v")).first().v == want
+    assert spark.createDataFrame([(html,)], "h string").select(F.expr(markup.decode("h")).alias("v")).first().v == want
 
 
 def test_ranks_over_ranges_are_places(spark):
