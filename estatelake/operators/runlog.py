@@ -6,28 +6,73 @@ each range, and what a range carries into the next ones of its log comes from on
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from estatelake.functions.text import after, base_type, before, between, duration_text, error_label, group
+from estatelake.functions.text import after, base_type, before, between, duration_text, error_label
 from estatelake.operators.staging import first_sightings, ordered_distinct
 from estatelake.schema import PAGE_SIZE, code_map
 from estatelake.sources.shared import staged
 
 
-def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Adds log_ts, level, logger and message; null where the line has another form."""
-    pattern = r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d)(?:,\d+)? \[(\w+)\] (\S+) — (.*)$"
-    x = F.col(line)
-    return lines.withColumns({"log_ts": F.to_timestamp_ntz(group(x, pattern, 1), F.lit("yyyy-MM-dd HH:mm:ss")), "level": group(x, pattern, 2), "logger": group(x, pattern, 3), "message": group(x, pattern, 4)})
+#: Stands between what a pattern captures.
+_CUT = "\x01"
+
+
+def captured(x: Column, pattern: str, *fields: str) -> Column:
+    """What a pattern captures, all by one pass over x: an array with a text for each field, a template of groups (``$1$3``). Groups that take no part are
+    empty, and so is every field where the pattern does not match."""
+    return F.split(F.regexp_replace(x, rf"(?s)\A(?:{pattern}|.*)\z", _CUT.join(fields)), _CUT, len(fields))
 
 
-def _first_kind(rules: list[tuple[str, Column]]) -> Column:
-    out = None
-    for kind, holds in rules:
-        out = F.when(holds, kind) if out is None else out.when(holds, kind)
-    return out
+def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Adds log_ts, level, logger and message; null where the line has another form."""
+    form = r"(?U)(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d)(?:,\d+)? \[(\w+)\] (\S+) — (.*)"
+    held = lines.withColumn("_parts", captured(F.col(line), form, "$1", "$2", "$3", "$4"))
+    part = lambda i: F.when(F.col("_parts")[0] != "", F.col("_parts")[i])
+    return held.withColumns({"log_ts": F.to_timestamp_ntz(part(0), F.lit("yyyy-MM-dd HH:mm:ss")), "level": part(1), "logger": part(2), "message": part(3)}).drop("_parts")
+
+
+class Phrases:
+    """The kinds of lines of a log by what they say. A rule names a kind, a phrase (one that begins with ``(?i)`` may stand in any case) and, if the phrase alone does not tell, a
+    pattern of what follows it. The first rule that holds wins.
+
+    Phrases are looked for as bytes and once each, and a pattern is looked at only behind its phrase. The result is the number of the rule, by which
+    what follows its phrase is cut out; captures are taken from that for the rule's kind alone. A regular expression of all rules was tried: it took
+    some forty times as long for a line."""
+
+    def __init__(self, *rules: tuple[str, str, str | None]) -> None:
+        self.rules = rules
+
+    @staticmethod
+    def _at(line: str, phrase: str) -> Column:
+        any_case = phrase.startswith("(?i)")
+        return F.locate(phrase.removeprefix("(?i)").upper(), F.upper(line)) if any_case else F.locate(phrase, F.col(line))
+
+    @staticmethod
+    def _there(line: str, phrase: str) -> Column:
+        """Whether a phrase is in a line; case is looked at only where its marks, or its last letters, are."""
+        any_case = phrase.startswith("(?i)")
+        if not any_case:
+            return F.col(line).contains(phrase)
+        marks = phrase.removeprefix("(?i)").split(" ")[0]
+        some = F.col(line).contains(marks) if not marks.isalpha() else F.col(line).contains(marks.lower()) | F.col(line).contains(marks.upper()) | F.col(line).contains(marks.capitalize())
+        return F.when(some, F.upper(line).contains(phrase.removeprefix("(?i)").upper())).otherwise(False)
+
+    def told(self, lines: DataFrame, line: str) -> DataFrame:
+        """Adds kind and rest, what follows the phrase of the rule that holds."""
+        follows = lambda phrase: F.substr(F.col(line), self._at(line, phrase) + F.lit(len(phrase.removeprefix("(?i)"))))
+        rule, kind, rest = (F.lit(None).cast(t) for t in ("int", "string", "string"))
+        for i, (name, phrase, behind) in reversed(list(enumerate(self.rules))):
+            there = self._there(line, phrase)
+            # not by &: the pattern is for lines with the phrase only
+            holds = there if behind is None else F.when(there, follows(phrase).rlike(rf"\A{behind}")).otherwise(False)
+            rule = F.when(holds, i).otherwise(rule)
+            kind, rest = F.when(F.col("_rule") == i, name).otherwise(kind), F.when(F.col("_rule") == i, follows(phrase)).otherwise(rest)
+        return lines.withColumn("_rule", rule).withColumns({"kind": kind, "rest": rest}).drop("_rule")
 
 
 def number(x: Column) -> Column:
@@ -35,155 +80,142 @@ def number(x: Column) -> Column:
     return F.nullif(F.translate(F.regexp_extract(F.ltrim(x), r"\A[\d,]+", 0), ",", ""), F.lit("")).try_cast("long")
 
 
-def _upper_after(x: Column, mark: str) -> Column:
-    """What follows a phrase that may stand in any case."""
-    at = F.locate(mark, F.upper(x))
-    return F.when(at > 0, F.ltrim(F.substr(x, at + F.lit(len(mark)))))
-
-
 def _word(x: Column) -> Column:
     return F.nullif(F.get(F.split(F.ltrim(x), r"\s"), F.lit(0)), F.lit(""))
 
 
 # The phrases of log lines, full and incremental runs.
-REGION, TRANSACTION, PREFLIGHT, UNIT, PASS_1, PASS_2 = "===== REGION:", "TRANSACTION TYPE:", "Pre-flight result for ", "--- Scraping: ", "Pass 1 — ", "Pass 2 — "
-SAVED, ON_PAGE, CAPPED, UNDER = "Saved ", " valid listings from page ", ": CAPPED", ": under cap"
+CAPPED, UNDER, ON_PAGE, NO_MORE = ": CAPPED", ": under cap", " valid listings from page ", " listings no longer visible"
+PASS_1, PASS_2, SAVED, NOTHING = "Pass 1 — ", "Pass 2 — ", ": saved ", ": 0 listings to save "
+_NUMBER = r"\s*,*\d"
+FULL = Phrases(
+    ("run_start", "Scraping run started", None),
+    ("transaction", "(?i)===== Transaction type:", None),
+    ("transaction", "Transaction type:", r"\s*\S"),
+    # NAME (slug) | ...
+    ("region_start", "(?i)===== Region:", None),
+    # 3/54: NAME (slug)
+    ("region_number", "Region ", rf"{_NUMBER}[^/]*/{_NUMBER}[^:]*: .*\("),
+    ("preflight", "Pre-flight result for ", f".*?(?:{CAPPED}|{UNDER})"),
+    ("preflight_done", "Pre-flight complete. Capped:", r"[^\]]*\[[^\]]*\]"),
+    # label/kind [low-high] | ...
+    ("unit_start", "--- Scraping: ", r"\s*[^\s|/]*/[^|]*\|"),
+    ("page_saved", "Saved ", rf"{_NUMBER}.*?{ON_PAGE}{_NUMBER}"),
+    ("run_end", "(?i)run finished", None),
+    ("error", "[ERROR]", None),
+    ("error", "[WARNING]", None),
+)
 
 
 def full_events(lines: DataFrame, line: str = "line") -> DataFrame:
     """Lines of a full run with their kind and what it captures. The order of the rules matters."""
-    x = F.col(line)
-    titled = F.upper(x).contains(REGION)
-    # NAME (slug) | ...
-    slug = between(before(_upper_after(x, REGION), "|"), "(", ")")
-    # Region 3/54: NAME (slug)
-    counted = after(x, "Region ")
-    verdict = after(x, PREFLIGHT)
-    judged = F.coalesce(before(verdict, CAPPED), before(verdict, UNDER))
-    # label/kind [low-high] | ...
-    unit = after(F.get(F.split(F.trim(between(x, UNIT, "|")), r"\s"), F.lit(0)), "/")
-    rows, page = number(between(x, SAVED, ON_PAGE)), number(after(x, ON_PAGE))
-    kind = _first_kind(
-        [
-            ("run_start", x.contains("Scraping run started")),
-            ("transaction", F.upper(x).contains("===== " + TRANSACTION) | _word(after(x, "Transaction type:")).isNotNull()),
-            ("region_number", number(before(counted, "/")).isNotNull() & number(between(counted, "/", ":")).isNotNull() & after(counted, ": ").contains("(") & ~titled),
-            ("region_start", titled),
-            ("preflight", judged.isNotNull()),
-            ("preflight_done", between(x, "Pre-flight complete. Capped:", "]").contains("[")),
-            ("unit_start", unit.isNotNull()),
-            ("page_saved", rows.isNotNull() & page.isNotNull()),
-            ("run_end", F.lower(x).contains("run finished")),
-            ("error", x.contains("[ERROR]") | x.contains("[WARNING]")),
-        ]
-    )
+    rest = F.col("rest")
     is_ = lambda k: F.col("kind") == k
-    return lines.withColumn("kind", kind).withColumns(
+    judged = F.coalesce(before(rest, CAPPED), before(rest, UNDER))
+    unit = after(F.get(F.split(F.trim(before(rest, "|")), r"\s"), F.lit(0)), "/")
+    return FULL.told(lines, line).withColumns(
         {
-            "transaction": F.when(is_("transaction"), _word(_upper_after(x, TRANSACTION))),
-            "region": F.when(is_("region_start"), slug),
+            "transaction": F.when(is_("transaction"), _word(rest)),
+            "region": F.when(is_("region_start"), between(before(rest, "|"), "(", ")")),
             "unit": F.when(is_("preflight"), base_type(F.element_at(F.split(judged, "/"), -1))).when(is_("unit_start"), unit),
-            "capped": F.when(is_("preflight"), before(verdict, CAPPED).isNotNull()),
-            "rows": F.when(is_("page_saved"), rows.cast("int")),
-            "page": F.when(is_("page_saved"), page.cast("int")),
-            "label": F.when(is_("error"), error_label(x)),
+            "capped": F.when(is_("preflight"), before(rest, CAPPED).isNotNull()),
+            "rows": F.when(is_("page_saved"), number(rest).cast("int")),
+            "page": F.when(is_("page_saved"), number(after(rest, ON_PAGE)).cast("int")),
+            "label": F.when(is_("error"), error_label(F.col(line))),
         }
-    )
+    ).drop("rest")
 
 
 COUNTS = ("new", "changed", "reappeared", "unchanged")
+_SAYS = r"[^(]*\((?:[^)]*\| )?\s*,*\d[^|)]* {word}(?: \||\))"
+INCREMENTAL = Phrases(
+    ("run_start", "Light scraper run started", None),
+    ("baseline_active", "Fetched ", rf"{_NUMBER}.* active listings from DB"),
+    ("baseline_inactive", "Fetched ", rf"{_NUMBER}.* inactive listings from DB"),
+    ("transaction", "(?i)===== Transaction type:", None),
+    ("region_start", PASS_1, r".*?scraping index pages: [^|]*\|"),
+    ("preflight", "Pre-flight result for ", f".*?(?:{CAPPED}|{UNDER})"),
+    ("first_page", PASS_1, ".*?page 1: http.*?/obiavi/"),
+    # REGION: saved 5 listings (1 new | 2 changed | ...), or REGION: 0 listings to save (7 unchanged)
+    ("region_done", PASS_1, f"(?=.*?{SAVED}){_SAYS.format(word='new')}"),
+    ("region_done", PASS_1, f"(?=.*?{NOTHING}){_SAYS.format(word='unchanged')}"),
+    ("missing", PASS_1, f"{_NUMBER}.*?{NO_MORE}"),
+    ("refresh_start", PASS_2, "rolling detail refresh"),
+    ("refresh_size", PASS_2, f".*?refreshing {_NUMBER}"),
+    ("refresh_progress", PASS_2, f"{_NUMBER}[^/]*/{_NUMBER}.*? saved"),
+    ("refresh_warning", PASS_2, "WARNING: high rejection rate "),
+    ("refresh_summary", PASS_2, f"(?=.* processed).*?summary: {_NUMBER}"),
+    ("refresh_done", PASS_2, rf"(?=.* listings refreshed).*?complete\.{_NUMBER}"),
+    ("run_end", "Light scraper run finished", None),
+    ("error", "[ERROR]", None),
+    ("error", "[WARNING]", None),
+)
 
 
 def incremental_events(lines: DataFrame, line: str = "line") -> DataFrame:
     """Lines of an incremental run with their kind, region, transaction and counts."""
-    x = F.col(line)
-    first, second = after(x, PASS_1), after(x, PASS_2)
-    fetched = number(after(x, "Fetched "))
-    started = F.rtrim(between(first, "scraping index pages: ", "|"))
-    # REGION: saved 5 listings (1 new | 2 changed | ...), or REGION: 0 listings to save (7 unchanged)
-    saved, nothing = before(first, ": saved "), before(first, ": 0 listings to save ")
-    said = F.split(between(first, "(", ")"), r" \| ")
-    of = lambda word: number(F.get(F.filter(said, lambda p: p.endswith(f" {word}")), F.lit(0)))
-    done = (saved.isNotNull() & of("new").isNotNull()) | (nothing.isNotNull() & of("unchanged").isNotNull())
-    kind = _first_kind(
-        [
-            ("run_start", x.contains("Light scraper run started")),
-            ("baseline_active", fetched.isNotNull() & x.contains(" active listings from DB")),
-            ("baseline_inactive", fetched.isNotNull() & x.contains(" inactive listings from DB")),
-            ("transaction", F.upper(x).contains("===== " + TRANSACTION)),
-            ("region_start", started.isNotNull()),
-            ("preflight", after(x, PREFLIGHT).contains(CAPPED) | after(x, PREFLIGHT).contains(UNDER)),
-            ("first_page", between(first, "page 1: http", "/obiavi/").isNotNull()),
-            ("region_done", done),
-            ("missing", number(first).isNotNull() & first.contains(" listings no longer visible")),
-            ("refresh_start", second.startswith("rolling detail refresh")),
-            ("refresh_size", number(after(second, "refreshing ")).isNotNull()),
-            ("refresh_progress", number(before(second, "/")).isNotNull() & number(between(second, "/", " saved")).isNotNull()),
-            ("refresh_warning", second.startswith("WARNING: high rejection rate ")),
-            ("refresh_summary", number(after(second, "summary: ")).isNotNull() & second.contains(" processed")),
-            ("refresh_done", number(after(second, "complete.")).isNotNull() & second.contains(" listings refreshed")),
-            ("run_end", x.contains("Light scraper run finished")),
-            ("error", x.contains("[ERROR]") | x.contains("[WARNING]")),
-        ]
-    )
+    rest = F.col("rest")
     is_ = lambda k: F.col("kind") == k
     finished = is_("region_done")
+    of = lambda word: number(F.get(F.filter("_said", lambda p: p.endswith(f" {word}")), F.lit(0)))
     counts = {name: F.when(finished, F.coalesce(of(name), F.lit(0))) for name in COUNTS}
     told = (
-        F.when(F.col("kind").startswith("baseline"), fetched)
-        .when(is_("missing"), number(first))
-        .when(is_("refresh_size"), number(after(second, "refreshing ")))
-        .when(is_("refresh_progress"), number(before(second, "/")))
-        .when(is_("refresh_done"), number(after(second, "complete.")))
+        F.when(F.col("kind").isin("baseline_active", "baseline_inactive", "missing", "refresh_progress"), number(rest))
+        .when(is_("refresh_size"), number(after(rest, "refreshing ")))
+        .when(is_("refresh_done"), number(after(rest, "complete.")))
     )
-    return lines.withColumn("kind", kind).withColumns(
+    held = INCREMENTAL.told(lines, line).withColumn("_said", F.when(finished, F.split(between(rest, "(", ")"), r" \| ")))
+    return held.withColumns(
         {
-            "transaction": F.when(is_("transaction"), _word(_upper_after(x, TRANSACTION))),
-            "region": F.when(is_("region_start"), started).when(finished, F.coalesce(saved, nothing)),
-            "saved": F.when(finished, F.coalesce(number(after(first, ": saved ")), F.lit(0))),
+            "transaction": F.when(is_("transaction"), _word(rest)),
+            "region": F.when(is_("region_start"), F.rtrim(between(rest, "scraping index pages: ", "|"))).when(finished, F.coalesce(before(rest, SAVED), before(rest, NOTHING))),
+            "saved": F.when(finished, F.coalesce(number(after(rest, SAVED)), F.lit(0))),
             **counts,
             "number": told,
-            "label": F.when(is_("error"), error_label(x)),
+            "label": F.when(is_("error"), error_label(F.col(line))),
         }
-    )
+    ).drop("rest", "_said")
 
 
-#: Up to so many (log, range) rows are sent to all tasks.
-BROADCAST_RANGES = 100_000
+Events = Callable[[DataFrame], DataFrame]
 
 
-def in_ranges(rows: DataFrame, log: str, order: list[str]) -> DataFrame:
-    """Rows in the order of their log, staged, with their place (_at) and range (_range)."""
+def in_ranges(rows: DataFrame, log: str, order: list[str], events: Events | None = None) -> DataFrame:
+    """Rows in the order of their log, staged, with their place (_at) and range (_range). ``events`` reads lines where they have come to lie: ranges are
+    chosen by a sample of rows, for which no line needs to be read, and each range reads its own lines."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.repartitionByRange(parts, log, *order).sortWithinPartitions(log, *order).withColumn("_at", F.monotonically_increasing_id())
-    return staged(placed, "ordered-lines").withColumn("_range", F.shiftright("_at", 33))
+    return staged(events(placed) if events else placed, "ordered-lines").withColumn("_range", F.shiftright("_at", 33))
 
 
-def _with_ranges(rows: DataFrame, per_range: DataFrame, log: str) -> DataFrame:
-    right = per_range.withColumnsRenamed({log: "_log", "_range": "_of"})
-    few = per_range.count() <= BROADCAST_RANGES
-    return rows.join(F.broadcast(right) if few else right, (F.col(log) == F.col("_log")) & (F.col("_range") == F.col("_of"))).drop("_log", "_of")
+def _with_ranges(rows: DataFrame, others: DataFrame, log: str) -> DataFrame:
+    """rows with what they need of other ranges of their log (null where there is none). others: a row for each range that goes on with a log of the range before, or is
+    gone on with, which are no more than there are ranges."""
+    right = F.broadcast(others.withColumnsRenamed({log: "_log", "_range": "_of"}))
+    return rows.join(right, (F.col(log) == F.col("_log")) & (F.col("_range") == F.col("_of")), "left").drop("_log", "_of")
 
 
-def with_context(events: DataFrame, log: str, order: list[str]) -> DataFrame:
-    """The region and transaction that a line falls under, and the number of its region session. Staged."""
+def with_context(lines: DataFrame, log: str, order: list[str], events: Events | None = None) -> DataFrame:
+    """The region and transaction that a line falls under, and the number of its region session. Staged. lines are events already, or ``events`` makes them so.
+    A line of no log (null) is under nothing: no region, no transaction, session 0."""
     start = F.coalesce(F.col("kind") == "region_start", F.lit(False))
-    rows = in_ranges(events.where(F.col(log).isNotNull()), log, order)
+    rows = in_ranges(lines, log, order, events)
+    columns = [c for c in rows.columns if c not in ("_at", "_range")]
     here = W.partitionBy(log, "_range").orderBy("_at").rowsBetween(W.unboundedPreceding, W.currentRow)
     before = W.partitionBy(log).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     last = lambda value, given: F.max_by(F.when(given, value), F.when(given, F.col("_at")))
     ends = rows.groupBy(log, "_range").agg(
         last(F.struct("region"), start & F.col("region").isNotNull()).alias("region"), last(F.col("transaction"), F.col("transaction").isNotNull()).alias("transaction"), F.sum(start.cast("int")).alias("n")
     )
-    carried = staged(
-        ends.select(
-            log, "_range", F.last("region", ignorenulls=True).over(before).alias("_region"), F.last("transaction", ignorenulls=True).over(before).alias("_transaction"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n")
-        ),
-        "carried",
-    )
+    carried = ends.select(
+        log, "_range", F.last("region", ignorenulls=True).over(before).alias("_region"), F.last("transaction", ignorenulls=True).over(before).alias("_transaction"), F.sum("n").over(before).alias("_n")
+    ).where(F.col("_n").isNotNull())
     known = rows.withColumns({"_own": F.last(F.when(start & F.col("region").isNotNull(), F.col("region")), ignorenulls=True).over(here), "_tx": F.last("transaction", ignorenulls=True).over(here), "_k": F.sum(start.cast("int")).over(here)})
-    context = _with_ranges(known, carried, log).withColumns({"in_region": F.coalesce("_own", "_region.region"), "in_transaction": F.coalesce("_tx", "_transaction"), "session": F.col("_k") + F.col("_n")})
-    return staged(context.select(*events.columns, "in_region", "in_transaction", "session"), "log-context")
+    of_log = lambda x: F.when(F.col(log).isNotNull(), x)
+    context = _with_ranges(known, carried, log).withColumns(
+        {"in_region": of_log(F.coalesce("_own", "_region.region")), "in_transaction": of_log(F.coalesce("_tx", "_transaction")), "session": F.coalesce(of_log(F.col("_k") + F.coalesce("_n", F.lit(0))), F.lit(0).cast("long"))}
+    )
+    return staged(context.select(*columns, "in_region", "in_transaction", "session"), "log-context")
 
 
 def sessions(context: DataFrame, log: str, ts: str = "log_ts") -> DataFrame:
@@ -236,14 +268,15 @@ def type_counter(context: DataFrame, log: str, order: str) -> DataFrame:
 
 
 def idle_gaps(lines: DataFrame, log: str, ts: str, order: list[str], limit: int) -> DataFrame:
-    """Lines that no other follows for more than ``limit`` seconds."""
-    rows = in_ranges(lines.where(F.col(log).isNotNull()), log, order)
+    """Lines that no other of their log follows for more than ``limit`` seconds. Lines of no log (null) follow nothing and have none."""
+    rows = in_ranges(lines, log, order)
+    columns = [c for c in rows.columns if c not in ("_at", "_range")]
     firsts = rows.groupBy(log, "_range").agg(F.min_by(F.struct(F.col(ts).alias("t")), "_at").alias("first"))
-    nexts = firsts.select(log, "_range", F.lead("first").over(W.partitionBy(log).orderBy("_range")).alias("_next"))
+    nexts = firsts.select(log, "_range", F.lead("first").over(W.partitionBy(log).orderBy("_range")).alias("_next")).where(F.col("_next").isNotNull())
     follower = F.lead(F.struct(F.col(ts).alias("t"))).over(W.partitionBy(log, "_range").orderBy("_at"))
-    known = _with_ranges(rows.withColumn("_follower", follower), staged(nexts, "range-starts"), log)
-    seconds = seconds_between(F.col(ts), F.coalesce("_follower", "_next")["t"])
-    return known.withColumn("idle_s", seconds).where(F.col("idle_s") > limit).select(*lines.columns, "idle_s")
+    known = _with_ranges(rows.withColumn("_follower", follower), nexts, log)
+    seconds = F.when(F.col(log).isNotNull(), seconds_between(F.col(ts), F.coalesce("_follower", "_next")["t"]))
+    return known.withColumn("idle_s", seconds).where(F.col("idle_s") > limit).select(*columns, "idle_s")
 
 
 def key_values(lines: DataFrame, marker: str, line: str = "message") -> DataFrame:

@@ -200,12 +200,16 @@ EVENTS = f"""(SELECT event_id, {LOG} AS log, date_trunc('second', ts) AS log_ts,
 CONTEXT = f"(SELECT *, last_value(region IGNORE NULLS) OVER w AS in_region, last_value(transaction IGNORE NULLS) OVER w AS in_transaction, sum(CASE WHEN kind = 'region_start' THEN 1 ELSE 0 END) OVER w AS session FROM {EVENTS} AS e WINDOW w AS (PARTITION BY log ORDER BY log_ts, event_id ROWS UNBOUNDED PRECEDING))"
 
 
+def run_lines(t: Tables) -> DataFrame:
+    return runlog.parse_lines(t.run_log).withColumn("log", F.col("user_id") % 10)
+
+
 def full_log(t: Tables) -> DataFrame:
-    return runlog.full_events(runlog.parse_lines(t.run_log)).withColumn("log", F.col("user_id") % 10)
+    return runlog.full_events(run_lines(t))
 
 
 def context(t: Tables) -> DataFrame:
-    return runlog.with_context(full_log(t), "log", ["log_ts", "event_id"])
+    return runlog.with_context(run_lines(t), "log", ["log_ts", "event_id"], runlog.full_events)
 
 
 query("log_lines", "SELECT event_id, date_trunc('second', ts) AS log_ts, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level, 'main' AS logger FROM {events}")(lambda t: runlog.parse_lines(t.run_log).select("event_id", "log_ts", "level", "logger"))
@@ -239,7 +243,7 @@ query("preflight_tally", f"SELECT log, session::BIGINT AS session, count(DISTINC
     lambda t: context(t).where("kind = 'preflight'").groupBy("log", "session").agg(F.countDistinct(F.when(F.col("capped"), F.col("unit"))).alias("capped_types"), F.count_if(~F.col("capped")).alias("under_cap"), F.count(F.lit(1)).alias("total"))
 )
 query("idle_gaps", f"SELECT log, event_id, idle_s FROM (SELECT log, event_id, epoch(lead(log_ts) OVER (PARTITION BY log ORDER BY log_ts, event_id))::BIGINT - epoch(log_ts)::BIGINT AS idle_s FROM {EVENTS} AS e) AS x WHERE idle_s > 3600")(
-    lambda t: runlog.idle_gaps(full_log(t), "log", "log_ts", ["log_ts", "event_id"], 3600).select("log", "event_id", "idle_s")
+    lambda t: runlog.idle_gaps(run_lines(t), "log", "log_ts", ["log_ts", "event_id"], 3600).select("log", "event_id", "idle_s")
 )
 query("log_kv_summary", "SELECT event_id, concat('oblast-', CAST(user_id % 27 AS STRING)) AS label, event_id % 20 AS pages, user_id AS saved FROM {events} WHERE event_type = 'click' AND event_id % 3 = 2")(
     lambda t: runlog.key_values(runlog.parse_lines(t.run_log), "SCRAPE_UNIT_SUMMARY").select("event_id", F.col("kv")["label"].alias("label"), F.col("kv")["pages"].cast("long").alias("pages"), F.col("kv")["saved"].cast("long").alias("saved"))
@@ -260,8 +264,7 @@ def light_log(t: Tables) -> DataFrame:
 
 
 def light_context(t: Tables) -> DataFrame:
-    events = runlog.incremental_events(runlog.parse_lines(t.light_log)).withColumn("log", F.col("user_id") % 10)
-    return runlog.with_context(events, "log", ["log_ts", "event_id"])
+    return runlog.with_context(runlog.parse_lines(t.light_log).withColumn("log", F.col("user_id") % 10), "log", ["log_ts", "event_id"], runlog.incremental_events)
 
 
 query("log_events_incremental", f"SELECT event_id, kind, region, saved, new, changed, reappeared, unchanged, number, label FROM {LIGHT} AS l")(lambda t: light_log(t).select("event_id", "kind", "region", *MOVES, "number", "label"))
