@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import contextlib
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from estatelake.operators import denorm, markup, pages, quality, reconcile, runlog, runstate, staging
-from estatelake.plans.listing_queries import REASON, SELECTED, _eligible, scan_rows
+from estatelake.plans.listing_queries import FIRSTS, REASON, SELECTED, _eligible, scan_rows
 from estatelake.plans.registry import Tables, query
 from estatelake.schema import TRANSACTIONS
 from estatelake.sources import tables
@@ -327,11 +331,53 @@ def sink_jsonl_roundtrip(t: Tables) -> DataFrame:
 
 @query("source_jsonl_reject", "SELECT CASE event_id % 5 WHEN 1 THEN 'bad json' WHEN 2 THEN 'no id' WHEN 3 THEN 'no payload' ELSE 'ok' END AS reason, count(*) AS n FROM {events} WHERE event_id % 5 <> 4 GROUP BY 1")
 def source_jsonl_reject(t: Tables) -> DataFrame:
+    good, bad = tables.read_jsonl(t.events.select(json_line().alias("value")), "source_id string, listing struct<price:int>", "listing")
+    return good.select(F.lit("ok").alias("reason")).unionByName(bad.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def json_line() -> Column:
+    """A staging record of an event, of which four in five are no good."""
     k = F.col("event_id") % 5
     eid = F.col("event_id").cast("string")
-    line = F.when(k == 0, F.concat(F.lit('{"source_id":"'), eid, F.lit('","listing":{"price":1}}'))).when(k == 1, F.concat(F.lit('{"source_id":'), eid, F.lit("x"))).when(k == 2, F.lit('{"source_id":" ","listing":{"price":1}}')).when(k == 3, F.concat(F.lit('{"source_id":"'), eid, F.lit('"}'))).otherwise("  ")
-    good, bad = tables.read_jsonl(t.events.select(line.alias("value")), "source_id string, listing struct<price:int>", "listing")
-    return good.select(F.lit("ok").alias("reason")).unionByName(bad.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return F.when(k == 0, F.concat(F.lit('{"source_id":"'), eid, F.lit('","listing":{"price":1}}'))).when(k == 1, F.concat(F.lit('{"source_id":'), eid, F.lit("x"))).when(k == 2, F.lit('{"source_id":" ","listing":{"price":1}}')).when(k == 3, F.concat(F.lit('{"source_id":"'), eid, F.lit('"}'))).otherwise("  ")
+
+
+@query("source_jsonl_files", "SELECT part, line, CASE event_id % 5 WHEN 1 THEN 'bad json' WHEN 2 THEN 'no id' ELSE 'no payload' END AS reason FROM (SELECT event_id, event_id % 3 AS part, row_number() OVER (PARTITION BY event_id % 3 ORDER BY event_id) AS line FROM {events}) AS x WHERE event_id % 5 IN (1, 2, 3)")
+def source_jsonl_files(t: Tables) -> DataFrame:
+    """Rejected records of staging files with the line that they stand in."""
+    path = _folder(t, "staging")
+    rows = t.events.select("event_id", (F.col("event_id") % 3).alias("part"), json_line().alias("value"))
+    # one file for each part, in order, as a staging file is appended to
+    rows.repartition(3, "part").sortWithinPartitions("part", "event_id").select("part", "value").write.partitionBy("part").text(path)
+    _, bad = tables.read_jsonl_files(t.spark, path, "source_id string, listing struct<price:int>", "listing")
+    return bad.select(F.regexp_extract("file", r"/part=(\d+)/", 1).cast("long").alias("part"), "line", "reason")
+
+
+@query("export_versions", f"SELECT source_id, region, price_raw, 2 AS version FROM ({ROWS.replace('concat(' + chr(39) + 'a \"q\",' + chr(39) + ', chr(10), region) AS note', 'region')}) AS r WHERE region <> 'NATION_1'")
+def export_versions(t: Tables) -> DataFrame:
+    """The current version of a snapshot after two exports and a failed third one."""
+    root, rows = _folder(t, "snapshot"), scan_rows(t)
+    columns = ["source_id", "region", "price_raw"]
+    tables.publish(rows.limit(0), root, columns)
+    version = tables.publish(rows.where("region <> 'NATION_1'"), root, columns)
+    broken = F.when(F.col("source_id") != "", F.raise_error(F.lit("no more disk")).cast("string"))
+    with contextlib.suppress(PySparkException, Py4JJavaError):
+        tables.publish(rows.withColumn("region", broken), root, columns)
+    return tables.current(t.spark, root).withColumn("version", F.lit(version))
+
+
+@query("log_mixed_bytes", f"SELECT {LOG} AS log, count(*) AS lines, CAST({LOG} % 2 = 0 AS INT) AS is_utf8, sum(length(concat(CASE WHEN {LOG} % 2 = 0 THEN 'Област № ' ELSE 'Café à ' END, CAST(event_id AS STRING))))::BIGINT AS chars, count(*) AS right_lines FROM {{events}} GROUP BY ALL")
+def log_mixed_bytes(t: Tables) -> DataFrame:
+    """Lines of files of which some are no UTF-8."""
+    path = _folder(t, "mixed-logs")
+    log = F.col("user_id") % 10
+    said = F.concat(F.when(log % 2 == 0, "Област № ").otherwise("Café à "), F.col("event_id").cast("string"))
+    # a Latin-1 file's bytes, put down as they are
+    as_bytes = F.when(log % 2 == 0, said).otherwise(F.encode(F.when(log % 2 == 1, said), "ISO-8859-1").cast("string"))
+    t.events.select(log.alias("log"), as_bytes.alias("value")).write.partitionBy("log").text(path)
+    lines = tables.read_log_bytes(t.spark, path)
+    place = F.regexp_extract("path", r"/log=(\d+)/", 1).cast("long").alias("log")
+    return lines.groupBy(place).agg(F.count(F.lit(1)).alias("lines"), F.max(F.col("is_utf8").cast("int")).alias("is_utf8"), F.sum(F.length("line")).cast("long").alias("chars"), F.count_if(F.col("line").rlike(r"^(Област №|Café à) \d+$")).alias("right_lines"))
 
 
 @query("export_rows_sorted", "SELECT source_id, region, price_raw FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY seq, region) AS rn FROM {sightings} WHERE trim(source_id) <> '') AS f WHERE rn = 1")
@@ -410,15 +456,51 @@ def stream_log_events(t: Tables) -> DataFrame:
     return _drain(t, _event_stream(t).where("kind IS NOT NULL").select("event_id", "kind"), "log-events").groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_region_report", f"SELECT CAST(log AS STRING) AS log, session::BIGINT AS session, region, listings, errors FROM {REPORT.replace('ORDER BY log_ts, event_id', 'ORDER BY event_id')} AS r WHERE session < (SELECT max(session) FROM {CONTEXT.replace('ORDER BY log_ts, event_id', 'ORDER BY event_id')} AS c WHERE c.log = r.log)")
+#: How late lines may be in the queries' streams.
+LATE = "10 minutes"
+
+
+def _lines_and_clock(t: Tables) -> DataFrame:
+    """The stream of a run's events, and behind them one line of another log that is as much later as lines may be late: with it the clock has passed all."""
+    lines = runlog.parse_lines(t.run_log.withColumn("log", (F.col("user_id") % 10).cast("string")))
+    path = _folder(t, "timed-lines")
+    lines.write.parquet(path)
+    tick = t.run_log.agg((F.date_trunc("second", F.max("ts")).cast("timestamp_ntz") + F.expr(f"INTERVAL {LATE}") + F.expr("INTERVAL 1 second")).alias("log_ts"))
+    tick.select(*(F.col("log_ts") if c == "log_ts" else F.lit("clock" if c == "log" else None).cast(lines.schema[c].dataType).alias(c) for c in lines.columns)).write.mode("append").parquet(path)
+    return runlog.full_events(t.spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 64).parquet(path))
+
+
+@query("stream_region_report", f"SELECT CAST(log AS STRING) AS log, session::BIGINT AS session, region, listings, errors FROM {REPORT} AS r WHERE session < (SELECT max(session) FROM {CONTEXT} AS c WHERE c.log = r.log)")
 def stream_region_report(t: Tables) -> DataFrame:
-    return _drain(t, streams.region_reports(_event_stream(t), watch_idle=False), "reports").where("kind = 'report'").select("log", "session", "region", "listings", "errors")
+    """Region reports of a running log, in the order of its lines' time."""
+    return _drain(t, streams.region_reports(_lines_and_clock(t), "log_ts", LATE, None), "reports").where("kind = 'report'").select("log", "session", "region", "listings", "errors")
+
+
+SIGHTING = "source_id STRING, region STRING, seq STRING, observed_at TIMESTAMP"
+
+
+def _first_sightings(t: Tables) -> DataFrame:
+    """First sightings of a scan that comes in three parts, some years apart each, in the order of time."""
+    path, out = _folder(t, "scan-stream"), _folder(t, "sightings")
+    scan = t.sightings.select("source_id", "region", "seq", F.substring("seq", 1, 10).cast("timestamp").alias("observed_at"))
+    table = f"sightings_{out.rpartition('-')[2]}"
+    sink = streams.FirstSightings(t.spark, table, f"{out}/data", SIGHTING, ["seq", "region"], 8)
+    for a, b in (("", "1994"), ("1994", "1996"), ("1996", "9")):  # the stream ends and goes on between the parts
+        scan.where((F.col("seq") >= a) & (F.col("seq") < b)).write.mode("append").parquet(path)
+        stream = t.spark.readStream.schema(scan.schema).parquet(path)
+        stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return t.spark.table(table)
 
 
 @query("stream_seen_ids", "SELECT DISTINCT source_id FROM {sightings} WHERE trim(source_id) <> ''")
 def stream_seen_ids(t: Tables) -> DataFrame:
-    scan = _as_stream(t, t.sightings.select("source_id", F.lit("2024-01-01").cast("timestamp").alias("observed_at")), "scan-stream")
-    return _drain(t, streams.seen_ids(scan).select("source_id"), "seen")
+    return _first_sightings(t).select("source_id")
+
+
+@query("stream_first_sightings", f"SELECT source_id, region, seq, CAST(left(seq, 10) AS TIMESTAMP) AS observed_at FROM {FIRSTS}")
+def stream_first_sightings(t: Tables) -> DataFrame:
+    """The first sighting of each id over a run, however long ago."""
+    return _first_sightings(t).select("source_id", "region", "seq", F.col("observed_at").cast("timestamp_ntz").alias("observed_at"))
 
 
 @query("stream_ingest", "SELECT source_id, region, seq FROM {sightings}")
@@ -442,12 +524,11 @@ def stream_notifications(t: Tables) -> DataFrame:
     return _drain(t, streams.notifications(_event_stream(t)).select("kind", "notice"), "notices").groupBy("kind", "notice").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_idle", f"SELECT log, count(*) AS gaps FROM (SELECT log, epoch(lead(log_ts) OVER (PARTITION BY log ORDER BY log_ts, event_id))::BIGINT - epoch(log_ts)::BIGINT AS idle_s FROM {EVENTS} AS e) AS x WHERE idle_s > 7200 GROUP BY log")
+@query("stream_idle", f"SELECT CAST(log AS BIGINT) AS log, count(*) AS gaps FROM (SELECT log, epoch(coalesce(lead(log_ts) OVER (PARTITION BY log ORDER BY log_ts, event_id), max(log_ts) OVER () + INTERVAL 1 SECOND))::BIGINT - epoch(log_ts)::BIGINT AS idle_s FROM {EVENTS} AS e) AS x WHERE idle_s > 7200 GROUP BY log")
 def stream_idle(t: Tables) -> DataFrame:
-    """The batch twin of the processing-time watchdog, over the streamed lines."""
-    lines = _drain(t, _event_stream(t).select("log", "event_id", "log_ts"), "idle-lines")
-    gaps = runlog.idle_gaps(lines, "log", "log_ts", ["log_ts", "event_id"], 7200)
-    return gaps.groupBy(F.col("log").cast("long").alias("log")).agg(F.count(F.lit(1)).alias("gaps"))
+    """How often each log was silent for more than two hours, by the watchdog's timer, up to the last line of all."""
+    notices = _drain(t, streams.region_reports(_lines_and_clock(t), "log_ts", LATE, 7200), "idle").where("kind = 'idle'")
+    return notices.groupBy(F.col("log").cast("long").alias("log")).agg(F.count(F.lit(1)).alias("gaps"))
 
 
 @query("event_time_counts", "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM {events} GROUP BY ALL")

@@ -33,3 +33,26 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     path = stage_path(df.sparkSession, name)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _on_store(spark: SparkSession, path: str) -> tuple:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, p = _on_store(spark, path)
+    return store.exists(p)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What is in a folder."""
+    store, p = _on_store(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(p))
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete files or folders, on whatever store they are."""
+    for path in paths:
+        store, p = _on_store(spark, path)
+        store.delete(p, True)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from estatelake.functions.text import key
 from estatelake.schema import LISTING
+from estatelake.sources.shared import exists, names, remove, staged
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -42,15 +46,25 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_log_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files as UTF-8 text, as Latin-1 where the bytes are no UTF-8."""
-    content = F.col("content")
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("log"), F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "ISO-8859-1")).alias("text"))
+    """Lines of log files (line, log, path, is_utf8) as UTF-8, and as Latin-1 where any byte of their file is no UTF-8.
+
+    Files are read in splits, whatever their size: a first pass says of each file whether all its lines are valid, a row for each file."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("log"), F.col("_metadata.file_path").alias("path"))
+    judged = lines.groupBy(F.col("path").alias("_path")).agg(F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+    text = F.when(F.col("is_utf8"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    return lines.join(judged, F.col("path") == F.col("_path")).select(text.alias("line"), "log", "path", "is_utf8")
 
 
-def read_state(spark: SparkSession, url: str, table: str, status: str, transaction: str, **options: str) -> DataFrame:
-    """State rows over JDBC; both predicates are pushed to the database."""
-    rows = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-    return state_rows(rows, status, transaction)
+def read_state(spark: SparkSession, url: str, table: str, status: str, transaction: str, partitions: int = 1, column: str = "listing_id", **options: str) -> DataFrame:
+    """State rows over JDBC; both predicates are pushed to the database. With partitions, as many connections read ranges of a numeric column between its bounds."""
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    if partitions > 1:
+        low, high = reader.option("query", f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}").load().first()
+        if low is not None:
+            reader = spark.read.format("jdbc").options(url=url, **options).options(partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(partitions))
+        else:
+            reader = spark.read.format("jdbc").options(url=url, **options)
+    return state_rows(reader.option("dbtable", table).load(), status, transaction)
 
 
 def state_rows(rows: DataFrame, status: str, transaction: str) -> DataFrame:
@@ -83,15 +97,44 @@ def write_jsonl(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def read_jsonl(lines: DataFrame, schema: str, payload: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(records, rejects with a reason) of JSON lines (column value). Blank lines are skipped."""
-    held = lines.where(F.trim("value") != "").withColumn("r", F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
+def _judged(lines: DataFrame, schema: str, payload: str | None) -> DataFrame:
+    """lines (column value) with the record r, whether the line is blank, and the reason for which it is none."""
+    blank = F.trim("value") == ""
+    held = lines.withColumn("r", F.from_json("value", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
     is_object = F.trim("value").startswith("{")
     reason = F.when(~is_object | F.col("r._bad").isNotNull() | F.col("r").isNull(), "bad json").when(key(F.col("r.source_id")) == "", "no id")
     if payload:
         reason = reason.when(F.col(f"r.{payload}").isNull(), "no payload")
-    judged = held.withColumn("reason", reason)
-    return judged.where("reason IS NULL").select("r.*").drop("_bad"), judged.where("reason IS NOT NULL").select("value", "reason")
+    return held.withColumns({"blank": blank, "reason": F.when(~blank, reason)})
+
+
+def read_jsonl(lines: DataFrame, schema: str, payload: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects with a reason) of JSON lines (column value). Blank lines are skipped."""
+    judged = _judged(lines, schema, payload)
+    return judged.where("reason IS NULL AND NOT blank").select("r.*").drop("_bad"), judged.where("reason IS NOT NULL").select("value", "reason")
+
+
+def read_jsonl_files(spark: SparkSession, path: str, schema: str, payload: str | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of JSON lines files; a reject names its file, its line in the file, from 1, and a reason. With strict, reading the records of a file with a reject fails and
+    names the first one.
+
+    Files are read in splits, and lines parsed once, into a stored table. A line's number is its place in its split and the lines of the splits before it: a row for
+    each split, joined with the rejects alone."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")).withColumn("_at", F.monotonically_increasing_id())
+    held = lines.withColumn("value", F.rtrim("value", F.lit("\r")))
+    judged = staged(_judged(held, schema, payload), "json-lines")
+    splits = judged.groupBy("file", "split").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = splits.select("file", "split", "_first", before.alias("_before"))
+    bad = judged.where("reason IS NOT NULL").join(starts, ["file", "split"])
+    bad = bad.select("file", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("line"), "reason", "value")
+    good = judged.where("reason IS NULL AND NOT blank")
+    if strict:
+        first = bad.agg(F.min(F.struct("file", "line", "reason")).alias("b")).select("b.*")
+        told = F.raise_error(F.concat_ws(" ", F.lit("bad record in"), F.col("file"), F.lit("line"), F.col("line").cast("string"), F.col("reason")))
+        checked = F.when(F.col("file").isNull(), F.lit(True)).otherwise(told.cast("boolean"))
+        good = good.join(F.broadcast(first.select(checked.alias("_ok"))), F.col("_ok"))  # one row
+    return good.select("r.*").drop("_bad"), bad
 
 
 def export_sorted(rows: DataFrame, path: str, columns: list[str], key_col: str = "source_id") -> None:
@@ -99,6 +142,48 @@ def export_sorted(rows: DataFrame, path: str, columns: list[str], key_col: str =
     rows.select(*columns).orderBy(key_col).write.mode("errorifexists").parquet(path)
 
 
+COMMIT = "version long, folder string"
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """Commit records (version, folder) of a snapshot's root."""
+    return spark.read.schema(COMMIT).json(f"{root}/_commits")
+
+
+def _last(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    if not exists(spark, f"{root}/_commits"):
+        return 0, None
+    row = versions(spark, root).orderBy(F.desc("version"), F.desc("folder")).first()
+    return (row.version, row.folder) if row else (0, None)
+
+
+def publish(rows: DataFrame, root: str, columns: list[str], key_col: str = "source_id") -> int:
+    """Replace a sorted snapshot as a whole: the rows go to a folder of their own, and only when all of them are there does a commit record name it as the current version. A
+    failed export leaves no record, so that readers go on with the version before."""
+    spark = rows.sparkSession
+    version = _last(spark, root)[0] + 1
+    folder = f"v{version}-{uuid.uuid4().hex}"
+    export_sorted(rows, f"{root}/{folder}", columns, key_col)
+    spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder")).coalesce(1).write.mode("append").json(f"{root}/_commits")
+    return version
+
+
+def current(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of the current version. A reader that has begun goes on with its version while a new one is published."""
+    _, folder = _last(spark, root)
+    if folder is None:
+        raise FileNotFoundError(f"nothing is published in {root}")
+    return spark.read.parquet(f"{root}/{folder}")
+
+
+def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete the folders of all but the last ``keep`` versions, and what failed exports left; their records stay. Readers of old versions must be done."""
+    kept = {r.folder for r in versions(spark, root).orderBy(F.desc("version"), F.desc("folder")).limit(keep).collect()}
+    gone = sorted(n for n in names(spark, root) if n.startswith("v") and n not in kept)
+    remove(spark, *(f"{root}/{n}" for n in gone))
+    return gone
+
+
 def write_partitioned(rows: DataFrame, ts: str, path: str, transaction: str = "transaction_type") -> None:
     """Rows in folders by transaction and UTC date; what goes into one folder is brought together before, by a hash of all columns
     where a folder is large (adaptive execution splits it)."""

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from estatelake.operators import reconcile, runlog, staging
+from estatelake.sources.shared import exists, remove, staged
 
 IDLE_LIMIT_S = 300
 
@@ -23,9 +24,28 @@ def log_events(lines: DataFrame) -> DataFrame:
     return runlog.full_events(runlog.parse_lines(lines))
 
 
-def seen_ids(scan: DataFrame, ts: str = "observed_at", delay: str = "1 day") -> DataFrame:
-    """First sighting of each id within the delay; state older than it is dropped."""
-    return staging.keyed(scan).withWatermark(ts, delay).dropDuplicatesWithinWatermark(["source_id"])
+class FirstSightings:
+    """A foreachBatch writer that keeps the first row of each id over a whole run, however long it lasts: nothing expires.
+
+    The table is bucketed by the id and partitioned by the micro-batch. A batch is reduced to its first row of each id and held against the ids of
+    earlier batches, whose buckets need no shuffle; what is new becomes the batch's partition. A replayed batch replaces its own partition by the same rows, so
+    that data come before the checkpoint and never twice. ``schema`` names the columns, source_id among them."""
+
+    def __init__(self, spark: SparkSession, table: str, path: str, schema: str, order: list[str], buckets: int = 64) -> None:
+        self.table, self.order, self.columns = table, order, [c.split()[0] for c in schema.split(", ")]
+        if not spark.catalog.tableExists(table):
+            spark.sql(f"CREATE TABLE {table} ({schema}, batch_id BIGINT) USING parquet PARTITIONED BY (batch_id) CLUSTERED BY (source_id) INTO {buckets} BUCKETS LOCATION '{path}'")
+            if exists(spark, path):  # of a run that goes on
+                spark.catalog.recoverPartitions(table)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        firsts = staging.first_wins(staging.keyed(batch.select(*self.columns)), ["source_id"], F.struct(*self.order))
+        known = spark.table(self.table).where(F.col("batch_id") < batch_id).select("source_id")
+        new = staged(firsts.join(known, "source_id", "left_anti"), "new-sightings")
+        new.createOrReplaceTempView("_new_sightings")
+        spark.sql(f"INSERT OVERWRITE {self.table} PARTITION (batch_id = {batch_id}) SELECT {', '.join(self.columns)} FROM _new_sightings")
+        remove(spark, *new.inputFiles())
 
 
 def classify_stream(scan: DataFrame, state: DataFrame) -> DataFrame:
@@ -44,49 +64,101 @@ def idempotent_sink(path: str, run_id: str):
 
 
 REPORT = "log string, session long, region string, listings long, errors long, kind string"
-STATE = "session long, region string, listings long, errors long, labels string"
-
-
-def _in_order(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """A log's events of a micro-batch by event_id. A group comes in several frames in shuffle order, so that they are put together
-    first, without the events that change no state."""
-    kept = [f.loc[f["kind"].isin(("region_start", "run_end")) | ((f["kind"] == "page_saved") & f["rows"].notna()) | f["label"].notna(), ["event_id", "kind", "region", "rows", "label"]] for f in frames]
-    return pd.concat([f for f in kept if len(f)] or kept[:1]).sort_values("event_id")
-
-
-def _region_state(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState, idle_s: int | None) -> Iterator[pd.DataFrame]:
-    """Counters of the open region; a report when the next one starts or the run ends, a notice when the log falls silent."""
-    session, region, listings, errors, labels = state.get if state.exists else (0, None, 0, 0, "")
-    out: list[tuple] = []
-    if state.hasTimedOut:
-        out.append((key[0], session, region, listings, errors, "idle"))
-    else:
-        seen = set(labels.split("\n")) - {""}
-        for kind, where, rows, label in _in_order(frames)[["kind", "region", "rows", "label"]].itertuples(index=False):
+HELD = "at timestamp, event_id long, kind string, region string, rows long, label string"
+OPEN = "session long, region string, listings long, last timestamp, told boolean"
+#: The state of the processor needs a store that knows list and map states and timers.
+STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def _ms(at: datetime) -> int:
+    """Milliseconds of a time in UTC, which is what the session writes into state."""
+    return int(at.replace(tzinfo=timezone.utc).timestamp() * 1000) if at.tzinfo is None else int(at.timestamp() * 1000)
+
+
+class RegionReports(StatefulProcessor):
+    """Reports of the regions of a log, and a notice when it falls silent.
+
+    Lines that came are held until the watermark has passed their time, so that no earlier line can come any more, and are then read in the order of their time and number, however
+    they were spread over micro-batches. A log keeps: the lines held (a list), the open region with its counters and the time of the last line read (a value), and the
+    region's distinct labels (a map). Two timers: one for the first line held, one for the moment at which the log will have been silent for too long. A line that comes
+    after that moment finds it told, once for each silence."""
+
+    def __init__(self, idle_s: int | None, by_event_time: bool) -> None:
+        self.idle_s, self.by_event_time = idle_s, by_event_time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", HELD)
+        self.open = handle.getValueState("open", OPEN)
+        self.labels = handle.getMapState("labels", "label string", "n long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        came = [(r["at"], r["event_id"], r["kind"], r["region"], r["rows"], r["label"]) for r in rows]
+        if not self.by_event_time:
+            yield from self._read(key[0], came, timerValues.getCurrentProcessingTimeInMs())
+            return
+        self.held.appendList(came)
+        self.handle.registerTimer(_ms(min(r[0] for r in came)))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        if not self.by_event_time:
+            yield from self._read(key[0], [], timerValues.getCurrentProcessingTimeInMs())
+            return
+        now = timerValues.getCurrentWatermarkInMs()
+        held = list(self.held.get()) if self.held.exists() else []
+        later = [tuple(r) for r in held if _ms(r[0]) > now]
+        if later:
+            self.held.put(later)
+            self.handle.registerTimer(_ms(min(r[0] for r in later)))
+        else:
+            self.held.clear()
+        yield from self._read(key[0], [tuple(r) for r in held if _ms(r[0]) <= now], now)
+
+    def _read(self, log: str, lines: list[tuple], now: int) -> Iterator[Row]:
+        """Reads lines in order, and looks at the silence up to now (milliseconds of the clock in use)."""
+        session, region, listings, last, told = self.open.get() if self.open.exists() else (0, None, 0, None, True)
+        out = lambda kind: Row(log=log, session=session, region=region, listings=listings, errors=sum(1 for _ in self.labels.keys()) if self.labels.exists() else 0, kind=kind)
+        silent = lambda until: self.idle_s is not None and not told and last is not None and until - _ms(last) > self.idle_s * 1000
+        for at, _, kind, where, rows, label in sorted(lines, key=lambda r: r[:2]):
+            if self.by_event_time and silent(_ms(at)):
+                yield out("idle")
             if kind in ("region_start", "run_end"):
                 if session and region is not None:
-                    out.append((key[0], session, region, listings, len(seen), "report"))
+                    yield out("report")
                 session, region = (session + 1, where) if kind == "region_start" else (session, None)
-                listings, seen = 0, set()
-            elif kind == "page_saved" and pd.notna(rows):
-                listings += int(rows)
-            if isinstance(label, str):
-                seen.add(label)
-        errors, labels = len(seen), "\n".join(sorted(seen))
-        state.update((session, region, listings, errors, labels))
-        if idle_s is not None:
-            state.setTimeoutDuration(idle_s * 1000)
-    yield pd.DataFrame(out, columns=[c.split()[0] for c in REPORT.split(", ")])
-
-
-def region_reports(events: DataFrame, watch_idle: bool = True, idle_s: int = IDLE_LIMIT_S) -> DataFrame:
-    """Reports, and idle notices by a processing-time timer if asked for, with state for each log (columns log, event_id, kind, region,
-    rows, label)."""
-
-    def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        return _region_state(key, frames, state, idle_s if watch_idle else None)
-
-    return events.groupBy("log").applyInPandasWithState(step, REPORT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout if watch_idle else GroupStateTimeout.NoTimeout)
+                listings = 0
+                self.labels.clear()
+            elif kind == "page_saved" and rows is not None:
+                listings += rows
+            if label is not None:
+                self.labels.updateValue((label,), (1,))
+            last, told = at, False
+        if lines and not self.by_event_time:
+            last = datetime.fromtimestamp(now / 1000, tz=timezone.utc).replace(tzinfo=None)
+        if silent(now):
+            yield out("idle")
+            told = True
+        self.open.update((session, region, listings, last, told))
+        if self.idle_s is not None and not told and last is not None:
+            self.handle.registerTimer(_ms(last) + self.idle_s * 1000 + 1)
+
+    def close(self) -> None:
+        pass
+
+
+def region_reports(events: DataFrame, ts: str | None = None, delay: str = "10 minutes", idle_s: int | None = IDLE_LIMIT_S) -> DataFrame:
+    """Reports and, unless idle_s is None, idle notices of each log (columns log, event_id, kind, region, rows, label).
+
+    With ts, the time of a line, the watermark is the clock: lines may be late by ``delay``, later ones are dropped, and a log is silent when the lines of others have gone on. Without
+    it the clock is the machine's, and lines are read as they come."""
+    events.sparkSession.conf.set(*STORE)
+    at = F.col(ts).cast("timestamp") if ts else F.timestamp_seconds(F.lit(0))
+    if idle_s is None:  # what changes no region
+        events = events.where(F.col("kind").isin("region_start", "run_end", "page_saved") | F.col("label").isNotNull())
+    held = events.select("log", at.alias("at"), "event_id", "kind", "region", F.col("rows").cast("long").alias("rows"), "label")
+    if ts:
+        held = held.withWatermark("at", delay)
+    return held.groupBy("log").transformWithState(RegionReports(idle_s, ts is not None), REPORT, "append", "eventTime" if ts else "processingTime")
 
 
 def notifications(events: DataFrame) -> DataFrame:
