@@ -59,7 +59,7 @@ def read_state(spark: SparkSession, url: str, table: str, status: str, transacti
     """State rows over JDBC; both predicates are pushed to the database. With partitions, as many connections read ranges of a numeric column between its bounds."""
     reader = spark.read.format("jdbc").options(url=url, **options)
     if partitions > 1:
-        low, high = reader.option("query", f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table}").load().first()
+        low, high = reader.option("query", f"SELECT MIN(\"{column}\") AS \"low\", MAX(\"{column}\") AS \"high\" FROM {table}").load().first()
         if low is not None:
             reader = spark.read.format("jdbc").options(url=url, **options).options(partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(partitions))
         else:
