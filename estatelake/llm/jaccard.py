@@ -195,6 +195,16 @@ def _sketches(column: pa.ChunkedArray | pa.Array, positions: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, positions)
 
 
+def _spelt_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each path of a set, with its sketch."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, 256):
+            batch = whole.slice(start, 256)
+            paths = batch.column("paths")
+            at = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(paths.offsets.to_numpy())))
+            yield pa.RecordBatch.from_arrays([batch.column("rid").take(at), paths.flatten(), batch.column("sketch").take(at)], names=["rid", "path", "sketch"])
+
+
 def _compare_sketches(positions: int, alike: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Spanning forests of small leaves, each of one block."""
 
@@ -450,6 +460,13 @@ def _spread(rows: DataFrame, right: DataFrame, on: Column, width: Column) -> Dat
     return rows.join(F.broadcast(right) if few else right, on, "left")
 
 
+def _with_sketches(paths: DataFrame, sketches: DataFrame) -> DataFrame:
+    """rid, path, sketch. A set's paths, some runs' at most, are put together before the join, which so makes one row for each set; near copies keep many paths
+    each, and all of them would meet the same sketch."""
+    held = paths.groupBy(F.col("rid").alias("_rid")).agg(F.collect_list("path").alias("paths"))
+    return held.join(sketches, F.col("_rid") == F.col("rid")).select("rid", "paths", "sketch").mapInArrow(lean(_spelt_out), "rid long, path long, sketch binary")
+
+
 def _large_leaf_edges(leaf: DataFrame, sketches: DataFrame, positions: int) -> DataFrame:
     """u, v of leaves with more than SKETCH_BLOCK sets: by their centre, and by blocks of what is not like it."""
     held = leaf.join(sketches, "rid")
@@ -487,9 +504,9 @@ def similar_groups(reps: DataFrame, threshold: float = THRESHOLD, recall: float
         if last:
             break
         large = live.where(F.col("m") > SMALL).select("rid", "path")
-        level = staged(large.join(sketches, "rid").select("rid", "path", "sketch").mapInArrow(lean(_next_paths(positions, threshold)), "rid long, path long"), "paths")
+        level = staged(_with_sketches(large, sketches).mapInArrow(lean(_next_paths(positions, threshold)), "rid long, path long"), "paths")
     leaf = reduce(DataFrame.unionByName, leaves)
-    small = leaf.where(F.col("m") <= SKETCH_BLOCK).join(sketches, "rid").select("rid", "path", "sketch")
+    small = _with_sketches(leaf.where(F.col("m") <= SKETCH_BLOCK), sketches)
     edges = _dealt(small, "path").mapInArrow(lean(_compare_sketches(positions, ALIKE)), "u long, v long")
     large = leaves[-1].where(F.col("m") > SKETCH_BLOCK)
     if not large.isEmpty():
