@@ -95,7 +95,7 @@ class RegionReports(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         came = [(r["at"], r["event_id"], r["kind"], r["region"], r["rows"], r["label"]) for r in rows]
         if not self.by_event_time:
-            yield from self._read(key[0], came, timerValues.getCurrentProcessingTimeInMs())
+            yield from self._read(key[0], came, 0 if self.idle_s is None else timerValues.getCurrentProcessingTimeInMs())
             return
         self.held.appendList(came)
         self.handle.registerTimer(_ms(min(r[0] for r in came)))
@@ -158,7 +158,9 @@ def region_reports(events: DataFrame, ts: str | None = None, delay: str = "10 mi
     held = events.select("log", at.alias("at"), "event_id", "kind", "region", F.col("rows").cast("long").alias("rows"), "label")
     if ts:
         held = held.withWatermark("at", delay)
-    return held.groupBy("log").transformWithState(RegionReports(idle_s, ts is not None), REPORT, "append", "eventTime" if ts else "processingTime")
+    # a stream with timers of the machine's clock never ends by itself
+    clock = "eventTime" if ts else "none" if idle_s is None else "processingTime"
+    return held.groupBy("log").transformWithState(RegionReports(idle_s, ts is not None), REPORT, "append", clock)
 
 
 def notifications(events: DataFrame) -> DataFrame:

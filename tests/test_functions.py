@@ -86,4 +86,4 @@ def test_cards_with_decoys(spark):
     assert (a.poster_type, a.agency_phone, a.has_photos) == ("собственик", None, False)
     assert (b.source_id, b.listing_url) == ("2", None)
     assert pages.reject_cards(pages.card_columns(pages.cards(df))).count() == 1
-    assert df.where("url = 'u'").select(pages.capped(F.col("html"))).first()[0] is False
+    assert df.where("url = 'u'").select(pages.capped("html")).first()[0] is False

@@ -80,7 +80,7 @@ def test_region_reports_over_several_frames(spark, tmp_path):
     before = spark.conf.get(name)
     spark.conf.set(name, "7")
     try:
-        streams.region_reports(stream, watch_idle=False).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/at").trigger(availableNow=True).start().awaitTermination()
+        streams.region_reports(stream, idle_s=None).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/at").trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(name, before)
     got = spark.read.parquet(f"{tmp_path}/out").select("log", "session", "region", "listings", "errors").collect()
