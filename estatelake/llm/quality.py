@@ -15,7 +15,7 @@ weights (under 0.3 MB).
 Defined cases: null counts as empty, and an empty text gets a score like any other; labels that are
 null, or no row of one of the labels, leave that side's sample empty, and with no sample at all
 every score is 0.5; an id that is labelled both ways counts as bad, and of a sampled id that stands for several texts the one of
-least hash is taken, so that fits are repeatable; ids that repeat are scored each; an empty table gives an empty result; extra
+least hash is taken, so that fits are repeatable; ids that repeat are scored each; a document without an id is scored and is not held out; an empty table gives an empty result; extra
 columns are ignored by ``score_quality`` and kept by ``keep_good``, whatever their names.
 """
 
@@ -177,7 +177,7 @@ def with_score(docs: DataFrame, model: CompressionModel, text_col: str = "text")
 def score_quality(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted for each document."""
     scored = with_score(docs.select(docs[id_col], docs[text_col]), model, text_col)
-    return scored.select(F.col("_c0").alias("doc_id"), (fold(F.col("_c0")) == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select(F.col("_c0").alias("doc_id"), F.coalesce(fold(F.col("_c0")) == 0, F.lit(False)).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, model: CompressionModel, text_col: str = "text") -> DataFrame:

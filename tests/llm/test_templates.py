@@ -133,3 +133,19 @@ def test_frequent_tokens_of_groups_hold_those_of_the_host():
         local = Counter(t for s in group for t in s)
         named |= {t for t, c in local.items() if c >= pages.SUPPORT * len(group)}
     assert {t for t, c in on.items() if c >= pages.SUPPORT * 40} <= named
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<p class=it's>one two</p><p>three four</p>", "one two three four"),
+        ("<p><a href=x\"y'z>a</a> b</p><p>c</p>", "a b c"),
+        ("<p title=\"a > b\" class = 'c > d'>x</p>y", "x y"),
+        ("<p a'b>x</p><p \"q>y</p>", "x y"),
+        ("<p title=>x</p><p title= >y</p>", "x y"),
+        ("x<p title=\"never closed>y</p>", "x"),
+        ("<p class='it>s'>x</p>", "x"),
+    ],
+)
+def test_quotes_open_a_value_behind_an_equals_sign_only(spark, html, want):
+    assert texts(spark, [(1, "http://h/1", html)]) == [(1, want)]

@@ -276,3 +276,9 @@ def test_quality_fits_are_repeatable_and_take_all_lengths(spark):
     assert quality.score_quality(none, quality.fit_quality(none, table_of(1)[1])).count() == 0
     clash = documents(spark, rows[:4]).withColumnsRenamed({"size": "_score", "token": "_c0"})
     assert quality.keep_good(clash, models[0]).columns == clash.columns
+
+
+def test_a_document_without_an_id_is_not_held_out(spark):
+    docs = spark.createDataFrame([(None, "some text"), (5, None)], "doc_id long, text string")
+    got = quality.score_quality(docs, quality.fit_quality(docs, spark.createDataFrame([], "doc_id long, quality int"))).collect()
+    assert {(r.doc_id, r.held_out, r.score) for r in got} == {(None, False, 0.5), (5, zlib.crc32(b"5") % 5 == 0, 0.5)}
