@@ -14,21 +14,18 @@ def classify(scan: DataFrame, state: DataFrame) -> DataFrame:
 
     One left join on the id: the state is first reduced to one row for each id, so that the join neither multiplies rows nor needs a second
     one. Only active and inactive rows are known, others are as if they were not there. An active row goes before an inactive one; of two of
-    one status that with the larger listing_id counts, rows without one last. listing_id is unique among the rows of a status.
+    one status that with the larger listing_id counts, rows without one last. listing_id is a whole number below 2^60 and unique among the rows of a status.
     """
-    # plain columns of fixed width, which a hash aggregation can hold
+    # one whole number orders the rows of an id, and all columns are of fixed width, so that a hash aggregation can hold them
+    active, far = F.col("status") == "active", 1 << 60
+    order = F.coalesce(F.col("listing_id").cast("long"), F.lit(-far)) + F.when(active, F.lit(4 * far)).otherwise(F.lit(0).cast("long"))
     held = state.where(F.col("source_id").isNotNull() & F.col("status").isin("active", "inactive"))
-    active, listing = F.col("status") == "active", F.coalesce(F.col("listing_id").cast("long"), F.lit(-(1 << 62)))
-    best = lambda of: (F.max_by("listing_id", F.when(of, listing)), F.max_by("price", F.when(of, listing)))
-    (a_id, a_price), (i_id, i_price) = best(active), best(~active)
-    known = held.groupBy("source_id").agg(F.bool_or(active).alias("_active"), a_id.alias("_a_id"), a_price.alias("_a_price"), i_id.alias("_i_id"), i_price.alias("_i_price"))
+    known = held.groupBy("source_id").agg(F.max(order).alias("_order"), F.max_by("listing_id", order).alias("_id"), F.max_by("price", order).alias("_price"))
     joined = keyed(scan).join(known, "source_id", "left")
-    is_active = F.col("_active")
-    action = F.when(is_active.isNull(), "new").when(~is_active, "reappeared").when(prices_differ(F.col("_a_price"), F.col("price")), "changed").otherwise("unchanged")
+    action = F.when(F.col("_order").isNull(), "new").when(F.col("_order") < 2 * far, "reappeared").when(prices_differ(F.col("_price"), F.col("price")), "changed").otherwise("unchanged")
     out = joined.withColumn("action", action)
     told = F.col("action").isin("changed", "reappeared")
-    of_standing = lambda name: F.when(told, F.when(is_active, F.col(f"_a_{name}")).otherwise(F.col(f"_i_{name}")))
-    return out.select(*scan.columns, "action", of_standing("id").alias("listing_id"), of_standing("price").alias("old_price"))
+    return out.select(*scan.columns, "action", F.when(told, F.col("_id")).alias("listing_id"), F.when(told, F.col("_price")).alias("old_price"))
 
 
 def missing(state: DataFrame, seen: DataFrame) -> DataFrame:
