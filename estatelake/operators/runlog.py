@@ -41,8 +41,8 @@ class Phrases:
     pattern of what follows it. The first rule that holds wins.
 
     Phrases are looked for as bytes and once each, and a pattern is looked at only behind its phrase. The result is the number of the rule, by which
-    what follows its phrase is cut out; captures are taken from that for the rule's kind alone. A regular expression of all rules was tried: it took
-    some forty times as long for a line."""
+    what follows its phrase is cut out; captures are taken from that for the rule's kind alone. One regular expression of all rules was tried, too, and was
+    no faster."""
 
     def __init__(self, *rules: tuple[str, str, str | None]) -> None:
         self.rules = rules
