@@ -359,7 +359,7 @@ def test_run_on_the_small_tables(spark):
     import corpus_pipeline as c
     from estatelake.llm.common import documents as table
 
-    sizes = {r.doc_id: r.size for r in mixing.sized_documents(table(spark, SMALL)).collect()}
+    sizes = {r.doc_id: r.size for r in mixing.sized_documents(table(spark, SMALL))[0].collect()}
     out = c.run(spark, SMALL).collect()
     assert {r.doc_id for r in out} <= set(sizes)
     assert all(sum(r.doc_id == i for r in out) <= 3 for i in sizes)
@@ -369,9 +369,42 @@ def test_mixing_of_repeated_rows_and_ties(spark):
     rows = [(7, "w " * 10, "en", "a")] * 5 + [(i, "w " * 10, "en", "a") for i in range(20, 60)] + [(i, "w " * 10, "en", "b") for i in range(100, 130)] + [(200, None, "en", "b"), (None, "w w", "en", "b"), (None, "w w", "en", None)]
     got = mixing.mix_report(documents(spark, rows)).collect()
     assert len(got) == len(rows)
-    assert len({r.taken for r in got if r.doc_id == 7}) == 1
     for source in {r.source_size for r in got}:
         some = [r for r in got if r.source_size == source]
         assert abs(sum(r.taken for r in some) - some[0].target) <= 50 + 10
     again = mixing.mix_report(documents(spark, rows[::-1])).collect()
     assert sorted(map(repr, got)) == sorted(map(repr, again))
+
+
+def mixed_as_sql(rows):
+    import duckdb
+    import pyarrow as pa
+
+    names = ("doc_id", "text", "lang", "source")
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=pa.schema([("doc_id", pa.int64()), *((n, pa.string()) for n in names[1:])])))
+    return con
+
+
+@pytest.mark.parametrize("keys", [0, 100_000])
+def test_rows_without_id_or_of_one_id_meet_their_target(spark, monkeypatch, keys):
+    """Drawn one by one, whether their keys are broadcast or shuffled; the same rows whatever the layout."""
+    monkeypatch.setattr(mixing, "BROADCAST_KEYS", keys)
+    rng = random.Random(8)
+    rows = [(None, "w " * rng.randrange(5, 35), "en", "a") for _ in range(300)]
+    rows += [(4, "same text of six words here", "en", "b") for _ in range(300)]
+    rows += [(5, f"text {i} of an id that repeats", "en", "c") for i in range(300)]
+    rows += [(1000 + i, "x " * rng.randrange(1, 30), "en", "d") for i in range(200)] + [(None, None, "en", None), (None, "", "en", None), (None, "", "en", None)]
+    docs = documents(spark, rows)
+    got = mixing.mix_report(docs)
+    by_target = {}
+    for r in got.collect():
+        by_target.setdefault((r.target, r.source_size), []).append(r)
+    assert len(by_target) == 5
+    for (target, _), some in by_target.items():
+        assert abs(sum(r.taken for r in some) - target) <= max(r.size for r in some)
+    same_rows(mixing.mix_report(documents(spark, rows[::-1]).repartition(7)), mixed_as_sql(rows), mixing.SQL)
+    out = mixing.mix(docs)
+    assert out.columns == docs.columns
+    taken = sum(len(r.text.split()) for r in out.collect() if r.text)
+    assert taken == sum(r.taken for some in by_target.values() for r in some)
