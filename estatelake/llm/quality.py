@@ -6,9 +6,10 @@ and good dictionary against the plain size) go through a logistic calibration fi
 texts that the dictionaries have not seen. Language, source, id and labels are no inputs of a score.
 
 Fitting takes a bounded sample: at most ``FIT_DOCS`` labelled ids of each label for the
-dictionaries and as many for the calibration, chosen by a hash of the id, with texts of any length. Of
-the first, each dictionary is trained on ``FIT_BLOCKS`` distinct blocks at most, those of least hash. Texts stay
-on the executors: the driver gets these blocks (4 MB a label) and seven numbers for each calibration text.
+dictionaries and as many for the calibration, chosen by a hash of the id, with texts of any length. All distinct
+blocks of the first go into the dictionaries: where a label has more than ``GROUP_BLOCKS``, tasks train a dictionary for
+each group of blocks, and the blocks of these dictionaries are what the next one is trained on, until one group is left.
+Texts stay on the executors: the driver gets this last group (4 MB a label) and seven numbers for each calibration text.
 Scoring reads every whole text, needs no shuffle and sends each task the two dictionaries and the
 weights (under 0.3 MB).
 
@@ -21,6 +22,7 @@ columns are ignored by ``score_quality`` and kept by ``keep_good``, whatever the
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -33,8 +35,8 @@ from estatelake.llm.common import drop_staged, lean, slices, staged
 
 #: Labelled rows of each label at most, for the dictionaries and again for the calibration.
 FIT_DOCS = 1500
-#: Bytes of a block, blocks that a dictionary is trained on at most, bytes of a dictionary, level of compression.
-BLOCK, FIT_BLOCKS, DICTIONARY, LEVEL = 1024, 4096, 112_640, 3
+#: Bytes of a block, blocks that are trained on at once, bytes of a dictionary, level of compression.
+BLOCK, GROUP_BLOCKS, DICTIONARY, LEVEL = 1024, 4096, 112_640, 3
 THRESHOLD = 0.3
 
 
@@ -95,6 +97,25 @@ def _dictionary(parts: list[bytes]) -> bytes:
         return b"".join(parts)[-DICTIONARY:]
 
 
+def _group_dictionary(group: pa.Table) -> pa.Table:
+    """The blocks of the dictionary of a group of blocks."""
+    data = _dictionary(sorted(group.column("_block").to_pylist(), key=lambda b: (zlib.crc32(b), b)))
+    return pa.table({"_block": pa.array([data[i : i + BLOCK] for i in range(0, len(data), BLOCK)], pa.binary())})
+
+
+def train_dictionary(parts: DataFrame) -> bytes:
+    """A dictionary from all rows of _block: of groups of them, then of what these dictionaries hold, down to one group. A group of
+    half of GROUP_BLOCKS gives a dictionary of at most an eighth of its bytes, so that each round leaves far fewer blocks."""
+    made = []
+    while (n := parts.count()) > GROUP_BLOCKS:
+        group = F.pmod(F.xxhash64("_block"), F.lit(-(-2 * n // GROUP_BLOCKS))).alias("_group")
+        parts = staged(parts.groupBy(group).applyInArrow(_group_dictionary, "_block binary").distinct(), "fit-dictionaries")
+        made.append(parts)
+    last = [bytes(r[0]) for r in parts.orderBy(F.crc32("_block"), "_block").collect()]
+    drop_staged(*made)
+    return _dictionary(last)
+
+
 def _calibrate(x: np.ndarray, y: np.ndarray) -> list[float]:
     """Logistic regression by Newton's method with a small ridge."""
     w, ridge = np.zeros(x.shape[1]), 1e-3 * np.eye(x.shape[1])
@@ -141,12 +162,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     held = docs.select(docs[id_col].alias("_id"), text.alias("_text")).join(F.broadcast(chosen), "_id")
     one = held.groupBy("_id", "_label", "_part").agg(F.min(F.struct(F.xxhash64("_text"), "_text"))["_text"].alias("_text"))
     texts = staged(one, "fit-texts")
-    parts = texts.where("_part = 0").select("_label", "_text").mapInArrow(lean(_cut_blocks), "_label int, _block binary").distinct()
-    of = lambda q: [bytes(r[0]) for r in parts.where(F.col("_label") == q).orderBy(F.crc32("_block"), "_block").limit(FIT_BLOCKS).select("_block").collect()]
-    model = CompressionModel(_dictionary(of(1)), _dictionary(of(0)), [])
+    cut = texts.where("_part = 0").select("_label", "_text").mapInArrow(lean(_cut_blocks), "_label int, _block binary").distinct()
+    parts = staged(cut, "fit-blocks")
+    model = CompressionModel(*(train_dictionary(parts.where(F.col("_label") == q).select("_block")) for q in (1, 0)), [])
     seen = texts.where("_part = 1").select(F.col("_id").cast("string").alias("_id"), "_label", "_text").mapInArrow(lean(_feature_task(model)), "_id string, _label int, _x array<double>")
     fitted = sorted(seen.collect())  # FIT_DOCS rows of each label at most
-    drop_staged(texts)
+    drop_staged(texts, parts)
     if fitted:
         # each label counts as often as it is among the labelled rows
         y = np.array([float(r[1]) for r in fitted])

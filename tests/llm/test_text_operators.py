@@ -233,7 +233,10 @@ def test_media_query(spark):
     assert media.probe_media(media.to_media(documents(spark))).where("codec = 'raw' AND size(keyframes) > 0").count() == len(DOCS)
 
 
-def test_quality_held_out(spark):
+@pytest.mark.parametrize("group", [quality.GROUP_BLOCKS, 64])
+def test_quality_held_out(spark, monkeypatch, group):
+    """Dictionaries of one group of blocks, and of many groups whose dictionaries are put together."""
+    monkeypatch.setattr(quality, "GROUP_BLOCKS", group)
     folder = SMALL.replace("0.001", "0.01")
     docs, labels = table(spark, folder), table(spark, folder, "labels")
     rows = quality.score_quality(docs, quality.fit_quality(docs, labels)).join(labels, "doc_id").where("held_out").collect()
@@ -282,3 +285,19 @@ def test_a_document_without_an_id_is_not_held_out(spark):
     docs = spark.createDataFrame([(None, "some text"), (5, None)], "doc_id long, text string")
     got = quality.score_quality(docs, quality.fit_quality(docs, spark.createDataFrame([], "doc_id long, quality int"))).collect()
     assert {(r.doc_id, r.held_out, r.score) for r in got} == {(None, False, 0.5), (5, zlib.crc32(b"5") % 5 == 0, 0.5)}
+
+
+def test_every_block_of_the_sample_can_reach_its_dictionary(spark, monkeypatch):
+    """Far more blocks than one group has: a line that many of them share is in the dictionary, while the driver sees one group."""
+    monkeypatch.setattr(quality, "GROUP_BLOCKS", 128)
+    line = "a line that every block of the sample holds somewhere in it"
+    blocks = [f"{i * 7919 % 10007} {line} {'%x' % (i * 104729)}".encode() for i in range(1500)]
+    seen = []
+    train = quality._dictionary
+    monkeypatch.setattr(quality, "_dictionary", lambda parts: seen.append(parts) or train(parts))
+    got = quality.train_dictionary(spark.createDataFrame([(b,) for b in blocks], "_block binary"))
+    assert line.encode() in got
+    assert len(seen) == 1 and 0 < len(seen[0]) <= 128
+    few = spark.createDataFrame([(b,) for b in blocks[:100]], "_block binary")
+    assert quality.train_dictionary(few) == train(sorted(blocks[:100], key=lambda b: (zlib.crc32(b), b)))
+    assert quality.train_dictionary(few.limit(0)) == b""
