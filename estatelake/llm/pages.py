@@ -462,7 +462,9 @@ def _join_hosts(pages: DataFrame, by_host: DataFrame, size: Column, how: str) ->
 
 def _with_host(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
-    return pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"], pages["html"]).withColumn("host", host)
+    # rows are numbered where they are read: behind a join a task that runs again would number them in another order
+    held = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"], pages["html"], F.monotonically_increasing_id().alias("nth"))
+    return held.withColumn("host", host)
 
 
 def parsed_pages(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
@@ -470,7 +472,7 @@ def parsed_pages(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     with_host = _with_host(pages)
     groups = with_host.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / GROUP_PAGES).cast("int").alias("groups"))
     keyed = _join_hosts(with_host, groups, F.lit(4), "inner").withColumn("key", F.xxhash64("page_id", "html"))
-    placed = keyed.withColumn("part", F.pmod(F.xxhash64("key", F.monotonically_increasing_id()), F.col("groups")).cast("int"))
+    placed = keyed.withColumn("part", F.pmod(F.xxhash64("key", "nth"), F.col("groups")).cast("int"))
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = placed.select("host", "part", "page_id", "url", "key", "html").mapInArrow(lean(_packed), f"{KEYED}, data binary")
     dealt = packed.repartition(n, "host", "part").sortWithinPartitions("host", "part")
