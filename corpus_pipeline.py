@@ -44,8 +44,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the sources' target weights, a row for each copy, with all their columns.
 
-    Documents without words come in the whole copies of their source, and are never drawn besides; a null source is one source, the last; repeated rows are drawn alike; ties go by
-    id; reruns agree; an empty table gives an empty one."""
+    Documents without words come in the whole copies of their source, and are never drawn besides; a null source is one source, the last; rows that
+    repeat, and rows without an id, are drawn one by one; ties go by a digest of id, text and source; reruns agree; an empty table
+    gives an empty one."""
     return mixing.mix(docs)
 
 
