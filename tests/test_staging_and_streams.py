@@ -170,3 +170,13 @@ def test_first_sightings_hold_over_a_whole_run(spark, tmp_path):
 def test_the_first_rule_that_holds_names_a_line(spark, line, kind, rest):
     got = runlog.FULL.told(spark.createDataFrame([(line,)], "line string"), "line").first()
     assert (got.kind, got.rest) == (kind, rest)
+
+
+def test_lines_that_change_no_region_move_the_clock(spark, tmp_path):
+    """The last reports come, too, when only another log's line of no kind is later."""
+    day = dt.datetime(2024, 1, 1)
+    rows = [("a", 1, day, "region_start", "r1", None, None), ("a", 2, day + dt.timedelta(seconds=5), "page_saved", None, 7, None), ("a", 3, day + dt.timedelta(seconds=9), "region_start", "r2", None, None)]
+    spark.createDataFrame([*rows, ("clock", 0, day + dt.timedelta(minutes=11), None, None, None, None)], EVENTS).write.parquet(str(tmp_path / "in"))
+    stream = streams.region_reports(spark.readStream.schema(EVENTS).parquet(str(tmp_path / "in")), "at", "10 minutes", None)
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert [tuple(r) for r in spark.read.schema(streams.REPORT).parquet(str(tmp_path / "out")).collect()] == [("a", 1, "r1", 7, 0, "report")]
