@@ -180,3 +180,44 @@ def test_lines_that_change_no_region_move_the_clock(spark, tmp_path):
     stream = streams.region_reports(spark.readStream.schema(EVENTS).parquet(str(tmp_path / "in")), "at", "10 minutes", None)
     stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     assert [tuple(r) for r in spark.read.schema(streams.REPORT).parquet(str(tmp_path / "out")).collect()] == [("a", 1, "r1", 7, 0, "report")]
+
+
+class _State(dict):
+    """What the processor needs of a state, in memory; counts the lines it gives out."""
+
+    def __init__(self):
+        super().__init__()
+        self.read = 0
+
+    exists, get, keys, clear = (lambda self: () in self or len(self) > 0), (lambda self: self[()]), (lambda self: iter(list(dict.keys(self)))), (lambda self: dict.clear(self))
+
+    def update(self, value):
+        self[()] = value
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def getValue(self, key):
+        self.read += len(self[key][0])
+        return self[key]
+
+    def removeKey(self, key):
+        del self[key]
+
+
+def test_held_lines_are_merged_by_blocks():
+    """Runs of lines in any order are read in the order of time, a block of each at a time, and what is later than the clock stays."""
+    processor = streams.RegionReports(None, True, run=40, block=8)
+    processor.held, processor.runs, processor.open, processor.labels = (_State() for _ in range(4))
+    processor.handle = type("Handle", (), {"registerTimer": staticmethod(lambda at: None)})
+    clock = lambda at: type("Clock", (), {"getCurrentWatermarkInMs": lambda self: at})()
+    came = [{"us": i * 1_000_000, "event_id": i, "kind": "region_start", "region": f"r{i}", "rows": None, "label": None} for i in range(200)]
+    random.Random(3).shuffle(came)
+    list(processor.handleInputRows(("a",), iter(came), clock(0)))
+    assert max(len(v[0]) for v in processor.held.values()) == 8 and len(processor.runs[()][0]) == 5
+    reports = processor.handleExpiredTimer(("a",), clock(99_500), None)
+    assert next(reports).region == "r0" and processor.held.read <= 5 * 8 + 8
+    assert [r.region for r in reports] == [f"r{i}" for i in range(1, 99)]
+    assert sum(len(v[0]) for v in processor.held.values()) == 100
+    assert [r.region for r in processor.handleExpiredTimer(("a",), clock(10**9), None)] == [f"r{i}" for i in range(99, 199)]
+    assert not processor.held and not processor.runs
