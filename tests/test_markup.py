@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from estatelake.operators import markup as mk
 from estatelake.operators import reconcile, runstate
+from estatelake.plans import proxies
+from tests.conftest import SMALL
 
 
 class Tree(HTMLParser):
@@ -126,3 +128,8 @@ def test_statuses_and_ties_of_the_state(spark):
     scan = spark.createDataFrame([(x, 7.0) for x in "abcdef"] + [(" ", 7.0)], "source_id string, price double")
     got = {r.source_id: (r.action, r.listing_id, r.old_price) for r in reconcile.classify(scan, state).collect()}
     assert got == {"a": ("new", None, None), "b": ("changed", 2, 6.0), "c": ("unchanged", None, None), "d": ("changed", None, 5.0), "e": ("reappeared", 4, None), "f": ("new", None, None)}
+
+
+@pytest.mark.parametrize("name", ["nested_pages"])
+def test_pages_are_made_in_as_many_tasks_as_a_shuffle_has(spark, name):
+    assert proxies.proxy(spark, SMALL, name).rdd.getNumPartitions() == 4
