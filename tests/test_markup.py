@@ -130,6 +130,6 @@ def test_statuses_and_ties_of_the_state(spark):
     assert got == {"a": ("new", None, None), "b": ("changed", 2, 6.0), "c": ("unchanged", None, None), "d": ("changed", None, 5.0), "e": ("reappeared", 4, None), "f": ("new", None, None)}
 
 
-@pytest.mark.parametrize("name", ["nested_pages", "nested_details"])
+@pytest.mark.parametrize("name", ["nested_pages", "nested_details", "portal_pages", "portal_details"])
 def test_pages_are_made_in_as_many_tasks_as_a_shuffle_has(spark, name):
     assert proxies.proxy(spark, SMALL, name).rdd.getNumPartitions() == 4
