@@ -3,10 +3,10 @@
 A template writes each turn as ``start role sep text end``. Control strings inside roles and texts are broken by a backslash behind their first character, and
 backslashes are doubled, so that no control string but the template's own stands in the output and every text can be had back.
 
-Every assistant turn becomes an example of its own: all turns before it are its context, and only its text is trainable. Contexts are
-prefixes of one text, the conversation's formatted turns, so that they are kept once: an example says where its context ends and which characters its
-loss mask covers. The output thus grows with the input, also where one conversation has a third of all turns; ``rendered`` writes
-contexts out for whom wants them.
+Every assistant turn becomes an example of its own: all turns before it are its context, and only its text is trainable. ``expand`` writes every example
+out whole, context and target, with the characters that its loss mask covers, and a row for turns that no example holds; ``chat_report`` reads these rows
+back. The contexts of a conversation are as long as all its prefixes together, which grows with the square of its length, as the method has it. No row is longer than
+a conversation, and the examples of a long one are dealt over tasks, ``TOGETHER`` to each.
 
 Turns are put in order over ranges (conversation, turn), and one row for each range that a conversation runs through carries how many turns,
 characters and examples came before, so that a conversation of any length is many tasks.
@@ -69,6 +69,11 @@ class Template:
         pattern = rf"(?s)\A{start}(.*?){sep}(.*){end}\z"
         return tuple(self.unescape(F.regexp_extract(segment, pattern, i)) for i in (1, 2))
 
+    def turns(self, text: Column) -> Column:
+        """Role and text of each of several formatted turns."""
+        ends = F.split(text, rf"{re.escape(self.end)}(?={re.escape(self.start)}|\z)")  # the last one is empty
+        return F.transform(F.slice(ends, F.lit(1), F.size(ends) - 1), lambda s: F.struct(*(x.alias(n) for x, n in zip(self.parsed(F.concat(s, F.lit(self.end))), ("role", "text"), strict=True))))
+
 
 #: Rows of ``format_conversations``. Positions are code points from the start of the conversation; the loss mask covers loss_start up to loss_end,
 #: which are null outside examples.
@@ -115,29 +120,61 @@ def examples(formatted: DataFrame) -> DataFrame:
     return formatted.where(F.col("example").isNotNull()).select("conv_id", "example", F.col("place").alias("context_turns"), F.col("start").alias("context_chars"), chars.alias("chars"), "loss_start", "loss_end")
 
 
-def rendered(formatted: DataFrame) -> DataFrame:
-    """conv_id, example, context, target: every example with its whole context written out. As long as all prefixes together, which grows with the square of a
-    conversation's length; each conversation's text is in one row."""
-    pieces = F.array_sort(F.collect_list(F.struct("place", "segment")))
-    texts = formatted.groupBy(F.col("conv_id").alias("_conv")).agg(F.array_join(F.transform(pieces, lambda p: p["segment"]), "").alias("_text"))
-    joined = examples(formatted).join(texts, F.col("conv_id").eqNullSafe(F.col("_conv")))
+#: So many examples of a conversation are written out in one go.
+TOGETHER = 64
+
+#: Rows of ``expand``. An example is context and target one behind the other; its loss mask covers its code points loss_start up to loss_end. ``last`` is true for
+#: a conversation's last example. The turns behind it, or all turns if there is none, are a row without example and context.
+EXPANDED = ("conv_id", "example", "context", "target", "loss_start", "loss_end", "last")
+
+
+def expand(formatted: DataFrame) -> DataFrame:
+    """EXPANDED for each assistant turn, with its whole context, and for the turns in no example, staged."""
+    turns = F.array_sort(F.collect_list(F.struct("place", "segment", "start", "example", "loss_start", "loss_end")))
+    held = formatted.groupBy("conv_id").agg(turns.alias("_turns"), F.sum(F.char_length("segment")).alias("_chars"))
+    replies = F.transform(F.filter("_turns", lambda t: t["example"].isNotNull()), lambda t: F.struct(t["example"].alias("example"), t["start"].alias("start"), (t["start"] + F.char_length(t["segment"])).alias("upto"), t["loss_start"].alias("loss_start"), t["loss_end"].alias("loss_end")))
+    texts = held.select("conv_id", "_chars", F.array_join(F.transform("_turns", lambda t: t["segment"]), "").alias("_text"), replies.alias("_replies"))
+    n, nothing = F.size("_replies"), F.lit(None).cast("bigint")
+    behind = F.when(n > 0, F.element_at("_replies", F.greatest(n, F.lit(1)))["upto"]).otherwise(F.lit(0).cast("bigint"))
+    rest = F.struct(nothing.alias("example"), behind.alias("start"), F.col("_chars").alias("upto"), nothing.alias("loss_start"), nothing.alias("loss_end"))
+    wanted = texts.select("conv_id", "_text", n.alias("_n"), F.when(behind < F.col("_chars"), F.concat("_replies", F.array(rest))).otherwise(F.col("_replies")).alias("_wanted"))
+    # each part of a conversation's examples goes with the text up to its end
+    parts = wanted.select("conv_id", "_text", "_n", "_wanted", F.explode(F.sequence(F.lit(0), F.floor((F.size("_wanted") - 1) / TOGETHER).cast("int"))).alias("_part"))
+    parts = parts.select("conv_id", "_n", "_part", "_text", F.slice("_wanted", F.col("_part") * TOGETHER + 1, TOGETHER).alias("_wanted"))
+    upto = F.element_at("_wanted", -1)["upto"].cast("int")
+    parts = parts.select("conv_id", "_n", "_part", F.substring("_text", F.lit(1), upto).alias("_text"), "_wanted").repartition("conv_id", "_part")
+    rows = parts.select("conv_id", "_n", "_text", F.explode("_wanted").alias("w"))
     cut = lambda a, b: F.substring(F.col("_text"), (a + 1).cast("int"), (b - a).cast("int"))
-    return joined.select("conv_id", "example", cut(F.lit(0), F.col("context_chars")).alias("context"), cut(F.col("context_chars"), F.col("chars")).alias("target"))
+    example = F.col("w.example")
+    out = rows.select(
+        "conv_id", example.alias("example"), F.when(example.isNotNull(), cut(F.lit(0), F.col("w.start"))).alias("context"), cut(F.col("w.start"), F.col("w.upto")).alias("target"),
+        F.col("w.loss_start").alias("loss_start"), F.col("w.loss_end").alias("loss_end"), F.coalesce(example == F.col("_n") - 1, F.lit(False)).alias("last"),
+    )
+    return staged(out, "written-examples", **{"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"})
+
+
+def rendered(formatted: DataFrame) -> DataFrame:
+    """conv_id, example, context, target: every example with its whole context written out."""
+    return expand(formatted).where(F.col("example").isNotNull()).select("conv_id", "example", "context", "target")
 
 
 def chat_report(formatted: DataFrame, template: Template = Template()) -> DataFrame:
-    """What can be read back from formatted conversations: number and digest of their turns, characters and digest of all text under the loss mask. A digest
-    needs its conversation's texts in one row."""
-    role, text = template.parsed(F.col("segment"))
-    masked = F.substring("segment", (F.col("loss_start") - F.col("start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
-    turns = formatted.select("conv_id", "place", F.concat(role, F.lit("\n"), text, F.lit("\n")).alias("turn"), F.when(F.col("example").isNotNull(), template.unescape(masked)).alias("loss"), F.char_length("segment").alias("chars"), (F.col("start") + F.char_length("segment")).alias("upto"))
-    in_order = F.array_sort(F.collect_list(F.struct("place", "turn", "loss")))
-    joined = lambda field: F.array_join(F.transform("_turns", lambda t: t[field]), "")  # noqa: E731  nulls are left out
-    by = turns.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"), in_order.alias("_turns"), F.coalesce(F.sum(F.char_length("loss")), F.lit(0)).alias("loss_chars"), F.sum("chars").alias("formatted_chars"),
-        F.count("loss").alias("n_examples"), F.coalesce(F.sum(F.when(F.col("loss").isNotNull(), F.col("upto"))), F.lit(0)).alias("example_chars"),
+    """What can be read back from the examples as ``expand`` writes them out: number and digest of a conversation's turns, from its last example and the turns
+    behind it; characters and digest of all text under the loss masks; number and characters of the examples. A digest needs its conversation's texts in one row."""
+    rows = expand(formatted)
+    is_example = F.col("example").isNotNull()
+    context_chars, mask = F.char_length("context"), F.col("loss_end") - F.col("loss_start")
+    loss = F.when(is_example, template.unescape(F.substring("target", (F.col("loss_start") - context_chars + 1).cast("int"), mask.cast("int"))))
+    whole = F.when(F.col("last") | ~is_example, F.concat(F.coalesce("context", F.lit("")), F.col("target")))
+    read = rows.select("conv_id", "example", loss.alias("loss"), (F.coalesce(context_chars, F.lit(0)) + F.char_length("target")).cast("bigint").alias("chars"), template.turns(whole).alias("_turns"))
+    joined = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = read.select("conv_id", "example", "loss", "chars", F.when(F.col("_turns").isNotNull(), F.struct(F.col("example").isNull().alias("rest"), joined.alias("turns"), F.size("_turns").alias("n"), F.col("chars").alias("chars"))).alias("part"))
+    by = read.groupBy("conv_id").agg(
+        F.sum("part.n").alias("n_turns"), F.array_sort(F.collect_list("part")).alias("_parts"), F.array_sort(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", "loss")))).alias("_losses"),
+        F.coalesce(F.sum(F.char_length("loss")), F.lit(0)).alias("loss_chars"), F.sum("part.chars").alias("formatted_chars"), F.count("example").alias("n_examples"), F.coalesce(F.sum(F.when(F.col("example").isNotNull(), F.col("chars"))), F.lit(0)).alias("example_chars"),
     )
-    return by.select("conv_id", "n_turns", F.sha2(joined("turn"), 256).alias("turns_sha256"), "loss_chars", F.sha2(joined("loss"), 256).alias("loss_sha256"), "formatted_chars", "n_examples", "example_chars")
+    digest = lambda parts, field: F.sha2(F.array_join(F.transform(parts, lambda t: t[field]), ""), 256)
+    return by.select("conv_id", "n_turns", digest("_parts", "turns").alias("turns_sha256"), "loss_chars", digest("_losses", "loss").alias("loss_sha256"), "formatted_chars", "n_examples", "example_chars")
 
 
 #: A conversation whose texts are made of control strings.

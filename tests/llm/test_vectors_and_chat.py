@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from estatelake.llm import centroids, chat, negatives, queries
 from tests.conftest import SMALL, duck, same_rows
@@ -94,6 +95,32 @@ def test_hot_conversation_runs_through_many_ranges(spark):
     assert [r.start for r in f] == at[:-1].tolist()
 
 
+def test_report_reads_examples_that_are_written_out(spark, monkeypatch):
+    monkeypatch.setattr(chat, "TOGETHER", 3)
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{t} {ODD[(c + t) % len(ODD)]}") for c, n in ((1, 41), (2, 12), (3, 1), (4, 14)) for t in range(n)]
+    rows += [(5, t, role, "x") for t, role in enumerate(["assistant", "assistant", "user", "user"])]
+    formatted = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3))
+    segments = {}
+    for r in formatted.orderBy("conv_id", "place").collect():
+        segments.setdefault(r.conv_id, []).append(r)
+    want = []
+    for c, rs in segments.items():
+        whole, replies = "".join(r.segment for r in rs), [r for r in rs if r.example is not None]
+        want += [(c, r.example, whole[: r.start], r.segment, r.loss_start, r.loss_end, r is replies[-1]) for r in replies]
+        behind = replies[-1].start + len(replies[-1].segment) if replies else 0
+        want += [(c, None, None, whole[behind:], None, None, False)] if behind < len(whole) else []
+    written = chat.expand(formatted)
+    assert written.columns == list(chat.EXPANDED)
+    assert sorted((tuple(r) for r in written.collect()), key=repr) == sorted(want, key=repr)
+    got = {r.conv_id: r for r in chat.chat_report(formatted).collect()}
+    assert {c: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for c, r in got.items()} == expected(rows)
+    for c, r in got.items():
+        assert (r.n_examples, r.example_chars) == (sum(w[0] == c and w[1] is not None for w in want), sum(len(w[2]) + len(w[3]) for w in want if w[0] == c and w[1] is not None))
+    # what the examples lack, the report lacks
+    monkeypatch.setattr(chat, "expand", lambda f: written.withColumn("context", F.when(F.col("example").isNotNull(), "")))
+    assert {r.conv_id: r.n_turns for r in chat.chat_report(formatted).collect()} == {1: 2, 2: 1, 3: 1, 4: 1, 5: 3}
+
+
 # -- centroids ------------------------------------------------------------------------------------
 
 
