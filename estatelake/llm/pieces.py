@@ -4,7 +4,8 @@ Encoding is a score-ordered agenda: the adjacent symbol pairs that form a piece
 the best-scored one (leftmost among equals) is merged first, and its new neighbours join the
 agenda. Before that a text is cut where no piece of the vocabulary can reach across, which is
 read off the vocabulary itself; the agenda's result is the same with or without the cuts, and a
-bounded table remembers the ids of short segments. Every ``check_every``-th text of each Arrow
+bounded table remembers the ids of short segments. The short segments of a slice of texts that the table does not have are worked off
+together, an agenda for each as a row of arrays. Every ``check_every``-th text of each Arrow
 batch is also encoded by the sentencepiece library, and any difference stops the job.
 
 Defined cases: null counts as empty and gives the begin and end ids only; long runs without a cut
@@ -21,6 +22,7 @@ from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -29,6 +31,7 @@ from estatelake.llm.common import Remembered, lean, slices
 SPACE = "▁"
 LETTERS = "a-zA-ZÀ-ÖØ-öø-ɏ"
 NEVER = float("inf")
+LAST = np.iinfo(np.int32).max
 
 
 def wire_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -87,6 +90,26 @@ class PieceModel:
         self.bytes = [lib.piece_to_id(f"<0x{b:02X}>") for b in range(256)] if spec[2].get(35, 0) else None
         self.cut = re.compile(self._segments()).findall
         self.known = Remembered(self.REMEMBERED)
+        self.found: dict[str, bytes] = {}
+        self._pairs()
+
+    def _pairs(self) -> None:
+        """The vocabulary in numbers: a symbol is a piece or a character of one, by its place in a list; keys are pairs of symbols that form a piece."""
+        symbols = [*self.ids, *sorted({c for piece in self.ids for c in piece} - self.ids.keys())]
+        place = {s: i for i, s in enumerate(symbols)}
+        plain = [c for c in map(chr, range(128)) if c not in place] if self.bytes else []  # one byte each, hence one id
+        place |= {c: len(symbols) + i for i, c in enumerate(plain)}
+        self.outside = len(place)  # stands for all other characters
+        pairs = {place[a] * (self.outside + 1) + place[b]: place[p] for p in self.ids for i in range(1, len(p)) if (a := p[:i]) in place and (b := p[i:]) in place}
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.formed = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
+        _, rank = np.unique([self.score[s] for s in self.ids], return_inverse=True)
+        self.rank = rank.astype(np.int32)
+        self.id_of = np.array([self.ids.get(s, self.bytes[ord(s)] if self.bytes and len(s) == 1 and s < "\x80" else -1) for s in place] + [-1], np.int64)
+        self.symbol = np.full(0x110000, self.outside, np.int32)
+        for s, i in place.items():
+            if len(s) == 1:
+                self.symbol[ord(s)] = i
 
     def _segments(self) -> str:
         """A pattern whose matches, one after another, are the segments of a text.
@@ -161,27 +184,93 @@ class PieceModel:
                 heapq.heappush(waiting, (s, h, i, symbols[h] + piece))
         return [s for s in symbols if s]
 
+    def _form(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces that pairs of symbols form, and their ranks; LAST where there is none."""
+        key = left.astype(np.int64) * (self.outside + 1) + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        piece = self.formed[at]
+        return piece, np.where(self.keys[at] == key, self.rank[piece], LAST)
+
+    def agendas(self, texts: list[str]) -> list[bytes]:
+        """Ids of many segments: each is a row of symbols and of what each forms with the next one; in every round each row merges its best-ranked pair,
+        the leftmost among equals, until no row has one."""
+        if not texts or not len(self.keys):
+            return [array("I", self.agenda(t)).tobytes() for t in texts]
+        size = np.array(list(map(len, texts)))
+        n, width = len(texts), int(size.max())
+        filled = np.arange(width) < size[:, None]
+        symbol = np.full((n, width + 1), self.outside, np.int32)
+        symbol[:, :width][filled] = self.symbol[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        piece, rank = np.zeros((n, width), np.int32), np.full((n, width), LAST, np.int32)
+        paired = np.arange(1, width + 1) < size[:, None]
+        piece[paired], rank[paired] = self._form(symbol[:, :width][paired], symbol[:, 1:][paired])
+        after = np.tile(np.arange(1, width + 1), (n, 1))  # the place of the next symbol; width: none
+        before = np.tile(np.arange(-1, width), (n, 1))
+        alive, rows = filled, np.arange(n)
+        after[rows, size - 1] = width
+        while True:
+            at = rank[rows].argmin(axis=1) if len(rows) < n else rank.argmin(axis=1)
+            more = rank[rows, at] < LAST
+            rows, at = rows[more], at[more]
+            if not len(rows):
+                break
+            gone = after[rows, at]
+            symbol[rows, at] = piece[rows, at]
+            alive[rows, gone], rank[rows, gone] = False, LAST
+            follows = after[rows, at] = after[rows, gone]
+            before[rows, follows] = at
+            piece[rows, at], rank[rows, at] = self._form(symbol[rows, at], symbol[rows, follows])
+            inner = before[rows, at] >= 0
+            i, b, a = rows[inner], before[rows, at][inner], at[inner]
+            piece[i, b], rank[i, b] = self._form(symbol[i, b], symbol[i, a])
+        ids = self.id_of[symbol[:, :width]]
+        ends = np.cumsum(alive.sum(axis=1)) * 4
+        data = ids[alive].astype("<u4").tobytes()
+        out = [data[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        for i in np.flatnonzero((alive & (ids < 0)).any(axis=1)).tolist():
+            out[i] = array("I", self.agenda(texts[i])).tobytes()
+        return out
+
+    def learn(self, texts: list[str]) -> None:
+        """Find the ids of all segments of texts, those that are not remembered in one go, for encode() to take."""
+        known, found = self.known, {}
+        known.make_room()
+        asked, places = [], []
+        for text in texts:
+            marked = text.replace(" ", SPACE)
+            if self.prefix and marked:
+                marked = SPACE + marked
+            parts = self.cut(marked)
+            found[text] = ids = list(map(known.get, parts))
+            if None in ids:
+                at = [i for i, x in enumerate(ids) if x is None]
+                asked += [parts[i] for i in at]
+                places.append((ids, at))
+        fill = {part: known.older(part) for part in asked} | {"": b""}
+        new = [part for part, x in fill.items() if x is None]
+        short = sorted((part for part in new if len(part) <= self.SHORT), key=len)
+        for start in range(0, len(short), 2048):
+            some = short[start : start + 2048]
+            made = dict(zip(some, self.agendas(some), strict=True))
+            fill |= made
+            known.update(made)
+        for part in new:
+            if fill[part] is None:
+                fill[part] = array("I", self.agenda(part)).tobytes()
+        answers = map(fill.__getitem__, asked)
+        for ids, at in places:
+            for i, x in zip(at, answers):  # noqa: B905  answers go on with the next text
+                ids[i] = x
+        self.found = {text: b"".join(ids) for text, ids in found.items()}
+
     def encode(self, text: str) -> bytes:
         """Ids of a text with begin and end ids, as little-endian unsigned 32-bit integers."""
-        marked = text.replace(" ", SPACE)
-        if self.prefix and marked:
-            marked = SPACE + marked
-        parts = self.cut(marked)
-        found = list(map(self.known.get, parts))
-        if None in found:
-            self.known.make_room()
-            for i, x in enumerate(found):
-                if x is None:
-                    part = parts[i]
-                    x = self.known.get(part) or self.known.older(part)
-                    if x is None:
-                        x = array("I", self.agenda(part)).tobytes()
-                        if len(part) <= self.SHORT:
-                            self.known[part] = x
-                    found[i] = x
+        if text not in self.found:
+            self.learn([text])
+        found = self.found[text]
         if not self.bytes and self.unk >= 0:
-            return self._joined_unknown(b"".join(found))
-        return array("I", [self.bos]).tobytes() + b"".join(found) + array("I", [self.eos]).tobytes()
+            return self._joined_unknown(found)
+        return array("I", [self.bos]).tobytes() + found + array("I", [self.eos]).tobytes()
 
     def _joined_unknown(self, ids: bytes) -> bytes:
         """Without byte pieces the library gives one unknown id for neighbouring unknown characters."""
@@ -214,6 +303,7 @@ def _encode_task(path: str, check_every: int, with_ids: bool) -> Callable[[Itera
         for whole in batches:
             for batch in slices(whole, "text", 256 << 10):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
+                model.learn(texts)
                 ids = [model.encode(t) for t in texts]
                 if check_every:
                     wanted = model.library.encode(texts[::check_every], add_bos=True, add_eos=True, num_threads=1)

@@ -83,6 +83,26 @@ def test_agenda_is_the_library(text):
     assert "".join(model._long_agenda(text)) == text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*CHARS, "Elle", "treç", "ß", "▁▁▁", "ungkeit", "aaaa"]), min_size=1, max_size=12).map("".join), max_size=12))
+def test_agendas_side_by_side_are_each_segments_agenda(parts):
+    model = pieces.piece_model(tokenizer_file("piece_bpe_32k.model"))
+    assert model.agendas(parts) == [array("I", model.agenda(p)).tobytes() for p in parts]
+
+
+def test_short_segments_of_a_slice_are_worked_off_together(monkeypatch):
+    model, alone = pieces.PieceModel(tokenizer_file("piece_bpe_32k.model")), []
+    right = pieces.PieceModel.agenda
+    monkeypatch.setattr(pieces.PieceModel, "agenda", lambda self, text: alone.append(text) or right(self, text))
+    monkeypatch.setattr(model.known, "size", 50)  # the table is renewed between slices
+    slices = [[f"word{i} Elletreç{j}.\nungkeit{i * j} tab\t" for i in range(20)] + ["", "same", "same"] for j in range(6)]
+    for texts in slices:
+        model.learn(texts)
+        assert [array("I", model.encode(t)).tolist() for t in texts] == model.library.encode(texts, add_bos=True, add_eos=True)
+    assert not alone
+    assert array("I", model.encode("😀ж" + "x" * 60)).tolist() == model.library.encode("😀ж" + "x" * 60, add_bos=True, add_eos=True)
+
+
 def test_pieces_query(spark):
     path = tokenizer_file("piece_bpe_32k.model")
     lib = pieces.piece_model(path).library
