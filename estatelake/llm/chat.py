@@ -4,7 +4,7 @@ A template writes each turn as ``start role sep text end``. Control strings insi
 backslashes are doubled, so that no control string but the template's own stands in the output and every text can be had back.
 
 Every assistant turn becomes an example of its own: all turns before it are its context, and only its text is trainable. ``expand`` writes every example
-out whole, context and target, with the characters that its loss mask covers, and a row for turns that no example holds; ``chat_report`` reads these rows
+out whole, context and target, with the characters that its loss mask covers, and the turns that no example holds; ``chat_report`` reads these rows
 back. The contexts of a conversation are as long as all its prefixes together, which grows with the square of its length, as the method has it. No row is longer than
 a conversation, and the examples of a long one are dealt over tasks, ``TOGETHER`` to each.
 
@@ -123,34 +123,36 @@ def examples(formatted: DataFrame) -> DataFrame:
 #: So many examples of a conversation are written out in one go.
 TOGETHER = 64
 
-#: Rows of ``expand``. An example is context and target one behind the other; its loss mask covers its code points loss_start up to loss_end. ``last`` is true for
-#: a conversation's last example. The turns behind it, or all turns if there is none, are a row without example and context.
-EXPANDED = ("conv_id", "example", "context", "target", "loss_start", "loss_end", "last")
+#: Rows of ``expand``. An example is context and target one behind the other; its loss mask covers its code points loss_start up to loss_end. ``behind`` holds the
+#: turns behind a conversation's last example, and is null for other examples. A conversation without examples is a row with all its turns there.
+EXPANDED = ("conv_id", "example", "context", "target", "loss_start", "loss_end", "behind")
 
 
 def expand(formatted: DataFrame) -> DataFrame:
-    """EXPANDED for each assistant turn, with its whole context, and for the turns in no example, staged."""
+    """EXPANDED for each assistant turn, with its whole context, and for conversations without one, staged."""
     turns = F.array_sort(F.collect_list(F.struct("place", "segment", "start", "example", "loss_start", "loss_end")))
     held = formatted.groupBy("conv_id").agg(turns.alias("_turns"), F.sum(F.char_length("segment")).alias("_chars"))
-    replies = F.transform(F.filter("_turns", lambda t: t["example"].isNotNull()), lambda t: F.struct(t["example"].alias("example"), t["start"].alias("start"), (t["start"] + F.char_length(t["segment"])).alias("upto"), t["loss_start"].alias("loss_start"), t["loss_end"].alias("loss_end")))
-    texts = held.select("conv_id", "_chars", F.array_join(F.transform("_turns", lambda t: t["segment"]), "").alias("_text"), replies.alias("_replies"))
-    n, nothing = F.size("_replies"), F.lit(None).cast("bigint")
-    behind = F.when(n > 0, F.element_at("_replies", F.greatest(n, F.lit(1)))["upto"]).otherwise(F.lit(0).cast("bigint"))
-    rest = F.struct(nothing.alias("example"), behind.alias("start"), F.col("_chars").alias("upto"), nothing.alias("loss_start"), nothing.alias("loss_end"))
-    wanted = texts.select("conv_id", "_text", n.alias("_n"), F.when(behind < F.col("_chars"), F.concat("_replies", F.array(rest))).otherwise(F.col("_replies")).alias("_wanted"))
+    texts = held.select("conv_id", "_chars", F.array_join(F.transform("_turns", lambda t: t["segment"]), "").alias("_text"), F.filter("_turns", lambda t: t["example"].isNotNull()).alias("_replies"))
+    fields = ("example", "start", "upto", "loss_start", "loss_end", "total")
+    row = lambda *values: F.struct(*(v.alias(f) for v, f in zip(values, fields, strict=True)))
+    total = lambda i: F.when(i == F.size("_replies") - 1, F.col("_chars"))
+    replies = F.transform("_replies", lambda t, i: row(t["example"], t["start"], t["start"] + F.char_length(t["segment"]), t["loss_start"], t["loss_end"], total(i)))
+    zero, nothing = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+    wanted = texts.select("conv_id", "_text", F.when(F.size("_replies") > 0, replies).otherwise(F.array(row(nothing, zero, zero, nothing, nothing, F.col("_chars")))).alias("_wanted"))
     # each part of a conversation's examples goes with the text up to its end
-    parts = wanted.select("conv_id", "_text", "_n", "_wanted", F.explode(F.sequence(F.lit(0), F.floor((F.size("_wanted") - 1) / TOGETHER).cast("int"))).alias("_part"))
-    parts = parts.select("conv_id", "_n", "_part", "_text", F.slice("_wanted", F.col("_part") * TOGETHER + 1, TOGETHER).alias("_wanted"))
-    upto = F.element_at("_wanted", -1)["upto"].cast("int")
-    parts = parts.select("conv_id", "_n", "_part", F.substring("_text", F.lit(1), upto).alias("_text"), "_wanted").repartition("conv_id", "_part")
-    rows = parts.select("conv_id", "_n", "_text", F.explode("_wanted").alias("w"))
+    parts = wanted.select("conv_id", "_text", "_wanted", F.explode(F.sequence(F.lit(0), F.floor((F.size("_wanted") - 1) / TOGETHER).cast("int"))).alias("_part"))
+    parts = parts.select("conv_id", "_part", "_text", F.slice("_wanted", F.col("_part") * TOGETHER + 1, TOGETHER).alias("_wanted"))
+    end = F.element_at("_wanted", -1)
+    parts = parts.select("conv_id", "_part", F.substring("_text", F.lit(1), F.coalesce(end["total"], end["upto"]).cast("int")).alias("_text"), "_wanted").repartition("conv_id", "_part")
+    rows = parts.select("conv_id", "_text", F.explode("_wanted").alias("w"))
     cut = lambda a, b: F.substring(F.col("_text"), (a + 1).cast("int"), (b - a).cast("int"))
     example = F.col("w.example")
     out = rows.select(
-        "conv_id", example.alias("example"), F.when(example.isNotNull(), cut(F.lit(0), F.col("w.start"))).alias("context"), cut(F.col("w.start"), F.col("w.upto")).alias("target"),
-        F.col("w.loss_start").alias("loss_start"), F.col("w.loss_end").alias("loss_end"), F.coalesce(example == F.col("_n") - 1, F.lit(False)).alias("last"),
+        "conv_id", example.alias("example"), F.when(example.isNotNull(), cut(F.lit(0), F.col("w.start"))).alias("context"), F.when(example.isNotNull(), cut(F.col("w.start"), F.col("w.upto"))).alias("target"),
+        F.col("w.loss_start").alias("loss_start"), F.col("w.loss_end").alias("loss_end"), F.when(F.col("w.total").isNotNull(), cut(F.col("w.upto"), F.col("w.total"))).alias("behind"),
     )
-    return staged(out, "written-examples", **{"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"})
+    # whole contexts are long: Parquet reads up to 4,096 rows of a row group at once and looks at a page's size after 100 rows, unless told otherwise
+    return staged(out, "written-examples", **{"parquet.block.row.count.limit": "16", "parquet.page.size.row.check.min": "1"})
 
 
 def rendered(formatted: DataFrame) -> DataFrame:
@@ -160,21 +162,21 @@ def rendered(formatted: DataFrame) -> DataFrame:
 
 def chat_report(formatted: DataFrame, template: Template = Template()) -> DataFrame:
     """What can be read back from the examples as ``expand`` writes them out: number and digest of a conversation's turns, from its last example and the turns
-    behind it; characters and digest of all text under the loss masks; number and characters of the examples. A digest needs its conversation's texts in one row."""
+    behind it in the same row; characters and digest of all text under the loss masks; number and characters of the examples. A digest needs its conversation's texts in one row."""
     rows = expand(formatted)
-    is_example = F.col("example").isNotNull()
     context_chars, mask = F.char_length("context"), F.col("loss_end") - F.col("loss_start")
-    loss = F.when(is_example, template.unescape(F.substring("target", (F.col("loss_start") - context_chars + 1).cast("int"), mask.cast("int"))))
-    whole = F.when(F.col("last") | ~is_example, F.concat(F.coalesce("context", F.lit("")), F.col("target")))
-    read = rows.select("conv_id", "example", loss.alias("loss"), (F.coalesce(context_chars, F.lit(0)) + F.char_length("target")).cast("bigint").alias("chars"), template.turns(whole).alias("_turns"))
+    loss = template.unescape(F.substring("target", (F.col("loss_start") - context_chars + 1).cast("int"), mask.cast("int")))
+    whole = F.when(F.col("behind").isNotNull(), F.concat(F.coalesce("context", F.lit("")), F.coalesce("target", F.lit("")), F.col("behind")))
+    read = rows.select("conv_id", "example", loss.alias("loss"), (context_chars + F.char_length("target")).cast("bigint").alias("chars"), F.char_length(whole).cast("bigint").alias("whole"), template.turns(whole).alias("_turns"))
     joined = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    read = read.select("conv_id", "example", "loss", "chars", F.when(F.col("_turns").isNotNull(), F.struct(F.col("example").isNull().alias("rest"), joined.alias("turns"), F.size("_turns").alias("n"), F.col("chars").alias("chars"))).alias("part"))
+    read = read.select("conv_id", "example", "loss", "chars", "whole", F.when(F.col("_turns").isNotNull(), F.size("_turns")).cast("bigint").alias("n"), F.sha2(joined, 256).alias("sha"))
+    # one row of a conversation has its turns
     by = read.groupBy("conv_id").agg(
-        F.sum("part.n").alias("n_turns"), F.array_sort(F.collect_list("part")).alias("_parts"), F.array_sort(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", "loss")))).alias("_losses"),
-        F.coalesce(F.sum(F.char_length("loss")), F.lit(0)).alias("loss_chars"), F.sum("part.chars").alias("formatted_chars"), F.count("example").alias("n_examples"), F.coalesce(F.sum(F.when(F.col("example").isNotNull(), F.col("chars"))), F.lit(0)).alias("example_chars"),
+        F.max("n").alias("n_turns"), F.max("sha").alias("turns_sha256"), F.coalesce(F.sum(F.char_length("loss")), F.lit(0)).alias("loss_chars"), F.array_sort(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", "loss")))).alias("_losses"),
+        F.max("whole").alias("formatted_chars"), F.count("example").alias("n_examples"), F.coalesce(F.sum("chars"), F.lit(0)).alias("example_chars"),
     )
-    digest = lambda parts, field: F.sha2(F.array_join(F.transform(parts, lambda t: t[field]), ""), 256)
-    return by.select("conv_id", "n_turns", digest("_parts", "turns").alias("turns_sha256"), "loss_chars", digest("_losses", "loss").alias("loss_sha256"), "formatted_chars", "n_examples", "example_chars")
+    losses = F.array_join(F.transform("_losses", lambda t: t["loss"]), "")
+    return by.select("conv_id", "n_turns", "turns_sha256", "loss_chars", F.sha2(losses, 256).alias("loss_sha256"), "formatted_chars", "n_examples", "example_chars")
 
 
 #: A conversation whose texts are made of control strings.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from estatelake.llm import centroids, chat, jaccard, linededup, media, mixing, negatives, neighbours, pages, pieces, quality, secrets, tokenfiles
-from estatelake.llm.common import documents
+from estatelake.llm.common import documents, drop_staged
 
 
 def tokenizer_file(name: str) -> str:
@@ -71,7 +71,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is read back of every conversation, and of one made of control strings, formatted as examples of one reply each. Null texts count as empty."""
-    return chat.chat_report(chat.format_conversations(chat.with_hostile(documents(spark, sf_dir, "conversations"))))
+    formatted = chat.format_conversations(chat.with_hostile(documents(spark, sf_dir, "conversations")))
+    report = chat.chat_report(formatted)
+    drop_staged(formatted)
+    return report
 
 
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,9 +106,9 @@ def test_report_reads_examples_that_are_written_out(spark, monkeypatch):
     want = []
     for c, rs in segments.items():
         whole, replies = "".join(r.segment for r in rs), [r for r in rs if r.example is not None]
-        want += [(c, r.example, whole[: r.start], r.segment, r.loss_start, r.loss_end, r is replies[-1]) for r in replies]
-        behind = replies[-1].start + len(replies[-1].segment) if replies else 0
-        want += [(c, None, None, whole[behind:], None, None, False)] if behind < len(whole) else []
+        behind = whole[replies[-1].start + len(replies[-1].segment) :] if replies else whole
+        want += [(c, r.example, whole[: r.start], r.segment, r.loss_start, r.loss_end, behind if r is replies[-1] else None) for r in replies]
+        want += [] if replies else [(c, None, None, None, None, None, whole)]
     written = chat.expand(formatted)
     assert written.columns == list(chat.EXPANDED)
     assert sorted((tuple(r) for r in written.collect()), key=repr) == sorted(want, key=repr)
